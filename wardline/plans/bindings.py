@@ -16,6 +16,28 @@ BOUND_STUDY = StudySpec(
     target_code="Brand#1", prior_exclusion_code="Brand#10", window_exclusion_code="Brand#11"
 )
 
+# The same study with other thresholds.
+OTHER_STUDY = StudySpec(
+    target_code=BOUND_STUDY.target_code,
+    prior_exclusion_code=BOUND_STUDY.prior_exclusion_code,
+    window_exclusion_code=BOUND_STUDY.window_exclusion_code,
+    minimum_age_years=40,
+    baseline_days=180,
+)
+# Concept sets in terms of the bound codes.
+FOLLOWUP_CONCEPTS = {
+    "class_a": ("bound", "treatment", (("Brand#2", "a one"), ("Brand#3", "a two"))),
+    "class_b": ("bound", "treatment", (("Brand#4", "b one"),)),
+    "class_c": ("bound", "treatment", (("Brand#5", "c one"), ("Brand#6", "c two"))),
+    "class_without_codes": ("bound", "treatment", ()),
+}
+LAB_CONCEPTS = {
+    "lab_a": ("bound", "monitoring", (("click", "a"),)),
+    "lab_b": ("bound", "monitoring", (("view", "b"), ("error", "b"))),
+}
+# Some bound dates lie after this day.
+REFERENCE_DATE = "2001-06-30"
+
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -195,6 +217,34 @@ def _silver_careplans(spark, sf_dir):
     )
 
 
+def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations moved into the years of the cohort, for the follow-up summaries."""
+    offset = (F.col("event_id") * 37 % 2490).cast("int")
+    return source(spark, sf_dir, "events").select(
+        _text("user_id").alias("patient_id"),
+        F.date_add(F.lit("1995-01-01").cast("date"), offset).alias("observation_date"),
+        F.col("event_type").alias("code"),
+        F.col("value").alias("value_numeric"),
+    )
+
+
+def reference_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Customers as patients, and references to them of mixed quality: part and order numbers
+    run past the customer numbers, so some of those name no patient."""
+    orders, lines = source(spark, sf_dir, "orders"), source(spark, sf_dir, "lineitem")
+    of_orders = _lines_of_orders(spark, sf_dir)
+    events = source(spark, sf_dir, "events")
+    return {
+        "patients": source(spark, sf_dir, "customer").select(_text("c_custkey").alias("patient_id")),
+        "encounters": orders.select(_text("o_custkey").alias("patient_id")),
+        "conditions": of_orders.select(_text("o_custkey").alias("patient_id")),
+        "medications": lines.select(_text("l_partkey").alias("patient_id")),
+        "observations": events.select(_text("user_id").alias("patient_id")),
+        "procedures": lines.select(_text("l_suppkey").alias("patient_id")),
+        "careplans": orders.select(_text("o_orderkey").alias("patient_id")),
+    }
+
+
 _SILVER = {
     "patients": _silver_patients,
     "encounters": _silver_encounters,
