@@ -1,0 +1,155 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardline.functions.expr import (
+    clean_level,
+    completed_years,
+    distinct_with_null,
+    lenient_date,
+    lenient_double,
+)
+from wardline.functions.quantiles import exact_quantiles
+from wardline.functions.text import one_decimal, one_decimal_text
+
+
+def one_column(spark, values, kind="string"):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+
+
+def apply(spark, values, fn, kind="string"):
+    rows = one_column(spark, values, kind).select("i", fn(F.col("v")).alias("r")).collect()
+    return [r.r for r in sorted(rows)]
+
+
+def test_lenient_date(spark):
+    texts = {
+        "2020-01-01": date(2020, 1, 1),
+        "2020-01-01T08:00:00Z": date(2020, 1, 1),
+        "2020-01-01 23:59": date(2020, 1, 1),
+        "2020-1-2": date(2020, 1, 2),
+        "2020-02-29": date(2020, 2, 29),
+        "2020-02-30": None,
+        "2021-02-29": None,
+        "bad": None,
+        "": None,
+        None: None,
+        "2020": None,
+        "2020-01": None,
+        " 2020-01-01": None,
+        "2020-01-1 ": None,
+        "01/02/2020": None,
+        "2020-13-01": None,
+    }
+    assert apply(spark, list(texts), lenient_date) == list(texts.values())
+
+
+def test_lenient_double(spark):
+    texts = {
+        "1.5": 1.5,
+        "1e3": 1000.0,
+        "+7": 7.0,
+        "-.5": -0.5,
+        "3.": 3.0,
+        "abc": None,
+        "": None,
+        "1.5d": None,
+        "1.5f": None,
+        "nan": None,
+        "NaN": None,
+        "inf": None,
+        "Infinity": None,
+        " 1.5": None,
+        "1,5": None,
+        "0x10": None,
+        None: None,
+    }
+    assert apply(spark, list(texts), lenient_double) == list(texts.values())
+
+
+@pytest.mark.parametrize(
+    "birth, index, age",
+    [
+        ("2000-02-29", "2021-02-28", 20),
+        ("2000-02-29", "2021-03-01", 21),
+        ("1970-06-15", "2020-06-14", 49),
+        ("1970-06-15", "2020-06-15", 50),
+        ("1970-12-31", "2020-01-01", 49),
+        ("2020-06-01", "2019-12-01", -1),
+        ("2020-06-01", "2019-03-01", -2),
+        (None, "2020-01-01", None),
+    ],
+)
+def test_completed_years(spark, birth, index, age):
+    rows = spark.createDataFrame([(birth, index)], "b string, i string").select(
+        completed_years(F.col("b").cast("date"), F.col("i").cast("date")).alias("age")
+    )
+    assert rows.first().age == age
+
+
+def test_clean_level(spark):
+    texts = {
+        " M ": "M",
+        "\tM\n": "M",
+        " M ": "M",
+        "\x1cM": "M",
+        "": "Missing",
+        "  \t ": "Missing",
+        None: "Missing",
+        "a b": "a b",
+    }
+    assert apply(spark, list(texts), clean_level) == list(texts.values())
+
+
+def test_distinct_counts_null_once(spark):
+    frame = spark.createDataFrame([("a",), ("b",), (None,), (None,), ("a",)], "v string")
+    assert frame.agg(distinct_with_null(F.col("v"))).first()[0] == 3
+    assert frame.where("v = 'a'").agg(distinct_with_null(F.col("v"))).first()[0] == 1
+    assert frame.where("v = 'z'").agg(distinct_with_null(F.col("v"))).first()[0] == 0
+
+
+def test_text_rounds_the_exact_binary_value(spark):
+    values = [12.25, 0.35, 12.35, 0.05, 49 / 400 * 100, 2.5, -0.25, 1e15 + 0.5, None]
+    want = ["" if v is None else f"{v:.1f}" for v in values]
+    assert apply(spark, values, one_decimal_text, "double") == want
+    rounded = [None if v is None else round(v, 1) for v in values]
+    assert apply(spark, values, one_decimal, "double") == rounded
+
+
+def test_exact_quantiles_match_percentile(spark):
+    rows = (
+        [("a", float(i * i % 997)) for i in range(5000)]
+        + [("b", 5.0)] * 3000
+        + [("b", float(i)) for i in range(40)]
+        + [("c", 1.25)]
+        + [("d", None)]
+    )
+    frame = spark.createDataFrame(rows, "g string, v double")
+    got = exact_quantiles(frame, "g", "v", {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99})
+    want = frame.where("v is not null").groupBy("g").agg(
+        F.percentile("v", 0.25).alias("q1"),
+        F.percentile("v", 0.5).alias("median"),
+        F.percentile("v", 0.75).alias("q3"),
+        F.percentile("v", 0.99).alias("p99"),
+    )
+    left = {r.g: r[1:] for r in got.collect()}
+    right = {r.g: r[1:] for r in want.collect()}
+    assert left.keys() == right.keys() == {"a", "b", "c"}
+    for g in left:
+        assert left[g] == pytest.approx(right[g])
+
+
+def test_exact_quantiles_with_weights(spark):
+    rows = [("a", float(v), w) for v, w in ((1, 3), (2, 1), (9, 4), (4, 2), (30, 700))]
+    frame = spark.createDataFrame(rows, "g string, v double, w bigint")
+    repeated = spark.createDataFrame([(g, v) for g, v, w in rows for _ in range(w)], "g string, v double")
+    for q in (0.0, 0.01, 0.25, 1.0):
+        a = exact_quantiles(frame, "g", "v", {"q": q}, weight="w").first().q
+        b = repeated.agg(F.percentile("v", q)).first()[0]
+        assert a == pytest.approx(b)
+
+
+def test_exact_quantiles_of_nothing(spark):
+    frame = spark.createDataFrame([], "g string, v double")
+    assert exact_quantiles(frame, "g", "v", {"q": 0.5}).collect() == []

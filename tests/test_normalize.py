@@ -1,0 +1,86 @@
+from datetime import date
+
+import pytest
+
+from wardline.operators.normalize import normalize, with_text_columns
+from wardline.plans import study
+from wardline.sources import layers
+from wardline.spec import SILVER_LAYOUT
+
+
+def text_table(spark, columns, *rows):
+    return spark.createDataFrame(list(rows), ", ".join(f"`{c}` string" for c in columns))
+
+
+def test_patients(spark):
+    raw = text_table(
+        spark,
+        ["Id", "BIRTHDATE", "DEATHDATE", "GENDER", "RACE", "ETHNICITY", "EXTRA"],
+        ("p1", "1970-05-06", "", "M", "white", "nonhispanic", "dropped"),
+    )
+    out = normalize("patients", raw)
+    row = out.first()
+    assert row.patient_id == "p1"
+    assert row.birth_date == date(1970, 5, 6) and row.death_date is None
+    assert row.birth_year == 1970 and row.source_table == "patients"
+    assert row.zip is None
+    assert out.columns == [t for _, t, _ in SILVER_LAYOUT["patients"]] + ["source_table"]
+    types = dict(out.dtypes)
+    assert (types["birth_date"], types["birth_year"], types["zip"]) == ("date", "int", "string")
+
+
+def test_conditions_keep_codes_as_text(spark):
+    raw = text_table(
+        spark,
+        ["START", "STOP", "PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION"],
+        ("2020-01-01T00:00:00Z", "", "p1", "e1", "0044054006", "text"),
+    )
+    row = normalize("conditions", raw).first()
+    assert row.code == "0044054006"
+    assert row.condition_start_date == date(2020, 1, 1)
+    assert row.condition_stop_date is None
+
+
+def test_observation_value_is_kept_raw_and_numeric(spark):
+    raw = text_table(
+        spark, ["DATE", "PATIENT", "CODE", "VALUE"],
+        ("2020-01-01", "p1", "c", "7.50"), ("2020-01-01", "p1", "c", "positive"),
+    )
+    rows = {r.value_raw: r.value_numeric for r in normalize("observations", raw).collect()}
+    assert rows == {"7.50": 7.5, "positive": None}
+
+
+@pytest.mark.parametrize("table", list(SILVER_LAYOUT))
+def test_every_table_from_an_almost_empty_source(spark, table):
+    out = normalize(table, text_table(spark, ["OTHER"], ("x",)))
+    assert out.columns == [t for _, t, _ in SILVER_LAYOUT[table]] + ["source_table"]
+    row = out.first()
+    assert row.source_table == table
+    assert set(row[:-1]) == {None}
+
+
+def test_column_names_match_exactly(spark):
+    frame = text_table(spark, ["id"], ("x",))
+    assert with_text_columns(frame, ["NEW"]).columns == ["id", "NEW"]
+
+
+def test_unknown_table_raises(spark):
+    with pytest.raises(ValueError, match="No layout"):
+        normalize("allergies", text_table(spark, ["Id"], ("x",)))
+
+
+def test_layer_run_reports_missing_and_failed(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    patients = text_table(spark, ["Id", "BIRTHDATE"], ("p1", "1970-01-01"), ("p2", "bad"))
+    layers.write_table(patients, bronze, "patients")
+    layers.write_table(text_table(spark, ["X"], ("1",)), bronze, "allergies")
+    records = study.bronze_to_silver(spark, bronze, silver, ["patients", "conditions", "allergies"])
+    found = {r.table_name: r for r in records.collect()}
+    assert found["patients"].status == "normalized"
+    assert (found["patients"].input_row_count, found["patients"].output_row_count) == (2, 2)
+    assert found["conditions"].status == "missing"
+    assert found["allergies"].status == "failed" and "No layout" in found["allergies"].error
+    assert layers.read_table(spark, silver, "patients").count() == 2
+    totals = study.normalization_summary(records).first()
+    assert tuple(totals) == (3, 1, 1, 1, False)
+    assert study.bronze_to_silver(spark, bronze, silver).count() == 7

@@ -15,9 +15,11 @@ EDGE_SPACE = r"(?U)\A[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z"
 
 def lenient_date(text: Column) -> Column:
     """Date in the first ten characters, null if there is none. Never goes through a
-    timestamp, so no time zone can move the day."""
+    timestamp, so no time zone can move the day. The usual zero-padded form is recognised by
+    writing the date back; only other texts are matched against the pattern."""
     head = F.substring(text.cast("string"), 1, 10)
-    return F.when(head.rlike(DATE_TEXT), head.try_cast("date"))
+    day = head.try_cast("date")
+    return F.when(day.cast("string") == head, day).when(head.rlike(DATE_TEXT), day)
 
 
 def lenient_double(text: Column) -> Column:

@@ -53,6 +53,15 @@ def first_event_per_patient(conditions: DataFrame, code: str) -> DataFrame:
     )
 
 
+def rows_per_day(events: DataFrame, date_column: str, *keys: str, **sums: Column) -> DataFrame:
+    """Dated events merged per patient, day and extra keys, with their number and given sums."""
+    return (
+        events.where(F.col(date_column).isNotNull())
+        .groupBy("patient_id", date_column, *keys)
+        .agg(F.count(F.lit(1)).alias("row_count"), *[c.alias(name) for name, c in sums.items()])
+    )
+
+
 def first_observed(encounters: DataFrame) -> DataFrame:
     """First encounter day per patient."""
     return (
@@ -75,11 +84,7 @@ def exclusion_flags(
 ) -> DataFrame:
     """Patients with a dated `code` event before (or on) their index date. Patients without one
     get no row. `earliest` / `latest` replace the default open start and index-date end."""
-    day = (
-        conditions.where((F.col("code") == F.lit(code)) & F.col("condition_start_date").isNotNull())
-        .groupBy("patient_id", "condition_start_date")
-        .agg(F.count(F.lit(1)).alias("rows_on_day"))
-    )
+    day = rows_per_day(conditions.where(F.col("code") == F.lit(code)), "condition_start_date")
     start, index_date = F.col("condition_start_date"), F.col("index_date")
     if latest is not None:
         hit = start <= latest
@@ -94,7 +99,7 @@ def exclusion_flags(
         .agg(
             F.lit(True).alias(flag),
             F.min("condition_start_date").alias(first_date),
-            F.sum("rows_on_day").alias(row_count),
+            F.sum("row_count").alias(row_count),
         )
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import days_between, lenient_date
 from ..functions.quantiles import exact_quantiles
 from ..spec import CONCEPT_SETS, SILVER_LAYOUT, StudySpec
+from .cohort import rows_per_day
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -137,11 +138,11 @@ def baseline_window(cohort: DataFrame, encounters: DataFrame, spec: StudySpec) -
     day = F.col("encounter_start_date")
     inside = (day >= F.date_sub("index_date", spec.baseline_days)) & (day < F.col("index_date"))
     hits = (
-        _per_day(encounters, "encounter_start_date")
+        rows_per_day(encounters, "encounter_start_date")
         .join(index, "patient_id")
         .where(inside)
         .groupBy("patient_id")
-        .agg(F.sum("events").alias("events"))
+        .agg(F.sum("row_count").alias("events"))
     )
     return index.join(hits, "patient_id", "left").select(
         "patient_id",
@@ -151,15 +152,6 @@ def baseline_window(cohort: DataFrame, encounters: DataFrame, spec: StudySpec) -
     )
 
 
-def _per_day(events: DataFrame, date_column: str, *keys: str, **sums: Column) -> DataFrame:
-    """Events merged per patient, day and extra keys."""
-    return (
-        events.where(F.col(date_column).isNotNull())
-        .groupBy("patient_id", date_column, *keys)
-        .agg(F.count(F.lit(1)).alias("events"), *[c.alias(name) for name, c in sums.items()])
-    )
-
-
 def _in_followup(daily: DataFrame, date_column: str, windows: DataFrame) -> DataFrame:
     bounds = windows.select("patient_id", "index_date", "follow_up_end")
     return daily.join(bounds, "patient_id").where(
@@ -179,13 +171,13 @@ def medication_exposure(
 ) -> DataFrame:
     """Per medication class: exposed patients, medication rows, and share of the cohort."""
     classes = concepts.select("concept_set", "code")
-    daily = _per_day(
+    daily = rows_per_day(
         medications.join(classes, "code"), "medication_start_date", "concept_set"
     )
     per_patient = (
         _in_followup(daily, "medication_start_date", windows)
         .groupBy("concept_set", "patient_id")
-        .agg(F.sum("events").alias("events"))
+        .agg(F.sum("row_count").alias("events"))
     )
     return (
         per_patient.groupBy("concept_set")
@@ -201,11 +193,11 @@ def medication_exposure(
 
 def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
     """Per encounter class: encounters and patients in the window, encounters per patient-year."""
-    daily = _per_day(encounters, "encounter_start_date", "encounter_class")
+    daily = rows_per_day(encounters, "encounter_start_date", "encounter_class")
     per_patient = (
         _in_followup(daily, "encounter_start_date", windows)
         .groupBy("encounter_class", "patient_id")
-        .agg(F.sum("events").alias("events"))
+        .agg(F.sum("row_count").alias("events"))
     )
     days = windows.agg(F.sum("follow_up_days").alias("d")).scalar()
     return (
@@ -225,25 +217,39 @@ def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
 def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFrame) -> DataFrame:
     """Cost per cohort patient and kind (0 without events). `costs` maps a kind to its table, date
     column and cost column. Sums are decimal, so they do not depend on row order."""
+    events = reduce(
+        DataFrame.unionByName,
+        [
+            frame.select(
+                "patient_id",
+                F.col(date_column).alias("day"),
+                F.lit(kind).alias("kind"),
+                F.col(cost_column).cast("decimal(18,2)").alias("cost"),
+            )
+            for kind, (frame, date_column, cost_column) in costs.items()
+        ],
+    )
+    daily = rows_per_day(events, "day", "kind", cost=F.sum("cost"))
+    totals = (
+        _in_followup(daily, "day", windows)
+        .groupBy("patient_id")
+        .agg(*[F.sum(F.when(F.col("kind") == k, F.col("cost"))).alias(k) for k in costs])
+    )
     zero = F.lit(0).cast("decimal(28,2)")
-    parts = []
-    for kind, (events, date_column, cost_column) in costs.items():
-        daily = _per_day(
-            events, date_column, cost=F.sum(F.col(cost_column).cast("decimal(18,2)"))
-        )
-        totals = (
-            _in_followup(daily, date_column, windows)
-            .groupBy("patient_id")
-            .agg(F.sum("cost").cast("decimal(28,2)").alias("cost"))
-        )
-        parts.append(
-            windows.select("patient_id")
-            .join(totals, "patient_id", "left")
-            .select(
-                "patient_id", F.lit(kind).alias("kind"), F.coalesce("cost", zero).alias("cost")
+    kinds = F.array(
+        *[
+            F.struct(
+                F.lit(k).alias("kind"),
+                F.coalesce(F.col(k).cast("decimal(28,2)"), zero).alias("cost"),
             )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            for k in costs
+        ]
+    )
+    return (
+        windows.select("patient_id")
+        .join(totals, "patient_id", "left")
+        .select("patient_id", F.inline(kinds))
+    )
 
 
 def cost_summary(per_patient: DataFrame) -> DataFrame:

@@ -257,11 +257,11 @@ _SILVER = {
 
 
 def _iso(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("string")
 
 
 def _stamp(key: Column, day: Column) -> Column:
-    """Raw date text: mostly a UTC stamp, some plain, padded-less, unreadable or empty."""
+    """Raw date text: mostly a UTC stamp, some plain, unpadded, unreadable or empty."""
     kind = key % 23
     return (
         F.when(kind == 3, F.lit("unknown"))
@@ -279,7 +279,7 @@ def _clean_stamp(day: Column) -> Column:
 
 def _money(key: Column, amount: Column) -> Column:
     """Raw number text: mostly two decimals, some with exponents, units or nothing."""
-    cents = F.format_string("%.2f", amount)
+    cents = amount.cast("decimal(18,2)").cast("string")
     kind = key % 19
     return (
         F.when(kind == 2, F.lit("n/a"))
@@ -342,7 +342,7 @@ def _bronze_medications(spark, sf_dir):
         _text("l_orderkey").alias("ENCOUNTER"),
         F.col("p_brand").alias("CODE"),
         F.col("p_type").alias("DESCRIPTION"),
-        F.format_string("%.0f", F.col("l_quantity")).alias("DISPENSES"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("DISPENSES"),
         _money(_line_key(), F.col("l_extendedprice")).alias("TOTALCOST"),
     )
 

@@ -751,16 +751,18 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["age_at_event"] = with_tables(
         _silver_ctes("patients", "encounters"),
-        f"""SELECT encounter_id, e.patient_id, encounter_start_date, birth_date,
-            {_age("encounter_start_date", "birth_date")} AS age
-            FROM encounters e LEFT JOIN patients p ON e.patient_id = p.patient_id""",
+        f"""SELECT e.patient_id, encounter_start_date, birth_date,
+            {_age("encounter_start_date", "birth_date")} AS age, count(*) AS encounters
+            FROM encounters e LEFT JOIN patients p ON e.patient_id = p.patient_id GROUP BY ALL""",
     )
     sql["history_days"] = with_tables(
         _silver_ctes("encounters"),
-        """SELECT encounter_id, e.patient_id,
-           CAST(encounter_start_date - first_day AS BIGINT) AS history_days
+        """SELECT e.patient_id, encounter_start_date,
+           CAST(encounter_start_date - first_day AS BIGINT) AS history_days,
+           count(*) AS encounters
            FROM encounters e JOIN (SELECT patient_id, min(encounter_start_date) AS first_day
-               FROM encounters GROUP BY patient_id) f ON e.patient_id = f.patient_id""",
+               FROM encounters GROUP BY patient_id) f ON e.patient_id = f.patient_id
+           GROUP BY ALL""",
     )
     sql["index_cohort"] = on_cohort("SELECT * FROM cohort")
     sql["index_summary"] = on_cohort(_summary(BOUND_STUDY))

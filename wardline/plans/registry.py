@@ -247,26 +247,32 @@ def _exclusion(code, flag, first_date, row_count, include_index_date) -> Query:
     return query
 
 
+def _encounter_days(spark, sf_dir):
+    return cohorts.rows_per_day(
+        bindings.silver(spark, sf_dir, "encounters"), "encounter_start_date"
+    )
+
+
 def age_at_event(spark, sf_dir):
     patients = bindings.silver(spark, sf_dir, "patients").select("patient_id", "birth_date")
-    events = bindings.silver(spark, sf_dir, "encounters")
-    return events.join(patients, "patient_id", "left").select(
-        "encounter_id",
+    return _encounter_days(spark, sf_dir).join(patients, "patient_id", "left").select(
         "patient_id",
         "encounter_start_date",
         "birth_date",
         completed_years(F.col("birth_date"), F.col("encounter_start_date")).alias("age"),
+        F.col("row_count").alias("encounters"),
     )
 
 
 def history_days(spark, sf_dir):
-    events = bindings.silver(spark, sf_dir, "encounters")
-    return events.join(cohorts.first_observed(events), "patient_id").select(
-        "encounter_id",
+    first = cohorts.first_observed(bindings.silver(spark, sf_dir, "encounters"))
+    return _encounter_days(spark, sf_dir).join(first, "patient_id").select(
         "patient_id",
+        "encounter_start_date",
         days_between(F.col("first_observed_date"), F.col("encounter_start_date")).alias(
             "history_days"
         ),
+        F.col("row_count").alias("encounters"),
     )
 
 
@@ -405,7 +411,7 @@ def cost_summary(spark, sf_dir):
 def _lab_rows(spark, sf_dir):
     return followup.lab_rows(
         bindings.labs(spark, sf_dir),
-        _windows(spark, sf_dir),
+        _kept_windows(spark, sf_dir),
         followup.concept_frame(spark, LAB_CONCEPTS),
     )
 

@@ -72,7 +72,7 @@ def write_manifest(records: DataFrame, path: str, kind: str, provenance: dict) -
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder. Only a local session
     may go without one; it gets a temporary folder, remembered in the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
