@@ -92,7 +92,7 @@ def test_clean_level(spark):
     texts = {
         " M ": "M",
         "\tM\n": "M",
-        " M ": "M",
+        "\u00a0M\u2003": "M",
         "\x1cM": "M",
         "": "Missing",
         "  \t ": "Missing",
