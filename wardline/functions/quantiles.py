@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 128
+MAX_GROUPS = 1000
 
 
 def exact_quantiles(
@@ -24,12 +25,13 @@ def exact_quantiles(
         (F.sum(weight) if weight else F.count(F.lit(1))).alias("c")
     )
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = {
-        row[group]: sorted(set(row["cuts"]))
-        for row in present.groupBy(group)
-        .agg(F.percentile_approx(value, steps, 10_000).alias("cuts"))
-        .collect()
-    }
+    sketched = present.groupBy(group).agg(
+        F.percentile_approx(value, steps, 10_000).alias("cuts")
+    )
+    rows = sketched.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"More than {MAX_GROUPS} groups in {group}: not a report variable")
+    cuts = {row[group]: sorted(set(row["cuts"])) for row in rows}
     bucketed = merged.withColumn("bucket", _bucket(F.col(group), F.col(value), cuts))
 
     upward = Window.partitionBy(group).orderBy("bucket")
@@ -47,7 +49,7 @@ def exact_quantiles(
     for position, low in ranks.values():
         for rank in (low, F.ceil(position)):
             wanted = wanted | _holds(rank, F.col("before"), F.col("bucket_c"))
-    # At most BUCKETS rows per group: small enough to broadcast.
+    # At most MAX_GROUPS * BUCKETS short rows: small enough to broadcast.
     needed = F.broadcast(bucket_sizes.where(wanted))
 
     within = Window.partitionBy(group, "bucket").orderBy(value)

@@ -99,16 +99,16 @@ def raw_file_hash(spark, sf_dir):
         .write.partitionBy("bucket")
         .text(root)
     )
-    parts = [
-        part
+    entries = [
+        files.entry(f"{root}/{name}")
         for name in files.list_directory(root, "")
         if name.startswith("bucket=")
-        for part in files.entry(f"{root}/{name}").parts
     ]
-    hashes = files.file_hashes(spark, [path for path, _ in parts])
-    sizes = spark.createDataFrame(parts, "path string, size_bytes bigint")
-    return hashes.join(sizes, "path").select(
-        F.regexp_extract("path", r"bucket=(\d+)", 1).cast("bigint").alias("bucket"),
+    sizes = spark.createDataFrame(
+        [(e.path, e.size_bytes) for e in entries], "table string, size_bytes bigint"
+    )
+    return files.table_digests(spark, entries).join(sizes, "table").select(
+        F.regexp_extract("table", r"bucket=(\d+)", 1).cast("bigint").alias("bucket"),
         "size_bytes",
         "sha256",
     )

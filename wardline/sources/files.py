@@ -7,9 +7,9 @@ import hashlib
 import io
 from dataclasses import dataclass
 
-import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK = 1024 * 1024
 MAX_HASH_TASKS = 10_000
@@ -27,6 +27,11 @@ class FileEntry:
     def size_bytes(self) -> int:
         return sum(size for _, size in self.parts)
 
+    @property
+    def header(self) -> list[str]:
+        """First record of the first part that is not empty."""
+        return next((csv_header(path) for path, size in self.parts if size > 0), [])
+
 
 def _filesystem(path: str):
     """Filesystem and path inside it. `s3a://` is the Hadoop spelling of `s3://`."""
@@ -86,10 +91,6 @@ def csv_header(path: str) -> list[str]:
         return next(csv.reader(text), [])
 
 
-def digest_of(digests: list[str]) -> str:
-    return hashlib.sha256("".join(digests).encode()).hexdigest()
-
-
 def _hash_batches(batches):
     for batch in batches:
         digests = []
@@ -100,11 +101,30 @@ def _hash_batches(batches):
                 while chunk := stream.read(CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "sha256": digests})
+        yield batch.assign(sha256=digests)
 
 
-def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, sha256), files spread over tasks, each read in bounded chunks."""
-    frame = spark.createDataFrame([(path,) for path in paths], "path string")
-    tasks = max(1, min(len(paths), MAX_HASH_TASKS))
-    return frame.repartition(tasks).mapInPandas(_hash_batches, "path string, sha256 string")
+def file_hashes(spark: SparkSession, entries: list[FileEntry]) -> DataFrame:
+    """(table, path, sha256) per part file; files are spread over tasks and read in chunks."""
+    parts = [(e.path, path) for e in entries for path, _ in e.parts]
+    frame = spark.createDataFrame(parts, "table string, path string")
+    tasks = max(1, min(len(parts), MAX_HASH_TASKS))
+    return frame.repartition(tasks).mapInPandas(
+        _hash_batches, "table string, path string, sha256 string"
+    )
+
+
+def table_digests(spark: SparkSession, entries: list[FileEntry]) -> DataFrame:
+    """(table, sha256): the file's digest; for part files, the digest of their hex digests joined
+    in path order."""
+    in_order = F.array_sort(F.collect_list(F.struct("path", "sha256")))
+    joined = F.array_join(F.transform(in_order, lambda part: part["sha256"]), "")
+    return (
+        file_hashes(spark, entries)
+        .groupBy("table")
+        .agg(
+            F.when(F.count(F.lit(1)) == 1, F.max("sha256"))
+            .otherwise(F.sha2(joined, 256))
+            .alias("sha256")
+        )
+    )
