@@ -224,10 +224,8 @@ def _patient_blocks(patients: DataFrame) -> DataFrame:
 
 def _multiply_copies(rows: DataFrame) -> DataFrame:
     """Give every copy its own row again; rows are produced one block at a time."""
-    return rows.select(
-        *COHORT_COLUMNS,
-        F.explode(F.array_repeat(F.lit(1), F.coalesce("copies_in_block", F.lit(1)))).alias("copy"),
-    ).select(*COHORT_COLUMNS)
+    copy = F.explode(F.expr("array_repeat(1, coalesce(copies_in_block, 1))"))
+    return rows.select("*", copy.alias("copy")).select(*COHORT_COLUMNS)
 
 
 def _with_rules(joined: DataFrame, spec: StudySpec) -> DataFrame:

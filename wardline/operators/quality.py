@@ -5,6 +5,7 @@ A layer is a dict of table name -> DataFrame, or None for an absent table.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
@@ -329,7 +330,7 @@ def silver_quality(
 
 
 def _texts(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
 
 
 def _tables_where(wanted: Column) -> Column:

@@ -6,8 +6,9 @@ unreadable dates and numbers mixed in. Both are lazy; every row of the inputs ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..spec import CORE_TABLES, StudySpec
 
@@ -39,16 +40,26 @@ LAB_CONCEPTS = {
 REFERENCE_DATE = "2001-06-30"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its schema is read from the files once; later reads of the same
+    path skip that job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return _SILVER[table](spark, sf_dir)
+    rows, *columns = _SILVER[table]
+    return rows(spark, sf_dir).selectExpr(*columns)
 
 
 def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return _BRONZE[table](spark, sf_dir)
+    rows, *columns = _BRONZE[table]
+    return rows(spark, sf_dir).selectExpr(*columns)
 
 
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -59,28 +70,16 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: silver(spark, sf_dir, name) for name in CORE_TABLES}
 
 
-def _birth_date() -> Column:
-    return F.date_add(
-        F.lit("1930-01-01").cast("date"), (F.col("c_custkey") * 7919 % 21000).cast("int")
-    )
-
-
-def _death_date() -> Column:
-    """One patient in eleven dies, 1996 to 2004."""
-    return F.when(
-        F.col("c_custkey") % 11 == 0,
-        F.date_add(
-            F.lit("1996-01-01").cast("date"), (F.col("c_custkey") * 104729 % 3000).cast("int")
-        ),
-    )
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _day(name: str) -> Column:
-    return F.to_date(name)
+_BIRTH = "date_add(DATE'1930-01-01', CAST(c_custkey * 7919 % 21000 AS INT))"
+# One patient in eleven dies, 1996 to 2004.
+_DEATH = (
+    "CASE WHEN c_custkey % 11 = 0"
+    " THEN date_add(DATE'1996-01-01', CAST(c_custkey * 104729 % 3000 AS INT)) END"
+)
+_ORDERED = "to_date(o_orderdate)"
+_LEFT = "date_add(to_date(o_orderdate), CAST(o_orderkey % 4 AS INT))"
+_SHIPPED = "to_date(l_shipdate)"
+_RESOLVED = "CASE WHEN l_linestatus = 'F' THEN date_add(to_date(l_shipdate), 30) END"
 
 
 def _people(spark, sf_dir) -> DataFrame:
@@ -102,298 +101,219 @@ def _lines(spark, sf_dir) -> DataFrame:
     )
 
 
-def _lines_of_orders(spark, sf_dir) -> DataFrame:
-    return source(spark, sf_dir, "lineitem").join(
-        source(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+def _returned_lines(spark, sf_dir) -> DataFrame:
+    return _lines(spark, sf_dir).where("l_returnflag = 'R'")
 
 
-def _silver_patients(spark, sf_dir):
-    birth = _birth_date()
-    return _people(spark, sf_dir).select(
-        _text("c_custkey").alias("patient_id"),
-        birth.alias("birth_date"),
-        _death_date().alias("death_date"),
-        F.col("c_mktsegment").alias("sex"),
-        F.col("n_name").alias("race"),
-        F.col("r_name").alias("ethnicity"),
-        F.year(birth).alias("birth_year"),
-        F.lit("patients").alias("source_table"),
-    )
+def _orders(spark, sf_dir) -> DataFrame:
+    return source(spark, sf_dir, "orders")
 
 
-def _silver_encounters(spark, sf_dir):
-    return source(spark, sf_dir, "orders").select(
-        _text("o_orderkey").alias("encounter_id"),
-        _text("o_custkey").alias("patient_id"),
-        _day("o_orderdate").alias("encounter_start_date"),
-        F.date_add(_day("o_orderdate"), (F.col("o_orderkey") % 4).cast("int")).alias(
-            "encounter_stop_date"
-        ),
-        F.col("o_orderpriority").alias("encounter_class"),
-        F.col("o_orderstatus").alias("code"),
-        F.col("o_orderpriority").alias("description"),
-        F.col("o_totalprice").alias("total_claim_cost"),
-        F.lit("encounters").alias("source_table"),
-    )
-
+def _urgent_orders(spark, sf_dir) -> DataFrame:
+    return source(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'")
 
-def _silver_conditions(spark, sf_dir):
-    return _lines(spark, sf_dir).select(
-        _text("o_custkey").alias("patient_id"),
-        _text("l_orderkey").alias("encounter_id"),
-        _day("l_shipdate").alias("condition_start_date"),
-        F.when(F.col("l_linestatus") == "F", F.date_add(_day("l_shipdate"), 30)).alias(
-            "condition_stop_date"
-        ),
-        F.col("p_brand").alias("code"),
-        F.col("p_type").alias("description"),
-        F.lit("conditions").alias("source_table"),
-    )
 
+def _events(spark, sf_dir) -> DataFrame:
+    return source(spark, sf_dir, "events")
 
-def _silver_medications(spark, sf_dir):
-    return _lines(spark, sf_dir).select(
-        _text("o_custkey").alias("patient_id"),
-        _text("l_orderkey").alias("encounter_id"),
-        _day("l_shipdate").alias("medication_start_date"),
-        F.date_add(_day("l_shipdate"), F.col("l_quantity").cast("int")).alias(
-            "medication_stop_date"
-        ),
-        F.col("p_brand").alias("code"),
-        F.col("p_type").alias("description"),
-        F.col("l_quantity").alias("dispenses"),
-        F.col("l_extendedprice").alias("total_cost"),
-        F.lit("medications").alias("source_table"),
-    )
 
+# Typed tables: rows, and the columns as SQL expressions.
+_SILVER = {
+    "patients": (
+        _people,
+        "CAST(c_custkey AS STRING) AS patient_id",
+        f"{_BIRTH} AS birth_date",
+        f"{_DEATH} AS death_date",
+        "c_mktsegment AS sex",
+        "n_name AS race",
+        "r_name AS ethnicity",
+        f"year({_BIRTH}) AS birth_year",
+        "'patients' AS source_table",
+    ),
+    "encounters": (
+        _orders,
+        "CAST(o_orderkey AS STRING) AS encounter_id",
+        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_ORDERED} AS encounter_start_date",
+        f"{_LEFT} AS encounter_stop_date",
+        "o_orderpriority AS encounter_class",
+        "o_orderstatus AS code",
+        "o_orderpriority AS description",
+        "o_totalprice AS total_claim_cost",
+        "'encounters' AS source_table",
+    ),
+    "conditions": (
+        _lines,
+        "CAST(o_custkey AS STRING) AS patient_id",
+        "CAST(l_orderkey AS STRING) AS encounter_id",
+        f"{_SHIPPED} AS condition_start_date",
+        f"{_RESOLVED} AS condition_stop_date",
+        "p_brand AS code",
+        "p_type AS description",
+        "'conditions' AS source_table",
+    ),
+    "medications": (
+        _lines,
+        "CAST(o_custkey AS STRING) AS patient_id",
+        "CAST(l_orderkey AS STRING) AS encounter_id",
+        f"{_SHIPPED} AS medication_start_date",
+        f"date_add({_SHIPPED}, CAST(l_quantity AS INT)) AS medication_stop_date",
+        "p_brand AS code",
+        "p_type AS description",
+        "l_quantity AS dispenses",
+        "l_extendedprice AS total_cost",
+        "'medications' AS source_table",
+    ),
+    "observations": (
+        _events,
+        "CAST(user_id AS STRING) AS patient_id",
+        "CAST(NULL AS STRING) AS encounter_id",
+        "to_date(ts) AS observation_date",
+        "event_type AS code",
+        "event_type AS description",
+        "CAST(value AS STRING) AS value_raw",
+        "value AS value_numeric",
+        "'unit' AS units",
+        "'observations' AS source_table",
+    ),
+    "procedures": (
+        _returned_lines,
+        "CAST(o_custkey AS STRING) AS patient_id",
+        "CAST(l_orderkey AS STRING) AS encounter_id",
+        f"{_SHIPPED} AS procedure_start_date",
+        f"{_SHIPPED} AS procedure_stop_date",
+        "p_brand AS code",
+        "p_type AS description",
+        "l_extendedprice AS base_cost",
+        "'procedures' AS source_table",
+    ),
+    "careplans": (
+        _urgent_orders,
+        "CAST(o_orderkey AS STRING) AS careplan_id",
+        "CAST(o_custkey AS STRING) AS patient_id",
+        "CAST(o_orderkey AS STRING) AS encounter_id",
+        f"{_ORDERED} AS careplan_start_date",
+        "CAST(NULL AS DATE) AS careplan_stop_date",
+        "o_orderstatus AS code",
+        "o_orderpriority AS description",
+        "'careplans' AS source_table",
+    ),
+    # Observations moved into the years of the cohort, for the follow-up summaries.
+    "labs": (
+        _events,
+        "CAST(user_id AS STRING) AS patient_id",
+        "date_add(DATE'1995-01-01', CAST(event_id * 37 % 2490 AS INT)) AS observation_date",
+        "event_type AS code",
+        "value AS value_numeric",
+    ),
+}
 
-def _silver_observations(spark, sf_dir):
-    value = _text("value")
-    return source(spark, sf_dir, "events").select(
-        _text("user_id").alias("patient_id"),
-        F.lit(None).cast("string").alias("encounter_id"),
-        _day("ts").alias("observation_date"),
-        F.col("event_type").alias("code"),
-        F.col("event_type").alias("description"),
-        value.alias("value_raw"),
-        F.col("value").alias("value_numeric"),
-        F.lit("unit").alias("units"),
-        F.lit("observations").alias("source_table"),
-    )
 
+def _stamp(key: str, day: str) -> str:
+    """Raw date text: mostly a UTC stamp, some plain, unpadded, unreadable or empty."""
+    return f"""CASE {key} % 23 WHEN 3 THEN 'unknown' WHEN 7 THEN '2020-02-30' WHEN 11 THEN NULL
+        WHEN 13 THEN CAST({day} AS STRING) WHEN 17 THEN date_format({day}, 'yyyy-M-d')
+        ELSE CAST({day} AS STRING) || 'T08:30:00Z' END"""
 
-def _silver_procedures(spark, sf_dir):
-    return (
-        _lines(spark, sf_dir)
-        .where(F.col("l_returnflag") == "R")
-        .select(
-            _text("o_custkey").alias("patient_id"),
-            _text("l_orderkey").alias("encounter_id"),
-            _day("l_shipdate").alias("procedure_start_date"),
-            _day("l_shipdate").alias("procedure_stop_date"),
-            F.col("p_brand").alias("code"),
-            F.col("p_type").alias("description"),
-            F.col("l_extendedprice").alias("base_cost"),
-            F.lit("procedures").alias("source_table"),
-        )
-    )
 
+def _money(key: str, amount: str) -> str:
+    """Raw number text: mostly two decimals, some with exponents, units or nothing."""
+    cents = f"CAST(CAST({amount} AS DECIMAL(18, 2)) AS STRING)"
+    return f"""CASE {key} % 19 WHEN 2 THEN 'n/a' WHEN 5 THEN NULL WHEN 8 THEN {cents} || 'd'
+        WHEN 11 THEN '1e3' WHEN 14 THEN '+' || {cents} ELSE {cents} END"""
 
-def _silver_careplans(spark, sf_dir):
-    return (
-        source(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority").startswith("1"))
-        .select(
-            _text("o_orderkey").alias("careplan_id"),
-            _text("o_custkey").alias("patient_id"),
-            _text("o_orderkey").alias("encounter_id"),
-            _day("o_orderdate").alias("careplan_start_date"),
-            F.lit(None).cast("date").alias("careplan_stop_date"),
-            F.col("o_orderstatus").alias("code"),
-            F.col("o_orderpriority").alias("description"),
-            F.lit("careplans").alias("source_table"),
-        )
-    )
 
+_LINE_KEY = "(l_orderkey * 7 + l_linenumber)"
 
-def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations moved into the years of the cohort, for the follow-up summaries."""
-    offset = (F.col("event_id") * 37 % 2490).cast("int")
-    return source(spark, sf_dir, "events").select(
-        _text("user_id").alias("patient_id"),
-        F.date_add(F.lit("1995-01-01").cast("date"), offset).alias("observation_date"),
-        F.col("event_type").alias("code"),
-        F.col("value").alias("value_numeric"),
-    )
+# Raw text tables: rows, and the columns as SQL expressions.
+_BRONZE = {
+    "patients": (
+        _people,
+        "CAST(c_custkey AS STRING) AS Id",
+        f"CASE WHEN c_custkey % 97 = 0 THEN '1970-13-01' ELSE CAST({_BIRTH} AS STRING) END"
+        " AS BIRTHDATE",
+        f"CAST({_DEATH} AS STRING) AS DEATHDATE",
+        "c_mktsegment AS GENDER",
+        "n_name AS RACE",
+        "r_name AS ETHNICITY",
+        "c_name AS CITY",
+        "lpad(CAST(c_nationkey AS STRING), 5, '0') AS ZIP",
+    ),
+    "encounters": (
+        _orders,
+        "CAST(o_orderkey AS STRING) AS Id",
+        f"CAST({_ORDERED} AS STRING) || 'T08:30:00Z' AS START",
+        f"{_stamp('o_orderkey', _LEFT)} AS STOP",
+        "CAST(o_custkey AS STRING) AS PATIENT",
+        "o_orderpriority AS ENCOUNTERCLASS",
+        "o_orderstatus AS CODE",
+        "o_orderpriority AS DESCRIPTION",
+        f"{_money('o_orderkey', 'o_totalprice')} AS TOTAL_CLAIM_COST",
+    ),
+    "conditions": (
+        _lines,
+        f"CAST({_SHIPPED} AS STRING) || 'T08:30:00Z' AS START",
+        f"{_stamp(_LINE_KEY, _RESOLVED)} AS STOP",
+        "CAST(o_custkey AS STRING) AS PATIENT",
+        "CAST(l_orderkey AS STRING) AS ENCOUNTER",
+        "p_brand AS CODE",
+        "p_type AS DESCRIPTION",
+    ),
+    "medications": (
+        _lines,
+        f"{_stamp(_LINE_KEY, _SHIPPED)} AS START",
+        "CAST(o_custkey AS STRING) AS PATIENT",
+        "CAST(l_orderkey AS STRING) AS ENCOUNTER",
+        "p_brand AS CODE",
+        "p_type AS DESCRIPTION",
+        "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS DISPENSES",
+        f"{_money(_LINE_KEY, 'l_extendedprice')} AS TOTALCOST",
+    ),
+    "observations": (
+        _events,
+        f"{_stamp('event_id', 'to_date(ts)')} AS DATE",
+        "CAST(user_id AS STRING) AS PATIENT",
+        "event_type AS CODE",
+        "event_type AS DESCRIPTION",
+        f"{_money('event_id', 'value')} AS VALUE",
+    ),
+    "procedures": (
+        _returned_lines,
+        f"{_stamp(_LINE_KEY, _SHIPPED)} AS START",
+        "CAST(o_custkey AS STRING) AS PATIENT",
+        "CAST(l_orderkey AS STRING) AS ENCOUNTER",
+        "p_brand AS CODE",
+        "p_type AS DESCRIPTION",
+        f"{_money(_LINE_KEY, 'l_extendedprice')} AS BASE_COST",
+    ),
+    "careplans": (
+        _urgent_orders,
+        "CAST(o_orderkey AS STRING) AS Id",
+        f"{_stamp('o_orderkey', _ORDERED)} AS START",
+        "CAST(o_custkey AS STRING) AS PATIENT",
+        "CAST(o_orderkey AS STRING) AS ENCOUNTER",
+        "o_orderstatus AS CODE",
+        "o_orderpriority AS DESCRIPTION",
+    ),
+}
 
 
 def reference_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Customers as patients, and references to them of mixed quality: part and order numbers
     run past the customer numbers, so some of those name no patient."""
-    orders, lines = source(spark, sf_dir, "orders"), source(spark, sf_dir, "lineitem")
-    of_orders = _lines_of_orders(spark, sf_dir)
-    events = source(spark, sf_dir, "events")
+    lines = source(spark, sf_dir, "lineitem")
+    orders = source(spark, sf_dir, "orders")
+    of_orders = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    key = {
+        "patients": (source(spark, sf_dir, "customer"), "c_custkey"),
+        "encounters": (orders, "o_custkey"),
+        "conditions": (of_orders, "o_custkey"),
+        "medications": (lines, "l_partkey"),
+        "observations": (source(spark, sf_dir, "events"), "user_id"),
+        "procedures": (lines, "l_suppkey"),
+        "careplans": (orders, "o_orderkey"),
+    }
     return {
-        "patients": source(spark, sf_dir, "customer").select(_text("c_custkey").alias("patient_id")),
-        "encounters": orders.select(_text("o_custkey").alias("patient_id")),
-        "conditions": of_orders.select(_text("o_custkey").alias("patient_id")),
-        "medications": lines.select(_text("l_partkey").alias("patient_id")),
-        "observations": events.select(_text("user_id").alias("patient_id")),
-        "procedures": lines.select(_text("l_suppkey").alias("patient_id")),
-        "careplans": orders.select(_text("o_orderkey").alias("patient_id")),
+        table: frame.selectExpr(f"CAST({column} AS STRING) AS patient_id")
+        for table, (frame, column) in key.items()
     }
-
-
-_SILVER = {
-    "patients": _silver_patients,
-    "encounters": _silver_encounters,
-    "conditions": _silver_conditions,
-    "medications": _silver_medications,
-    "observations": _silver_observations,
-    "procedures": _silver_procedures,
-    "careplans": _silver_careplans,
-}
-
-
-def _iso(day: Column) -> Column:
-    return day.cast("string")
-
-
-def _stamp(key: Column, day: Column) -> Column:
-    """Raw date text: mostly a UTC stamp, some plain, unpadded, unreadable or empty."""
-    kind = key % 23
-    return (
-        F.when(kind == 3, F.lit("unknown"))
-        .when(kind == 7, F.lit("2020-02-30"))
-        .when(kind == 11, F.lit(None))
-        .when(kind == 13, _iso(day))
-        .when(kind == 17, F.date_format(day, "yyyy-M-d"))
-        .otherwise(F.concat(_iso(day), F.lit("T08:30:00Z")))
-    )
-
-
-def _clean_stamp(day: Column) -> Column:
-    return F.concat(_iso(day), F.lit("T08:30:00Z"))
-
-
-def _money(key: Column, amount: Column) -> Column:
-    """Raw number text: mostly two decimals, some with exponents, units or nothing."""
-    cents = amount.cast("decimal(18,2)").cast("string")
-    kind = key % 19
-    return (
-        F.when(kind == 2, F.lit("n/a"))
-        .when(kind == 5, F.lit(None))
-        .when(kind == 8, F.concat(cents, F.lit("d")))
-        .when(kind == 11, F.lit("1e3"))
-        .when(kind == 14, F.concat(F.lit("+"), cents))
-        .otherwise(cents)
-    )
-
-
-def _bronze_patients(spark, sf_dir):
-    key = F.col("c_custkey")
-    return _people(spark, sf_dir).select(
-        _text("c_custkey").alias("Id"),
-        F.when(key % 97 == 0, F.lit("1970-13-01")).otherwise(_iso(_birth_date())).alias("BIRTHDATE"),
-        _iso(_death_date()).alias("DEATHDATE"),
-        F.col("c_mktsegment").alias("GENDER"),
-        F.col("n_name").alias("RACE"),
-        F.col("r_name").alias("ETHNICITY"),
-        F.col("c_name").alias("CITY"),
-        F.lpad(_text("c_nationkey"), 5, "0").alias("ZIP"),
-    )
-
-
-def _bronze_encounters(spark, sf_dir):
-    key = F.col("o_orderkey")
-    return source(spark, sf_dir, "orders").select(
-        _text("o_orderkey").alias("Id"),
-        _clean_stamp(_day("o_orderdate")).alias("START"),
-        _stamp(key, F.date_add(_day("o_orderdate"), (key % 4).cast("int"))).alias("STOP"),
-        _text("o_custkey").alias("PATIENT"),
-        F.col("o_orderpriority").alias("ENCOUNTERCLASS"),
-        F.col("o_orderstatus").alias("CODE"),
-        F.col("o_orderpriority").alias("DESCRIPTION"),
-        _money(key, F.col("o_totalprice")).alias("TOTAL_CLAIM_COST"),
-    )
-
-
-def _line_key() -> Column:
-    return F.col("l_orderkey") * 7 + F.col("l_linenumber")
-
-
-def _bronze_conditions(spark, sf_dir):
-    stop = F.when(F.col("l_linestatus") == "F", F.date_add(_day("l_shipdate"), 30))
-    return _lines(spark, sf_dir).select(
-        _clean_stamp(_day("l_shipdate")).alias("START"),
-        _stamp(_line_key(), stop).alias("STOP"),
-        _text("o_custkey").alias("PATIENT"),
-        _text("l_orderkey").alias("ENCOUNTER"),
-        F.col("p_brand").alias("CODE"),
-        F.col("p_type").alias("DESCRIPTION"),
-    )
-
-
-def _bronze_medications(spark, sf_dir):
-    return _lines(spark, sf_dir).select(
-        _stamp(_line_key(), _day("l_shipdate")).alias("START"),
-        _text("o_custkey").alias("PATIENT"),
-        _text("l_orderkey").alias("ENCOUNTER"),
-        F.col("p_brand").alias("CODE"),
-        F.col("p_type").alias("DESCRIPTION"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("DISPENSES"),
-        _money(_line_key(), F.col("l_extendedprice")).alias("TOTALCOST"),
-    )
-
-
-def _bronze_observations(spark, sf_dir):
-    key = F.col("event_id")
-    return source(spark, sf_dir, "events").select(
-        _stamp(key, _day("ts")).alias("DATE"),
-        _text("user_id").alias("PATIENT"),
-        F.col("event_type").alias("CODE"),
-        F.col("event_type").alias("DESCRIPTION"),
-        _money(key, F.col("value")).alias("VALUE"),
-    )
-
-
-def _bronze_procedures(spark, sf_dir):
-    return (
-        _lines(spark, sf_dir)
-        .where(F.col("l_returnflag") == "R")
-        .select(
-            _stamp(_line_key(), _day("l_shipdate")).alias("START"),
-            _text("o_custkey").alias("PATIENT"),
-            _text("l_orderkey").alias("ENCOUNTER"),
-            F.col("p_brand").alias("CODE"),
-            F.col("p_type").alias("DESCRIPTION"),
-            _money(_line_key(), F.col("l_extendedprice")).alias("BASE_COST"),
-        )
-    )
-
-
-def _bronze_careplans(spark, sf_dir):
-    return (
-        source(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority").startswith("1"))
-        .select(
-            _text("o_orderkey").alias("Id"),
-            _stamp(F.col("o_orderkey"), _day("o_orderdate")).alias("START"),
-            _text("o_custkey").alias("PATIENT"),
-            _text("o_orderkey").alias("ENCOUNTER"),
-            F.col("o_orderstatus").alias("CODE"),
-            F.col("o_orderpriority").alias("DESCRIPTION"),
-        )
-    )
-
-
-_BRONZE = {
-    "patients": _bronze_patients,
-    "encounters": _bronze_encounters,
-    "conditions": _bronze_conditions,
-    "medications": _bronze_medications,
-    "observations": _bronze_observations,
-    "procedures": _bronze_procedures,
-    "careplans": _bronze_careplans,
-}

@@ -410,7 +410,7 @@ def cost_summary(spark, sf_dir):
 
 def _lab_rows(spark, sf_dir):
     return followup.lab_rows(
-        bindings.labs(spark, sf_dir),
+        bindings.silver(spark, sf_dir, "labs"),
         _kept_windows(spark, sf_dir),
         followup.concept_frame(spark, LAB_CONCEPTS),
     )
