@@ -11,6 +11,13 @@ from wardline.spec import CONCEPT_SETS, SILVER_DATES, StudySpec
 SPEC = StudySpec()
 
 
+@pytest.fixture(params=["small cohort", "large cohort"])
+def either_size(request, monkeypatch):
+    """Both join strategies must give the same results."""
+    if request.param == "large cohort":
+        monkeypatch.setattr(cohorts, "BROADCAST_PATIENTS", 0)
+
+
 def day(text):
     return date.fromisoformat(text) if text else None
 
@@ -117,7 +124,7 @@ def test_window_exclusion_with_two_bounds(spark):
     assert [tuple(r) for r in rows] == [("a", True, day("2019-01-01"), 2)]
 
 
-def test_medication_exposure(spark):
+def test_medication_exposure(spark, either_size):
     concepts = followup.concept_frame(
         spark, {"x": ("v", "u", (("1", "one"), ("2", "two"))), "none": ("v", "u", ())}
     )
@@ -141,7 +148,7 @@ def test_medication_exposure(spark):
     assert [tuple(r) for r in rows] == [("x", 1, 3, 2, 50.0)]
 
 
-def test_utilization_rate(spark):
+def test_utilization_rate(spark, either_size):
     w = windows(
         spark,
         ("a", "2020-01-01", "2021-01-01", "window_end"),
@@ -160,7 +167,7 @@ def test_utilization_rate(spark):
     assert found["home"].encounters == 1
 
 
-def test_costs(spark):
+def test_costs(spark, either_size):
     w = windows(
         spark,
         ("a", "2020-01-01", "2021-01-01", "window_end"),
@@ -185,7 +192,7 @@ def test_costs(spark):
     assert (row.q1, row.q3) == pytest.approx((2.575, 7.725))
 
 
-def test_lab_summary_and_trajectory(spark):
+def test_lab_summary_and_trajectory(spark, either_size):
     concepts = followup.concept_frame(spark, {"x": ("v", "u", (("1", "one"),))})
     w = windows(
         spark,

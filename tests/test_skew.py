@@ -1,10 +1,12 @@
 """One patient owning a third of all rows: right results, and small per-patient stages."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators import cohort as cohorts
 from wardline.operators import funnel, quality
 from wardline.operators.quality import SILVER
+from wardline.sources import layers
 from wardline.spec import PRIOR_EXCLUSION_CODE, TARGET_CODE, WINDOW_EXCLUSION_CODE, StudySpec
 
 N = 60_000
@@ -74,6 +76,20 @@ def test_hot_patient(spark, monkeypatch):
     assert steps[0].remaining_n == patients(spark).select("patient_id").distinct().count()
 
 
+@pytest.mark.parametrize("limit", [10, 1_000_000])
+def test_staged_index_cohort_is_the_same(spark, monkeypatch, limit):
+    """Written index events, broadcast or not, against the single plan."""
+    monkeypatch.setattr(cohorts, "BROADCAST_PATIENTS", limit)
+    people = patients(spark).where("patient_id <> 'p7'").limit(2000)
+    tables = (people, events(spark), encounters(spark))
+    plain = cohorts.index_cohort(*tables, StudySpec())
+    staged = cohorts.index_cohort(
+        *tables, StudySpec(), stage=lambda frame: layers.materialize(frame, "index_events")
+    )
+    assert staged.exceptAll(plain).count() == 0
+    assert plain.exceptAll(staged).count() == 0
+
+
 def test_days_not_rows_reach_the_patient_stage(spark):
     """What is exchanged by patient alone is at most one row per patient and day."""
     days = cohorts.rows_per_day(events(spark), "condition_start_date")

@@ -7,6 +7,8 @@ most one row per calendar day.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,9 @@ COHORT_COLUMNS = (
 # Copies of one patient row are multiplied back in blocks of this many rows.
 COPY_BLOCK = 65536
 
+# Up to this many patients (roughly 100 MB as a hash table) are broadcast to event tables.
+BROADCAST_PATIENTS = 1_000_000
+
 
 def first_event_per_patient(conditions: DataFrame, code: str) -> DataFrame:
     """Earliest dated event with `code` per patient, and how many such rows there are. Ties on
@@ -104,19 +109,38 @@ def exclusion_flags(
     )
 
 
+def fits_broadcast(frame: DataFrame) -> bool:
+    """Size check of a one-row-per-patient side; cheap on a written table."""
+    return frame.limit(BROADCAST_PATIENTS + 1).count() <= BROADCAST_PATIENTS
+
+
 def index_cohort(
-    patients: DataFrame, conditions: DataFrame, encounters: DataFrame, spec: StudySpec
+    patients: DataFrame,
+    conditions: DataFrame,
+    encounters: DataFrame,
+    spec: StudySpec,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per (patient with a qualifying event, matching patient row), with every rule
-    evaluated. Each table is scanned once; unsorted, because order belongs to the sink."""
+    evaluated. Each table is scanned once; unsorted, because order belongs to the sink.
+
+    With `stage` (a function that writes a frame and reads it back) the index events are written
+    first. If they turn out small, their patients are broadcast to the scans of the other two
+    tables, so that rows of patients outside the cohort are never exchanged.
+    """
     require_columns(patients, PATIENT_COLUMNS, "patients table")
     require_columns(conditions, CONDITION_COLUMNS, "conditions table")
     require_columns(encounters, ENCOUNTER_COLUMNS, "encounters table")
 
-    joined = (
-        _index_and_exclusions(conditions, spec)
-        .join(_patient_blocks(patients), "patient_id", "left")
-        .join(first_observed(encounters), "patient_id", "left")
+    events = _index_and_exclusions(conditions, spec)
+    if stage is not None:
+        events = stage(events)
+        if fits_broadcast(events):
+            known = F.broadcast(events.select("patient_id"))
+            patients = patients.join(known, "patient_id", "left_semi")
+            encounters = encounters.join(known, "patient_id", "left_semi")
+    joined = events.join(_patient_blocks(patients), "patient_id", "left").join(
+        first_observed(encounters), "patient_id", "left"
     )
     return _multiply_copies(_with_rules(joined, spec))
 
@@ -202,6 +226,7 @@ def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
             .isNotNull()
             .alias("has_pregnancy_window_before_or_at_index"),
         )
+        .drop("first_row")
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import days_between, lenient_date
 from ..functions.quantiles import exact_quantiles
 from ..spec import CONCEPT_SETS, SILVER_LAYOUT, StudySpec
-from .cohort import rows_per_day
+from .cohort import fits_broadcast, rows_per_day
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -152,10 +152,33 @@ def baseline_window(cohort: DataFrame, encounters: DataFrame, spec: StudySpec) -
     )
 
 
-def _in_followup(daily: DataFrame, date_column: str, windows: DataFrame) -> DataFrame:
+def followup_totals(
+    events: DataFrame, date_column: str, windows: DataFrame, *keys: str, **sums: Column
+) -> DataFrame:
+    """Events within each patient's follow-up, as one row per patient and extra keys: their number
+    (`events`) and the given sums (as decimals or integers, so that merging is exact).
+
+    A small cohort is broadcast: events are filtered where they are read and merged map-side. A
+    larger one joins events that were first merged per patient and day, which bounds what one
+    patient brings to the join.
+    """
     bounds = windows.select("patient_id", "index_date", "follow_up_end")
-    return daily.join(bounds, "patient_id").where(
-        F.col(date_column).between(F.col("index_date"), F.col("follow_up_end"))
+    inside = F.col(date_column).between(F.col("index_date"), F.col("follow_up_end"))
+    if fits_broadcast(windows):
+        return (
+            events.join(F.broadcast(bounds), "patient_id")
+            .where(inside)
+            .groupBy("patient_id", *keys)
+            .agg(
+                F.count(F.lit(1)).alias("events"), *[F.sum(c).alias(n) for n, c in sums.items()]
+            )
+        )
+    daily = rows_per_day(events, date_column, *keys, **{n: F.sum(c) for n, c in sums.items()})
+    return (
+        daily.join(bounds, "patient_id")
+        .where(inside)
+        .groupBy("patient_id", *keys)
+        .agg(F.sum("row_count").alias("events"), *[F.sum(n).alias(n) for n in sums])
     )
 
 
@@ -169,16 +192,10 @@ def _cohort_size(windows: DataFrame) -> Column:
 def medication_exposure(
     medications: DataFrame, windows: DataFrame, concepts: DataFrame
 ) -> DataFrame:
-    """Per medication class: exposed patients, medication rows, and share of the cohort."""
-    classes = concepts.select("concept_set", "code")
-    daily = rows_per_day(
-        medications.join(classes, "code"), "medication_start_date", "concept_set"
-    )
-    per_patient = (
-        _in_followup(daily, "medication_start_date", windows)
-        .groupBy("concept_set", "patient_id")
-        .agg(F.sum("row_count").alias("events"))
-    )
+    """Per medication class: exposed patients, medication rows, and share of the cohort. Hand in
+    written windows; they are read more than once."""
+    classed = medications.join(concepts.select("concept_set", "code"), "code")
+    per_patient = followup_totals(classed, "medication_start_date", windows, "concept_set")
     return (
         per_patient.groupBy("concept_set")
         .agg(
@@ -192,12 +209,10 @@ def medication_exposure(
 
 
 def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
-    """Per encounter class: encounters and patients in the window, encounters per patient-year."""
-    daily = rows_per_day(encounters, "encounter_start_date", "encounter_class")
-    per_patient = (
-        _in_followup(daily, "encounter_start_date", windows)
-        .groupBy("encounter_class", "patient_id")
-        .agg(F.sum("row_count").alias("events"))
+    """Per encounter class: encounters and patients in the window, encounters per patient-year.
+    Hand in written windows; they are read more than once."""
+    per_patient = followup_totals(
+        encounters, "encounter_start_date", windows, "encounter_class"
     )
     days = windows.agg(F.sum("follow_up_days").alias("d")).scalar()
     return (
@@ -216,7 +231,8 @@ def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
 
 def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFrame) -> DataFrame:
     """Cost per cohort patient and kind (0 without events). `costs` maps a kind to its table, date
-    column and cost column. Sums are decimal, so they do not depend on row order."""
+    column and cost column. Sums are decimal, so they do not depend on row order. Hand in written
+    windows; they are read more than once."""
     events = reduce(
         DataFrame.unionByName,
         [
@@ -224,14 +240,13 @@ def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFra
                 "patient_id",
                 F.col(date_column).alias("day"),
                 F.lit(kind).alias("kind"),
-                F.col(cost_column).cast("decimal(18,2)").alias("cost"),
+                F.col(cost_column).cast("decimal(18,2)").alias("amount"),
             )
             for kind, (frame, date_column, cost_column) in costs.items()
         ],
     )
-    daily = rows_per_day(events, "day", "kind", cost=F.sum("cost"))
     totals = (
-        _in_followup(daily, "day", windows)
+        followup_totals(events, "day", windows, "kind", cost=F.col("amount"))
         .groupBy("patient_id")
         .agg(*[F.sum(F.when(F.col("kind") == k, F.col("cost"))).alias(k) for k in costs])
     )
@@ -273,24 +288,29 @@ def cost_summary(per_patient: DataFrame) -> DataFrame:
 
 def lab_rows(observations: DataFrame, windows: DataFrame, concepts: DataFrame) -> DataFrame:
     """Numeric results of the concept codes per patient, day and value, with the number of equal
-    results and the day relative to the index date."""
-    codes = concepts.select("concept_set", "code")
-    bounds = windows.select("patient_id", "index_date", "follow_up_end")
+    results and the day relative to the index date. A small cohort is broadcast; otherwise results
+    are merged before the join. Hand in written windows: both join sides are then plain shuffles,
+    whose skewed partitions adaptive execution splits."""
     filled = F.col("observation_date").isNotNull() & F.col("value_numeric").isNotNull()
-    return (
-        observations.where(filled)
-        .join(codes, "code")
-        .groupBy("concept_set", "patient_id", "observation_date", "value_numeric")
-        .agg(F.count(F.lit(1)).alias("results"))
-        .join(bounds, "patient_id")
-        .select(
-            "concept_set",
-            "patient_id",
-            "value_numeric",
-            "results",
-            days_between(F.col("index_date"), F.col("observation_date")).alias("day"),
-            (F.col("observation_date") <= F.col("follow_up_end")).alias("before_end"),
+    coded = observations.where(filled).join(concepts.select("concept_set", "code"), "code")
+    bounds = windows.select("patient_id", "index_date", "follow_up_end")
+    keys = ("concept_set", "patient_id", "observation_date", "value_numeric")
+    number = F.count(F.lit(1)).alias("results")
+    if fits_broadcast(windows):
+        joined = (
+            coded.join(F.broadcast(bounds), "patient_id")
+            .groupBy(*keys, "index_date", "follow_up_end")
+            .agg(number)
         )
+    else:
+        joined = coded.groupBy(*keys).agg(number).join(bounds, "patient_id")
+    return joined.select(
+        "concept_set",
+        "patient_id",
+        "value_numeric",
+        "results",
+        days_between(F.col("index_date"), F.col("observation_date")).alias("day"),
+        (F.col("observation_date") <= F.col("follow_up_end")).alias("before_end"),
     )
 
 

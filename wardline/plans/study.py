@@ -79,7 +79,13 @@ def build_index_cohort(
         layers.need_table(spark, silver_dir, t, hint)
         for t in ("patients", "conditions", "encounters")
     )
-    built = cohorts.index_cohort(patients, conditions, encounters, spec)
+    built = cohorts.index_cohort(
+        patients,
+        conditions,
+        encounters,
+        spec,
+        stage=lambda events: layers.materialize(events, "index_events"),
+    )
     layers.write_table(cohorts.report_order(built), gold_dir, INDEX_TABLE)
     written = layers.read_table(spark, gold_dir, INDEX_TABLE)
     return written, funnel.index_summary(patients, conditions, encounters, written, spec)
