@@ -193,5 +193,9 @@ def run_study(
     out["baseline"] = build_baseline(
         spark, scenario.gold_dir, f"{prefix}_baseline_characteristics.csv"
     )
-    manifest(summary.baseline_summary(out["final_cohort"]), "baseline_characteristics")
+    rows = out["baseline"].agg(F.count(F.lit(1)).alias("n")).scalar()
+    manifest(
+        summary.baseline_summary(out["final_cohort"]).withColumn("baseline_table_rows", rows),
+        "baseline_characteristics",
+    )
     return out
