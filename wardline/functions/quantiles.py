@@ -13,7 +13,8 @@ def exact_quantiles(
     values: DataFrame, group: str, value: str, probabilities: dict, weight: str | None = None
 ) -> DataFrame:
     """One row per group with a column per named probability: linear interpolation at position
-    (n - 1) * p over the non-null values. With `weight`, a row stands for that many equal values. Groups must not be null.
+    (n - 1) * p over the non-null values. With `weight`, a row stands for that many equal
+    values. Groups must not be null.
 
     Equal values merge to a count first. Cut points from an approximate sketch split the values
     into buckets; they come to the driver (BUCKETS numbers per group, groups being the few

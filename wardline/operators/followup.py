@@ -1,8 +1,8 @@
 """Summaries the study definition names beyond the baseline report: follow-up window, exposure,
 utilisation, cost, laboratory results, survival, date checks, concept sets, common data model.
 
-Event rows are merged per patient and day before they are joined to the cohort, so one patient
-with very many events stays small in the join.
+A small cohort is broadcast to the event scans, behind a size check. For a larger one event rows are
+merged per patient and day before the join, so one patient with very many events stays small in it.
 """
 
 from __future__ import annotations
@@ -37,13 +37,13 @@ def concept_frame(spark: SparkSession, sets: dict = CONCEPT_SETS) -> DataFrame:
 
 
 def concept_signal(events: DataFrame, date_column: str, concepts: DataFrame) -> DataFrame:
-    """Rows, distinct patients and date range per concept set with at least one event."""
-    daily = events.groupBy("code", "patient_id", date_column).agg(F.count(F.lit(1)).alias("c"))
+    """Rows, distinct patients and date range per concept set with at least one event. The concept
+    list filters the events where they are read."""
     per_patient = (
-        daily.join(concepts.select("concept_set", "code"), "code")
+        events.join(concepts.select("concept_set", "code"), "code")
         .groupBy("concept_set", "patient_id")
         .agg(
-            F.sum("c").alias("c"),
+            F.count(F.lit(1)).alias("c"),
             F.min(date_column).alias("first"),
             F.max(date_column).alias("last"),
         )
