@@ -67,3 +67,24 @@ def test_no_cross_joins_and_no_row_at_a_time_python(spark, name):
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
+
+
+@pytest.mark.parametrize("module, name", [("sources.files", "_hash_batches"),
+                                          ("functions.text", "_one_decimal_text"),
+                                          ("functions.text", "_one_decimal")])
+def test_python_functions_need_no_package_on_executors(tmp_path, module, name):
+    import importlib
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    function = getattr(importlib.import_module(f"wardline.{module}"), name)
+    body = cloudpickle.dumps(getattr(function, "func", function))
+    code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read())"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=body, cwd=tmp_path, env=environment,
+        capture_output=True, check=False,
+    )
+    assert done.returncode == 0, done.stderr.decode()

@@ -154,7 +154,11 @@ def run_study(
     out["raw_inventory"] = inventory
 
     conversion = raw_csv.raw_to_bronze(
-        spark, scenario.raw_dir, scenario.bronze_dir, scenario.expected_files
+        spark,
+        scenario.raw_dir,
+        scenario.bronze_dir,
+        scenario.expected_files,
+        inventory=inventory,
     )
     manifest(conversion, "bronze_conversion")
     manifest(raw_csv.conversion_summary(conversion), "bronze_conversion_summary")
