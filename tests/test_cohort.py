@@ -215,6 +215,14 @@ def test_other_codes_and_thresholds(clinic):
     assert row.has_prior_t1dm_before_index
 
 
+def test_codes_compare_as_text(clinic):
+    numbers = clinic.conditions(("p1", "e", "2020-01-01", T)).withColumn(
+        "code", F.col("code").cast("bigint")
+    )
+    cohort = cohorts.index_cohort(clinic.patients(), numbers, clinic.encounters(), SPEC)
+    assert only(cohort).index_condition_code == T
+
+
 def test_missing_columns_raise(clinic):
     with pytest.raises(ValueError, match="birth_date"):
         cohorts.index_cohort(

@@ -15,7 +15,7 @@ SPEC = StudySpec()
 def either_size(request, monkeypatch):
     """Both join strategies must give the same results."""
     if request.param == "large cohort":
-        monkeypatch.setattr(cohorts, "BROADCAST_PATIENTS", 0)
+        monkeypatch.setattr(cohorts, "BROADCAST_BYTES", 0)
 
 
 def day(text):

@@ -46,6 +46,11 @@ def clean_level(value: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("Missing")).otherwise(text)
 
 
+def has_code(code: str, column: str = "code") -> Column:
+    """Code equality as text. On a text column the cast disappears and the filter is pushed down."""
+    return F.col(column).cast("string") == F.lit(str(code))
+
+
 def distinct_with_null(column: Column) -> Column:
     """Distinct count in which null counts as one value."""
     return F.count_distinct(column) + F.coalesce(

@@ -12,7 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import completed_years, days_between, is_true, require_columns
+from ..functions.expr import (
+    completed_years,
+    days_between,
+    has_code,
+    is_true,
+    require_columns,
+)
 from ..spec import StudySpec
 
 PATIENT_COLUMNS = ("patient_id", "birth_date", "death_date", "sex", "race", "ethnicity")
@@ -36,14 +42,15 @@ COHORT_COLUMNS = (
 # Copies of one patient row are multiplied back in blocks of this many rows.
 COPY_BLOCK = 65536
 
-# Up to this many patients (roughly 100 MB as a hash table) are broadcast to event tables.
-BROADCAST_PATIENTS = 1_000_000
+# A patient list up to this size is broadcast to event tables; a row takes this much besides its id.
+BROADCAST_BYTES = 128 * 1024 * 1024
+ROW_BYTES = 96
 
 
 def first_event_per_patient(conditions: DataFrame, code: str) -> DataFrame:
     """Earliest dated event with `code` per patient, and how many such rows there are. Ties on
     the day go to the smallest (encounter_id, description)."""
-    day = _coded_days(conditions, F.col("code") == F.lit(code))
+    day = _coded_days(conditions, has_code(code))
     return day.groupBy("patient_id").agg(
         F.min("condition_start_date").alias("index_date"),
         F.min_by("first_row", "condition_start_date").alias("first_row"),
@@ -89,7 +96,7 @@ def exclusion_flags(
 ) -> DataFrame:
     """Patients with a dated `code` event before (or on) their index date. Patients without one
     get no row. `earliest` / `latest` replace the default open start and index-date end."""
-    day = rows_per_day(conditions.where(F.col("code") == F.lit(code)), "condition_start_date")
+    day = rows_per_day(conditions.where(has_code(code)), "condition_start_date")
     start, index_date = F.col("condition_start_date"), F.col("index_date")
     if latest is not None:
         hit = start <= latest
@@ -110,8 +117,12 @@ def exclusion_flags(
 
 
 def fits_broadcast(frame: DataFrame) -> bool:
-    """Size check of a one-row-per-patient side; cheap on a written table."""
-    return frame.limit(BROADCAST_PATIENTS + 1).count() <= BROADCAST_PATIENTS
+    """Size check of a one-row-per-patient side, from its row count and the length of its ids;
+    cheap on a written table."""
+    rows, id_bytes = frame.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("patient_id")), F.lit(0))
+    ).first()
+    return rows * ROW_BYTES + id_bytes <= BROADCAST_BYTES
 
 
 def index_cohort(
@@ -177,17 +188,12 @@ def _coded_days(conditions: DataFrame, wanted: Column) -> DataFrame:
 
 def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
     """Index event and both exclusion flags from one pass over the three codes."""
-    code = F.col("code")
-    target = code == F.lit(spec.target_code)
-    prior = code == F.lit(spec.prior_exclusion_code)
-    window = code == F.lit(spec.window_exclusion_code)
+    codes = (spec.target_code, spec.prior_exclusion_code, spec.window_exclusion_code)
+    target, prior, window = (has_code(code) for code in codes)
     day = F.col("condition_start_date")
 
     days = (
-        conditions.where(
-            code.isin(spec.target_code, spec.prior_exclusion_code, spec.window_exclusion_code)
-            & day.isNotNull()
-        )
+        conditions.where(F.col("code").cast("string").isin(*codes) & day.isNotNull())
         .groupBy("patient_id", "condition_start_date")
         .agg(
             F.count_if(target).alias("target_rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import distinct_with_null, is_false, is_true, require_columns
+from ..functions.expr import distinct_with_null, has_code, is_false, is_true, require_columns
 from ..spec import StudySpec
 
 FUNNEL_COLUMNS = (
@@ -114,9 +114,7 @@ def index_summary(
     spec: StudySpec,
 ) -> DataFrame:
     """One row of row counts for the index build."""
-    qualifying = (F.col("code") == F.lit(spec.target_code)) & F.col(
-        "condition_start_date"
-    ).isNotNull()
+    qualifying = has_code(spec.target_code) & F.col("condition_start_date").isNotNull()
     total = F.count(F.lit(1)).alias("n")
     adult = F.col("meets_adult_age_rule")
     history = adult & F.col("meets_baseline_history_rule")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType
 
-from ..functions.expr import distinct_with_null
+from ..functions.expr import distinct_with_null, has_code
 from ..spec import BRONZE_CONTRACT, EVENT_TABLES, SILVER_CONTRACT, SILVER_DATES, TARGET_CODE
 
 Layer = dict[str, DataFrame | None]
@@ -237,7 +237,7 @@ def target_signal(
               if dated else []),
             F.lit(problem).alias("status"),
         )
-    hits = conditions.where(F.col(rules.code_column) == F.lit(code))
+    hits = conditions.where(has_code(code, rules.code_column))
     n = F.count(F.lit(1))
     dates = (
         [F.min(rules.date_column).alias("earliest_date"),
