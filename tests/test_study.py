@@ -1,8 +1,10 @@
 import csv
 
+import pytest
+
 from wardline.plans import study
 from wardline.sources import layers
-from wardline.spec import Scenario
+from wardline.spec import Scenario, StudySpec
 
 RAW = {
     "patients": (
@@ -22,7 +24,7 @@ RAW = {
          "2020-06-01,,p3,e3,44054006,Diabetes mellitus type 2"],
     ),
     "medications": ("START,PATIENT,CODE,DESCRIPTION", ["2020-01-01,p1,1,m"]),
-    "observations": ("DATE,PATIENT,CODE,DESCRIPTION", ["2020-01-01,p1,1,o"]),
+    "observations": ("DATE,PATIENT,CODE,DESCRIPTION,VALUE", ["2020-01-01,p1,1,o,7.5"]),
     "procedures": ("START,PATIENT,CODE,DESCRIPTION", ["2020-01-01,p1,1,p"]),
     "careplans": ("Id,START,PATIENT,CODE,DESCRIPTION", ["c1,2020-01-01,p1,1,c"]),
 }
@@ -59,16 +61,28 @@ def test_end_to_end(spark, tmp_path):
             "silver_qa_verdict", "t2dm_index_cohort", "t2dm_attrition_table",
             "t2dm_final_cohort", "baseline_characteristics"} <= manifests
 
+    lab_sets = {"lab": ("v", "u", (("1", "o"),))}
+    classes = {"class": ("v", "u", (("1", "m"),))}
+    more = study.build_followup(
+        spark, scenario.silver_dir, scenario.gold_dir, StudySpec(), classes, lab_sets
+    )
+    window = more["followup_window"].first()
+    assert (window.patient_id, window.end_reason) == ("p1", "end_of_record")
+    assert more["medication_exposure"].first().exposed_patients == 1
+    assert more["lab_summary"].first().results == 1
+    assert {r.kind: r.total for r in more["cost_summary"].collect()} == {
+        "encounters": 0.0, "medications": 0.0, "procedures": 0.0
+    }
+    assert more["survival_table"].first().survival == 1.0
+    model = study.build_common_model(spark, scenario.silver_dir, str(tmp_path / "model"))
+    assert model["person"].count() == 3 and model["condition_occurrence"].count() == 4
+
     # A second run overwrites the first.
     again = study.run_study(spark, scenario)
     assert again["index_cohort"].count() == 3
 
 
 def test_stages_name_the_stage_to_run_first(spark, tmp_path):
-    import pytest
-
-    from wardline.spec import StudySpec
-
     silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
     with pytest.raises(FileNotFoundError, match="bronze_to_silver"):
         study.build_index_cohort(spark, silver, gold, StudySpec())

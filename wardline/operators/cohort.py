@@ -125,6 +125,15 @@ def fits_broadcast(frame: DataFrame) -> bool:
     return rows * ROW_BYTES + id_bytes <= BROADCAST_BYTES
 
 
+def of_patients(known: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """The tables, cut to rows of the patients in `known` (a written table) if those are few enough
+    to broadcast; unchanged otherwise, as the joins to come drop the other rows anyway."""
+    if not fits_broadcast(known):
+        return list(tables)
+    ids = F.broadcast(known.select("patient_id"))
+    return [table.join(ids, "patient_id", "left_semi") for table in tables]
+
+
 def index_cohort(
     patients: DataFrame,
     conditions: DataFrame,
@@ -146,10 +155,7 @@ def index_cohort(
     events = _index_and_exclusions(conditions, spec)
     if stage is not None:
         events = stage(events)
-        if fits_broadcast(events):
-            known = F.broadcast(events.select("patient_id"))
-            patients = patients.join(known, "patient_id", "left_semi")
-            encounters = encounters.join(known, "patient_id", "left_semi")
+        patients, encounters = of_patients(events, patients, encounters)
     joined = events.join(_patient_blocks(patients), "patient_id", "left").join(
         first_observed(encounters), "patient_id", "left"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cohort as cohorts
-from ..operators import funnel, quality, summary
+from ..operators import followup, funnel, quality, summary
 from ..operators.normalize import normalize
 from ..sources import layers, raw_csv
 from ..spec import CORE_TABLES, Scenario, StudySpec, table_names
@@ -120,6 +120,73 @@ def build_baseline(spark: SparkSession, gold_dir: str, csv_path=None) -> DataFra
     return _write_report(spark, report, gold_dir, BASELINE_TABLE, csv_path)
 
 
+def build_followup(
+    spark: SparkSession,
+    silver_dir: str,
+    gold_dir: str,
+    spec: StudySpec,
+    medication_classes: dict,
+    lab_sets: dict,
+) -> dict[str, DataFrame]:
+    """Write the follow-up windows of the final cohort and the summaries over them: exposure by
+    medication class, laboratory summary and trajectory, utilisation, cost, survival. Concept sets
+    as in `spec.CONCEPT_SETS`."""
+    final = layers.need_table(spark, gold_dir, FINAL_TABLE, "Run build_final_cohort first.")
+    encounters, medications, observations, procedures = (
+        layers.need_table(spark, silver_dir, t, "Run bronze_to_silver first.")
+        for t in ("encounters", "medications", "observations", "procedures")
+    )
+
+    def written(frame: DataFrame, table: str) -> DataFrame:
+        layers.write_table(frame, gold_dir, table)
+        return layers.read_table(spark, gold_dir, table)
+
+    (seen,) = cohorts.of_patients(final, encounters)
+    windows = written(followup.followup_window(final, seen, spec), "followup_window")
+    costs = written(
+        followup.patient_costs(
+            {
+                "encounters": (encounters, "encounter_start_date", "total_claim_cost"),
+                "medications": (medications, "medication_start_date", "total_cost"),
+                "procedures": (procedures, "procedure_start_date", "base_cost"),
+            },
+            windows,
+        ),
+        "patient_costs",
+    )
+    labs = written(
+        followup.lab_rows(observations, windows, followup.concept_frame(spark, lab_sets)),
+        "lab_rows",
+    )
+    classes = followup.concept_frame(spark, medication_classes)
+    out = {
+        "medication_exposure": followup.medication_exposure(medications, windows, classes),
+        "lab_summary": followup.lab_report(labs),
+        "lab_trajectory": followup.lab_trajectory(labs),
+        "utilization": followup.utilization(encounters, windows),
+        "cost_summary": followup.cost_summary(costs),
+        "survival_table": followup.survival_table(windows),
+    }
+    return {
+        "followup_window": windows,
+        **{table: written(frame, table) for table, frame in out.items()},
+    }
+
+
+def build_common_model(
+    spark: SparkSession, silver_dir: str, model_dir: str
+) -> dict[str, DataFrame]:
+    """Write the common-data-model tables."""
+    silver = {
+        t: layers.need_table(spark, silver_dir, t, "Run bronze_to_silver first.")
+        for t, _ in followup.COMMON_MODEL.values()
+    }
+    tables = followup.common_model(silver)
+    for name, frame in tables.items():
+        layers.write_table(frame, model_dir, name)
+    return {name: layers.read_table(spark, model_dir, name) for name in tables}
+
+
 def _write_report(spark, frame, gold_dir, table, csv_path) -> DataFrame:
     layers.write_table(frame, gold_dir, table)
     written = layers.read_table(spark, gold_dir, table)

@@ -53,11 +53,6 @@ def path_exists(path: str) -> bool:
     return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
-def is_directory(path: str) -> bool:
-    system, inner = _filesystem(path)
-    return system.get_file_info(inner).type == fs.FileType.Directory
-
-
 def entry(path: str) -> FileEntry | None:
     """The table at `path`: a file, or a directory holding at least one visible file."""
     system, inner = _filesystem(path)
