@@ -1,0 +1,221 @@
+"""Secret scan in Spark expressions: three patterns, and character Markov models for the rest.
+
+Patterns (base kinds) are matched leftmost and without overlap per kind over the whole text. On top
+of them every long run of identifier characters is scored by two first-order character models, one
+of random strings and one of ordinary identifiers: the log-likelihood ratio of the run, summed over
+its characters, must exceed the ratio that all but a share `false_rate` of the ordinary labelled
+samples stay under (and zero). Such runs that touch no base span are spans of kind `markov`.
+
+The models are trained from labelled samples (value, label 1 random / 0 ordinary). In a corpus
+without labels `labelled_samples` takes the values of base matches as random strings and the runs
+of documents without any match as ordinary ones, from at most `max_rows` documents of each sort
+(the smallest by hash of the id). Transition counts are a Spark aggregate; only the table of
+transitions, whose size the alphabet bounds, comes to the driver. The random model is half learned
+and half uniform, so that alphabets the samples lack still count as random.
+
+Everything here is built-in functions: no Python runs on executors. Null text counts as empty. A
+text without spans gets empty lists. Spans are code points, end exclusive.
+"""
+
+from __future__ import annotations
+
+import math
+import string
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import pick
+
+# Patterns of the base kinds, in listed order, and the least length each must have.
+ASSIGN = (
+    r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run of 20 or more; shorter runs fail as a whole
+HEX = r"[0-9a-f]{24,}"
+ASSIGN_VALUE = 6
+KINDS = ("assign", "access", "hex", "markov")
+ANY_BASE = f"{ASSIGN}|(?-i:{ACCESS})|(?-i:{HEX})"
+
+ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
+RUN = r"[A-Za-z0-9+/_=-]{16,}"
+ORDINARY_RUN = r"[A-Za-z0-9+/_=-]{6,}"
+SPAN = "struct<kind:int,start:int,end:int,value:string>"
+MAX_ROWS = 5000
+MAX_RUNS = 64
+FALSE_RATE = 1e-3
+
+
+def matches(text: Column, pattern: str, kind: int) -> Column:
+    """Array of spans (kind, start, end, matched text) of a pattern that never matches the empty
+    text. Texts between matches and the matches themselves alternate, which gives the places."""
+    between = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+
+    def step(state, pair):
+        start = state["at"] + F.length(pair["before"])
+        end = start + F.length(pair["value"])
+        span = F.struct(
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["value"].alias("value")
+        )
+        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+
+    pairs = F.zip_with(
+        F.slice(between, 1, F.size(found)), found,
+        lambda b, m: F.struct(b.alias("before"), m.alias("value")),
+    )
+    spans = F.aggregate(pairs, empty, step)["spans"]
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def base_spans(text: Column) -> Column:
+    """Spans of the three base kinds by start, then kind."""
+    assigned = F.filter(
+        matches(text, ASSIGN, 0),
+        lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_VALUE,
+    )
+    every = F.concat(assigned, matches(text, ACCESS, 1), matches(text, HEX, 2))
+    return F.when(text.rlike(ANY_BASE), _ordered(every)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _ordered(spans: Column) -> Column:
+    keyed = F.transform(
+        spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s.alias("span"))
+    )
+    return F.transform(F.array_sort(keyed), lambda s: s["span"])
+
+
+def labelled_samples(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """(value, label) from documents (doc_id, text): values of base matches, label 1, and runs of
+    documents without a match, label 0. At most `max_rows` documents of each sort and MAX_RUNS
+    values of each document."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        text.alias("text"), text.rlike(ANY_BASE).alias("has"),
+        F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "doc_id",
+    )
+    hit = rows.where("has").orderBy("h", "doc_id").limit(max_rows)
+    plain = (
+        rows.where(~F.col("has"))
+        .select("h", "doc_id", F.regexp_extract_all("text", F.lit(ORDINARY_RUN), F.lit(0)).alias("runs"))
+        .select("h", "doc_id", F.slice("runs", 1, MAX_RUNS).alias("runs"))
+        .orderBy("h", "doc_id")
+        .limit(max_rows)
+    )
+    value = F.when(
+        F.col("s.kind") == 0, F.regexp_extract("s.value", ASSIGN, 2)
+    ).otherwise(F.col("s.value"))
+    random = hit.select(F.explode(F.slice(base_spans(F.col("text")), 1, MAX_RUNS)).alias("s")).select(
+        value.alias("value"), F.lit(1).alias("label")
+    )
+    ordinary = plain.select(F.explode("runs").alias("value"), F.lit(0).alias("label"))
+    return random.unionByName(ordinary).distinct()
+
+
+def _states(value: Column) -> Column:
+    """Alphabet positions (from 1; 0 for any other character) of a text's characters."""
+    return F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+
+
+def _moves(value: Column) -> Column:
+    """Transition numbers of a text: from * width + to, the start being state 0."""
+    width = len(ALPHABET) + 1
+    states = _states(value)
+    before = F.slice(F.concat(F.array(F.lit(0)), states), 1, F.size(states))
+    return F.zip_with(before, states, lambda a, b: a * width + b)
+
+
+class MarkovModel:
+    """Log-likelihood ratio per transition, and the ratio a run has to exceed."""
+
+    def __init__(self, ratios: list[float], threshold: float):
+        self.ratios = ratios
+        self.threshold = threshold
+
+    def score(self, value: Column) -> Column:
+        """Summed log-likelihood ratio, random over ordinary, of a text."""
+        table = F.split(F.lit(",".join(f"{r:.6f}" for r in self.ratios)), ",").cast("array<double>")
+        return F.aggregate(
+            _moves(value), F.lit(0.0), lambda total, m: total + F.element_at(table, m + 1)
+        )
+
+
+def train(samples: DataFrame, false_rate: float = FALSE_RATE) -> MarkovModel:
+    """Model from labelled samples (value, label). Without random samples that side is uniform;
+    without ordinary samples nothing scores above the threshold."""
+    width = len(ALPHABET) + 1
+    present = samples.where(F.col("value").isNotNull() & (F.length("value") > 0))
+    counted = (
+        present.select("label", F.explode(_moves(F.col("value"))).alias("move"))
+        .groupBy("label", "move")
+        .count()
+        .collect()  # at most two rows for each transition of the alphabet
+    )
+    counts = [[0] * (width * width) for _ in range(2)]
+    for row in counted:
+        counts[row["label"]][row["move"]] = row["count"]
+    ratios = [0.0] * (width * width)
+    if any(counts[0]):
+        for a in range(width):
+            at = slice(a * width, (a + 1) * width)
+            ordinary, random = counts[0][at], counts[1][at]
+            o_total, r_total = sum(ordinary), sum(random)
+            for b in range(width):
+                plain = (ordinary[b] + 0.05) / (o_total + 0.05 * width)
+                learned = (random[b] + 0.5) / (r_total + 0.5 * width)
+                ratios[a * width + b] = math.log(0.5 * learned + 0.5 / width) - math.log(plain)
+    model = MarkovModel(ratios, 0.0)
+    usual = (
+        present.where((F.col("label") == 0) & F.col("value").rlike(RUN))
+        .agg(F.percentile_approx(model.score(F.col("value")), 1 - false_rate, 10_000).alias("t"))
+        .first()["t"]
+    )
+    model.threshold = max(0.0, usual or 0.0)
+    return model
+
+
+def scan(docs: DataFrame, model: MarkovModel) -> DataFrame:
+    """(doc_id, text, base, spans) for documents (doc_id, text): arrays of spans by start, then kind."""
+    plain = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    based = plain.withColumn("base", base_spans(F.col("text")))
+    runs = F.filter(
+        matches(F.col("text"), RUN, 3),
+        lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
+    )
+    added = F.filter(runs, lambda r: model.score(r["value"]) > F.lit(model.threshold))
+    return based.withColumn("spans", _ordered(F.concat("base", added)))
+
+
+def span_text(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")
+            ),
+        ),
+        ",",
+    )
+
+
+def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+    """The text with each span replaced by a mark; spans that overlap share one."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state, span):
+        fresh = F.concat(
+            state["out"],
+            F.substring(text, state["at"] + 1, span["start"] - state["at"]),
+            F.lit(mark),
+        )
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(span["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"),
+        )
+
+    done = F.aggregate(spans, start, step)
+    rest = F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, rest).otherwise(text)
