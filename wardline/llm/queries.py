@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize
-from . import licenses, packing, pii, quality, secrets, topk, urlfilter
+from . import licenses, neardup, packing, pii, quality, secretscan, substring, topk, urlfilter
 from .common import pick
 
 PII_KEY = b"wardline example key"
@@ -59,14 +59,14 @@ def op2_packing(spark, sf_dir):
 # --- 3 ---------------------------------------------------------------------------------------
 
 
-def secret_model(docs: DataFrame) -> secrets.MarkovModel:
-    samples = secrets.labelled_samples(pick(docs, "doc_id", "text"))
-    return secrets.train(materialize(samples, "secret-samples"))
+def secret_model(docs: DataFrame) -> secretscan.MarkovModel:
+    samples = secretscan.labelled_samples(pick(docs, "doc_id", "text"))
+    return secretscan.train(materialize(samples, "secret-samples"))
 
 
 def op3_secrets(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    found = secrets.scan(docs, secret_model(docs))
+    found = secretscan.scan(docs, secret_model(docs))
 
     def count(kind):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
@@ -76,8 +76,8 @@ def op3_secrets(spark, sf_dir):
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
-        secrets.span_text(F.col("spans")).alias("spans"),
+        F.sha2(secretscan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secretscan.span_text(F.col("spans")).alias("spans"),
     )
 
 
@@ -124,6 +124,13 @@ def op5_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+# --- 7 ---------------------------------------------------------------------------------------
+
+
+def op7_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 # --- 8 ---------------------------------------------------------------------------------------
 
 
@@ -153,6 +160,36 @@ def op8_quality(spark, sf_dir):
     )
 
 
+# --- 9 ---------------------------------------------------------------------------------------
+
+
+def op9_substring(spark, sf_dir):
+    kept = substring.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT rid, doc_id, p, array_to_string(w[p:p + 12], ' ') AS k
+  FROM d, unnest(range(1, len(w) - 11)) AS t(p)),
+firsts AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+covered AS (
+  SELECT DISTINCT rid, p + o AS q
+  FROM win JOIN firsts USING (k), range(0, 13) AS r(o) WHERE m < doc_id),
+words AS (SELECT rid, q, w[q] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(q)),
+kept AS (
+  SELECT rid, count(c.q) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (c.q IS NULL) AS text
+  FROM words LEFT JOIN covered c USING (rid, q) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (rid)
+"""
+
+
 # --- 10 --------------------------------------------------------------------------------------
 
 
@@ -186,10 +223,12 @@ def queries() -> dict:
         "op3_secrets": op3_secrets,
         "op4_urls": op4_urls,
         "op5_licenses": op5_licenses,
+        "op7_neardup": op7_neardup,
         "op8_quality": op8_quality,
+        "op9_substring": op9_substring,
         "op10_topk": op10_topk,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_urls": OP4_SQL, "op10_topk": OP10_SQL}
+    return {"op4_urls": OP4_SQL, "op9_substring": OP9_SQL, "op10_topk": OP10_SQL}
