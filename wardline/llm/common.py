@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 2_000_000  # some 32 MB
+
 
 def pick(frame: DataFrame, *names: str) -> DataFrame:
     """Exactly these columns. Names are compared exactly (the first of equal names counts), so
@@ -22,12 +24,16 @@ def numbered(frame: DataFrame) -> DataFrame:
     return frame.toDF(*[f"_{i}" for i in range(len(frame.columns))])
 
 
-def keep_rows(frame: DataFrame, key: str, kept: DataFrame) -> DataFrame:
-    """Rows of `frame` whose `key` is among the keys of `kept` (one column), all columns as they were."""
+def without_rows(frame: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """Rows of `frame` whose `key` is not among the keys of `dropped` (one column, written already),
+    all columns as they were. Null keys stay. Few dropped keys are broadcast, more are joined."""
     plain = numbered(frame)
-    mark = f"_{frame.columns.index(key)}"
-    out = plain.join(kept.toDF(mark), mark, "left_semi")
-    return out.select(*plain.columns).toDF(*frame.columns)
+    at = f"_{frame.columns.index(key)}"
+    gone = dropped.toDF("_gone").where("_gone IS NOT NULL").distinct()
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    out = plain.join(gone, F.col(at) == F.col("_gone"), "left_anti")
+    return out.toDF(*frame.columns)
 
 
 def blocks_for(docs: DataFrame, text: str, block_bytes: int) -> tuple[int, int]:

@@ -130,7 +130,7 @@ def _automaton():
     return found
 
 
-def _plain_words():
+def word_table():
     """Byte table: A-Z to lower case, other ASCII that is no letter or digit to a space."""
     table = bytearray(range(256))
     for code in range(128):
@@ -177,7 +177,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def judged(batches):
         import pyarrow as pa
 
-        automaton, table = _automaton(), _plain_words()
+        automaton, table = _automaton(), word_table()
         names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
         for batch in batches:

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import numbered
+
 CHUNK = 2048
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -156,3 +158,11 @@ def score_column(model: CompressionModel, text: Column) -> Column:
         return pd.Series(model.scorer()(texts.tolist()), index=texts.index, dtype=float)
 
     return quality_score(text)
+
+
+def keep_good(docs: DataFrame, model: CompressionModel, threshold: float) -> DataFrame:
+    """Documents that score `threshold` or more, with all their columns."""
+    plain = numbered(docs)
+    text = F.col(f"_{docs.columns.index('text')}")
+    kept = plain.where(score_column(model, text) >= threshold)
+    return kept.toDF(*docs.columns)

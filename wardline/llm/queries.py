@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize
-from . import licenses, neardup, packing, pii, quality, secretscan, substring, topk, urlfilter
+from . import decontam, licenses, neardup, packing, pii, quality, secretscan, substring, topk, urlfilter
 from .common import pick
 
 PII_KEY = b"wardline example key"
@@ -124,6 +124,13 @@ def op5_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+# --- 6 ---------------------------------------------------------------------------------------
+
+
+def op6_decontam(spark, sf_dir):
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --- 7 ---------------------------------------------------------------------------------------
 
 
@@ -223,6 +230,7 @@ def queries() -> dict:
         "op3_secrets": op3_secrets,
         "op4_urls": op4_urls,
         "op5_licenses": op5_licenses,
+        "op6_decontam": op6_decontam,
         "op7_neardup": op7_neardup,
         "op8_quality": op8_quality,
         "op9_substring": op9_substring,

@@ -25,7 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import numbered, pick
 
 # Patterns of the base kinds, in listed order, and the least length each must have.
 ASSIGN = (
@@ -178,7 +178,12 @@ def train(samples: DataFrame, false_rate: float = FALSE_RATE) -> MarkovModel:
 def scan(docs: DataFrame, model: MarkovModel) -> DataFrame:
     """(doc_id, text, base, spans) for documents (doc_id, text): arrays of spans by start, then kind."""
     plain = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    based = plain.withColumn("base", base_spans(F.col("text")))
+    return with_spans(plain, model)
+
+
+def with_spans(frame: DataFrame, model: MarkovModel) -> DataFrame:
+    """The frame, which has a text without nulls, with the columns base and spans."""
+    based = frame.withColumn("base", base_spans(F.col("text")))
     runs = F.filter(
         matches(F.col("text"), RUN, 3),
         lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
@@ -187,6 +192,22 @@ def scan(docs: DataFrame, model: MarkovModel) -> DataFrame:
     return based.withColumn("spans", _ordered(F.concat("base", added)))
 
 
+def redact(docs: DataFrame, model: MarkovModel, mark: str = "[secret]") -> DataFrame:
+    """Documents with their secrets replaced by a mark, and n_chars (if there is one) counted anew;
+    all other columns, and documents without secrets, as they were."""
+    names = docs.columns
+    plain = numbered(docs)
+    text = f"_{names.index('text')}"
+    marked = with_spans(plain.withColumn("text", F.coalesce(text, F.lit(""))), model)
+    found = F.size("spans") > 0
+    new = {text: F.when(found, redacted(F.col("text"), F.col("spans"), mark)).otherwise(F.col(text))}
+    if "n_chars" in names:
+        at = f"_{names.index('n_chars')}"
+        kind = docs.schema[names.index("n_chars")].dataType
+        new[at] = F.when(found, F.length(new[text]).cast(kind)).otherwise(F.col(at))
+    return marked.select(*[new[c].alias(c) if c in new else F.col(c) for c in plain.columns]).toDF(*names)
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

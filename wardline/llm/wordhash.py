@@ -62,14 +62,16 @@ class Hasher:
             out[i] = np.frombuffer(digest, "<u8")[0]
         return out
 
-    def words(self, texts, lower: bool):
+    def words(self, texts, lower: bool = False, table=None):
         """(hashes of all words, first word of each text and the end, word starts, word ends, bytes)
-        for an Arrow array of texts; null has no words. Words are what stands between ASCII white space;
-        `lower` folds A-Z."""
+        for an Arrow array of texts; null has no words. Words are what stands between ASCII white space,
+        after `lower` (folds A-Z) or a byte table of the caller's own."""
         import numpy as np
 
         data, bounds = text_bytes(texts)
-        if lower:
+        if table is not None:
+            data = np.frombuffer(table, np.uint8)[data]
+        elif lower:
             data = self.lower[data]
         starts, ends = word_spans(np, self.space[data], bounds)
         first = np.searchsorted(starts, bounds, "left")
