@@ -1,0 +1,85 @@
+"""The registered queries and the pipeline on the small tables."""
+
+import os
+import re
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from wardline.llm import queries
+
+SF = "/root/testdata/sf0.001"
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def db():
+    base = duckdb.connect()
+    for name in TABLES:
+        base.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return base
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_same_rows_as_sql(spark, db, name):
+    frame = queries.queries()[name](spark, SF)
+    result = db.execute(queries.oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == sorted(frame.columns)
+    assert sorted(map(tuple, frame.select(columns).collect()), key=repr) == sorted(result.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
+def test_a_row_for_each_document(spark, db, name):
+    rows = queries.queries()[name](spark, SF).collect()
+    ids = {x for (x,) in db.execute("SELECT doc_id FROM documents").fetchall()}
+    if name == "op6_decontam":
+        assert {r.doc_id for r in rows} < ids
+    else:
+        assert {r.doc_id for r in rows} == ids
+
+
+def test_every_operator_is_registered():
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
+
+
+def test_stages_take_effect(spark, tmp_path):
+    SF = "/root/testdata/sf0.01"  # the smallest with enough labels to learn from
+    docs = queries.table(spark, SF, "documents")
+    columns, kept = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        out.write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert out.columns == columns
+            before = {r.doc_id: r for r in docs.collect()}
+            after = {r.doc_id: r for r in out.collect()}
+            assert set(after) <= set(before) and len(after) == out.count()
+            kept.append(len(after))
+            if name == "secrets":
+                assert len(after) == len(before)
+                for doc, row in after.items():
+                    assert row == before[doc] or ("[secret]" in row.text and row.n_chars == len(row.text))
+            else:
+                assert all(after[d] == before[d] for d in after)
+            docs = out
+    assert kept[0] > kept[1] > kept[2] >= kept[3] == kept[4]
+    final = {(r.doc_id, r.start): tuple(r) for r in out.collect()}
+    assert {d for d, _ in final} == {r.doc_id for r in docs.collect()}
+    again = corpus_pipeline.run(spark, SF).collect()
+    assert {(r.doc_id, r.start): tuple(r) for r in again} == final
+
+
+def test_stages_on_odd_rows(spark, make_docs, odd_rows, clash):
+    rows = [r for r in odd_rows if r[0] not in (4, 5)]
+    for given in (rows, []):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = clash(make_docs(given))
+            out = stage(spark, docs, SF)
+            if name == "packing":
+                assert (out.count() > 0) == bool(given)
+            else:
+                assert out.columns == docs.columns and out.count() <= len(given)

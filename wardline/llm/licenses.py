@@ -152,7 +152,7 @@ def judge_text(text, automaton, table):
             tagged = True
         elif phrase in BASE_PHRASES:
             base.add(BASE_PHRASES[phrase])
-            places.append(flat.count(" ", 0, end - len(phrase)))
+            places.append(flat.count(" ", 0, end - len(phrase) - 1))  # spaces before the phrase's own
         else:
             labels.add(NOTICES[phrase])
     # A more exact label says how free the text is, not the family it belongs to.
