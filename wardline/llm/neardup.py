@@ -236,11 +236,17 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
         _can_link(F.col("shared"), F.col("n"), F.greatest("n_min", F.ceil(F.col("n") * percent / 100)), percent)
     )
     alive = materialize(alive.select("key", "rep", "n", "shared", "comp", "main"), "alive-entries")
-    x = alive.where("comp <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in ("rep", "n", "shared", "comp")])
-    y = alive.select("key", "main", *[F.col(c).alias(f"{c}_y") for c in ("rep", "n", "shared", "comp")])
+    # A pair meets in every bucket it shares; only the one with the smallest key makes a row. What
+    # bounds a pair leaves both alive in all of their buckets. A document has one key a band.
+    own = alive.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    alive = alive.join(own, "rep")
+    columns = ("rep", "n", "shared", "comp", "keys")
+    x = alive.where("comp <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in columns])
+    y = alive.select("key", "main", *[F.col(c).alias(f"{c}_y") for c in columns])
     bound = _can_link(F.least("shared_x", "shared_y"), F.col("n_x"), F.col("n_y"), percent)
-    met = x.join(y, "key").where("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)").where(bound)
-    pairs = met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    first = F.expr("key = array_min(array_intersect(keys_x, keys_y))")
+    met = x.join(y, "key").where(F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)") & bound & first)
+    pairs = met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
