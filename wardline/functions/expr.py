@@ -6,24 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed formats: which texts count as a date or a number.
-DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
-NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# (`\z`, as `$` would let a line end through)
+DATE_TEXT = r"\A\d{4}-\d{1,2}-\d{1,2}\z"
+NUMBER_TEXT = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 # Whitespace that is stripped from category levels: Unicode spaces plus the four
 # ASCII separators 1C-1F.
 EDGE_SPACE = r"(?U)\A[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z"
 
 
 def lenient_date(text: Column) -> Column:
-    """Date in the first ten characters, null if there is none. Never goes through a
-    timestamp, so no time zone can move the day."""
+    """Date in the first ten characters, null if there is none; month and day may be unpadded, as
+    format-driven date parsers read them. Never goes through a timestamp, so no time zone can move
+    the day."""
     head = F.substring(text.cast("string"), 1, 10)
     return F.when(head.rlike(DATE_TEXT), head.try_cast("date"))
 
 
 def lenient_double(text: Column) -> Column:
-    """Plain decimal or exponent number, else null (no suffixes, padding, nan or inf)."""
+    """Plain decimal or exponent number, else null (no suffixes, padding, line ends, nan or inf). A
+    number too large for a double is null too."""
     text = text.cast("string")
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER_TEXT) & (F.abs(number) < float("inf")), number)
 
 
 def month_day_key(day: Column) -> Column:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 128
-MAX_GROUPS = 1000
+from ..sources.layers import materialize
 
 
 def exact_quantiles(
@@ -14,33 +13,29 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with a column per named probability: linear interpolation at position
     (n - 1) * p over the non-null values. With `weight`, a row stands for that many equal
-    values. Groups must not be null.
+    values. Any number of groups, null being one of them.
 
-    Equal values merge to a count first. Cut points from an approximate sketch split the values
-    into buckets; they come to the driver (BUCKETS numbers per group, groups being the few
-    variables of a report) and go back in as constants, so every evaluation buckets alike. Only
-    the buckets that hold a wanted rank are sorted. The cut points decide balance, never results.
+    Equal values merge to a count first. The counts are dealt by range of (group, value) and
+    written once with the number of their range: a large group spreads over many ranges, many small
+    ones share one. The totals per group and range say which ranges hold a wanted rank, and only
+    rows of those are ordered. Nothing passes through the driver.
     """
-    present = values.where(F.col(value).isNotNull())
-    merged = present.groupBy(group, value).agg(
-        (F.sum(weight) if weight else F.count(F.lit(1))).alias("c")
+    merged = (
+        values.where(F.col(value).isNotNull())
+        .groupBy(group, value)
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("c"))
     )
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    sketched = present.groupBy(group).agg(
-        F.percentile_approx(value, steps, 10_000).alias("cuts")
+    dealt = merged.repartitionByRange(F.col(group), F.col(value)).select(
+        F.col(group), F.col(value), "c", F.spark_partition_id().alias("part")
     )
-    rows = sketched.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"More than {MAX_GROUPS} groups in {group}: not a report variable")
-    cuts = {row[group]: sorted(set(row["cuts"])) for row in rows}
-    bucketed = merged.withColumn("bucket", _bucket(F.col(group), F.col(value), cuts))
+    counts = materialize(dealt, "quantiles")
 
-    upward = Window.partitionBy(group).orderBy("bucket")
-    bucket_sizes = (
-        bucketed.groupBy(group, "bucket")
-        .agg(F.sum("c").alias("bucket_c"))
-        .withColumn("before", F.sum("bucket_c").over(upward) - F.col("bucket_c"))
-        .withColumn("n", F.sum("bucket_c").over(Window.partitionBy(group)))
+    upward = Window.partitionBy(group).orderBy("part")
+    parts = (
+        counts.groupBy(group, "part")
+        .agg(F.sum("c").alias("part_c"))
+        .withColumn("before", F.sum("part_c").over(upward) - F.col("part_c"))
+        .withColumn("n", F.sum("part_c").over(Window.partitionBy(group)))
     )
     ranks = {
         name: ((F.col("n") - 1) * F.lit(float(p)), F.floor((F.col("n") - 1) * F.lit(float(p))))
@@ -49,12 +44,12 @@ def exact_quantiles(
     wanted = F.lit(False)
     for position, low in ranks.values():
         for rank in (low, F.ceil(position)):
-            wanted = wanted | _holds(rank, F.col("before"), F.col("bucket_c"))
-    # At most MAX_GROUPS * BUCKETS short rows: small enough to broadcast.
-    needed = F.broadcast(bucket_sizes.where(wanted))
+            wanted = wanted | _holds(rank, F.col("before"), F.col("part_c"))
+    needed = parts.where(wanted).select(F.col(group).alias("_group"), F.col("part").alias("_part"), "before", "n")
 
-    within = Window.partitionBy(group, "bucket").orderBy(value)
-    placed = bucketed.join(needed, [group, "bucket"]).withColumn(
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part"))
+    within = Window.partitionBy(group, "part").orderBy(value)
+    placed = counts.join(needed, same).withColumn(
         "start", F.col("before") + F.sum("c").over(within) - F.col("c")
     )
     picks = [F.max("n").alias("n")]
@@ -72,11 +67,3 @@ def exact_quantiles(
 
 def _holds(rank: Column, start: Column, size: Column) -> Column:
     return (rank >= start) & (rank < start + size)
-
-
-def _bucket(group: Column, value: Column, cuts: dict) -> Column:
-    number = F.lit(0)
-    for key, points in cuts.items():
-        below = F.size(F.filter(F.lit(points), lambda point: point <= value))
-        number = F.when(group == F.lit(key), below).otherwise(number)
-    return number

@@ -116,19 +116,22 @@ def exclusion_flags(
     )
 
 
-def fits_broadcast(frame: DataFrame) -> bool:
+def fits_broadcast(frame: DataFrame, limit: int | None = None) -> bool:
     """Size check of a one-row-per-patient side, from its row count and the length of its ids;
-    cheap on a written table."""
+    cheap on a written table. `limit` is in bytes, BROADCAST_BYTES by default. It chooses the plan
+    only; both plans give the same rows."""
     rows, id_bytes = frame.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("patient_id")), F.lit(0))
     ).first()
-    return rows * ROW_BYTES + id_bytes <= BROADCAST_BYTES
+    return rows * ROW_BYTES + id_bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def of_patients(known: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+def of_patients(
+    known: DataFrame, *tables: DataFrame, limit: int | None = None
+) -> list[DataFrame]:
     """The tables, cut to rows of the patients in `known` (a written table) if those are few enough
     to broadcast; unchanged otherwise, as the joins to come drop the other rows anyway."""
-    if not fits_broadcast(known):
+    if not fits_broadcast(known, limit):
         return list(tables)
     ids = F.broadcast(known.select("patient_id"))
     return [table.join(ids, "patient_id", "left_semi") for table in tables]
@@ -140,6 +143,7 @@ def index_cohort(
     encounters: DataFrame,
     spec: StudySpec,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """One row per (patient with a qualifying event, matching patient row), with every rule
     evaluated. Each table is scanned once; unsorted, because order belongs to the sink.
@@ -155,7 +159,7 @@ def index_cohort(
     events = _index_and_exclusions(conditions, spec)
     if stage is not None:
         events = stage(events)
-        patients, encounters = of_patients(events, patients, encounters)
+        patients, encounters = of_patients(events, patients, encounters, limit=limit)
     joined = events.join(_patient_blocks(patients), "patient_id", "left").join(
         first_observed(encounters), "patient_id", "left"
     )
@@ -244,7 +248,9 @@ def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
 
 def _patient_blocks(patients: DataFrame) -> DataFrame:
     """Patient attributes with equal rows collapsed to a count, cut into bounded blocks, so that
-    a patient copied very often adds a handful of rows to the join instead of all copies."""
+    a patient copied very often adds a handful of rows to the join instead of all copies. That is
+    why patients are exchanged twice, by the whole row and then by id: equal rows must merge before
+    they move, which an exchange by id alone would undo for a patient with very many copies."""
     copies = (
         patients.where(F.col("patient_id").isNotNull())
         .groupBy(*PATIENT_COLUMNS)

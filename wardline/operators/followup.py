@@ -36,11 +36,24 @@ def concept_frame(spark: SparkSession, sets: dict = CONCEPT_SETS) -> DataFrame:
     return spark.range(1).select(F.inline(whole))
 
 
-def concept_signal(events: DataFrame, date_column: str, concepts: DataFrame) -> DataFrame:
-    """Rows, distinct patients and date range per concept set with at least one event. The concept
-    list filters the events where they are read."""
+def coded_events(events: DataFrame, sets: dict) -> DataFrame:
+    """Events whose code is in a concept set, once for each set that lists it: a code listed twice
+    in a set, or under two vocabularies, counts once. The codes are a filter of plain values, which
+    reaches the scan; the pairs of set and code are literals too, so their size is known."""
+    pairs = sorted({(name, str(code)) for name, (_, _, codes) in sets.items() for code, _ in codes})
+    if not pairs:
+        return events.where(F.lit(False)).withColumn("concept_set", F.lit(None).cast("string"))
+    wanted = sorted({code for _, code in pairs})
+    listed = F.array(*[F.struct(F.lit(s).alias("concept_set"), F.lit(c).alias("code")) for s, c in pairs])
+    concepts = events.sparkSession.range(1).select(F.inline(listed))
+    return events.where(F.col("code").isin(wanted)).join(F.broadcast(concepts), "code")
+
+
+def concept_signal(events: DataFrame, date_column: str, sets: dict) -> DataFrame:
+    """Rows, distinct patients (null being one) and date range per concept set with at least one
+    event."""
     per_patient = (
-        events.join(concepts.select("concept_set", "code"), "code")
+        coded_events(events, sets)
         .groupBy("concept_set", "patient_id")
         .agg(
             F.count(F.lit(1)).alias("c"),
@@ -104,14 +117,17 @@ def future_date_check(layer: dict[str, DataFrame], dates: dict, reference_date:
 
 def followup_window(cohort: DataFrame, encounters: DataFrame, spec: StudySpec) -> DataFrame:
     """One row per cohort patient: follow-up from the index date to the earliest of the window
-    end, death and the last encounter, and which of them ended it."""
+    end, death and the end of the record, and which of them ended it. The record ends with the last
+    encounter or the death, whichever is later: a dated death is itself a record, so a death after
+    the last encounter is a death in follow-up and not the end of the record."""
     last_seen = (
         encounters.where(F.col("encounter_start_date").isNotNull())
         .groupBy("patient_id")
         .agg(F.max("encounter_start_date").alias("last_observed_date"))
     )
     window_end = F.add_months("index_date", spec.follow_up_months)
-    end = F.greatest("index_date", F.least("window_end", "death_date", "last_observed_date"))
+    record_end = F.coalesce("death_date", "last_observed_date")
+    end = F.greatest("index_date", F.least("window_end", record_end))
     return (
         cohort.groupBy("patient_id")
         .agg(F.min("index_date").alias("index_date"), F.min("death_date").alias("death_date"))
@@ -153,18 +169,23 @@ def baseline_window(cohort: DataFrame, encounters: DataFrame, spec: StudySpec) -
 
 
 def followup_totals(
-    events: DataFrame, date_column: str, windows: DataFrame, *keys: str, **sums: Column
+    events: DataFrame,
+    date_column: str,
+    windows: DataFrame,
+    *keys: str,
+    limit: int | None = None,
+    **sums: Column,
 ) -> DataFrame:
     """Events within each patient's follow-up, as one row per patient and extra keys: their number
-    (`events`) and the given sums (as decimals or integers, so that merging is exact).
+    (`events`) and the given sums.
 
-    A small cohort is broadcast: events are filtered where they are read and merged map-side. A
-    larger one joins events that were first merged per patient and day, which bounds what one
-    patient brings to the join.
+    A cohort within `limit` bytes is broadcast: events are filtered where they are read and merged
+    map-side. A larger one joins events that were first merged per patient and day, which bounds
+    what one patient brings to the join. Both give the same rows.
     """
     bounds = windows.select("patient_id", "index_date", "follow_up_end")
     inside = F.col(date_column).between(F.col("index_date"), F.col("follow_up_end"))
-    if fits_broadcast(windows):
+    if fits_broadcast(windows, limit):
         return (
             events.join(F.broadcast(bounds), "patient_id")
             .where(inside)
@@ -190,12 +211,12 @@ def _cohort_size(windows: DataFrame) -> Column:
 
 
 def medication_exposure(
-    medications: DataFrame, windows: DataFrame, concepts: DataFrame
+    medications: DataFrame, windows: DataFrame, sets: dict, limit: int | None = None
 ) -> DataFrame:
     """Per medication class: exposed patients, medication rows, and share of the cohort. Hand in
     written windows; they are read more than once."""
-    classed = medications.join(concepts.select("concept_set", "code"), "code")
-    per_patient = followup_totals(classed, "medication_start_date", windows, "concept_set")
+    classed = coded_events(medications, sets)
+    per_patient = followup_totals(classed, "medication_start_date", windows, "concept_set", limit=limit)
     return (
         per_patient.groupBy("concept_set")
         .agg(
@@ -208,11 +229,13 @@ def medication_exposure(
     )
 
 
-def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
+def utilization(
+    encounters: DataFrame, windows: DataFrame, limit: int | None = None
+) -> DataFrame:
     """Per encounter class: encounters and patients in the window, encounters per patient-year.
     Hand in written windows; they are read more than once."""
     per_patient = followup_totals(
-        encounters, "encounter_start_date", windows, "encounter_class"
+        encounters, "encounter_start_date", windows, "encounter_class", limit=limit
     )
     days = windows.agg(F.sum("follow_up_days").alias("d")).scalar()
     return (
@@ -229,10 +252,12 @@ def utilization(encounters: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFrame) -> DataFrame:
+def patient_costs(
+    costs: dict[str, tuple[DataFrame, str, str]], windows: DataFrame, limit: int | None = None
+) -> DataFrame:
     """Cost per cohort patient and kind (0 without events). `costs` maps a kind to its table, date
-    column and cost column. Sums are decimal, so they do not depend on row order. Hand in written
-    windows; they are read more than once."""
+    column and cost column. Amounts are added as doubles of any size. Hand in written windows; they
+    are read more than once."""
     events = reduce(
         DataFrame.unionByName,
         [
@@ -240,23 +265,19 @@ def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFra
                 "patient_id",
                 F.col(date_column).alias("day"),
                 F.lit(kind).alias("kind"),
-                F.col(cost_column).cast("decimal(18,2)").alias("amount"),
+                F.col(cost_column).cast("double").alias("amount"),
             )
             for kind, (frame, date_column, cost_column) in costs.items()
         ],
     )
     totals = (
-        followup_totals(events, "day", windows, "kind", cost=F.col("amount"))
+        followup_totals(events, "day", windows, "kind", limit=limit, cost=F.col("amount"))
         .groupBy("patient_id")
         .agg(*[F.sum(F.when(F.col("kind") == k, F.col("cost"))).alias(k) for k in costs])
     )
-    zero = F.lit(0).cast("decimal(28,2)")
     kinds = F.array(
         *[
-            F.struct(
-                F.lit(k).alias("kind"),
-                F.coalesce(F.col(k).cast("decimal(28,2)"), zero).alias("cost"),
-            )
+            F.struct(F.lit(k).alias("kind"), F.coalesce(k, F.lit(0.0)).alias("cost"))
             for k in costs
         ]
     )
@@ -270,33 +291,33 @@ def patient_costs(costs: dict[str, tuple[DataFrame, str, str]], windows: DataFra
 def cost_summary(per_patient: DataFrame) -> DataFrame:
     """Per cost kind: patients, total, mean, SD, quartiles and range of the patient costs. Reads
     its input more than once, so hand it a written table."""
-    cost = F.col("cost").cast("double")
+    cost = F.col("cost")
     n = F.count(F.lit(1))
     spread = per_patient.groupBy("kind").agg(
         n.alias("patients"),
-        F.sum("cost").cast("double").alias("total"),
+        F.sum(cost).alias("total"),
         F.avg(cost).alias("mean"),
         F.when(n > 1, F.stddev_samp(cost)).otherwise(F.lit(0.0)).alias("sd"),
         F.min(cost).alias("min"),
         F.max(cost).alias("max"),
     )
-    quartiles = exact_quantiles(
-        per_patient.select("kind", cost.alias("cost")), "kind", "cost", QUARTILES
-    )
+    quartiles = exact_quantiles(per_patient.select("kind", "cost"), "kind", "cost", QUARTILES)
     return spread.join(quartiles, "kind")
 
 
-def lab_rows(observations: DataFrame, windows: DataFrame, concepts: DataFrame) -> DataFrame:
+def lab_rows(
+    observations: DataFrame, windows: DataFrame, sets: dict, limit: int | None = None
+) -> DataFrame:
     """Numeric results of the concept codes per patient, day and value, with the number of equal
-    results and the day relative to the index date. A small cohort is broadcast; otherwise results
+    results and the day relative to the index date. A cohort within `limit` bytes is broadcast; otherwise results
     are merged before the join. Hand in written windows: both join sides are then plain shuffles,
     whose skewed partitions adaptive execution splits."""
     filled = F.col("observation_date").isNotNull() & F.col("value_numeric").isNotNull()
-    coded = observations.where(filled).join(concepts.select("concept_set", "code"), "code")
+    coded = coded_events(observations.where(filled), sets)
     bounds = windows.select("patient_id", "index_date", "follow_up_end")
     keys = ("concept_set", "patient_id", "observation_date", "value_numeric")
     number = F.count(F.lit(1)).alias("results")
-    if fits_broadcast(windows):
+    if fits_broadcast(windows, limit):
         joined = (
             coded.join(F.broadcast(bounds), "patient_id")
             .groupBy(*keys, "index_date", "follow_up_end")
@@ -322,7 +343,7 @@ def lab_report(rows: DataFrame) -> DataFrame:
     in_followup = (F.col("day") >= 0) & F.col("before_end")
     per_patient = rows.groupBy("concept_set", "patient_id").agg(
         F.sum(F.when(in_followup, results)).alias("results"),
-        F.sum(F.when(in_followup, value.cast("decimal(18,4)") * results)).alias("total"),
+        F.sum(F.when(in_followup, value * results)).alias("total"),
         F.min(F.when(in_followup, value)).alias("low"),
         F.max(F.when(in_followup, value)).alias("high"),
         F.bool_or(F.col("day") <= 0).alias("context"),
@@ -330,7 +351,7 @@ def lab_report(rows: DataFrame) -> DataFrame:
     spread = per_patient.groupBy("concept_set").agg(
         F.coalesce(F.sum("results"), F.lit(0)).alias("results"),
         F.count("results").alias("patients"),
-        (F.sum("total").cast("double") / F.sum("results")).alias("mean"),
+        (F.sum("total") / F.sum("results")).alias("mean"),
         F.min("low").alias("min"),
         F.max("high").alias("max"),
         F.count_if("context").alias("patients_with_context"),
@@ -342,26 +363,33 @@ def lab_report(rows: DataFrame) -> DataFrame:
 
 
 def lab_trajectory(rows: DataFrame, days_per_step: int = 90) -> DataFrame:
-    """Per concept set and step of days since the index date: results, mean and sample SD."""
-    value = F.col("value_numeric").cast("decimal(18,4)")
-    results = F.col("results")
+    """Per concept set and step of days since the index date: results, mean and sample SD. Values
+    are centred on the mean of their group before they are squared, so large values that differ
+    little keep their spread. Reads its input twice, so hand it a written table."""
+    value, results = F.col("value_numeric"), F.col("results")
+    keys = ["concept_set", "step"]
+    stepped = rows.where((F.col("day") >= 0) & F.col("before_end")).withColumn(
+        "step", F.floor(F.col("day") / days_per_step)
+    )
+    centres = stepped.groupBy(*keys).agg((F.sum(value * results) / F.sum(results)).alias("centre"))
+    off = value - F.col("centre")
     sums = (
-        rows.where((F.col("day") >= 0) & F.col("before_end"))
-        .groupBy("concept_set", F.floor(F.col("day") / days_per_step).alias("step"))
+        stepped.join(centres, keys)
+        .groupBy(*keys)
         .agg(
-            F.sum("results").alias("results"),
-            F.sum(value * results).cast("double").alias("s"),
-            F.sum((value * value).cast("decimal(28,8)") * results).cast("double").alias("ss"),
+            F.sum("results").alias("n"),
+            F.first("centre").alias("centre"),
+            F.sum(off * results).alias("s"),
+            F.sum(off * off * results).alias("ss"),
         )
     )
-    n, s = F.col("results"), F.col("s")
-    variance = (F.col("ss") - s * s / n) / (n - 1)
+    n, s = F.col("n"), F.col("s")
+    variance = F.greatest((F.col("ss") - s * s / n) / (n - 1), F.lit(0.0))
     return sums.select(
-        "concept_set",
-        "step",
-        "results",
-        (s / n).alias("mean"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0)).alias("sd"),
+        *keys,
+        n.alias("results"),
+        (F.col("centre") + s / n).alias("mean"),
+        F.when(n > 1, F.sqrt(variance)).otherwise(F.lit(0.0)).alias("sd"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import distinct_with_null, has_code, is_false, is_true, require_columns
+from ..functions.expr import has_code, is_false, is_true, require_columns
 from ..spec import StudySpec
 
 FUNNEL_COLUMNS = (
@@ -126,16 +126,24 @@ def index_summary(
         F.count_if(no_prior).alias("no_prior"),
         F.count_if(F.col("meets_final_phase1_rules")).alias("final"),
     )
-    # Counting a whole Parquet table reads no column; only the filtered part is scanned.
-    targets = conditions.where(qualifying).agg(
-        F.struct(total, distinct_with_null(F.col("patient_id")).alias("patients")).alias("t")
-    )
+    # One pass over the conditions. A null patient counts as one.
+    patient = F.col("patient_id")
+    null_patient = F.max(F.when(qualifying & patient.isNull(), 1).otherwise(0))
+    of_conditions = conditions.agg(
+        F.struct(
+            total,
+            F.count_if(qualifying).alias("targets"),
+            (
+                F.count_distinct(F.when(qualifying, patient)) + F.coalesce(null_patient, F.lit(0))
+            ).alias("patients"),
+        ).alias("t")
+    ).scalar()
     return counts.select(
         patients.agg(total).scalar().alias("patients_total"),
-        conditions.agg(total).scalar().alias("conditions_total"),
+        of_conditions.getField("n").alias("conditions_total"),
         encounters.agg(total).scalar().alias("encounters_total"),
-        targets.scalar().getField("n").alias("t2dm_condition_rows"),
-        targets.scalar().getField("patients").alias("t2dm_patient_count"),
+        of_conditions.getField("targets").alias("t2dm_condition_rows"),
+        of_conditions.getField("patients").cast("bigint").alias("t2dm_patient_count"),
         "index_cohort_rows",
         F.col("adult").alias("adult_index_cohort_rows"),
         (F.col("index_cohort_rows") - F.col("adult")).alias("underage_index_cohort_rows"),

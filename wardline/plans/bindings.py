@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..spec import CORE_TABLES, StudySpec
 
@@ -40,16 +39,17 @@ LAB_CONCEPTS = {
 REFERENCE_DATE = "2001-06-30"
 
 
-_SCHEMAS: dict[str, StructType] = {}
+# Order amounts as raw text, some of an extreme size or no finite number.
+EXTREME_AMOUNT = """CASE o_orderkey % 7 WHEN 0 THEN '10.005' WHEN 1 THEN '1e17' WHEN 2 THEN '1e400'
+    WHEN 3 THEN '0.00004' WHEN 4 THEN '-1e400' ELSE CAST(CAST(o_totalprice AS BIGINT) AS STRING) END"""
+# Results by event type: tiny ones, and large ones that differ little.
+EXTREME_RESULT = """CASE event_type WHEN 'click' THEN 0.00004 + (event_id % 3) * 1e-6
+    WHEN 'view' THEN 1e9 + (event_id % 3) * 0.125 ELSE value END"""
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables. Its schema is read from the files once; later reads of the same
-    path skip that job."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -101,18 +101,10 @@ def _lines(spark, sf_dir) -> DataFrame:
     )
 
 
-def _returned_lines(spark, sf_dir) -> DataFrame:
-    return _lines(spark, sf_dir).where("l_returnflag = 'R'")
-
-
 def _orders(spark, sf_dir) -> DataFrame:
     return source(spark, sf_dir, "orders")
 
 
-def _urgent_orders(spark, sf_dir) -> DataFrame:
-    return source(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'")
-
-
 def _events(spark, sf_dir) -> DataFrame:
     return source(spark, sf_dir, "events")
 
@@ -177,7 +169,7 @@ _SILVER = {
         "'observations' AS source_table",
     ),
     "procedures": (
-        _returned_lines,
+        _lines,
         "CAST(o_custkey AS STRING) AS patient_id",
         "CAST(l_orderkey AS STRING) AS encounter_id",
         f"{_SHIPPED} AS procedure_start_date",
@@ -188,7 +180,7 @@ _SILVER = {
         "'procedures' AS source_table",
     ),
     "careplans": (
-        _urgent_orders,
+        _orders,
         "CAST(o_orderkey AS STRING) AS careplan_id",
         "CAST(o_custkey AS STRING) AS patient_id",
         "CAST(o_orderkey AS STRING) AS encounter_id",
@@ -278,7 +270,7 @@ _BRONZE = {
         f"{_money('event_id', 'value')} AS VALUE",
     ),
     "procedures": (
-        _returned_lines,
+        _lines,
         f"{_stamp(_LINE_KEY, _SHIPPED)} AS START",
         "CAST(o_custkey AS STRING) AS PATIENT",
         "CAST(l_orderkey AS STRING) AS ENCOUNTER",
@@ -287,7 +279,7 @@ _BRONZE = {
         f"{_money(_LINE_KEY, 'l_extendedprice')} AS BASE_COST",
     ),
     "careplans": (
-        _urgent_orders,
+        _orders,
         "CAST(o_orderkey AS STRING) AS Id",
         f"{_stamp('o_orderkey', _ORDERED)} AS START",
         "CAST(o_custkey AS STRING) AS PATIENT",

@@ -62,7 +62,7 @@ SILVER_CTE = {
                CAST(l_shipdate AS DATE) AS procedure_start_date,
                CAST(l_shipdate AS DATE) AS procedure_stop_date,
                p_brand AS code, p_type AS description, l_extendedprice AS base_cost
-        FROM {_LINES} WHERE l_returnflag = 'R'""",
+        FROM {_LINES}""",
     "careplans": """
         SELECT CAST(o_orderkey AS VARCHAR) AS careplan_id,
                CAST(o_custkey AS VARCHAR) AS patient_id,
@@ -70,7 +70,7 @@ SILVER_CTE = {
                CAST(o_orderdate AS DATE) AS careplan_start_date,
                CAST(NULL AS DATE) AS careplan_stop_date,
                o_orderstatus AS code, o_orderpriority AS description
-        FROM orders WHERE o_orderpriority LIKE '1%'""",
+        FROM orders""",
     "labs": """
         SELECT CAST(user_id AS VARCHAR) AS patient_id,
                DATE '1995-01-01' + CAST((event_id * 37) % 2490 AS INTEGER) AS observation_date,
@@ -136,12 +136,12 @@ BRONZE_CTE = {
         SELECT {_stamp(_LINE_KEY, _SHIP)} AS "START", CAST(o_custkey AS VARCHAR) AS "PATIENT",
                CAST(l_orderkey AS VARCHAR) AS "ENCOUNTER", p_brand AS "CODE",
                p_type AS "DESCRIPTION", {_money(_LINE_KEY, "l_extendedprice")} AS "BASE_COST"
-        FROM {_LINES} WHERE l_returnflag = 'R'""",
+        FROM {_LINES}""",
     "careplans": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS "Id", {_stamp("o_orderkey", _ORDERED)} AS "START",
                CAST(o_custkey AS VARCHAR) AS "PATIENT", CAST(o_orderkey AS VARCHAR) AS "ENCOUNTER",
                o_orderstatus AS "CODE", o_orderpriority AS "DESCRIPTION"
-        FROM orders WHERE o_orderpriority LIKE '1%'""",
+        FROM orders""",
 }
 
 # Columns of the raw tables as bound, in order.
@@ -482,8 +482,8 @@ _FOLLOWUP = {
                     WHEN window_end <= follow_up_end THEN 'window_end'
                     ELSE 'end_of_record' END AS end_reason,
                CAST(follow_up_end - index_date AS BIGINT) AS follow_up_days
-        FROM (SELECT *, greatest(index_date, least(window_end, coalesce(death_date, window_end),
-                     coalesce(last_observed_date, window_end))) AS follow_up_end FROM bounded)""",
+        FROM (SELECT *, greatest(index_date, least(window_end,
+                     coalesce(death_date, last_observed_date, window_end))) AS follow_up_end FROM bounded)""",
 }
 
 
@@ -507,7 +507,7 @@ _COST_KINDS = (
 )
 _COSTS = " UNION ALL ".join(
     f"""SELECT w.patient_id, '{kind}' AS kind,
-        coalesce(sum(CAST(e.{cost} AS DECIMAL(18, 2))), 0) AS cost
+        coalesce(sum(CAST(e.{cost} AS DOUBLE)), 0) AS cost
         FROM windows w LEFT JOIN {table} e
         ON e.patient_id = w.patient_id AND e.{day} {_IN_WINDOW} GROUP BY w.patient_id"""
     for kind, table, day, cost in _COST_KINDS
@@ -836,13 +836,12 @@ def oracle_sql() -> dict[str, str]:
             WHERE e.encounter_start_date {_IN_WINDOW} GROUP BY encounter_class"""
     )
     sql["cost_summary"] = on_followup(
-        """SELECT kind, count(*) AS patients, CAST(sum(cost) AS DOUBLE) AS total,
-           round(avg(CAST(cost AS DOUBLE)), 4) AS mean,
-           round(stddev_samp(CAST(cost AS DOUBLE)), 4) AS sd,
-           CAST(min(cost) AS DOUBLE) AS min, CAST(max(cost) AS DOUBLE) AS max,
-           round(quantile_cont(CAST(cost AS DOUBLE), 0.25), 4) AS q1,
-           round(quantile_cont(CAST(cost AS DOUBLE), 0.5), 4) AS median,
-           round(quantile_cont(CAST(cost AS DOUBLE), 0.75), 4) AS q3
+        """SELECT kind, count(*) AS patients, round(sum(cost), 5) AS total,
+           round(avg(cost), 5) AS mean, round(stddev_samp(cost), 5) AS sd,
+           round(min(cost), 5) AS min, round(max(cost), 5) AS max,
+           round(quantile_cont(cost, 0.25), 5) AS q1,
+           round(quantile_cont(cost, 0.5), 5) AS median,
+           round(quantile_cont(cost, 0.75), 5) AS q3
            FROM costs GROUP BY kind""",
         "medications",
         "procedures",
@@ -853,8 +852,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT concept_set,
            count(*) FILTER (WHERE day >= 0 AND before_end) AS results,
            count(DISTINCT patient_id) FILTER (WHERE day >= 0 AND before_end) AS patients,
-           round(CAST(sum(CAST(value AS DECIMAL(18, 4))) FILTER (WHERE day >= 0 AND before_end)
-               AS DOUBLE) / count(*) FILTER (WHERE day >= 0 AND before_end), 6) AS mean,
+           round(avg(value) FILTER (WHERE day >= 0 AND before_end), 6) AS mean,
            min(value) FILTER (WHERE day >= 0 AND before_end) AS min,
            max(value) FILTER (WHERE day >= 0 AND before_end) AS max,
            count(DISTINCT patient_id) FILTER (WHERE day <= 0) AS patients_with_context,
@@ -900,10 +898,67 @@ def oracle_sql() -> dict[str, str]:
             for target, (table, day) in model.items()
         ),
     )
-    sql["common_model_condition"] = with_tables(
-        _silver_ctes("conditions"),
-        """SELECT patient_id AS person_source_value, encounter_id AS visit_source_value,
-           condition_start_date, condition_stop_date AS condition_end_date,
-           code AS condition_source_value FROM conditions""",
+    narrow = {
+        "person": """SELECT patient_id AS person_source_value, birth_year AS year_of_birth,
+            birth_date, death_date, sex AS gender_source_value, race AS race_source_value,
+            ethnicity AS ethnicity_source_value FROM patients""",
+        "visit": """SELECT encounter_id AS visit_source_value, patient_id AS person_source_value,
+            encounter_start_date AS visit_start_date, encounter_stop_date AS visit_end_date,
+            encounter_class AS visit_type FROM encounters""",
+        "condition": """SELECT patient_id AS person_source_value,
+            encounter_id AS visit_source_value, condition_start_date,
+            condition_stop_date AS condition_end_date, code AS condition_source_value
+            FROM conditions""",
+        "drug": """SELECT patient_id AS person_source_value, encounter_id AS visit_source_value,
+            medication_start_date AS drug_exposure_start_date,
+            medication_stop_date AS drug_exposure_end_date, code AS drug_source_value,
+            dispenses AS quantity FROM medications""",
+        "measurement": """SELECT patient_id AS person_source_value,
+            encounter_id AS visit_source_value, observation_date AS measurement_date,
+            code AS measurement_source_value, value_numeric AS value_as_number,
+            units AS unit_source_value FROM observations""",
+        "procedure": """SELECT patient_id AS person_source_value,
+            encounter_id AS visit_source_value, procedure_start_date AS procedure_date,
+            code AS procedure_source_value FROM procedures""",
+    }
+    for name, body in narrow.items():
+        sql[f"common_model_{name}"] = with_tables(_silver_ctes(body.rsplit(" ", 1)[1]), body)
+    for name in ("medication_exposure", "utilization", "cost_summary", "lab_summary"):
+        sql[f"{name}_large"] = sql[name]
+    sql["index_cohort_staged"] = sql["index_cohort_staged_large"] = sql["index_cohort"]
+    statistics = ", ".join(
+        f"printf('%.8e', {expression}) AS {name}"
+        for name, expression in (
+            ("total", "sum(cost)"), ("mean", "avg(cost)"), ("sd", "stddev_samp(cost)"),
+            ("min", "min(cost)"), ("q1", "quantile_cont(cost, 0.25)"),
+            ("median", "quantile_cont(cost, 0.5)"), ("q3", "quantile_cont(cost, 0.75)"),
+            ("max", "max(cost)"),
+        )
     )
+    sql["cost_extremes"] = f"""
+        WITH amounts AS (
+            SELECT o_custkey, CAST(CASE o_orderkey % 7 WHEN 0 THEN 10.005 WHEN 1 THEN 1e17
+                WHEN 2 THEN NULL WHEN 3 THEN 0.00004 WHEN 4 THEN NULL ELSE trunc(o_totalprice) END
+                AS DOUBLE) AS amount FROM orders),
+        costs AS (
+            SELECT 'large' AS kind, c_custkey, coalesce(sum(amount), 0) AS cost
+            FROM customer LEFT JOIN amounts ON c_custkey = o_custkey GROUP BY c_custkey
+            UNION ALL
+            SELECT 'small', c_custkey, coalesce(sum(amount), 0)
+            FROM customer LEFT JOIN amounts ON c_custkey = o_custkey AND amount < 1000
+            GROUP BY c_custkey)
+        SELECT kind, count(*) AS patients, {statistics} FROM costs GROUP BY kind"""
+    sql["lab_extremes"] = """
+        SELECT concept_set, step, count(*) AS results, printf('%.8e', avg(v)) AS mean,
+            printf('%.3e', CASE WHEN count(*) > 1 THEN stddev_samp(v) ELSE 0.0 END) AS sd
+        FROM (SELECT event_type AS concept_set, CAST((event_id % 400) // 90 AS BIGINT) AS step,
+            CASE event_type WHEN 'click' THEN CAST(0.00004 AS DOUBLE) + (event_id % 3) * CAST(1e-6 AS DOUBLE)
+                WHEN 'view' THEN CAST(1e9 AS DOUBLE) + (event_id % 3) * CAST(0.125 AS DOUBLE)
+                ELSE value END AS v FROM events)
+        GROUP BY concept_set, step"""
+    sql["quantiles_many_groups"] = """
+        SELECT o_custkey, round(quantile_cont(o_totalprice, 0.25), 4) AS q1,
+            round(quantile_cont(o_totalprice, 0.5), 4) AS median,
+            round(quantile_cont(o_totalprice, 0.75), 4) AS q3
+        FROM orders GROUP BY o_custkey"""
     return sql

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import completed_years, days_between
+from ..functions.expr import completed_years, days_between, lenient_double
+from ..functions.quantiles import exact_quantiles
 from ..operators import cohort as cohorts
 from ..operators import followup, funnel, quality, summary
 from ..operators.normalize import normalize
@@ -25,6 +26,11 @@ from .bindings import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 HASH_BUCKET = 500
+# Common-model table -> end of its query's name.
+MODEL_KEYS = {
+    "person": "person", "visit_occurrence": "visit", "condition_occurrence": "condition",
+    "drug_exposure": "drug", "measurement": "measurement", "procedure_occurrence": "procedure",
+}
 
 
 def _three(spark, sf_dir):
@@ -37,6 +43,14 @@ def index_cohort(spark, sf_dir, spec=BOUND_STUDY):
     return cohorts.index_cohort(*_three(spark, sf_dir), spec)
 
 
+def index_cohort_staged(spark, sf_dir, limit=None):
+    """The form the study runs: index events written first, then one of two joins by their size."""
+    return cohorts.index_cohort(
+        *_three(spark, sf_dir), BOUND_STUDY,
+        stage=lambda events: layers.materialize(events, "index_events"), limit=limit,
+    )
+
+
 def _final(spark, sf_dir):
     return cohorts.final_cohort(index_cohort(spark, sf_dir))
 
@@ -328,10 +342,15 @@ def end_to_end(spark, sf_dir):
 # --- beyond the baseline report --------------------------------------------------------------
 
 
+def _kept_final(spark, sf_dir):
+    """The final cohort written out, and the encounters of its patients."""
+    final = layers.materialize(_final(spark, sf_dir), "final")
+    (seen,) = cohorts.of_patients(final, bindings.silver(spark, sf_dir, "encounters"))
+    return final, seen
+
+
 def _windows(spark, sf_dir):
-    return followup.followup_window(
-        _final(spark, sf_dir), bindings.silver(spark, sf_dir, "encounters"), BOUND_STUDY
-    )
+    return followup.followup_window(*_kept_final(spark, sf_dir), BOUND_STUDY)
 
 
 def _kept_windows(spark, sf_dir):
@@ -343,7 +362,7 @@ def concept_signal(spark, sf_dir):
     return followup.concept_signal(
         bindings.silver(spark, sf_dir, "medications"),
         "medication_start_date",
-        followup.concept_frame(spark, FOLLOWUP_CONCEPTS),
+        FOLLOWUP_CONCEPTS,
     )
 
 
@@ -358,15 +377,14 @@ def future_date_check(spark, sf_dir):
 
 
 def baseline_window(spark, sf_dir):
-    return followup.baseline_window(
-        _final(spark, sf_dir), bindings.silver(spark, sf_dir, "encounters"), BOUND_STUDY
-    )
+    return followup.baseline_window(*_kept_final(spark, sf_dir), BOUND_STUDY)
 
 
 def pregnancy_followup(spark, sf_dir):
-    windows = _windows(spark, sf_dir)
+    windows = _kept_windows(spark, sf_dir)
+    (conditions,) = cohorts.of_patients(windows, bindings.silver(spark, sf_dir, "conditions"))
     return cohorts.exclusion_flags(
-        bindings.silver(spark, sf_dir, "conditions"),
+        conditions,
         windows.select("patient_id", "index_date", "follow_up_end"),
         BOUND_STUDY.window_exclusion_code,
         "has_event_in_window",
@@ -378,21 +396,22 @@ def pregnancy_followup(spark, sf_dir):
     )
 
 
-def medication_exposure(spark, sf_dir):
+def medication_exposure(spark, sf_dir, limit=None):
     return followup.medication_exposure(
         bindings.silver(spark, sf_dir, "medications"),
         _kept_windows(spark, sf_dir),
-        followup.concept_frame(spark, FOLLOWUP_CONCEPTS),
+        FOLLOWUP_CONCEPTS,
+        limit,
     )
 
 
-def utilization(spark, sf_dir):
+def utilization(spark, sf_dir, limit=None):
     return followup.utilization(
-        bindings.silver(spark, sf_dir, "encounters"), _kept_windows(spark, sf_dir)
+        bindings.silver(spark, sf_dir, "encounters"), _kept_windows(spark, sf_dir), limit
     )
 
 
-def cost_summary(spark, sf_dir):
+def _patient_costs(spark, sf_dir, limit=None):
     costs = {
         table: (bindings.silver(spark, sf_dir, table), day, cost)
         for table, day, cost in (
@@ -401,23 +420,62 @@ def cost_summary(spark, sf_dir):
             ("procedures", "procedure_start_date", "base_cost"),
         )
     }
-    per_patient = layers.materialize(
-        followup.patient_costs(costs, _kept_windows(spark, sf_dir)), "costs"
+    return followup.patient_costs(costs, _kept_windows(spark, sf_dir), limit)
+
+
+def _rounded_costs(per_patient, digits):
+    """Sums of doubles differ in their last bits with the order of rows: rounded to be compared."""
+    found = followup.cost_summary(layers.materialize(per_patient, "costs"))
+    rounded = ("total", "mean", "sd", "min", "q1", "median", "q3", "max")
+    return found.withColumns({c: F.round(c, digits) for c in rounded})
+
+
+def cost_summary(spark, sf_dir, limit=None):
+    return _rounded_costs(_patient_costs(spark, sf_dir, limit), 5)
+
+
+def cost_extremes(spark, sf_dir):
+    """The costs of a lifetime per customer, with amounts of every size and raw text that holds no
+    finite number: half cents, 1e17, 1e400."""
+    windows = bindings.source(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS patient_id", "DATE'1900-01-01' AS index_date",
+        "DATE'2100-01-01' AS follow_up_end",
     )
-    rounded = ("mean", "sd", "q1", "median", "q3")
-    return followup.cost_summary(per_patient).withColumns({c: F.round(c, 4) for c in rounded})
+    orders = bindings.source(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_custkey AS STRING) AS patient_id", "to_date(o_orderdate) AS day",
+        f"{bindings.EXTREME_AMOUNT} AS amount",
+    )
+    typed = orders.withColumn("amount", lenient_double(F.col("amount")))
+    costs = {"large": (typed, "day", "amount"), "small": (typed.where("amount < 1000"), "day", "amount")}
+    found = followup.cost_summary(
+        layers.materialize(followup.patient_costs(costs, layers.materialize(windows, "windows")), "costs")
+    )
+    # Twelve digits: amounts from half a cent to 1e17 stand in one table.
+    numbers = ("total", "mean", "sd", "min", "q1", "median", "q3", "max")
+    return found.select("kind", "patients", *[_digits(F.col(c)).alias(c) for c in numbers])
 
 
-def _lab_rows(spark, sf_dir):
-    return followup.lab_rows(
-        bindings.silver(spark, sf_dir, "labs"),
-        _kept_windows(spark, sf_dir),
-        followup.concept_frame(spark, LAB_CONCEPTS),
+def _digits(value):
+    """A number with nine significant digits, as text."""
+    return F.format_string("%.8e", value)
+
+
+def quantiles_many_groups(spark, sf_dir):
+    """Quartiles of the order totals of every customer: as many groups as customers."""
+    orders = bindings.source(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    found = exact_quantiles(orders, "o_custkey", "o_totalprice", followup.QUARTILES)
+    return found.withColumns({c: F.round(c, 4) for c in followup.QUARTILES})
+
+
+def _lab_rows(spark, sf_dir, limit=None):
+    rows = followup.lab_rows(
+        bindings.silver(spark, sf_dir, "labs"), _kept_windows(spark, sf_dir), LAB_CONCEPTS, limit
     )
+    return layers.materialize(rows, "lab_rows")
 
 
-def lab_summary(spark, sf_dir):
-    rows = layers.materialize(_lab_rows(spark, sf_dir), "lab_rows")
+def lab_summary(spark, sf_dir, limit=None):
+    rows = _lab_rows(spark, sf_dir, limit)
     return followup.lab_report(rows).withColumns(
         {c: F.round(c, 6) for c in ("mean", "q1", "median", "q3")}
     )
@@ -428,6 +486,20 @@ def lab_trajectory(spark, sf_dir):
     return steps.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
 
 
+def lab_extremes(spark, sf_dir):
+    """Mean and spread of results that are tiny, or large and close together."""
+    rows = bindings.source(spark, sf_dir, "events").selectExpr(
+        "event_type AS concept_set", "CAST(user_id AS STRING) AS patient_id",
+        f"{bindings.EXTREME_RESULT} AS value_numeric", "CAST(1 AS BIGINT) AS results",
+        "CAST(event_id % 400 AS BIGINT) AS day", "TRUE AS before_end",
+    )
+    steps = followup.lab_trajectory(layers.materialize(rows, "lab_extremes"))
+    return steps.select(
+        "concept_set", "step", "results", _digits(F.col("mean")).alias("mean"),
+        F.format_string("%.3e", "sd").alias("sd"),
+    )
+
+
 def survival_table(spark, sf_dir):
     table = followup.survival_table(_windows(spark, sf_dir))
     return table.withColumn("survival", F.round("survival", 9))
@@ -447,9 +519,11 @@ def common_model(spark, sf_dir):
     return followup.model_profile(tables, day)
 
 
-def common_model_condition(spark, sf_dir):
-    conditions = bindings.silver(spark, sf_dir, "conditions")
-    return followup.common_model_table("condition_occurrence", conditions)
+def _model_query(target: str) -> Query:
+    source, _ = followup.COMMON_MODEL[target]
+    return lambda spark, sf_dir: followup.common_model_table(
+        target, bindings.silver(spark, sf_dir, source)
+    )
 
 
 def queries() -> dict[str, Query]:
@@ -511,7 +585,17 @@ def queries() -> dict[str, Query]:
             "lab_trajectory": lab_trajectory,
             "survival_table": survival_table,
             "common_model": common_model,
-            "common_model_condition": common_model_condition,
+            "index_cohort_staged": index_cohort_staged,
+            "index_cohort_staged_large": lambda spark, sf_dir: index_cohort_staged(spark, sf_dir, 0),
+            "medication_exposure_large": lambda spark, sf_dir: medication_exposure(spark, sf_dir, 0),
+            "utilization_large": lambda spark, sf_dir: utilization(spark, sf_dir, 0),
+            "cost_summary_large": lambda spark, sf_dir: cost_summary(spark, sf_dir, 0),
+            "lab_summary_large": lambda spark, sf_dir: lab_summary(spark, sf_dir, 0),
+            "cost_extremes": cost_extremes,
+            "lab_extremes": lab_extremes,
+            "quantiles_many_groups": quantiles_many_groups,
         }
     )
+    for target in followup.COMMON_MODEL:
+        registered[f"common_model_{MODEL_KEYS[target]}"] = _model_query(target)
     return registered

@@ -155,12 +155,13 @@ def build_followup(
         "patient_costs",
     )
     labs = written(
-        followup.lab_rows(observations, windows, followup.concept_frame(spark, lab_sets)),
+        followup.lab_rows(observations, windows, lab_sets),
         "lab_rows",
     )
-    classes = followup.concept_frame(spark, medication_classes)
     out = {
-        "medication_exposure": followup.medication_exposure(medications, windows, classes),
+        "medication_exposure": followup.medication_exposure(
+            medications, windows, medication_classes
+        ),
         "lab_summary": followup.lab_report(labs),
         "lab_trajectory": followup.lab_trajectory(labs),
         "utilization": followup.utilization(encounters, windows),
