@@ -46,7 +46,7 @@ def bronze_to_silver(
 
 
 def _normalize_table(spark, bronze_dir, silver_dir, table) -> tuple:
-    raw = layers.read_table(spark, bronze_dir, table)
+    raw = layers.read_table(layers.exact_names(spark), bronze_dir, table)
     typed = normalize(table, raw)
     if "code" in typed.columns:
         # Sorted inside each file (no shuffle), a filter on a few codes skips most Parquet pages.

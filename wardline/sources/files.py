@@ -44,8 +44,10 @@ def _filesystem(path: str):
     return fs.LocalFileSystem(), path
 
 
-def _visible(base_name: str) -> bool:
-    return not base_name.startswith(("_", "."))
+def is_hidden(path: str) -> bool:
+    """Names that Spark's readers leave out: side files of a writer, when they stand in a table's
+    folder. A table itself may have such a name."""
+    return path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", "."))
 
 
 def path_exists(path: str) -> bool:
@@ -54,7 +56,8 @@ def path_exists(path: str) -> bool:
 
 
 def entry(path: str) -> FileEntry | None:
-    """The table at `path`: a file, or a directory holding at least one visible file."""
+    """The table at `path`: a file, or a directory holding at least one part file at any depth (as
+    in tables partitioned by folder); files and folders that Spark's readers skip are no parts."""
     system, inner = _filesystem(path)
     info = system.get_file_info(inner)
     name = path.rstrip("/").rsplit("/", 1)[-1]
@@ -62,11 +65,13 @@ def entry(path: str) -> FileEntry | None:
         return FileEntry(name, path, ((path, info.size),))
     if info.type != fs.FileType.Directory:
         return None
-    found = system.get_file_info(fs.FileSelector(inner))
+    found = system.get_file_info(fs.FileSelector(inner, recursive=True))
+    start = len(inner.rstrip("/")) + 1
     parts = sorted(
-        (f"{path.rstrip('/')}/{part.base_name}", part.size)
+        (f"{path.rstrip('/')}/{part.path[start:]}", part.size)
         for part in found
-        if part.type == fs.FileType.File and _visible(part.base_name)
+        if part.type == fs.FileType.File
+        and not any(is_hidden(step) and "=" not in step for step in part.path[start:].split("/"))
     )
     return FileEntry(name, path, tuple(parts)) if parts else None
 
@@ -75,7 +80,24 @@ def list_directory(path: str, suffix: str) -> list[str]:
     """Sorted names directly under `path` that end with `suffix`; none if it does not exist."""
     system, inner = _filesystem(path)
     found = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
-    return sorted(f.base_name for f in found if f.base_name.endswith(suffix) and _visible(f.base_name))
+    return sorted(f.base_name for f in found if f.base_name.endswith(suffix))
+
+
+def _copy_batches(batches):
+    for batch in batches:
+        for source, target in zip(batch["source"], batch["target"], strict=True):
+            (system, inner), (to_system, to_inner) = _filesystem(source), _filesystem(target)
+            to_system.create_dir(to_inner.rsplit("/", 1)[0], recursive=True)
+            with system.open_input_stream(inner) as stream, to_system.open_output_stream(to_inner) as out:
+                while chunk := stream.read(CHUNK):
+                    out.write(chunk)
+        yield batch
+
+
+def copy_in_tasks(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    """Copy files, (source, target) each, in tasks and by chunks."""
+    frame = spark.createDataFrame(pairs, "source string, target string").repartition(len(pairs))
+    frame.mapInPandas(_copy_batches, frame.schema).write.format("noop").mode("overwrite").save()
 
 
 def csv_header(path: str) -> list[str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +36,36 @@ def need_table(spark: SparkSession, layer_dir: str, table: str, hint: str) -> Da
     return read_table(spark, layer_dir, table)
 
 
-def write_table(frame: DataFrame, layer_dir: str, table: str) -> str:
+def exact_names(spark: SparkSession) -> SparkSession:
+    """A session of the same application that tells column names apart by case. Raw headers may
+    hold names that differ in nothing else."""
+    exact = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "wardline.scratch.dir"):
+        if value := spark.conf.get(name, None):
+            exact.conf.set(name, value)
+    exact.conf.set("spark.sql.caseSensitive", "true")
+    return exact
+
+
+def write_table(frame: DataFrame, layer_dir: str, table: str, partition_by=()) -> str:
+    """Write a layer table; with `partition_by` in a folder for each value of those columns."""
     path = table_path(layer_dir, table)
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def write_csv(frame: DataFrame, path: str) -> str:
-    """CSV part files with a header each; as many as the frame has partitions."""
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    """CSV part files with a header each; as many as the frame has partitions. Quotes are doubled,
+    as CSV readers expect them, and spaces at the edges of a text stay."""
+    (
+        frame.write.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
@@ -88,6 +110,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """A function like `materialize` whose folders are deleted at the end of the block, after their
+    last reader."""
+    made = []
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        made.append(scratch_dir(spark, name))
+        frame.write.parquet(made[-1])
+        return spark.read.schema(frame.schema).parquet(made[-1])
+
+    try:
+        yield kept
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame that several passes will read, and read it back: cuts the lineage, and the
     copy outlives any executor."""
