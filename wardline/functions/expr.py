@@ -50,9 +50,16 @@ def clean_level(value: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("Missing")).otherwise(text)
 
 
-def has_code(code: str, column: str = "code") -> Column:
-    """Code equality as text. On a text column the cast disappears and the filter is pushed down."""
-    return F.col(column).cast("string") == F.lit(str(code))
+def code_list(codes) -> tuple[str, ...]:
+    """A rule's codes: one code, or several written one after the other between bars."""
+    return tuple(dict.fromkeys(str(codes).split("|")))
+
+
+def has_code(codes, column: str = "code") -> Column:
+    """Code equality as text, with any of a rule's codes. On a text column the cast disappears and
+    the filter is pushed down."""
+    text, wanted = F.col(column).cast("string"), code_list(codes)
+    return text == F.lit(wanted[0]) if len(wanted) == 1 else text.isin(*wanted)
 
 
 def distinct_with_null(column: Column) -> Column:

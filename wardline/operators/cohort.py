@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import (
     completed_years,
     days_between,
+    code_list,
     has_code,
     is_true,
     require_columns,
@@ -198,8 +199,9 @@ def _coded_days(conditions: DataFrame, wanted: Column) -> DataFrame:
 
 def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
     """Index event and both exclusion flags from one pass over the three codes."""
-    codes = (spec.target_code, spec.prior_exclusion_code, spec.window_exclusion_code)
-    target, prior, window = (has_code(code) for code in codes)
+    rules = (spec.target_code, spec.prior_exclusion_code, spec.window_exclusion_code)
+    target, prior, window = (has_code(rule) for rule in rules)
+    codes = dict.fromkeys(code for rule in rules for code in code_list(rule))
     day = F.col("condition_start_date")
 
     days = (

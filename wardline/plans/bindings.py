@@ -35,6 +35,13 @@ LAB_CONCEPTS = {
     "lab_a": ("bound", "monitoring", (("click", "a"),)),
     "lab_b": ("bound", "monitoring", (("view", "b"), ("error", "b"))),
 }
+
+
+def study_concepts(sets: dict, uses) -> dict:
+    """The sets with a use that the study run looks for."""
+    return {name: (vocabulary, uses[0], codes) for name, (vocabulary, _, codes) in sets.items()}
+
+
 # Some bound dates lie after this day.
 REFERENCE_DATE = "2001-06-30"
 

@@ -612,16 +612,18 @@ def _flags(code: str, operator: str, flag: str, first: str, rows: str) -> str:
     )
 
 
+RAW_DATES = (
+    ("patients", "BIRTHDATE"), ("patients", "DEATHDATE"),
+    ("encounters", "START"), ("encounters", "STOP"),
+    ("conditions", "START"), ("conditions", "STOP"),
+    ("medications", "START"), ("observations", "DATE"),
+    ("procedures", "START"), ("careplans", "START"),
+)
+
+
 def _date_parse() -> str:
-    columns = (
-        ("patients", "BIRTHDATE"), ("patients", "DEATHDATE"),
-        ("encounters", "START"), ("encounters", "STOP"),
-        ("conditions", "START"), ("conditions", "STOP"),
-        ("medications", "START"), ("observations", "DATE"),
-        ("procedures", "START"), ("careplans", "START"),
-    )
     parts = []
-    for table, column in columns:
+    for table, column in RAW_DATES:
         parsed = sql_date(f'"{column}"')
         parts.append(
             f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
@@ -635,20 +637,22 @@ def _date_parse() -> str:
     )
 
 
+SILVER_DATE_COLUMNS = (
+    ("patients", "birth_date"), ("patients", "death_date"),
+    ("encounters", "encounter_start_date"), ("encounters", "encounter_stop_date"),
+    ("conditions", "condition_start_date"), ("conditions", "condition_stop_date"),
+    ("medications", "medication_start_date"), ("medications", "medication_stop_date"),
+    ("observations", "observation_date"),
+    ("procedures", "procedure_start_date"), ("procedures", "procedure_stop_date"),
+    ("careplans", "careplan_start_date"), ("careplans", "careplan_stop_date"),
+)
+
+
 def _future_dates() -> str:
-    columns = (
-        ("patients", "birth_date"), ("patients", "death_date"),
-        ("encounters", "encounter_start_date"), ("encounters", "encounter_stop_date"),
-        ("conditions", "condition_start_date"), ("conditions", "condition_stop_date"),
-        ("medications", "medication_start_date"), ("medications", "medication_stop_date"),
-        ("observations", "observation_date"),
-        ("procedures", "procedure_start_date"), ("procedures", "procedure_stop_date"),
-        ("careplans", "careplan_start_date"), ("careplans", "careplan_stop_date"),
-    )
     parts = " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, '{c}' AS column_name,
             count(*) FILTER (WHERE {c} > DATE '{REFERENCE_DATE}') AS after_reference_date FROM {t}"""
-        for t, c in columns
+        for t, c in SILVER_DATE_COLUMNS
     )
     return with_tables(
         _silver_ctes(*(t for t in SILVER_CTE if t != "labs")),
@@ -656,6 +660,73 @@ def _future_dates() -> str:
     )
 
 
+def _study_outputs() -> str:
+    """Rows of each output of the whole study, from the raw text tables, and a sum over them."""
+    ctes = {f"raw_{t}": text for t, text in BRONZE_CTE.items()}
+    ctes.update({t: _normalized(t, f"raw_{t}") for t in BRONZE_CTE})
+    ctes.update(cohort_ctes())
+    ctes.update(_FOLLOWUP)
+    ctes["drugs"], ctes["tests"] = _concepts(FOLLOWUP_CONCEPTS), _concepts(LAB_CONCEPTS)
+    ctes["costs"] = _COSTS
+    ctes["attrition"] = _attrition()
+    ctes["results"] = """SELECT k.concept_set,
+        CAST(o.observation_date - w.index_date AS BIGINT) AS day,
+        o.observation_date >= w.index_date AND o.observation_date <= w.follow_up_end AS counts
+        FROM observations o JOIN tests k ON o.code = k.code
+        JOIN windows w ON o.patient_id = w.patient_id
+        WHERE o.value_numeric IS NOT NULL AND o.observation_date IS NOT NULL"""
+    ctes["raw_dates"] = " UNION ALL ".join(
+        f"""SELECT count(*) FILTER (WHERE "{c}" IS NOT NULL AND ({sql_date(f'"{c}"')}) IS NULL) AS v
+        FROM raw_{t}"""
+        for t, c in RAW_DATES
+    )
+    ctes["late_dates"] = " UNION ALL ".join(
+        f"SELECT count(*) FILTER (WHERE {c} > DATE '{REFERENCE_DATE}') AS v FROM {t}"
+        for t, c in SILVER_DATE_COLUMNS
+    )
+    days = BOUND_STUDY.baseline_days
+    values = {
+        "index_cohort": "SELECT observable_history_days_before_index AS v FROM cohort",
+        "attrition": "SELECT remaining_n AS v FROM attrition",
+        "final_cohort": "SELECT age_at_index AS v FROM final",
+        "followup_window": "SELECT follow_up_days AS v FROM windows",
+        "medication_exposure": f"""SELECT count(*) AS v FROM medications m
+            JOIN drugs k ON m.code = k.code JOIN windows w ON m.patient_id = w.patient_id
+            WHERE m.medication_start_date {_IN_WINDOW} GROUP BY concept_set""",
+        "utilization": f"""SELECT count(*) AS v FROM encounters e
+            JOIN windows w ON e.patient_id = w.patient_id
+            WHERE e.encounter_start_date {_IN_WINDOW} GROUP BY encounter_class""",
+        "cost_summary": "SELECT sum(cost) AS v FROM costs GROUP BY kind",
+        "lab_summary": "SELECT count(*) FILTER (WHERE counts) AS v FROM results GROUP BY concept_set",
+        "lab_trajectory": """SELECT count(*) AS v FROM results WHERE counts
+            GROUP BY concept_set, day // 90""",
+        "survival_table": """SELECT count(*) FILTER (WHERE end_reason = 'death') AS v
+            FROM windows GROUP BY follow_up_days""",
+        "baseline_window": f"""SELECT (SELECT count(*) FROM encounters e
+            WHERE e.patient_id = w.patient_id AND e.encounter_start_date < w.index_date
+              AND e.encounter_start_date >= w.index_date - {days}) AS v FROM windows w""",
+        "exclusion_in_followup": f"""SELECT count(*) AS v FROM conditions c
+            JOIN windows w ON c.patient_id = w.patient_id
+            WHERE c.code = '{BOUND_STUDY.window_exclusion_code}' AND c.condition_start_date
+                BETWEEN w.index_date - {days} AND w.follow_up_end GROUP BY c.patient_id""",
+        "date_parse_check": "SELECT v FROM raw_dates",
+        "future_date_check": "SELECT v FROM late_dates",
+        "model_person": "SELECT birth_year AS v FROM patients",
+        "model_visit_occurrence": "SELECT 1 AS v FROM encounters",
+        "model_condition_occurrence": """SELECT CASE WHEN code LIKE 'Brand#1%' THEN 1 ELSE 0 END
+            AS v FROM conditions""",
+        "model_drug_exposure": "SELECT dispenses AS v FROM medications",
+        "model_measurement": "SELECT value_numeric AS v FROM observations",
+        "model_procedure_occurrence": "SELECT 1 AS v FROM procedures",
+    }
+    body = " UNION ALL ".join(
+        f"""SELECT '{name}' AS output, count(*) AS row_count,
+            coalesce(round(sum(CAST(v AS DOUBLE)), 4), 0) AS value FROM ({text})"""
+        for name, text in values.items()
+    )
+    return with_tables(ctes, body)
+
+
 def oracle_sql() -> dict[str, str]:
     silver_from_text = {f"raw_{t}": BRONZE_CTE[t] for t in ("patients", "conditions", "encounters")}
     for t in ("patients", "conditions", "encounters"):
@@ -935,6 +1006,23 @@ def oracle_sql() -> dict[str, str]:
             ("max", "max(cost)"),
         )
     )
+    sql["study_outputs"] = _study_outputs()
+    sql["bronze_cells"] = """
+        SELECT 'documents' AS table_name, CAST(doc_id AS VARCHAR) AS cell_0,
+            nullif(text, '') AS cell_1, nullif(lang, '') AS cell_2, nullif(source, '') AS cell_3,
+            CAST(n_chars AS VARCHAR) AS cell_4 FROM documents
+        UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR),
+            nullif(role, ''), nullif(text, ''), NULL FROM conversations
+        UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), nullif(url, ''), nullif(html, ''),
+            NULL, NULL FROM pages"""
+    sql["bronze_expected_only"] = """
+        SELECT 'nation' AS table_name, (SELECT count(*) FROM nation) AS row_count,
+            CAST(3 AS INTEGER) AS column_count, 'converted' AS status
+        UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier), 4, 'converted'
+        UNION ALL SELECT 'part', NULL, NULL, 'failed'"""
+    sql["raw_inventory_blank_lines"] = """
+        SELECT name AS filename, (SELECT count(*) FROM orders) AS row_count, 'key,note' AS header,
+            'present' AS status FROM (VALUES ('plain.csv'), ('spanning.csv')) AS f(name)"""
     sql["cost_extremes"] = f"""
         WITH amounts AS (
             SELECT o_custkey, CAST(CASE o_orderkey % 7 WHEN 0 THEN 10.005 WHEN 1 THEN 1e17

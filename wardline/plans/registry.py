@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from ..operators import cohort as cohorts
 from ..operators import followup, funnel, quality, summary
 from ..operators.normalize import normalize
 from ..sources import files, layers, raw_csv
-from ..spec import CORE_TABLES, SILVER_DATES
-from . import bindings
+from ..spec import CORE_TABLES, LAB_USES, MEDICATION_USES, SILVER_DATES, Scenario
+from . import bindings, study
 from .bindings import (
     BOUND_STUDY,
     FOLLOWUP_CONCEPTS,
@@ -26,6 +27,35 @@ from .bindings import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 HASH_BUCKET = 500
+# Tables with difficult texts, and their columns.
+CELL_TABLES = {
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+    "pages": ("page_id", "url", "html"),
+}
+# Outputs of the whole study, and what is added up over their rows.
+STUDY_VALUES = {
+    "index_cohort": "observable_history_days_before_index",
+    "attrition": "remaining_n",
+    "final_cohort": "age_at_index",
+    "followup_window": "follow_up_days",
+    "medication_exposure": "medication_rows",
+    "utilization": "encounters",
+    "cost_summary": "total",
+    "lab_summary": "results",
+    "lab_trajectory": "results",
+    "survival_table": "deaths",
+    "baseline_window": "baseline_encounter_count",
+    "exclusion_in_followup": "row_count",
+    "date_parse_check": "unreadable",
+    "future_date_check": "after_reference_date",
+    "model_person": "year_of_birth",
+    "model_visit_occurrence": "1",
+    "model_condition_occurrence": "condition_source_value LIKE 'Brand#1%'",
+    "model_drug_exposure": "quantity",
+    "model_measurement": "value_as_number",
+    "model_procedure_occurrence": "1",
+}
 # Common-model table -> end of its query's name.
 MODEL_KEYS = {
     "person": "person", "visit_occurrence": "visit", "condition_occurrence": "condition",
@@ -329,6 +359,81 @@ def baseline_table(spark, sf_dir):
     return summary.baseline_characteristics(layers.materialize(_final(spark, sf_dir), "final"))
 
 
+def _csv_of(frame: DataFrame) -> DataFrame:
+    return frame.select(*[F.col(c).cast("string").alias(c) for c in frame.columns])
+
+
+def bronze_cells(spark, sf_dir):
+    """Every cell of three tables with quotes, line breaks and long texts, after a round trip
+    through CSV files and the conversion."""
+    raw_dir = _write_raw(
+        {t: _csv_of(bindings.source(spark, sf_dir, t)) for t in CELL_TABLES}, spark
+    )
+    bronze_dir = layers.scratch_dir(spark, "bronze")
+    raw_csv.raw_to_bronze(spark, raw_dir, bronze_dir).collect()
+    parts = []
+    for table, columns in CELL_TABLES.items():
+        frame = layers.read_table(spark, bronze_dir, table)
+        width = max(map(len, CELL_TABLES.values()))
+        cells = [F.col(c) for c in columns] + [F.lit(None).cast("string")] * (width - len(columns))
+        parts.append(
+            frame.select(
+                F.lit(table).alias("table_name"), *[c.alias(f"cell_{i}") for i, c in enumerate(cells)]
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def bronze_expected_only(spark, sf_dir):
+    """Conversion of the expected files only, one of them absent and one without a header."""
+    frames = {t: _csv_of(bindings.source(spark, sf_dir, t)) for t in ("nation", "region", "supplier")}
+    raw_dir = _write_raw(frames, spark)
+    spark.range(0).select(F.lit("").alias("value")).repartition(1).write.text(f"{raw_dir}/part.csv")
+    found = raw_csv.raw_to_bronze(
+        spark, raw_dir, layers.scratch_dir(spark, "bronze"),
+        ["nation.csv", "supplier.csv", "part.csv", "absent.csv"],
+    )
+    return found.select("table_name", "row_count", "column_count", "status")
+
+
+def raw_inventory_blank_lines(spark, sf_dir):
+    """Record counts of files in which blank lines stand between the records, with and without a
+    record that spans lines."""
+    orders = bindings.source(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    raw_dir = layers.scratch_dir(spark, "raw")
+    for name, note in (("plain", "'n'"), ("spanning", "'\"two' || chr(10) || chr(10) || 'lines\"'")):
+        lines = orders.selectExpr(
+            "k", f"CAST(k AS STRING) || ',' || {note} || IF(k % 3 = 0, chr(10), '') AS value"
+        ).union(spark.sql("SELECT CAST(-1 AS BIGINT), 'key,note'"))
+        ordered = lines.coalesce(1).sortWithinPartitions("k")
+        ordered.select("value").write.text(f"{raw_dir}/{name}.csv")
+    found = raw_csv.raw_inventory(spark, raw_dir, ["plain.csv", "spanning.csv"])
+    return found.select("filename", "row_count", F.array_join("header", ",").alias("header"), "status")
+
+
+def study_outputs(spark, sf_dir):
+    """The whole study run on raw files made of the given tables: rows of every output, and a
+    value of each that stands for its content."""
+    root = layers.scratch_dir(spark, "study")
+    raw_dir = _write_raw(bindings.bronze_tables(spark, sf_dir), spark)
+    scenario = Scenario(
+        "bound", "Bound tables", raw_dir, f"{root}/bronze", f"{root}/silver", f"{root}/gold",
+        f"{root}/reports", reference_date=REFERENCE_DATE,
+    )
+    sets = {**bindings.study_concepts(FOLLOWUP_CONCEPTS, MEDICATION_USES),
+            **bindings.study_concepts(LAB_CONCEPTS, LAB_USES)}
+    out = study.run_study(spark, scenario, BOUND_STUDY, sets)
+    parts = [
+        out[table].agg(
+            F.lit(table).alias("output"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.coalesce(F.round(F.sum(F.expr(value).cast("double")), 4), F.lit(0.0)).alias("value"),
+        )
+        for table, value in STUDY_VALUES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def end_to_end(spark, sf_dir):
     """Raw text -> typed tables -> cohort -> funnel in one plan."""
     patients, conditions, encounters = (
@@ -591,6 +696,10 @@ def queries() -> dict[str, Query]:
             "utilization_large": lambda spark, sf_dir: utilization(spark, sf_dir, 0),
             "cost_summary_large": lambda spark, sf_dir: cost_summary(spark, sf_dir, 0),
             "lab_summary_large": lambda spark, sf_dir: lab_summary(spark, sf_dir, 0),
+            "bronze_cells": bronze_cells,
+            "bronze_expected_only": bronze_expected_only,
+            "raw_inventory_blank_lines": raw_inventory_blank_lines,
+            "study_outputs": study_outputs,
             "cost_extremes": cost_extremes,
             "lab_extremes": lab_extremes,
             "quantiles_many_groups": quantiles_many_groups,

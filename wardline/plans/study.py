@@ -6,6 +6,8 @@ more than one stage, and no plan grows across stages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,18 @@ from ..operators import cohort as cohorts
 from ..operators import followup, funnel, quality, summary
 from ..operators.normalize import normalize
 from ..sources import layers, raw_csv
-from ..spec import CORE_TABLES, Scenario, StudySpec, table_names
+from ..spec import (
+    CONCEPT_SETS,
+    CORE_TABLES,
+    LAB_USES,
+    MEDICATION_USES,
+    SILVER_DATES,
+    Scenario,
+    StudySpec,
+    concept_version,
+    sets_for,
+    table_names,
+)
 
 NORMALIZATION_SCHEMA = (
     "table_name string, bronze_path string, silver_path string, input_row_count bigint, "
@@ -25,6 +38,11 @@ INDEX_TABLE = "t2dm_index_cohort"
 ATTRITION_TABLE = "t2dm_attrition"
 FINAL_TABLE = "t2dm_final_cohort"
 BASELINE_TABLE = "baseline_characteristics"
+# Follow-up summaries that are reports too: a few rows each.
+REPORTED = (
+    "medication_exposure", "lab_summary", "lab_trajectory", "utilization", "cost_summary",
+    "survival_table",
+)
 
 
 def bronze_to_silver(
@@ -196,10 +214,46 @@ def _write_report(spark, frame, gold_dir, table, csv_path) -> DataFrame:
     return written
 
 
+def build_windows(
+    spark: SparkSession, silver_dir: str, gold_dir: str, spec: StudySpec
+) -> dict[str, DataFrame]:
+    """Write the baseline-window flags of the final cohort, and its patients with an event of the
+    window exclusion between the start of the baseline window and the end of follow-up."""
+    final = layers.need_table(spark, gold_dir, FINAL_TABLE, "Run build_final_cohort first.")
+    windows = layers.need_table(spark, gold_dir, "followup_window", "Run build_followup first.")
+    encounters, conditions = (
+        layers.need_table(spark, silver_dir, t, "Run bronze_to_silver first.")
+        for t in ("encounters", "conditions")
+    )
+    encounters, conditions = cohorts.of_patients(final, encounters, conditions)
+    out = {
+        "baseline_window": followup.baseline_window(final, encounters, spec),
+        "exclusion_in_followup": cohorts.exclusion_flags(
+            conditions,
+            windows.select("patient_id", "index_date", "follow_up_end"),
+            spec.window_exclusion_code,
+            "has_event_in_window",
+            "first_date",
+            "row_count",
+            include_index_date=True,
+            earliest=F.date_sub("index_date", spec.baseline_days),
+            latest=F.col("follow_up_end"),
+        ),
+    }
+    for table, frame in out.items():
+        layers.write_table(frame, gold_dir, table)
+    return {table: layers.read_table(spark, gold_dir, table) for table in out}
+
+
 def run_study(
-    spark: SparkSession, scenario: Scenario, spec: StudySpec = StudySpec()
+    spark: SparkSession,
+    scenario: Scenario,
+    spec: StudySpec = StudySpec(),
+    concept_sets: dict = CONCEPT_SETS,
 ) -> dict[str, DataFrame]:
-    """All stages in order, each with its manifest under the report folder."""
+    """All stages in order, each with its manifest under the report folder: inventory, conversion,
+    checks, normalisation, cohorts, funnel, baseline report, follow-up summaries, window flags,
+    common data model. Every manifest names the run, and the digest of the concept sets it used."""
     required = table_names(scenario.required_files)
     optional = table_names(scenario.optional_files)
     reports = scenario.report_dir.rstrip("/")
@@ -207,6 +261,7 @@ def run_study(
         "scenario_id": scenario.scenario_id,
         "scenario_name": scenario.name,
         "reference_date": scenario.reference_date,
+        "concept_sets_version": concept_version(concept_sets),
         **{f"generator_{k}": v for k, v in scenario.generator.items()},
     }
 
@@ -214,6 +269,7 @@ def run_study(
         layers.write_manifest(frame, f"{reports}/manifests/{kind}", kind, origin)
 
     out: dict[str, DataFrame] = {}
+    manifest(followup.concept_frame(spark, concept_sets), "concept_sets")
     inventory = raw_csv.raw_inventory(
         spark, scenario.raw_dir, scenario.required_files, scenario.optional_files
     )
@@ -232,13 +288,18 @@ def run_study(
     manifest(raw_csv.conversion_summary(conversion), "bronze_conversion_summary")
     out["bronze_conversion"] = conversion
 
-    bronze = layers.read_present(spark, scenario.bronze_dir, required + optional)
+    bronze = layers.read_present(layers.exact_names(spark), scenario.bronze_dir, required + optional)
     for name, frame in quality.bronze_quality(
         spark, bronze, required, optional, spec.target_code
     ).items():
         manifest(frame, f"bronze_qa_{name}")
         out[f"bronze_{name}"] = frame
 
+    readable = {t: f for t, f in bronze.items() if f is not None and t in CORE_TABLES}
+    if readable:
+        out["date_parse_check"] = followup.date_parse_check(readable)
+        manifest(out["date_parse_check"], "bronze_qa_dates")
+
     normalized = bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir)
     manifest(normalized, "silver_normalization")
     manifest(normalization_summary(normalized), "silver_normalization_summary")
@@ -249,6 +310,13 @@ def run_study(
         manifest(frame, f"silver_qa_{name}")
         out[f"silver_{name}"] = frame
 
+    if scenario.reference_date:
+        typed = {t: f for t, f in silver.items() if f is not None}
+        out["future_date_check"] = followup.future_date_check(
+            typed, SILVER_DATES, scenario.reference_date
+        )
+        manifest(out["future_date_check"], "silver_qa_future_dates")
+
     prefix = f"{reports}/tables/{scenario.scenario_id}"
     out["index_cohort"], index_counts = build_index_cohort(
         spark, scenario.silver_dir, scenario.gold_dir, spec
@@ -270,4 +338,20 @@ def run_study(
         summary.baseline_summary(out["final_cohort"]).withColumn("baseline_table_rows", rows),
         "baseline_characteristics",
     )
-    return out
+
+    beyond = build_followup(
+        spark, scenario.silver_dir, scenario.gold_dir, spec,
+        sets_for(concept_sets, MEDICATION_USES), sets_for(concept_sets, LAB_USES),
+    )
+    beyond |= build_windows(spark, scenario.silver_dir, scenario.gold_dir, spec)
+    model = build_common_model(
+        spark, scenario.silver_dir, scenario.model_dir or f"{scenario.gold_dir.rstrip('/')}/model"
+    )
+    sizes = [
+        frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name, frame in {**beyond, **model}.items()
+    ]
+    manifest(reduce(DataFrame.unionByName, sizes), "study_outputs")
+    for name in REPORTED:
+        layers.write_csv(beyond[name], f"{prefix}_{name}.csv")
+    return {**out, **beyond, **{f"model_{name}": frame for name, frame in model.items()}}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -219,6 +221,21 @@ CONCEPT_SETS = {
 # End of fixed values.
 # ---------------------------------------------------------------------------
 
+# Which concept sets the follow-up summaries are about, by their declared use.
+MEDICATION_USES = ("baseline_treatment_context", "phase1_treatment_pattern_analysis")
+LAB_USES = ("diabetes_monitoring_context", "monitoring_context")
+
+
+def sets_for(concept_sets: dict, uses) -> dict:
+    return {name: entry for name, entry in concept_sets.items() if entry[1] in uses}
+
+
+def concept_version(concept_sets: dict) -> str:
+    """Digest of the sets' vocabularies, uses and codes: which codes a run used."""
+    plain = json.dumps(concept_sets, sort_keys=True, ensure_ascii=True)
+    return hashlib.sha256(plain.encode()).hexdigest()
+
+
 CORE_TABLES = tuple(SILVER_LAYOUT)
 EVENT_TABLES = tuple(name for name in CORE_TABLES if name != "patients")
 
@@ -230,7 +247,9 @@ def table_names(filenames) -> list[str]:
 
 @dataclass(frozen=True)
 class StudySpec:
-    """What qualifies, what excludes, and the two thresholds."""
+    """What qualifies, what excludes, and the thresholds. A rule holds one code, or several as a
+    tuple or joined by `|`, which is how outputs show them; `from_concepts` takes them from concept
+    sets."""
 
     target_code: str = TARGET_CODE
     prior_exclusion_code: str = PRIOR_EXCLUSION_CODE
@@ -246,7 +265,28 @@ class StudySpec:
             if isinstance(value, bool) or not isinstance(value, int) or value < 0:
                 raise ValueError(f"{name} must be a non-negative integer, got {value!r}")
         for name in ("target_code", "prior_exclusion_code", "window_exclusion_code"):
-            object.__setattr__(self, name, str(getattr(self, name)))
+            codes = getattr(self, name)
+            if isinstance(codes, (tuple, list)):
+                codes = "|".join(map(str, codes))
+            object.__setattr__(self, name, str(codes))
+
+    @classmethod
+    def from_concepts(
+        cls,
+        concept_sets: dict = CONCEPT_SETS,
+        target: str = "type_2_diabetes_mellitus",
+        prior_exclusion: str = "type_1_diabetes_mellitus",
+        window_exclusion: str = "pregnancy",
+        **other,
+    ) -> StudySpec:
+        """Rules with all codes of the named concept sets."""
+        codes = [
+            tuple(code for code, _ in concept_sets[name][2])
+            for name in (target, prior_exclusion, window_exclusion)
+        ]
+        if not all(codes):
+            raise ValueError("A rule's concept set has no codes")
+        return cls(*codes, **other)
 
 
 @dataclass(frozen=True)
@@ -264,6 +304,7 @@ class Scenario:
     optional_files: tuple[str, ...] = OPTIONAL_RAW_FILES
     generator: dict[str, str] = field(default_factory=dict)
     reference_date: str | None = None
+    model_dir: str | None = None  # common data model; default: a folder of the gold layer
 
     @property
     def expected_files(self) -> tuple[str, ...]:
