@@ -153,3 +153,33 @@ def test_exact_quantiles_with_weights(spark):
 def test_exact_quantiles_of_nothing(spark):
     frame = spark.createDataFrame([], "g string, v double")
     assert exact_quantiles(frame, "g", "v", {"q": 0.5}).collect() == []
+
+
+def test_line_ends_and_numbers_beyond_a_double(spark):
+    from pyspark.sql import functions as F
+
+    from wardline.functions.expr import lenient_date, lenient_double
+
+    rows = spark.createDataFrame(
+        [("12\n", "2020-1-05\n"), ("1e400", "2020-01-05\n"), ("-1e400", "2020-1-5"), ("1e308", "2020-01-05T")],
+        "n string, d string",
+    ).select(lenient_double(F.col("n")).alias("n"), lenient_date(F.col("d")).alias("d"))
+    assert [(r.n, r.d and str(r.d)) for r in rows.collect()] == [
+        (None, None), (None, "2020-01-05"), (None, "2020-01-05"), (1e308, "2020-01-05")
+    ]
+
+
+def test_quantiles_of_many_groups(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from wardline.functions.quantiles import exact_quantiles
+
+    rows = spark.range(6000).selectExpr(
+        "IF(id % 1200 = 7, NULL, id % 1200) AS g", "CAST(id * 7919 % 1013 AS DOUBLE) AS v"
+    ).union(spark.range(20000).select(F.lit(1200), (F.col("id") % 9973).cast("double")))
+    found = {r.g: (r.q1, r.median) for r in exact_quantiles(rows, "g", "v", {"q1": 0.25, "median": 0.5}).collect()}
+    values = {}
+    for r in rows.collect():
+        values.setdefault(r.g, []).append(r.v)
+    assert found == {g: tuple(np.quantile(v, [0.25, 0.5])) for g, v in values.items()}

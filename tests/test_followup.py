@@ -62,9 +62,11 @@ def test_followup_window_ends_at_the_first_limit(spark):
         ("unseen", "2020-01-01", None),
         ("twice", "2020-01-01", None),
         ("twice", "2020-01-01", None),
+        ("day_after", "2020-01-01", "2020-03-02"),
     )
     seen = encounters(
         spark,
+        ("day_after", "2020-03-01", "a"),
         ("full", "2025-01-01", "a"),
         ("dead", "2025-01-01", "a"),
         ("lost", "2020-01-31", "a"),
@@ -79,6 +81,7 @@ def test_followup_window_ends_at_the_first_limit(spark):
     }
     assert found == {
         "full": ("2022-02-28", "window_end", 730),
+        "day_after": ("2020-03-02", "death", 61),  # a death is itself a record
         "dead": ("2020-06-01", "death", 152),
         "lost": ("2020-01-31", "end_of_record", 30),
         "early": ("2020-01-01", "death", 0),
@@ -295,3 +298,31 @@ def test_common_model(spark):
     for name, (_, columns) in followup.COMMON_MODEL.items():
         assert tables[name].columns == [target for target, _ in columns]
         assert tuple(tables[name].first()) == tuple(str(i) for i in range(len(columns)))
+
+
+def test_costs_of_any_size(spark, either_size):
+    w = windows(spark, *[(p, "2020-01-01", "2021-01-01", "window_end") for p in "abc"])
+    visits = frame(
+        spark, "patient_id string, d date, c double",
+        ("a", day("2020-02-01"), 1e17), ("b", day("2020-02-01"), 10.005), ("b", day("2020-02-01"), 4e-5),
+    )
+    per_patient = followup.patient_costs({"visit": (visits, "d", "c")}, w)
+    assert {r.patient_id: r.cost for r in per_patient.collect()} == {
+        "a": 1e17, "b": pytest.approx(10.00504, abs=1e-12), "c": 0.0
+    }
+    assert followup.cost_summary(per_patient).first().max == 1e17
+
+
+def test_spread_of_large_and_tiny_results(spark):
+    schema = "concept_set string, patient_id string, value_numeric double, results long, day long, before_end boolean"
+    for values, sd in (
+        ([1e9 + 0.1, 1e9 + 0.2, 1e9 + 0.3], 0.1),
+        ([100000.0001, 100000.0002, 100000.0003], 1e-4),
+        ([0.00004, 0.00004, 0.00007], 1.7320508e-5),
+        ([1e15, 1e15 + 2, 1e15 + 4], 2.0),
+    ):
+        rows = frame(spark, schema, *[("x", "a", v, 1, 5, True) for v in values])
+        step = followup.lab_trajectory(rows).first()
+        assert step.sd == pytest.approx(sd, rel=1e-5)
+        assert step.mean == pytest.approx(sum(values) / 3, rel=1e-12)
+        assert followup.lab_report(rows).first().mean == pytest.approx(sum(values) / 3, rel=1e-12)

@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from wardline.plans import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -32,13 +33,15 @@ def ordered(rows, positions):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(oracle.oracle_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry.queries()[name](spark, SF_DIR)
-    result = duck.execute(entry.oracle_sql()[name])
+    frame = registry.queries()[name](spark, SF_DIR)
+    result = duck.execute(oracle.oracle_sql()[name])
     sql_columns = [d[0] for d in result.description]
     assert sorted(frame.columns) == sorted(sql_columns)
     names = sorted(sql_columns)

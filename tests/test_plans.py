@@ -5,9 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from wardline.operators import cohort as cohorts
-from wardline.operators import funnel
+from wardline.operators import followup, funnel
+from wardline.plans import registry
 from wardline.sources import layers
 from wardline.spec import StudySpec
 
@@ -60,10 +60,46 @@ def test_funnel_is_one_shuffle_over_cohort_and_patients(silver, spark):
     assert "Join" not in text
 
 
+def test_index_cohort_exchanges(silver):
+    """Days, which then stay by patient; patient rows by row (copies merge before they move) and
+    by id; encounters."""
+    text = plan(cohorts.index_cohort(*silver, StudySpec()))
+    assert text.count("FileScan") == 3
+    assert text.count("Exchange hashpartitioning") <= 5
+
+
+def test_index_summary_reads_the_conditions_once(silver):
+    patients, conditions, encounters = silver
+    cohort = layers.materialize(cohorts.index_cohort(*silver, StudySpec()), "cohort")
+    frame = funnel.index_summary(patients, conditions, encounters, cohort, StudySpec())
+    assert len(frame.collect()) == 1
+    final = plan(frame).split("== Initial Plan ==")[0]
+    assert final.count("ReusedSubquery") >= 2  # one pass answers all three numbers
+
+
+def test_baseline_window_reads_the_cohort_and_encounters_only(silver, spark):
+    cohort = layers.materialize(
+        cohorts.final_cohort(cohorts.index_cohort(*silver, StudySpec())), "final"
+    )
+    (seen,) = cohorts.of_patients(cohort, silver[2])
+    text = plan(followup.baseline_window(cohort, seen, StudySpec()))
+    assert text.count("FileScan") <= 4 and "code" not in text
+
+
+def test_concept_codes_reach_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "1", None)], "patient_id string, code string, medication_start_date date"
+    )
+    layers.write_table(rows, str(tmp_path), "medications")
+    written = layers.read_table(spark, str(tmp_path), "medications")
+    sets = {"x": ("v", "u", (("1", "one"), ("2", "two")))}
+    assert "In(code" in plan(followup.concept_signal(written, "medication_start_date", sets))
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="check tables not present")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cross_joins_and_no_row_at_a_time_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(registry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text

@@ -4,7 +4,7 @@ import pytest
 
 from wardline.plans import study
 from wardline.sources import layers
-from wardline.spec import Scenario, StudySpec
+from wardline.spec import CONCEPT_SETS, Scenario, StudySpec, concept_version
 
 RAW = {
     "patients": (
@@ -56,6 +56,14 @@ def test_end_to_end(spark, tmp_path):
     lines = list(csv.reader(part.open()))
     assert lines[0][:3] == ["step_number", "step_id", "criterion"]
     assert [line[0] for line in lines[1:]] == [str(i) for i in range(1, 8)]
+    assert out["followup_window"].count() == 1 and out["baseline_window"].count() == 1
+    assert out["model_condition_occurrence"].count() == 4 and out["survival_table"].count() == 1
+    assert out["date_parse_check"].where("NOT passed").count() == 0
+    assert out["future_date_check"].where("NOT passed").count() == 0
+    assert next((tables / "trial_survival_table.csv").glob("part-*.csv")).exists()
+    sets = tmp_path / "reports" / "manifests" / "concept_sets"
+    line = next(sets.glob("part-*.json")).read_text().splitlines()[0]
+    assert concept_version(CONCEPT_SETS) in line
     manifests = {p.name for p in (tmp_path / "reports" / "manifests").iterdir()}
     assert {"raw_inventory", "bronze_conversion", "bronze_qa_verdict", "silver_normalization",
             "silver_qa_verdict", "t2dm_index_cohort", "t2dm_attrition_table",
@@ -93,3 +101,26 @@ def test_stages_name_the_stage_to_run_first(spark, tmp_path):
     layers.write_table(spark.createDataFrame([("p",)], "patient_id string"), silver, "patients")
     with pytest.raises(FileNotFoundError, match="build_index_cohort"):
         study.build_attrition(spark, silver, gold, StudySpec())
+
+
+def test_rules_with_several_codes():
+    spec = StudySpec.from_concepts()
+    assert (spec.target_code, spec.window_exclusion_code) == ("44054006", "77386006")
+    sets = {**CONCEPT_SETS, "pregnancy": ("v", "u", (("1", "a"), ("2", "b")))}
+    assert StudySpec.from_concepts(sets).window_exclusion_code == "1|2"
+    assert StudySpec(target_code=("7", 8)).target_code == "7|8"
+    assert concept_version(sets) != concept_version(CONCEPT_SETS)
+    with pytest.raises(ValueError):
+        StudySpec.from_concepts(sets, target="a1c")
+
+
+def test_any_code_of_a_rule_counts(clinic):
+    from wardline.operators.cohort import index_cohort
+
+    rows = index_cohort(
+        clinic.patients(("p1", "1970-01-01"), ("p2", "1970-01-01")),
+        clinic.conditions(("p1", "e", "2020-01-01", "7"), ("p1", "e", "2019-01-01", "8"), ("p2", "e", "2020-01-01", "9")),
+        clinic.encounters(("p1", "2010-01-01")),
+        StudySpec(target_code=("7", "8")),
+    ).collect()
+    assert [(r.patient_id, str(r.index_date), r.target_t2dm_code) for r in rows] == [("p1", "2019-01-01", "7|8")]
