@@ -33,8 +33,9 @@ from .wordhash import Hasher, mix, slices, text_bytes, word_spans
 
 WINDOW = 4096
 MAX_QUEUES = 1024
-MAX_KNOWN_PIECES = 500_000
-SLICE_BYTES = 8 << 20  # text handled at once
+MAX_KNOWN_PIECES = 2_000_000  # some 40 bytes each
+MAX_NEWEST = 100_000
+SLICE_BYTES = 2 << 20  # text handled at once
 BROADCAST_ROWS = 500_000  # of (block, queue) rows, some 40 bytes each
 
 TOKENS = "block int, doc_id long, queue string, before long, n long, ids binary"
@@ -79,10 +80,40 @@ class WordTokenizer:
     def _forget(self):
         import numpy as np
 
-        self.numbers: dict[int, int] = {}
-        self.starts, self.counts = np.zeros(0, "i8"), np.zeros(0, "i8")
+        # Piece numbers by hash: sorted arrays, and a short list of the newest pieces.
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.newest: dict[int, int] = {}
+        self.starts, self.counts = np.zeros(0, "i8"), np.zeros(0, np.int32)
         self.flat = np.zeros(0, self.width)
 
+    def _find(self, unique):
+        """Piece numbers of hashes, -1 for pieces not met before."""
+        import numpy as np
+
+        out = np.full(len(unique), -1, dtype="i8")
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, unique), len(self.hashes) - 1)
+            same = self.hashes[at] == unique
+            out[same] = self.numbers[at[same]]
+        if self.newest:
+            rest = np.flatnonzero(out < 0)
+            get = self.newest.get
+            out[rest] = [get(h, -1) for h in unique[rest].tolist()]
+        return out
+
+    def _add(self, hashes):
+        """Numbers new hashes from the last one on."""
+        import numpy as np
+
+        base = len(self.starts)
+        self.newest.update(zip(hashes.tolist(), range(base, base + len(hashes)), strict=True))
+        if len(self.newest) > MAX_NEWEST:
+            every = np.concatenate([self.hashes, np.array(list(self.newest), np.uint64)])
+            numbers = np.concatenate([self.numbers, np.array(list(self.newest.values()), np.int32)])
+            order = np.argsort(every)
+            self.hashes, self.numbers = every[order], numbers[order]
+            self.newest = {}
+
     def ids(self, texts) -> tuple:
         """(ids of all texts in a row, where each text's ids start, and the end)."""
         import numpy as np
@@ -92,7 +123,8 @@ class WordTokenizer:
         space = self.hasher.space[data]
         starts, ends = word_spans(np, space, bounds)
         kind = self.kind[data]
-        odd = np.concatenate([[0], np.cumsum((kind == 0) & ~space)])
+        odd = np.zeros(len(data) + 1, np.int32)
+        np.cumsum((kind == 0) & ~space, out=odd[1:])
         simple = odd[ends] == odd[starts]
         # Within simple words a piece starts at each digit and wherever the kind changes.
         cut = np.zeros(len(data), bool)
@@ -112,15 +144,15 @@ class WordTokenizer:
             rest = np.flatnonzero(~plain)
             hashes[rest] = mix(np, self.hasher.spans(data, a[rest], b[rest]) + np.uint64(1))
         codes, unique = pd.factorize(hashes)
-        if len(self.numbers) > MAX_KNOWN_PIECES:
+        if len(self.starts) > MAX_KNOWN_PIECES:
             self._forget()
-        numbers = np.array([self.numbers.get(h, -1) for h in unique.tolist()], dtype="i8")
+        numbers = self._find(unique)
         fresh = np.flatnonzero(numbers < 0)
         if len(fresh):
             seen = np.full(len(unique), -1, dtype="i8")
             seen[codes[::-1]] = np.arange(len(codes))[::-1]  # first place of each
             self._learn(folded, data, a, b, plain, seen[fresh], unique[fresh])
-            numbers[fresh] = [self.numbers[h] for h in unique[fresh].tolist()]
+            numbers[fresh] = self._find(unique[fresh])
         pieces = numbers[codes]
         counts = self.counts[pieces]
         total = np.concatenate([[0], np.cumsum(counts)])
@@ -168,14 +200,26 @@ class WordTokenizer:
             counts.append(np.array([len(x) for x in found], dtype="i8"))
             ids.append(np.array([x for y in found for x in y], dtype=self.width))
         order = np.array(order_words + order_others)
-        base = len(self.starts)
-        self.numbers.update(zip(hashes[order].tolist(), range(base, base + len(order)), strict=True))
+        self._add(hashes[order])
         counts = np.concatenate(counts)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
         self.flat = np.concatenate([self.flat, *ids])
 
 
+def _worker_tokenizer(load: Callable, width: str) -> WordTokenizer:
+    """The tokenizer of this worker process: tasks that follow in it reuse the pieces it has met.
+    What is remembered never changes a result."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_wardline_worker", types.ModuleType("_wardline_worker"))
+    at = (load.__module__, load.__qualname__, width)
+    if at not in kept.__dict__.setdefault("tokenizers", {}):
+        kept.tokenizers[at] = WordTokenizer(load, width)
+    return kept.tokenizers[at]
+
+
 def tokenise(docs: DataFrame, load: Callable, end_id: int, width: str = "<u4") -> DataFrame:
     """TOKENS for documents (doc_id, text, queue). `load` makes the tokenizer inside a task. `before`
     counts the tokens of the document's queue that come earlier in the same block, a block being
@@ -187,7 +231,7 @@ def tokenise(docs: DataFrame, load: Callable, end_id: int, width: str = "<u4") -
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId()
-        words = WordTokenizer(load, width)
+        words = _worker_tokenizer(load, width)
         end = np.array([end_id], dtype=width).tobytes()
         used: dict = {}
         for batch in slices(batches, "text", SLICE_BYTES):
