@@ -65,5 +65,27 @@ def exact_quantiles(
     return picked.select(group, *out)
 
 
+def row_numbers(rows: DataFrame, group: str, name: str, *order: Column) -> DataFrame:
+    """The rows with their number (from 1) within their group in the given order, which must leave
+    no ties. Rows are dealt by range of (group, order) and written once, so a group of any size is
+    ordered by many tasks; a row's number is its place in its range plus the rows of earlier
+    ranges."""
+    dealt = rows.repartitionByRange(F.col(group), *order).withColumn("_part", F.spark_partition_id())
+    written = materialize(dealt, "ranked")
+    upward = Window.partitionBy(group).orderBy("_part")
+    before = (
+        written.groupBy(group, "_part")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .select(group, "_part", (F.sum("_c").over(upward) - F.col("_c")).alias("_before"))
+    )
+    place = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order))
+    return (
+        written.withColumn("_place", place)
+        .join(before, [group, "_part"])
+        .withColumn(name, F.col("_before") + F.col("_place"))
+        .drop("_part", "_place", "_before")
+    )
+
+
 def _holds(rank: Column, start: Column, size: Column) -> Column:
     return (rank >= start) & (rank < start + size)

@@ -83,6 +83,17 @@ _DEATH = (
     "CASE WHEN c_custkey % 11 = 0"
     " THEN date_add(DATE'1996-01-01', CAST(c_custkey * 104729 % 3000 AS INT)) END"
 )
+# Some events name no patient, some one that the patients table does not have.
+_PATIENT = (
+    "CASE WHEN o_orderkey % 97 = 0 THEN NULL"
+    " WHEN o_orderkey % 101 = 0 THEN 'unknown-' || CAST(o_custkey AS STRING)"
+    " ELSE CAST(o_custkey AS STRING) END"
+)
+# Levels with spaces around them, blank ones and nulls.
+_SEX = (
+    "CASE c_custkey % 17 WHEN 0 THEN '   ' WHEN 1 THEN ' ' || c_mktsegment || '  '"
+    " WHEN 2 THEN NULL ELSE c_mktsegment END"
+)
 _ORDERED = "to_date(o_orderdate)"
 _LEFT = "date_add(to_date(o_orderdate), CAST(o_orderkey % 4 AS INT))"
 _SHIPPED = "to_date(l_shipdate)"
@@ -93,9 +104,12 @@ def _people(spark, sf_dir) -> DataFrame:
     nation = source(spark, sf_dir, "nation").join(
         source(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return source(spark, sf_dir, "customer").join(
+    people = source(spark, sf_dir, "customer").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
+    # One patient row in fifty stands there twice.
+    copies = F.expr("array_repeat(1, IF(c_custkey % 50 = 0, 2, 1))")
+    return people.withColumn("copy", F.explode(copies))
 
 
 def _lines(spark, sf_dir) -> DataFrame:
@@ -123,7 +137,7 @@ _SILVER = {
         "CAST(c_custkey AS STRING) AS patient_id",
         f"{_BIRTH} AS birth_date",
         f"{_DEATH} AS death_date",
-        "c_mktsegment AS sex",
+        f"{_SEX} AS sex",
         "n_name AS race",
         "r_name AS ethnicity",
         f"year({_BIRTH}) AS birth_year",
@@ -132,7 +146,7 @@ _SILVER = {
     "encounters": (
         _orders,
         "CAST(o_orderkey AS STRING) AS encounter_id",
-        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_PATIENT} AS patient_id",
         f"{_ORDERED} AS encounter_start_date",
         f"{_LEFT} AS encounter_stop_date",
         "o_orderpriority AS encounter_class",
@@ -143,7 +157,7 @@ _SILVER = {
     ),
     "conditions": (
         _lines,
-        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_PATIENT} AS patient_id",
         "CAST(l_orderkey AS STRING) AS encounter_id",
         f"{_SHIPPED} AS condition_start_date",
         f"{_RESOLVED} AS condition_stop_date",
@@ -153,7 +167,7 @@ _SILVER = {
     ),
     "medications": (
         _lines,
-        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_PATIENT} AS patient_id",
         "CAST(l_orderkey AS STRING) AS encounter_id",
         f"{_SHIPPED} AS medication_start_date",
         f"date_add({_SHIPPED}, CAST(l_quantity AS INT)) AS medication_stop_date",
@@ -177,7 +191,7 @@ _SILVER = {
     ),
     "procedures": (
         _lines,
-        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_PATIENT} AS patient_id",
         "CAST(l_orderkey AS STRING) AS encounter_id",
         f"{_SHIPPED} AS procedure_start_date",
         f"{_SHIPPED} AS procedure_stop_date",
@@ -189,7 +203,7 @@ _SILVER = {
     "careplans": (
         _orders,
         "CAST(o_orderkey AS STRING) AS careplan_id",
-        "CAST(o_custkey AS STRING) AS patient_id",
+        f"{_PATIENT} AS patient_id",
         "CAST(o_orderkey AS STRING) AS encounter_id",
         f"{_ORDERED} AS careplan_start_date",
         "CAST(NULL AS DATE) AS careplan_stop_date",
@@ -232,7 +246,7 @@ _BRONZE = {
         f"CASE WHEN c_custkey % 97 = 0 THEN '1970-13-01' ELSE CAST({_BIRTH} AS STRING) END"
         " AS BIRTHDATE",
         f"CAST({_DEATH} AS STRING) AS DEATHDATE",
-        "c_mktsegment AS GENDER",
+        f"{_SEX} AS GENDER",
         "n_name AS RACE",
         "r_name AS ETHNICITY",
         "c_name AS CITY",
@@ -243,7 +257,7 @@ _BRONZE = {
         "CAST(o_orderkey AS STRING) AS Id",
         f"CAST({_ORDERED} AS STRING) || 'T08:30:00Z' AS START",
         f"{_stamp('o_orderkey', _LEFT)} AS STOP",
-        "CAST(o_custkey AS STRING) AS PATIENT",
+        f"{_PATIENT} AS PATIENT",
         "o_orderpriority AS ENCOUNTERCLASS",
         "o_orderstatus AS CODE",
         "o_orderpriority AS DESCRIPTION",
@@ -253,7 +267,7 @@ _BRONZE = {
         _lines,
         f"CAST({_SHIPPED} AS STRING) || 'T08:30:00Z' AS START",
         f"{_stamp(_LINE_KEY, _RESOLVED)} AS STOP",
-        "CAST(o_custkey AS STRING) AS PATIENT",
+        f"{_PATIENT} AS PATIENT",
         "CAST(l_orderkey AS STRING) AS ENCOUNTER",
         "p_brand AS CODE",
         "p_type AS DESCRIPTION",
@@ -261,7 +275,7 @@ _BRONZE = {
     "medications": (
         _lines,
         f"{_stamp(_LINE_KEY, _SHIPPED)} AS START",
-        "CAST(o_custkey AS STRING) AS PATIENT",
+        f"{_PATIENT} AS PATIENT",
         "CAST(l_orderkey AS STRING) AS ENCOUNTER",
         "p_brand AS CODE",
         "p_type AS DESCRIPTION",
@@ -279,7 +293,7 @@ _BRONZE = {
     "procedures": (
         _lines,
         f"{_stamp(_LINE_KEY, _SHIPPED)} AS START",
-        "CAST(o_custkey AS STRING) AS PATIENT",
+        f"{_PATIENT} AS PATIENT",
         "CAST(l_orderkey AS STRING) AS ENCOUNTER",
         "p_brand AS CODE",
         "p_type AS DESCRIPTION",
@@ -289,7 +303,7 @@ _BRONZE = {
         _orders,
         "CAST(o_orderkey AS STRING) AS Id",
         f"{_stamp('o_orderkey', _ORDERED)} AS START",
-        "CAST(o_custkey AS STRING) AS PATIENT",
+        f"{_PATIENT} AS PATIENT",
         "CAST(o_orderkey AS STRING) AS ENCOUNTER",
         "o_orderstatus AS CODE",
         "o_orderpriority AS DESCRIPTION",

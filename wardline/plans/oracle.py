@@ -10,7 +10,13 @@ from .bindings import (
     REFERENCE_DATE,
 )
 
-_PEOPLE = "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+_PEOPLE = """customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey
+    JOIN (VALUES (1), (2)) AS c(copy) ON copy = 1 OR c_custkey % 50 = 0"""
+_PATIENT = """CASE WHEN o_orderkey % 97 = 0 THEN NULL
+    WHEN o_orderkey % 101 = 0 THEN concat('unknown-', o_custkey) ELSE CAST(o_custkey AS VARCHAR) END"""
+_SEX = """CASE WHEN c_custkey % 17 = 0 THEN '   ' WHEN c_custkey % 17 = 2 THEN NULL
+    WHEN c_custkey % 17 = 1 THEN concat(' ', c_mktsegment, '  ') ELSE c_mktsegment END"""
 _LINES = "lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey"
 _BIRTH = "(DATE '1930-01-01' + CAST((c_custkey * 7919) % 21000 AS INTEGER))"
 _DEATH = (
@@ -22,20 +28,20 @@ _LINE_KEY = "(l_orderkey * 7 + l_linenumber)"
 SILVER_CTE = {
     "patients": f"""
         SELECT CAST(c_custkey AS VARCHAR) AS patient_id, {_BIRTH} AS birth_date,
-               {_DEATH} AS death_date, c_mktsegment AS sex, n_name AS race,
+               {_DEATH} AS death_date, {_SEX} AS sex, n_name AS race,
                r_name AS ethnicity, CAST(year({_BIRTH}) AS INTEGER) AS birth_year,
                'patients' AS source_table
         FROM {_PEOPLE}""",
-    "encounters": """
+    "encounters": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS encounter_id,
-               CAST(o_custkey AS VARCHAR) AS patient_id,
+               {_PATIENT} AS patient_id,
                CAST(o_orderdate AS DATE) AS encounter_start_date,
                CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER) AS encounter_stop_date,
                o_orderpriority AS encounter_class, o_orderstatus AS code,
                o_orderpriority AS description, o_totalprice AS total_claim_cost
         FROM orders""",
     "conditions": f"""
-        SELECT CAST(o_custkey AS VARCHAR) AS patient_id,
+        SELECT {_PATIENT} AS patient_id,
                CAST(l_orderkey AS VARCHAR) AS encounter_id,
                CAST(l_shipdate AS DATE) AS condition_start_date,
                CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) + 30 END
@@ -43,7 +49,7 @@ SILVER_CTE = {
                p_brand AS code, p_type AS description
         FROM {_LINES}""",
     "medications": f"""
-        SELECT CAST(o_custkey AS VARCHAR) AS patient_id,
+        SELECT {_PATIENT} AS patient_id,
                CAST(l_orderkey AS VARCHAR) AS encounter_id,
                CAST(l_shipdate AS DATE) AS medication_start_date,
                CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS medication_stop_date,
@@ -57,15 +63,15 @@ SILVER_CTE = {
                value AS value_numeric, 'unit' AS units
         FROM events""",
     "procedures": f"""
-        SELECT CAST(o_custkey AS VARCHAR) AS patient_id,
+        SELECT {_PATIENT} AS patient_id,
                CAST(l_orderkey AS VARCHAR) AS encounter_id,
                CAST(l_shipdate AS DATE) AS procedure_start_date,
                CAST(l_shipdate AS DATE) AS procedure_stop_date,
                p_brand AS code, p_type AS description, l_extendedprice AS base_cost
         FROM {_LINES}""",
-    "careplans": """
+    "careplans": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS careplan_id,
-               CAST(o_custkey AS VARCHAR) AS patient_id,
+               {_PATIENT} AS patient_id,
                CAST(o_orderkey AS VARCHAR) AS encounter_id,
                CAST(o_orderdate AS DATE) AS careplan_start_date,
                CAST(NULL AS DATE) AS careplan_stop_date,
@@ -104,25 +110,25 @@ BRONZE_CTE = {
         SELECT CAST(c_custkey AS VARCHAR) AS "Id",
                CASE WHEN c_custkey % 97 = 0 THEN '1970-13-01' ELSE {_iso(_BIRTH)} END
                    AS "BIRTHDATE",
-               {_iso(_DEATH)} AS "DEATHDATE", c_mktsegment AS "GENDER", n_name AS "RACE",
+               {_iso(_DEATH)} AS "DEATHDATE", {_SEX} AS "GENDER", n_name AS "RACE",
                r_name AS "ETHNICITY", c_name AS "CITY",
                lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS "ZIP"
         FROM {_PEOPLE}""",
     "encounters": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS "Id", {_iso(_ORDERED)} || 'T08:30:00Z' AS "START",
                {_stamp("o_orderkey", f"({_ORDERED} + CAST(o_orderkey % 4 AS INTEGER))")} AS "STOP",
-               CAST(o_custkey AS VARCHAR) AS "PATIENT", o_orderpriority AS "ENCOUNTERCLASS",
+               {_PATIENT} AS "PATIENT", o_orderpriority AS "ENCOUNTERCLASS",
                o_orderstatus AS "CODE", o_orderpriority AS "DESCRIPTION",
                {_money("o_orderkey", "o_totalprice")} AS "TOTAL_CLAIM_COST"
         FROM orders""",
     "conditions": f"""
         SELECT {_iso(_SHIP)} || 'T08:30:00Z' AS "START",
                {_stamp(_LINE_KEY, _STOP_CONDITION)} AS "STOP",
-               CAST(o_custkey AS VARCHAR) AS "PATIENT", CAST(l_orderkey AS VARCHAR) AS "ENCOUNTER",
+               {_PATIENT} AS "PATIENT", CAST(l_orderkey AS VARCHAR) AS "ENCOUNTER",
                p_brand AS "CODE", p_type AS "DESCRIPTION"
         FROM {_LINES}""",
     "medications": f"""
-        SELECT {_stamp(_LINE_KEY, _SHIP)} AS "START", CAST(o_custkey AS VARCHAR) AS "PATIENT",
+        SELECT {_stamp(_LINE_KEY, _SHIP)} AS "START", {_PATIENT} AS "PATIENT",
                CAST(l_orderkey AS VARCHAR) AS "ENCOUNTER", p_brand AS "CODE",
                p_type AS "DESCRIPTION", printf('%.0f', l_quantity) AS "DISPENSES",
                {_money(_LINE_KEY, "l_extendedprice")} AS "TOTALCOST"
@@ -133,13 +139,13 @@ BRONZE_CTE = {
                event_type AS "DESCRIPTION", {_money("event_id", "value")} AS "VALUE"
         FROM events""",
     "procedures": f"""
-        SELECT {_stamp(_LINE_KEY, _SHIP)} AS "START", CAST(o_custkey AS VARCHAR) AS "PATIENT",
+        SELECT {_stamp(_LINE_KEY, _SHIP)} AS "START", {_PATIENT} AS "PATIENT",
                CAST(l_orderkey AS VARCHAR) AS "ENCOUNTER", p_brand AS "CODE",
                p_type AS "DESCRIPTION", {_money(_LINE_KEY, "l_extendedprice")} AS "BASE_COST"
         FROM {_LINES}""",
     "careplans": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS "Id", {_stamp("o_orderkey", _ORDERED)} AS "START",
-               CAST(o_custkey AS VARCHAR) AS "PATIENT", CAST(o_orderkey AS VARCHAR) AS "ENCOUNTER",
+               {_PATIENT} AS "PATIENT", CAST(o_orderkey AS VARCHAR) AS "ENCOUNTER",
                o_orderstatus AS "CODE", o_orderpriority AS "DESCRIPTION"
         FROM orders""",
 }
@@ -432,7 +438,7 @@ def _level_rows(source: str) -> str:
 
 
 def _report(source: str) -> str:
-    order = "CAST({p} AS BIGINT) * 1000000000 + {l} AS row_order"
+    order = "CAST({p} AS BIGINT) * 1000000000000000 + {l} AS row_order"
     total = f"(SELECT {_distinct('patient_id')} FROM {source})"
     parts = [
         f"""SELECT {order.format(p=0, l=1)}, 'Cohort' AS section,
@@ -550,6 +556,56 @@ def _bronze_contract() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _verdict(ctes: dict, patient: str, key: str, tables: dict, body: str) -> str:
+    """`body` over the CTE `found`: each table's rows and how many of its ids name no patient.
+    `tables` maps a name to the rows to look at, None where the table is absent."""
+    rows = " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{name}' AS name, (SELECT count(*) FROM {source}) AS n,
+            (SELECT count(DISTINCT {patient}) FROM {source}
+             WHERE {patient} NOT IN (SELECT {key} FROM patients)) AS unknown"""
+        for i, (name, source) in enumerate(tables.items())
+        if source
+    )
+    return with_tables({**ctes, "found": rows}, body)
+
+
+def _bronze_verdict() -> str:
+    """Care plans absent, conditions without codes and procedures emptied on purpose; everything
+    else counted."""
+    tables = {t: t for t in BRONZE_CTE if t not in ("patients", "careplans")}
+    tables["procedures"] = """(SELECT * FROM procedures WHERE "CODE" IS NULL)"""
+    return _verdict(
+        BRONZE_CTE, '"PATIENT"', '"Id"', tables,
+        f"""SELECT CAST({len(BRONZE_CTE)} AS BIGINT) AS required_table_count,
+            CAST(0 AS BIGINT) AS optional_table_count_present,
+            {len(BRONZE_CTE)} - 1 - count(*) AS missing_required_table_count,
+            count(*) FILTER (WHERE n = 0) AS empty_required_table_count,
+            CAST(1 AS BIGINT) AS tables_missing_columns_count,
+            count(*) FILTER (WHERE unknown > 0) AS failed_patient_reference_table_count,
+            'careplans' AS missing_required_tables,
+            coalesce(string_agg(name, ',' ORDER BY position) FILTER (WHERE n = 0), '')
+                AS empty_required_tables,
+            'conditions' AS tables_missing_columns,
+            coalesce(string_agg(name, ',' ORDER BY position) FILTER (WHERE unknown > 0), '')
+                AS failed_patient_reference_tables,
+            FALSE AS structural_checks_passed FROM found""",
+    )
+
+
+def _silver_verdict() -> str:
+    tables = {t: t for t in SILVER_CTE if t not in ("patients", "labs")}
+    return _verdict(
+        _silver_ctes(*(t for t in SILVER_CTE if t != "labs")), "patient_id", "patient_id", tables,
+        f"""SELECT CAST({len(tables) + 1} AS BIGINT) AS required_table_count,
+            {len(tables)} - count(*) AS missing_required_table_count,
+            count(*) FILTER (WHERE n = 0) AS empty_required_table_count,
+            CAST(0 AS BIGINT) AS tables_missing_columns_count,
+            CAST(0 AS BIGINT) AS tables_with_invalid_date_dtypes_count,
+            count(*) FILTER (WHERE unknown > 0) AS failed_patient_reference_table_count,
+            bool_and(n > 0 AND unknown = 0) AS structural_checks_passed FROM found""",
+    )
+
+
 def _silver_contract() -> str:
     """Null counts per date column; the birth date arrives as text and is reported as such."""
     columns = (
@@ -776,24 +832,9 @@ def oracle_sql() -> dict[str, str]:
                                 ORDER BY c_custkey) AS body
               FROM customer GROUP BY 1)"""
     sql["bronze_contract_check"] = _bronze_contract()
-    sql["bronze_verdict"] = """
-        SELECT CAST(7 AS BIGINT) AS required_table_count, CAST(0 AS BIGINT) AS optional_table_count_present,
-               CAST(1 AS BIGINT) AS missing_required_table_count,
-               CAST(1 AS BIGINT) AS empty_required_table_count,
-               CAST(1 AS BIGINT) AS tables_missing_columns_count,
-               CAST(0 AS BIGINT) AS failed_patient_reference_table_count,
-               'careplans' AS missing_required_tables, 'procedures' AS empty_required_tables,
-               'conditions' AS tables_missing_columns, '' AS failed_patient_reference_tables,
-               FALSE AS structural_checks_passed"""
+    sql["bronze_verdict"] = _bronze_verdict()
     sql["silver_contract_check"] = _silver_contract()
-    sql["silver_verdict"] = """
-        SELECT CAST(7 AS BIGINT) AS required_table_count,
-               CAST(0 AS BIGINT) AS missing_required_table_count,
-               CAST(0 AS BIGINT) AS empty_required_table_count,
-               CAST(0 AS BIGINT) AS tables_missing_columns_count,
-               CAST(0 AS BIGINT) AS tables_with_invalid_date_dtypes_count,
-               CAST(0 AS BIGINT) AS failed_patient_reference_table_count,
-               TRUE AS structural_checks_passed"""
+    sql["silver_verdict"] = _silver_verdict()
     sql["patient_reference_check"] = _reference_check()
     sql["target_signal"] = with_tables(
         _silver_ctes("conditions"),
@@ -805,10 +846,10 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["bronze_target_signal"] = with_tables(
         {"conditions": BRONZE_CTE["conditions"]},
-        """SELECT TRUE AS checked, 'no such code' AS target_code, count(*) AS condition_row_count,
-           count(DISTINCT "PATIENT") AS patient_count,
+        f"""SELECT TRUE AS checked, '{BOUND_STUDY.window_exclusion_code}' AS target_code,
+           count(*) AS condition_row_count, {_distinct('"PATIENT"')} AS patient_count,
            CASE WHEN count(*) > 0 THEN 'present' ELSE 'absent_in_smoke_data' END AS status
-           FROM conditions WHERE "CODE" = 'no such code'""",
+           FROM conditions WHERE "CODE" = '{BOUND_STUDY.window_exclusion_code}'""",
     )
     sql["first_event_per_patient"] = on_cohort("SELECT * FROM first_event")
     sql["first_observed"] = on_cohort("SELECT * FROM first_seen")
@@ -823,8 +864,10 @@ def oracle_sql() -> dict[str, str]:
     sql["age_at_event"] = with_tables(
         _silver_ctes("patients", "encounters"),
         f"""SELECT e.patient_id, encounter_start_date, birth_date,
-            {_age("encounter_start_date", "birth_date")} AS age, count(*) AS encounters
-            FROM encounters e LEFT JOIN patients p ON e.patient_id = p.patient_id GROUP BY ALL""",
+            {_age("encounter_start_date", "birth_date")} AS age, encounters
+            FROM (SELECT patient_id, encounter_start_date, count(*) AS encounters
+                FROM encounters GROUP BY ALL) e
+            LEFT JOIN patients p ON e.patient_id = p.patient_id""",
     )
     sql["history_days"] = with_tables(
         _silver_ctes("encounters"),
@@ -862,7 +905,7 @@ def oracle_sql() -> dict[str, str]:
     followed = {"concepts": _concepts(FOLLOWUP_CONCEPTS)}
     sql["concept_signal"] = with_tables(
         {**_silver_ctes("medications"), **followed},
-        """SELECT concept_set, count(*) AS row_count, count(DISTINCT patient_id) AS patient_count,
+        f"""SELECT concept_set, count(*) AS row_count, {_distinct("patient_id")} AS patient_count,
            min(medication_start_date) AS earliest_date, max(medication_start_date) AS latest_date
            FROM medications m JOIN concepts k ON m.code = k.code GROUP BY concept_set""",
     )
@@ -872,7 +915,8 @@ def oracle_sql() -> dict[str, str]:
     sql["baseline_window"] = on_cohort(
         f"""SELECT f.patient_id, f.index_date, count(e.encounter_id) > 0 AS has_baseline_encounter,
             count(e.encounter_id) AS baseline_encounter_count
-            FROM final f LEFT JOIN encounters e ON e.patient_id = f.patient_id
+            FROM (SELECT patient_id, min(index_date) AS index_date FROM final GROUP BY 1) f
+            LEFT JOIN encounters e ON e.patient_id = f.patient_id
                 AND e.encounter_start_date >= f.index_date - {BOUND_STUDY.baseline_days}
                 AND e.encounter_start_date < f.index_date
             GROUP BY f.patient_id, f.index_date"""

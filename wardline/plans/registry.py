@@ -259,7 +259,9 @@ def target_signal(spark, sf_dir):
 
 def bronze_target_signal(spark, sf_dir):
     conditions = bindings.bronze(spark, sf_dir, "conditions")
-    return quality.target_signal(spark, conditions, quality.BRONZE, "no such code")
+    return quality.target_signal(
+        spark, conditions, quality.BRONZE, BOUND_STUDY.window_exclusion_code
+    )
 
 
 # --- cohort ----------------------------------------------------------------------------------
