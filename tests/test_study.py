@@ -1,4 +1,5 @@
 import csv
+import os
 
 import pytest
 
@@ -39,7 +40,10 @@ def test_end_to_end(spark, tmp_path):
         "trial", "Trial run", str(raw), *(str(tmp_path / d) for d in ("bronze", "silver", "gold")),
         report_dir=str(tmp_path / "reports"), generator={"seed": "1"}, reference_date="2026-01-01",
     )
+    scratch = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    there = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
     out = study.run_study(spark, scenario)
+    assert set(os.listdir(scratch)) <= there  # no folder of the run's own is left
     assert out["bronze_verdict"].first().structural_checks_passed
     assert out["silver_verdict"].first().structural_checks_passed
     assert {r.status for r in out["silver_normalization"].collect()} == {"normalized"}

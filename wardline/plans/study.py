@@ -253,7 +253,13 @@ def run_study(
 ) -> dict[str, DataFrame]:
     """All stages in order, each with its manifest under the report folder: inventory, conversion,
     checks, normalisation, cohorts, funnel, baseline report, follow-up summaries, window flags,
-    common data model. Every manifest names the run, and the digest of the concept sets it used."""
+    common data model. Every manifest names the run, and the digest of the concept sets it used.
+    What the stages write for their own use is deleted at the end."""
+    with layers.scratch(spark):
+        return _all_stages(spark, scenario, spec, concept_sets)
+
+
+def _all_stages(spark, scenario, spec, concept_sets) -> dict[str, DataFrame]:
     required = table_names(scenario.required_files)
     optional = table_names(scenario.optional_files)
     reports = scenario.report_dir.rstrip("/")

@@ -55,6 +55,12 @@ def path_exists(path: str) -> bool:
     return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def delete_folder(path: str) -> None:
+    system, inner = _filesystem(path)
+    if system.get_file_info(inner).type == fs.FileType.Directory:
+        system.delete_dir(inner)
+
+
 def entry(path: str) -> FileEntry | None:
     """The table at `path`: a file, or a directory holding at least one part file at any depth (as
     in tables partitioned by folder); files and folders that Spark's readers skip are no parts."""

@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import entry
+from .files import delete_folder, entry
 
 
 def table_path(layer_dir: str, table: str) -> str:
@@ -107,27 +108,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
 
 
-@contextmanager
-def scratch(spark: SparkSession):
-    """A function like `materialize` whose folders are deleted at the end of the block, after their
-    last reader."""
-    made = []
+# Scratch folders made inside a `scratch` block.
+_MADE: ContextVar[list | None] = ContextVar("made", default=None)
 
-    def kept(frame: DataFrame, name: str) -> DataFrame:
-        made.append(scratch_dir(spark, name))
-        frame.write.parquet(made[-1])
-        return spark.read.schema(frame.schema).parquet(made[-1])
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Scratch folders made inside the block are deleted at its end: what leaves the block must not
+    read them any more."""
+    made: list[str] = []
+    token = _MADE.set(made)
     try:
-        yield kept
+        yield
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        _MADE.reset(token)
         for path in made:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            delete_folder(path)
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:
