@@ -25,6 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layers import materialize
 from .common import numbered, pick
 
 # Patterns of the base kinds, in listed order, and the least length each must have.
@@ -88,29 +89,33 @@ def _ordered(spans: Column) -> Column:
 
 def labelled_samples(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """(value, label) from documents (doc_id, text): values of base matches, label 1, and runs of
-    documents without a match, label 0. At most `max_rows` documents of each sort and MAX_RUNS
-    values of each document."""
+    documents without a match, label 0. At most `max_rows` documents of each sort, the smallest by
+    hash, and MAX_RUNS values of each document. Every text is searched for matches once; the values
+    found are written, being few."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        text.alias("text"), text.rlike(ANY_BASE).alias("has"),
-        F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "doc_id",
+        text.alias("text"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("h")
     )
-    hit = rows.where("has").orderBy("h", "doc_id").limit(max_rows)
-    plain = (
-        rows.where(~F.col("has"))
-        .select("h", "doc_id", F.regexp_extract_all("text", F.lit(ORDINARY_RUN), F.lit(0)).alias("runs"))
-        .select("h", "doc_id", F.slice("runs", 1, MAX_RUNS).alias("runs"))
-        .orderBy("h", "doc_id")
-        .limit(max_rows)
+    value = F.transform(
+        F.slice(base_spans(F.col("text")), 1, MAX_RUNS),
+        lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]),
     )
-    value = F.when(
-        F.col("s.kind") == 0, F.regexp_extract("s.value", ASSIGN, 2)
-    ).otherwise(F.col("s.value"))
-    random = hit.select(F.explode(F.slice(base_spans(F.col("text")), 1, MAX_RUNS)).alias("s")).select(
-        value.alias("value"), F.lit(1).alias("label")
-    )
-    ordinary = plain.select(F.explode("runs").alias("value"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary).distinct()
+    has = F.col("text").rlike(ANY_BASE)
+    hits = materialize(rows.where(has).select("h", value.alias("runs")), "secret-values")
+    runs = F.slice(F.regexp_extract_all("text", F.lit(ORDINARY_RUN), F.lit(0)), 1, MAX_RUNS)
+    plain = _lowest(rows, max_rows).where(~has).select("h", runs.alias("runs"))
+    parts = []
+    for label, frame in ((1, _lowest(hits, max_rows)), (0, plain)):
+        some = frame.orderBy("h", "runs").limit(max_rows)
+        parts.append(some.select(F.explode("runs").alias("value"), F.lit(label).alias("label")))
+    return parts[0].unionByName(parts[1]).distinct()
+
+
+def _lowest(rows: DataFrame, wanted: int) -> DataFrame:
+    """Rows whose hash is low enough that some three times `wanted` are expected, so that what one
+    task orders to pick the lowest does not grow with the data."""
+    share = min(1.0, 3 * wanted / max(1, rows.count()))
+    return rows.where(F.col("h") <= F.lit(round(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1))
 
 
 def _states(value: Column) -> Column:
