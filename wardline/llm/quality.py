@@ -15,6 +15,7 @@ nothing to learn and every score is the share of good labels (0.5 without any).
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -123,12 +124,16 @@ def fit(sample: DataFrame, row_bytes: int = ROW_BYTES) -> CompressionModel:
     rows = rows.sort_values(["h", "id", "label", "text"]).reset_index(drop=True)
     share = float(rows["label"].mean()) if len(rows) else 0.5
     calibrate = rows.groupby("label").cumcount() % 3 == 2
+    # A line that several texts share (a notice, a repeated passage) says nothing about quality, but
+    # whichever dictionary holds it would claim every short text with it: leave such lines out.
+    lines = Counter(line for text in rows["text"] for line in set(text.split("\n")))
     dictionaries = []
     for label in (1, 0):
         texts = rows.loc[(rows["label"] == label) & ~calibrate, "text"]
         chunks = []
         for text in texts:
-            data = text.encode("utf-8", "replace")
+            own = "\n".join(line for line in text.split("\n") if lines[line] == 1)
+            data = own.encode("utf-8", "replace")
             chunks += [data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]
         dictionaries.append(_dictionary(zstandard, chunks))
     target = rows.loc[calibrate, "label"].to_numpy(dtype=float)
