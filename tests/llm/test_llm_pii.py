@@ -71,3 +71,15 @@ def test_documents(make_docs, odd_rows, clash):
     assert CARD not in a.text + b.text and a.text.split()[1] == b.text.split()[1].rstrip(",")
     assert BAD_CARD in b.text and (a.n_found, b.n_found) == (1, 1) and a.spans == "card:5:21"
     assert pii.pseudonymise(make_docs([]), KEY).collect() == []
+
+
+def test_numbers_next_to_each_other():
+    iban = "GB82 WEST 1234 5698 7654 32"
+    text = f"{CARD} 27.65.93.188, {CARD} 53; {iban} AB12 {CARD}\n(386) 555-3733 {CARD} 2021-02-28"
+    new, found = pii.pseudonymise_text(text, names())
+    kinds = [k for k, *_ in found]
+    assert kinds == ["card", "ip", "card", "iban", "card", "phone", "card", "date"]
+    assert all(text[s:e] not in new for _, s, e in found)
+    assert pii.pseudonymise_text(new, names(inverse=True))[0] == text
+    many = "1 " * 3000 + "a" * 3000 + "@" * 50
+    assert pii.pseudonymise_text(many, names()) == (many, [])

@@ -29,7 +29,7 @@ DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
 # Candidates, in order of preference where several start at one place.
 CANDIDATE = re.compile(
     r"""
-    (?P<email>(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
+    (?P<email>(?<![\w.%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))
   | (?P<date>(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}[./]\d{2}[./]\d{4})(?!\d))
@@ -41,6 +41,7 @@ CANDIDATE = re.compile(
     re.VERBOSE | re.ASCII,
 )
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")
+SPACED = ("iban", "card")  # a candidate can run on into the next number
 
 
 def feistel(value: int, size: int, key: bytes, tweak: str, inverse: bool = False) -> int:
@@ -128,7 +129,7 @@ class Pseudonyms:
         return f"{_refill(local, self._mixed(signs.lower(), 'email'), str.isalnum)}@{domain}"
 
     def _iban(self, text):
-        plain = text.replace(" ", "")
+        plain = text.strip().replace(" ", "")
         country, account = plain[:2], plain[4:]
         if not 15 <= len(plain) <= 34 or iban_digits(country, account) != plain[2:4]:
             return None
@@ -205,7 +206,7 @@ class Pseudonyms:
 
     def _card(self, text):
         digits = "".join(s for s in text if s.isdigit())
-        if digits[0] not in "3456" or luhn_digit(digits[:-1]) != digits[-1]:
+        if len(digits) < 13 or digits[0] not in "3456" or luhn_digit(digits[:-1]) != digits[-1]:
             return None
         moved = digits[0] + self._mixed(digits[1:-1], "card" + digits[0])
         return _refill(text, moved + luhn_digit(moved), str.isdigit)
@@ -223,15 +224,26 @@ def pseudonymise_text(text: str, names: Pseudonyms) -> tuple[str, list[tuple[str
     if "@" not in text and not any(d in text for d in "0123456789"):
         return text, found
 
-    def replaced(match):
-        kind = match.lastgroup
-        name = names.pseudonym(kind, match.group())
+    out, done, at = [], 0, 0
+    while match := CANDIDATE.search(text, at):
+        kind, start, part = match.lastgroup, match.start(), match.group()
+        name = names.pseudonym(kind, part)
+        while name is None and kind in SPACED and len(part) > 13:
+            # The number may end before a space or dash, with another number behind it.
+            cut = max(part.rfind(" "), part.rfind("-"))
+            if cut < 13:
+                break
+            part = part[:cut]
+            name = names.pseudonym(kind, part)
         if name is None:
-            return match.group()
-        found.append((kind, match.start(), match.end()))
-        return name
-
-    return CANDIDATE.sub(replaced, text), found
+            at = start + 1  # something else may start inside
+            continue
+        at = start + len(part)
+        out += [text[done:start], name]
+        found.append((kind, start, at))
+        done = at
+    out.append(text[done:])
+    return "".join(out), found
 
 
 def pseudonymise(docs: DataFrame, key: bytes, inverse: bool = False) -> DataFrame:
