@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_KEYS = 2_000_000  # some 32 MB
+BATCH_ROWS = 1000
 
 
 def pick(frame: DataFrame, *names: str) -> DataFrame:
@@ -40,3 +41,11 @@ def blocks_for(docs: DataFrame, text: str, block_bytes: int) -> tuple[int, int]:
     """(blocks of about `block_bytes` of text, bytes of text): grows with the data."""
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     return max(1, -(-total // block_bytes)), total
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts can be long: from now on Arrow batches of this session hold BATCH_ROWS rows at most, so
+    what a task and its Python worker hold at once stays small. Fewer, if the session says so."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))

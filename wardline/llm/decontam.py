@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import bound_batches, pick
 from .licenses import word_table
 from .wordhash import Hasher, mix, slices, windows
 
@@ -34,7 +34,7 @@ SHINGLE = 5
 BITS, BLOCKS, RADIUS = 256, 16, 60
 THRESHOLD = 0.8
 PART_BYTES = 4 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 STEP = 4096  # windows fingerprinted at once
 RESULT = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
 
@@ -95,7 +95,7 @@ class Index:
             tables = []
             for block in range(BLOCKS):
                 values = (prints[:, block][:, None] ^ near[None, :]).ravel()
-                owners = np.repeat(np.arange(len(members)), len(near))
+                owners = np.repeat(np.arange(len(members), dtype=np.int32), len(near))
                 order = np.argsort(values, kind="stable")
                 tables.append((values[order], owners[order]))
             self.by_size[size] = ([ids[n] for n in members], prints, tables)
@@ -130,7 +130,7 @@ class Index:
             count = high - low
             window = np.repeat(np.arange(len(prints)), count)
             place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-            found.append(window * len(own) + owners[place])
+            found.append(window * len(own) + owners[place].astype("i8"))
         pairs = np.unique(np.concatenate(found))
         window, item = pairs // len(own), pairs % len(own)
         distance = self.ones[prints[window] ^ own[item]].sum(axis=1, dtype=np.int32)
@@ -183,6 +183,7 @@ def _best(np, index: Index, size: int, waiting: list, best: dict) -> None:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """RESULT for documents (doc_id, text) and a benchmark (item_id, text)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     items = items.where("item_id IS NOT NULL AND text IS NOT NULL")

@@ -18,7 +18,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import bound_batches, pick
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -172,6 +172,7 @@ def judge_text(text, automaton, table):
 
 def scan(docs: DataFrame) -> DataFrame:
     """RESULT for documents (doc_id, text). Whole texts, one pass, no shuffle."""
+    bound_batches(docs.sparkSession)
     plain = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def judged(batches):

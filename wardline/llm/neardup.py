@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize
-from .common import blocks_for, pick
+from .common import blocks_for, bound_batches, pick
 from .packed import SENT, edges, joined, sent, sent_table, to_table
 from .wordhash import Hasher, mix, shingle_sets, slices
 
 SHINGLE = 5
 BINS = 256
 ROWS = 8
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 2 << 20
 BUCKET_HASHES = 1 << 20
 BROADCAST_ROWS = 2_000_000  # of single ids: some 32 MB
@@ -252,6 +252,7 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
+    bound_batches(docs.sparkSession)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = materialize(signatures(plain), "signatures")
     some = signed.where("n > 0 AND doc_id IS NOT NULL")

@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize
-from .common import pick
+from .common import bound_batches, pick
 from .wordhash import Hasher, mix, slices, text_bytes, word_spans
 
 WINDOW = 4096
 MAX_QUEUES = 1024
-MAX_KNOWN_PIECES = 2_000_000  # some 40 bytes each
-MAX_NEWEST = 100_000
+MAX_KNOWN_PIECES, MAX_KNOWN_IDS = 1_000_000, 8_000_000  # some 40 MB
+MAX_NEWEST = 50_000
+ENCODE_WORDS = 5_000
 SLICE_BYTES = 2 << 20  # text handled at once
 BROADCAST_ROWS = 500_000  # of (block, queue) rows, some 40 bytes each
 
@@ -83,8 +84,10 @@ class WordTokenizer:
         # Piece numbers by hash: sorted arrays, and a short list of the newest pieces.
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.newest: dict[int, int] = {}
-        self.starts, self.counts = np.zeros(0, "i8"), np.zeros(0, np.int32)
-        self.flat = np.zeros(0, self.width)
+        # Of piece i: self.flat[starts[i]:starts[i] + counts[i]]. Arrays with room to grow.
+        self.pieces, self.used = 0, 0
+        self.starts, self.counts = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.flat = np.zeros(1 << 18, self.width)
 
     def _find(self, unique):
         """Piece numbers of hashes, -1 for pieces not met before."""
@@ -105,7 +108,7 @@ class WordTokenizer:
         """Numbers new hashes from the last one on."""
         import numpy as np
 
-        base = len(self.starts)
+        base = self.pieces
         self.newest.update(zip(hashes.tolist(), range(base, base + len(hashes)), strict=True))
         if len(self.newest) > MAX_NEWEST:
             every = np.concatenate([self.hashes, np.array(list(self.newest), np.uint64)])
@@ -144,7 +147,7 @@ class WordTokenizer:
             rest = np.flatnonzero(~plain)
             hashes[rest] = mix(np, self.hasher.spans(data, a[rest], b[rest]) + np.uint64(1))
         codes, unique = pd.factorize(hashes)
-        if len(self.starts) > MAX_KNOWN_PIECES:
+        if self.pieces > MAX_KNOWN_PIECES or self.used > MAX_KNOWN_IDS:
             self._forget()
         numbers = self._find(unique)
         fresh = np.flatnonzero(numbers < 0)
@@ -154,7 +157,7 @@ class WordTokenizer:
             self._learn(folded, data, a, b, plain, seen[fresh], unique[fresh])
             numbers[fresh] = self._find(unique[fresh])
         pieces = numbers[codes]
-        counts = self.counts[pieces]
+        counts = self.counts[pieces].astype("i8")
         total = np.concatenate([[0], np.cumsum(counts)])
         place = np.arange(total[-1]) + np.repeat(self.starts[pieces] - total[:-1], counts)
         return self.flat[place], total[np.searchsorted(a, bounds, "left")]
@@ -189,22 +192,36 @@ class WordTokenizer:
                 others.append(text)
                 order_others.append(i)
         ids, counts = [], []
-        for at in range(0, len(words), 50_000):
-            some = words[at : at + 50_000]
+        for at in range(0, len(words), ENCODE_WORDS):
+            some = words[at : at + ENCODE_WORDS]
             code = self.plain.encode(" ".join(some), add_special_tokens=False)
             ids.append(np.array(code.ids, dtype=self.width))
             counts.append(np.bincount(np.array(code.word_ids, dtype="i8"), minlength=len(some)))
-        for at in range(0, len(others), 20_000):
-            codes = self.whole.encode_batch(others[at : at + 20_000], add_special_tokens=False)
+        for at in range(0, len(others), ENCODE_WORDS):
+            codes = self.whole.encode_batch(others[at : at + ENCODE_WORDS], add_special_tokens=False)
             found = [c.ids for c in codes]
             counts.append(np.array([len(x) for x in found], dtype="i8"))
             ids.append(np.array([x for y in found for x in y], dtype=self.width))
         order = np.array(order_words + order_others)
         self._add(hashes[order])
-        counts = np.concatenate(counts)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
-        self.flat = np.concatenate([self.flat, *ids])
+        counts, ids = np.concatenate(counts), np.concatenate(ids)
+        self.starts = _put(self.starts, self.pieces, self.used + np.cumsum(counts) - counts)
+        self.counts = _put(self.counts, self.pieces, counts)
+        self.flat = _put(self.flat, self.used, ids)
+        self.pieces += len(counts)
+        self.used += len(ids)
+
+
+def _put(array, used: int, more):
+    """`more` behind the first `used` entries of an array, which doubles where it is too small."""
+    import numpy as np
+
+    if used + len(more) > len(array):
+        grown = np.zeros(max(2 * len(array), used + len(more)), array.dtype)
+        grown[:used] = array[:used]
+        array = grown
+    array[used : used + len(more)] = more
+    return array
 
 
 def _worker_tokenizer(load: Callable, width: str) -> WordTokenizer:
@@ -387,6 +404,7 @@ def pack(
     the token counts do. `width` is the stored width of an id."""
     plain = pick(docs, "doc_id", "text", "source")
     spark = docs.sparkSession
+    bound_batches(spark)
     few = plain.select("source").distinct().limit(MAX_QUEUES + 1).count() <= MAX_QUEUES
     queue = F.col("source") if few else F.concat(F.lit("group "), F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string"))
     named = plain.select(

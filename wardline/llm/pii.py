@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import bound_batches, pick
 
 ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
@@ -249,6 +249,7 @@ def pseudonymise_text(text: str, names: Pseudonyms) -> tuple[str, list[tuple[str
 def pseudonymise(docs: DataFrame, key: bytes, inverse: bool = False) -> DataFrame:
     """(doc_id, text, n_found, spans) for documents (doc_id, text): pseudonymised text, the number
     of values replaced, and kind:start:end of each in the original text."""
+    bound_batches(docs.sparkSession)
     plain = pick(docs, "doc_id", "text")
 
     def moved(batches):

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered
+from .common import bound_batches, numbered, pick
 
 CHUNK = 2048
 DICTIONARY_BYTES = 112_640
@@ -165,8 +165,15 @@ def score_column(model: CompressionModel, text: Column) -> Column:
     return quality_score(text)
 
 
+def scored(docs: DataFrame, model: CompressionModel) -> DataFrame:
+    """(doc_id, score) for documents (doc_id, text)."""
+    bound_batches(docs.sparkSession)
+    return pick(docs, "doc_id", "text").select("doc_id", score_column(model, F.col("text")).alias("score"))
+
+
 def keep_good(docs: DataFrame, model: CompressionModel, threshold: float) -> DataFrame:
     """Documents that score `threshold` or more, with all their columns."""
+    bound_batches(docs.sparkSession)
     plain = numbered(docs)
     text = F.col(f"_{docs.columns.index('text')}")
     kept = plain.where(score_column(model, text) >= threshold)

@@ -159,11 +159,11 @@ def held_out(doc_id):
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality_model(docs, table(spark, sf_dir, "labels"))
-    score = quality.score_column(model, F.col("text"))
-    return (
-        pick(docs, "doc_id", "text")
-        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
-        .withColumn("predicted", (F.col("score") >= KEEP_SCORE).cast("int"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
     )
 
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, pick
+from .common import blocks_for, bound_batches, pick
 from .packed import SENT, edges, joined, sent, sent_table, to_table
 from .wordhash import Hasher, windows
 
@@ -45,6 +45,7 @@ def dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     by one space."""
     if size < PERIOD:
         raise ValueError(f"Windows need {PERIOD} words at least")
+    bound_batches(docs.sparkSession)
     plain = pick(docs, "doc_id", "text")
     n_blocks, total = blocks_for(plain, "text", BLOCK_BYTES)
     n_buckets = max(1, total // 14 // BUCKET_HASHES)
