@@ -34,7 +34,7 @@ SHINGLE = 5
 BITS, BLOCKS, RADIUS = 256, 16, 60
 THRESHOLD = 0.8
 PART_BYTES = 4 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 STEP = 4096  # windows fingerprinted at once
 RESULT = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
 

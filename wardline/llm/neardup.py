@@ -38,7 +38,7 @@ from .wordhash import Hasher, mix, shingle_sets, slices
 SHINGLE = 5
 BINS = 256
 ROWS = 8
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 2 << 20
 BUCKET_HASHES = 1 << 20
 BROADCAST_ROWS = 2_000_000  # of single ids: some 32 MB

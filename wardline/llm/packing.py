@@ -22,8 +22,10 @@ MAX_QUEUES queues by hash.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +35,10 @@ from .wordhash import Hasher, mix, slices, text_bytes, word_spans
 
 WINDOW = 4096
 MAX_QUEUES = 1024
-MAX_KNOWN_PIECES, MAX_KNOWN_IDS = 1_000_000, 8_000_000  # some 40 MB
+MAX_KNOWN_PIECES, MAX_KNOWN_IDS = 700_000, 6_000_000  # some 30 MB
 MAX_NEWEST = 50_000
 ENCODE_WORDS = 5_000
-SLICE_BYTES = 2 << 20  # text handled at once
+SLICE_BYTES = 1 << 20  # text handled at once
 BROADCAST_ROWS = 500_000  # of (block, queue) rows, some 40 bytes each
 
 TOKENS = "block int, doc_id long, queue string, before long, n long, ids binary"
@@ -61,15 +63,13 @@ class WordTokenizer:
 
         self.width = width
         self.hasher = Hasher()
-        self.whole = load()
-        self.plain = load()
-        self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [
-                pre_tokenizers.WhitespaceSplit(),
-                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-            ]
-        )
+        self.tokenizer = load()
+        self.usual = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        split = [
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ]
+        self.plain = None, pre_tokenizers.Sequence(split)
         kind = np.zeros(256, np.uint8)  # 0 goes to the tokenizer whole
         kind[33:127] = 3
         kind[97:123] = kind[65:91] = 1
@@ -78,6 +78,10 @@ class WordTokenizer:
         self.kind = kind
         self._forget()
 
+    def _use(self, steps):
+        """One tokenizer serves both ways, to hold its vocabulary once."""
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = steps
+
     def _forget(self):
         import numpy as np
 
@@ -192,13 +196,15 @@ class WordTokenizer:
                 others.append(text)
                 order_others.append(i)
         ids, counts = [], []
+        self._use(self.plain)
         for at in range(0, len(words), ENCODE_WORDS):
             some = words[at : at + ENCODE_WORDS]
-            code = self.plain.encode(" ".join(some), add_special_tokens=False)
+            code = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids.append(np.array(code.ids, dtype=self.width))
             counts.append(np.bincount(np.array(code.word_ids, dtype="i8"), minlength=len(some)))
+        self._use(self.usual)
         for at in range(0, len(others), ENCODE_WORDS):
-            codes = self.whole.encode_batch(others[at : at + ENCODE_WORDS], add_special_tokens=False)
+            codes = self.tokenizer.encode_batch(others[at : at + ENCODE_WORDS], add_special_tokens=False)
             found = [c.ids for c in codes]
             counts.append(np.array([len(x) for x in found], dtype="i8"))
             ids.append(np.array([x for y in found for x in y], dtype=self.width))
@@ -224,14 +230,14 @@ def _put(array, used: int, more):
     return array
 
 
-def _worker_tokenizer(load: Callable, width: str) -> WordTokenizer:
+def _worker_tokenizer(name: str, load: Callable, width: str) -> WordTokenizer:
     """The tokenizer of this worker process: tasks that follow in it reuse the pieces it has met.
-    What is remembered never changes a result."""
+    What is remembered never changes a result. `name` stands for what `load` does."""
     import sys
     import types
 
     kept = sys.modules.setdefault("_wardline_worker", types.ModuleType("_wardline_worker"))
-    at = (load.__module__, load.__qualname__, width)
+    at = (name, width)
     if at not in kept.__dict__.setdefault("tokenizers", {}):
         kept.tokenizers[at] = WordTokenizer(load, width)
     return kept.tokenizers[at]
@@ -242,13 +248,15 @@ def tokenise(docs: DataFrame, load: Callable, end_id: int, width: str = "<u4") -
     counts the tokens of the document's queue that come earlier in the same block, a block being
     what one task reads."""
 
+    name = hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId()
-        words = _worker_tokenizer(load, width)
+        words = _worker_tokenizer(name, load, width)
         end = np.array([end_id], dtype=width).tobytes()
         used: dict = {}
         for batch in slices(batches, "text", SLICE_BYTES):
