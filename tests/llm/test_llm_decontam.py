@@ -91,3 +91,37 @@ def test_odd_rows(spark, make_docs, odd_rows, clash):
     assert sorted((r.doc_id or 0, r.item_id) for r in found) == [(0, 2), (4, 6), (5, 6), (6, 1)]
     assert decontam.find_leaks(make_docs([]), bench(spark, items)).collect() == []
     assert decontam.find_leaks(make_docs(odd_rows), bench(spark, [])).collect() == []
+
+
+def test_items_with_repeated_shingles(spark, make_docs):
+    rng = random.Random(7)
+    refrain = lambda n, times: words(rng, n) + words(rng, 5) * times
+    items = [(i, " ".join(refrain(20, rng.choice([6, 10, 20])) + words(rng, 20))) for i in range(6)]
+    items += [(6, "0 " * 60), (7, " ".join(["- + |"] * 30 + words(rng, 15))), (8, " ".join(words(rng, 8) * 6))]
+    rows = []
+    for i, text in items:
+        rows.append((i, " ".join(words(rng, 50) + text.split() + words(rng, 50))))
+        edited = text.split()
+        edited[1] = "edited"
+        rows.append((100 + i, " ".join(words(rng, 9) + edited)))
+        rows.append((200 + i, " ".join(words(rng, 5000) + text.split() * 3)))
+    want = brute(rows, items)
+    assert {(k + i, i) for i, _ in items for k in (0, 200)} <= set(want) and len(want) > 24
+    found = decontam.find_leaks(make_docs(rows), bench(spark, items)).collect()
+    assert {(r.doc_id, r.item_id): (r.first_word, round(r.similarity, 9)) for r in found} == want
+
+
+def test_fingerprints_of_windows_count_each_shingle_once():
+    import numpy as np
+
+    gen = np.random.default_rng(3)
+    shingles = gen.integers(0, 2**63, 40, dtype=np.uint64)[gen.integers(0, 40, 6000)]
+    shingles[1000:1300] = shingles[0]
+    seen = 0
+    for size, starts, own, prints in decontam._windows_near(np, [9, 64, 300], shingles, np.arange(0, 6000, 7)):
+        for at, got in list(zip(starts.tolist(), prints, strict=True))[::17]:
+            part = np.unique(shingles[at : at + own - 4])
+            want = decontam.fingerprints(np, decontam.bit_rows(np, part).astype("i4").sum(axis=0)[None])
+            assert (want[0] == got).all()
+            seen += 1
+    assert seen > 500

@@ -2,7 +2,8 @@
 
 Words are runs of ASCII letters and digits (A-Z lower-cased) and non-ASCII characters, so case and
 punctuation do not hide a passage. For every item length that the benchmark has, each window of so
-many words of a document gets a BITS-bit SimHash over its SHINGLE-word shingles. The index cuts the
+many words of a document gets a BITS-bit SimHash over its distinct SHINGLE-word shingles, like the
+item itself: a shingle that repeats within the window counts once. The index cuts the
 items' fingerprints of that length into BLOCKS blocks and lists each item under all block values
 within RADIUS // BLOCKS bits of its own: by the pigeonhole principle any fingerprint within RADIUS
 shares a listed value in some block, so none within the radius is missed. What the index finds is
@@ -138,6 +139,27 @@ class Index:
         return window[near], item[near], distance[near]
 
 
+def _repeats(np, shingles):
+    """Places whose shingle stands earlier too, and the last place where it does."""
+    order = np.argsort(shingles, kind="stable")
+    same = np.flatnonzero(shingles[order[1:]] == shingles[order[:-1]])
+    return order[same + 1], order[same]
+
+
+def _repeated(np, bits, again, before, span: int, n: int):
+    """What repeats add to the summed bit rows of the windows of `span` shingles at 0 ... n - 1: the
+    place `again` is a repeat in the windows that also hold the place `before`."""
+    added = np.zeros((n + 1, BITS), np.int32)
+    first = again - span + 1
+    early = first <= 0
+    added[0] = bits[again[early]].sum(axis=0, dtype=np.int32)
+    inside = ~early & (first < n)
+    added[first[inside]] += bits[again[inside]]  # no two have the same place
+    ended = (early | inside) & (before + 1 < n)
+    added[before[ended] + 1] -= bits[again[ended]]
+    return np.cumsum(added[:n], axis=0)
+
+
 def _windows_near(np, sizes, shingles, hits):
     """Fingerprints of the windows of one document that hold a benchmark shingle, a stretch at a
     time: (size, starts, words in the window, fingerprints). `hits` are the places of such
@@ -154,14 +176,20 @@ def _windows_near(np, sizes, shingles, hits):
             end = min(at + STEP, last + 1)  # window starts of this stretch
             high = min(end + widest, len(shingles))
             rows = np.zeros((high - at + 1, BITS), np.int32)
-            np.cumsum(bit_rows(np, shingles[at:high]), axis=0, out=rows[1:])
+            bits = bit_rows(np, shingles[at:high])
+            np.cumsum(bits, axis=0, out=rows[1:])
+            again, before_it = _repeats(np, shingles[at:high])
             for size in sizes:
                 own = min(size, n)
                 span = own - SHINGLE + 1
                 starts = np.arange(at, min(end, n - own + 1))
                 starts = starts[before[starts + span] > before[starts]]
                 if len(starts):
-                    yield size, starts, own, fingerprints(np, rows[starts - at + span] - rows[starts - at])
+                    sums = rows[starts - at + span] - rows[starts - at]
+                    close = again - before_it < span
+                    if close.any():
+                        sums -= _repeated(np, bits, again[close], before_it[close], span, end - at)[starts - at]
+                    yield size, starts, own, fingerprints(np, sums)
 
 
 def _best(np, index: Index, size: int, waiting: list, best: dict) -> None:
