@@ -125,3 +125,16 @@ def test_fingerprints_of_windows_count_each_shingle_once():
             assert (want[0] == got).all()
             seen += 1
     assert seen > 500
+
+
+def test_equal_and_missing_item_ids(spark, make_docs):
+    rng = random.Random(11)
+    texts = [" ".join(words(rng, rng.choice([3, 20, 20, 35]))) for _ in range(24)]
+    items = [((None, 1, 2)[n % 3], text) for n, text in enumerate(texts)]
+    rows = [(n, " ".join(words(rng, 30) + text.split() + words(rng, 30))) for n, text in enumerate(texts)]
+    rows.append((50, " ".join([texts[0], *words(rng, 9), texts[1], *words(rng, 9), texts[4]])))
+    want = {(n, items[n][0]) for n in range(24)} | {(50, None), (50, 1)}
+    for part_bytes in (4 << 20, 800):
+        found = decontam.find_leaks(make_docs(rows), bench(spark, items), part_bytes).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
+        assert all(r.similarity == 1 for r in found)

@@ -19,7 +19,9 @@ words are one shingle and match where their words stand; items without words mat
 
 The benchmark is sent to the tasks in parts of `part_bytes` of text at most, one pass over the
 documents for each part, so what is broadcast has a bound whatever the benchmark's size. One row per
-document and item: the best window (the first among equals). Null text has no words.
+document and item id: the best window (the first among equals). Rows of the benchmark that share an
+id are one item with several texts, of which the best match counts; rows without id are items like
+any other, together under a null id. Null text has no words.
 """
 
 from __future__ import annotations
@@ -59,7 +61,8 @@ def ones_table(np):
 
 
 class Index:
-    """The items of one part of the benchmark, by length."""
+    """The items of one part of the benchmark, by length. Inside, an item is its place in the part;
+    `ids` has the ids, which need not differ."""
 
     def __init__(self, items):
         import math
@@ -67,16 +70,16 @@ class Index:
         import numpy as np
         import pyarrow as pa
 
-        ids = [i for i, _ in items]
+        self.ids = [i for i, _ in items]
         hashes, first, *_ = Hasher().words(pa.array([t for _, t in items], pa.string()), table=word_table())
         self.short: dict[int, dict[int, list]] = {}
         self.by_size: dict[int, tuple] = {}
         sets, sizes = {}, {}
-        for n, item in enumerate(ids):
+        for n in range(len(self.ids)):
             own = hashes[first[n] : first[n + 1]]
             if 0 < len(own) < SHINGLE:
                 whole = int(windows(np, own, len(own))[0])
-                self.short.setdefault(len(own), {}).setdefault(whole, []).append(item)
+                self.short.setdefault(len(own), {}).setdefault(whole, []).append(n)
             elif len(own):
                 sets[n] = windows(np, own, SHINGLE)
                 sizes.setdefault(len(own), []).append(n)
@@ -86,7 +89,7 @@ class Index:
         self.weight = np.array([1.0 / (1.0 + math.log2(c)) for c in count.tolist()])
         self.gate = np.zeros(1 << 20, bool)
         self.gate[(self.known >> np.uint64(44)).astype("i8")] = True
-        self.sets = {ids[n]: np.unique(s) for n, s in sets.items()}
+        self.sets = {n: np.unique(s) for n, s in sets.items()}
         self.ones = ones_table(np)
         near = np.flatnonzero(self.ones <= RADIUS // BLOCKS).astype(np.uint16)
         for size, members in sizes.items():
@@ -99,7 +102,7 @@ class Index:
                 owners = np.repeat(np.arange(len(members), dtype=np.int32), len(near))
                 order = np.argsort(values, kind="stable")
                 tables.append((values[order], owners[order]))
-            self.by_size[size] = ([ids[n] for n in members], prints, tables)
+            self.by_size[size] = (members, prints, tables)
 
     def holds(self, np, shingles):
         """Which shingles some item has."""
@@ -198,14 +201,14 @@ def _best(np, index: Index, size: int, waiting: list, best: dict) -> None:
     prints = np.concatenate([w[4] for w in waiting])
     owner = np.repeat(np.arange(len(waiting)), [len(w[2]) for w in waiting])
     starts = np.concatenate([w[2] for w in waiting])
-    names = index.by_size[size][0]
+    places = index.by_size[size][0]
     for window, item, distance in zip(*(x.tolist() for x in index.lookup(np, size, prints)), strict=True):
         doc, shingles, _, own, _ = waiting[owner[window]]
         start = int(starts[window])
-        value = index.similarity(np, names[item], shingles[start : start + own - SHINGLE + 1])
-        held = best.get((doc, names[item]), (0.0,))
+        value = index.similarity(np, places[item], shingles[start : start + own - SHINGLE + 1])
+        held = best.get((doc, places[item]), (0.0,))
         if value >= THRESHOLD and value > held[0]:
-            best[doc, names[item]] = (value, start, own, distance)
+            best[doc, places[item]] = (value, start, own, distance)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -214,7 +217,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYT
     bound_batches(spark)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    items = items.where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.where("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-2 * total // part_bytes))
     found = None
@@ -242,7 +245,7 @@ def _finder(held):
                 for at in np.flatnonzero(np.isin(every, np.array(list(wanted), np.uint64))).tolist():
                     doc = int(np.searchsorted(first, at, "right")) - 1
                     if at + size <= first[doc + 1]:
-                        rows += [(ids[doc], i, int(at - first[doc]), size, 0, 1.0) for i in wanted[int(every[at])]]
+                        rows += [(ids[doc], index.ids[i], int(at - first[doc]), size, 0, 1.0) for i in wanted[int(every[at])]]
             shingles = windows(np, words, SHINGLE)
             hits = index.holds(np, shingles)
             of = np.searchsorted(first, hits, "right") - 1
@@ -260,7 +263,7 @@ def _finder(held):
                         _best(np, index, size, waiting.pop(size), best)
             for size, queue in waiting.items():
                 _best(np, index, size, queue, best)
-            rows += [(ids[doc], i, s, n, d, v) for (doc, i), (v, s, n, d) in best.items()]
+            rows += [(ids[doc], index.ids[i], s, n, d, v) for (doc, i), (v, s, n, d) in best.items()]
             kinds = [pa.int64()] * 4 + [pa.int32(), pa.float64()]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
