@@ -59,3 +59,35 @@ def test_fold(spark):
 
     rows = spark.range(50).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+
+
+def test_bad_class_of_copies(spark, make_docs):
+    for copies in (1, 3):  # of one template, and of three
+        rows = [(i, text(i, True) if i % 3 else text(-1 - i % copies, False), int(i % 3 > 0)) for i in range(300)]
+        notice = "\nThis notice stands under every text of both classes."
+        rows = [(i, t + notice, label) for i, t, label in rows]
+        frame = spark.createDataFrame(rows, "id long, text string, label int").withColumn("h", F.xxhash64("id"))
+        model = quality.fit(frame)
+        assert model.weights
+        docs = make_docs([(i, t) for i, t, _ in rows] + [(1000 + i, text(1000 + i, True) + notice) for i in range(40)])
+        kept = {r.doc_id for r in quality.keep_good(docs, model, 0.7).collect()}
+        good = {i for i, _, label in rows if label} | set(range(1000, 1040))
+        assert len(kept - good) == 0 and len(good & kept) >= 0.97 * len(good)
+
+
+def test_keeps_all_when_nothing_was_learned(spark, make_docs):
+    docs = make_docs([(i, text(i, i % 2)) for i in range(8)])
+    for sample in ("false", "label = 0", "label = 1"):
+        assert quality.keep_good(docs, quality.fit(labelled(spark).where(sample)), 0.7).count() == 8
+
+
+def test_calibration_measures_whole_texts(spark):
+    rows = labelled(spark, 90).withColumn("text", F.concat("text", F.repeat(F.lit("\nmore of it"), 1000)))
+    seen = []
+    usual = quality._features
+    quality._features = lambda np, sizes: seen.extend(sizes) or usual(np, sizes)
+    try:
+        quality.fit(rows, row_bytes=200)
+    finally:
+        quality._features = usual
+    assert seen and min(raw for raw, *_ in seen) > 11_000

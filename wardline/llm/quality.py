@@ -5,23 +5,27 @@ A text is cut into chunks of CHUNK bytes, each compressed alone under both dicti
 long text cannot drown a dictionary in its own history and memory stays bounded. The normalised
 difference of the summed sizes, (bad - good) / (bad + good), together with the text's own
 compression ratio and its length, goes through a logistic calibration fitted on labelled rows that
-neither dictionary has seen.
+neither dictionary was trained on (though copies of them may have been).
 
-Fitting takes a bounded sample (`max_rows` labelled rows a class, the smallest by hash of the id,
-`row_bytes` of each); scoring reads whole texts. Null text counts as empty. Empty texts get the
-score that the calibration gives to size zero. Without labelled rows of both classes there is
-nothing to learn and every score is the share of good labels (0.5 without any).
+A dictionary takes a line from one text, however many of its class have it, and leaves out lines that
+both classes have. What is too little to train on becomes a dictionary as it stands.
+
+Fitting takes a bounded sample (`max_rows` labelled rows a class, the smallest by hash of the id);
+the dictionaries see `row_bytes` of each text, calibration and scoring whole texts. Null text counts
+as empty. Empty texts get the score that the calibration gives to size zero. There is nothing to
+learn without lines of each class's own, or without three labelled rows of each: then every score is
+the share of good labels (0.5 without any), and `keep_good` keeps all documents.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layers import materialize
 from .common import bound_batches, numbered, pick
 
 CHUNK = 2048
@@ -113,46 +117,63 @@ def sample_ids(marks: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
 
 
 def fit(sample: DataFrame, row_bytes: int = ROW_BYTES) -> CompressionModel:
-    """Model from a bounded sample (id, text, label, h), as joined to `sample_ids`. Two thirds of it
-    train the dictionaries, the rest the calibration. Of a text only the first `row_bytes`
-    characters come to the driver."""
+    """Model from a bounded sample (id, text, label, h), as joined to `sample_ids`, which is written
+    first. Two thirds of it train the dictionaries, the rest the calibration, measured in tasks. Of a
+    text only the first `row_bytes` characters come to the driver."""
     import numpy as np
     import zstandard
 
-    text = F.substring(F.coalesce("text", F.lit("")), 1, row_bytes).alias("text")
-    rows = sample.select("id", text, "label", "h").toPandas()
-    rows = rows.sort_values(["h", "id", "label", "text"]).reset_index(drop=True)
+    bound_batches(sample.sparkSession)
+    text = F.coalesce("text", F.lit("")).alias("text")
+    sample = sample.select("id", text, "label", "h").withColumn("row", F.monotonically_increasing_id())
+    sample = materialize(sample, "labelled")
+    start = F.substring("text", 1, row_bytes).alias("text")
+    rows = sample.select("id", start, "label", "h", "row", F.xxhash64("text").alias("whole")).toPandas()
+    rows = rows.sort_values(["h", "id", "label", "text", "whole"]).reset_index(drop=True)
     share = float(rows["label"].mean()) if len(rows) else 0.5
     calibrate = rows.groupby("label").cumcount() % 3 == 2
-    # A line that several texts share (a notice, a repeated passage) says nothing about quality, but
+    # A line that both classes have (a notice, a repeated passage) says nothing about quality, but
     # whichever dictionary holds it would claim every short text with it: leave such lines out.
-    lines = Counter(line for text in rows["text"] for line in set(text.split("\n")))
+    held = [{line for text in rows.loc[rows["label"] == k, "text"] for line in text.split("\n")} for k in (0, 1)]
     dictionaries = []
     for label in (1, 0):
-        texts = rows.loc[(rows["label"] == label) & ~calibrate, "text"]
+        known = set(held[1 - label])
         chunks = []
-        for text in texts:
-            own = "\n".join(line for line in text.split("\n") if lines[line] == 1)
-            data = own.encode("utf-8", "replace")
+        for text in rows.loc[(rows["label"] == label) & ~calibrate, "text"]:
+            own = [line for line in text.split("\n") if line not in known]
+            known.update(own)  # lines that repeat within a text are its own way and stay
+            data = "\n".join(own).encode("utf-8", "replace")
             chunks += [data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]
         dictionaries.append(_dictionary(zstandard, chunks))
     target = rows.loc[calibrate, "label"].to_numpy(dtype=float)
     if None in dictionaries or not 0 < target.sum() < len(target):
         return CompressionModel(b"", b"", (), share)
-    measure = _meter(*dictionaries)
-    table = _features(np, [measure(t) for t in rows.loc[calibrate, "text"]])
-    weights = _logistic(np, table, target)
+    chosen = rows.loc[calibrate, "row"].tolist()
+    sizes = _sizes(sample, chosen, *dictionaries)
+    weights = _logistic(np, _features(np, [sizes[row] for row in chosen]), target)
     return CompressionModel(*dictionaries, tuple(float(w) for w in weights), share)
 
 
+def _sizes(sample: DataFrame, chosen: list, good: bytes, bad: bytes) -> dict:
+    """What `_meter` measures of the whole texts of the chosen rows, by row."""
+
+    @F.pandas_udf("array<bigint>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return texts.map(_meter(good, bad))
+
+    few = F.broadcast(sample.sparkSession.createDataFrame([(row,) for row in chosen], "row long"))
+    return {r.row: r.sizes for r in sample.join(few, "row").select("row", measured("text").alias("sizes")).collect()}
+
+
 def _dictionary(zstandard, chunks):
-    """Trained dictionary, smaller where there is little text; None if there is too little."""
+    """Trained dictionary, smaller where there is little text; the text itself if that is too little
+    to train on; None without text."""
     total = sum(map(len, chunks))
     size = min(DICTIONARY_BYTES, max(1024, total // 8))
     try:
         return zstandard.train_dictionary(size, chunks).as_bytes()
     except zstandard.ZstdError:
-        return None
+        return b"\n".join(chunks)[:DICTIONARY_BYTES] or None
 
 
 def score_column(model: CompressionModel, text: Column) -> Column:
@@ -172,7 +193,10 @@ def scored(docs: DataFrame, model: CompressionModel) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: CompressionModel, threshold: float) -> DataFrame:
-    """Documents that score `threshold` or more, with all their columns."""
+    """Documents that score `threshold` or more, with all their columns; all documents if nothing
+    could be learned."""
+    if not model.weights:
+        return docs
     bound_batches(docs.sparkSession)
     plain = numbered(docs)
     text = F.col(f"_{docs.columns.index('text')}")
