@@ -138,3 +138,21 @@ def test_equal_and_missing_item_ids(spark, make_docs):
         found = decontam.find_leaks(make_docs(rows), bench(spark, items), part_bytes).collect()
         assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
         assert all(r.similarity == 1 for r in found)
+
+
+def test_weights_do_not_depend_on_the_parts(spark, make_docs):
+    rng = random.Random(13)
+    common = [words(rng, 12) for _ in range(4)]
+    items = [(i, " ".join(words(rng, 20) + common[i % 4] + common[i % 3] + words(rng, 9))) for i in range(16)]
+    rows = []
+    for doc in range(48):  # own words exchanged for those of another item, near the threshold
+        text = items[doc % 16][1].split()
+        n = rng.randrange(1, 9)
+        text[:n] = rng.choice(common)[:n] if doc % 2 else words(rng, n)
+        rows.append((doc, " ".join(words(rng, 20) + text + words(rng, 20))))
+    want = brute(rows, items)
+    assert 10 < sum(0.8 <= v < 0.95 for _, v in want.values())
+    for part_bytes in (4 << 20, 1500, 500):
+        found = decontam.find_leaks(make_docs(rows), bench(spark, items), part_bytes).collect()
+        got = {(r.doc_id, r.item_id): (r.first_word, round(r.similarity, 9)) for r in found}
+        assert len(got) == len(found) and got == want

@@ -8,7 +8,8 @@ items' fingerprints of that length into BLOCKS blocks and lists each item under
 within RADIUS // BLOCKS bits of its own: by the pigeonhole principle any fingerprint within RADIUS
 shares a listed value in some block, so none within the radius is missed. What the index finds is
 checked for its Hamming distance and then exactly: the weighted Jaccard similarity of the two
-shingle sets must reach `threshold`. A shingle weighs 1 / (1 + log2(items that hold it)).
+shingle sets must reach `threshold`. A shingle weighs 1 / (1 + log2(items that hold it)), counted over
+the rows of the whole benchmark, in whole units of 1 / UNIT: sums are exact, in any order.
 
 At similarity 0.8 the expected distance is 39 of 256 bits (deviation 5.7); a radius of 60 leaves out
 about one window in ten thousand there, and practically none above.
@@ -18,7 +19,10 @@ every item. A document shorter than an item is compared as one window. Items of
 words are one shingle and match where their words stand; items without words match nothing.
 
 The benchmark is sent to the tasks in parts of `part_bytes` of text at most, one pass over the
-documents for each part, so what is broadcast has a bound whatever the benchmark's size. One row per
+documents for each part, so what is broadcast has a bound whatever the benchmark's size. With several
+parts, shingles are counted over all of them first, and a part gets the counts of its own shingles.
+A window's other shingles may be held by items of other parts: their weights are joined to the
+windows that could reach the threshold, and the similarity is made from the sums. One row per
 document and item id: the best window (the first among equals). Rows of the benchmark that share an
 id are one item with several texts, of which the best match counts; rows without id are items like
 any other, together under a null id. Null text has no words.
@@ -29,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.layers import materialize
 from .common import bound_batches, pick
 from .licenses import word_table
 from .wordhash import Hasher, mix, slices, windows
@@ -39,7 +44,20 @@ THRESHOLD = 0.8
 PART_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 STEP = 4096  # windows fingerprinted at once
-RESULT = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
+UNIT = 1 << 40
+# A window that may match: weights of what it shares and of the union, without `others`, which are
+# the window's shingles that the part does not know.
+CANDIDATE = (
+    "doc_id long, item_id long, first_word long, n_words long, distance int, shared long, known long,"
+    " others array<long>"
+)
+
+
+def weigh(count: int) -> int:
+    """Weight of a shingle that so many items hold."""
+    import math
+
+    return round(UNIT / (1 + math.log2(count)))
 
 
 def bit_rows(np, shingles):
@@ -62,11 +80,11 @@ def ones_table(np):
 
 class Index:
     """The items of one part of the benchmark, by length. Inside, an item is its place in the part;
-    `ids` has the ids, which need not differ."""
-
-    def __init__(self, items):
-        import math
+    `ids` has the ids, which need not differ. `counts` has the sorted shingles of the part that several
+    items of the whole benchmark hold, and how many; without it the part is the whole benchmark.
+    `most` is the largest number of items that hold one shingle."""
 
+    def __init__(self, items, counts=None, most: int = 1):
         import numpy as np
         import pyarrow as pa
 
@@ -86,7 +104,13 @@ class Index:
         unique = [np.unique(s) for s in sets.values()]
         every = np.concatenate(unique) if unique else np.zeros(0, np.uint64)
         self.known, count = np.unique(every, return_counts=True)
-        self.weight = np.array([1.0 / (1.0 + math.log2(c)) for c in count.tolist()])
+        self.whole = counts is None
+        if not self.whole:
+            count = np.ones(len(self.known), "i8")
+            count[np.searchsorted(self.known, counts[0])] = counts[1]
+        levels, level = np.unique(count, return_inverse=True)
+        self.weight = np.array([weigh(c) for c in levels.tolist()], "i8")[level]
+        self.least = UNIT if self.whole else weigh(most)
         self.gate = np.zeros(1 << 20, bool)
         self.gate[(self.known >> np.uint64(44)).astype("i8")] = True
         self.sets = {n: np.unique(s) for n, s in sets.items()}
@@ -112,17 +136,15 @@ class Index:
         at = np.minimum(np.searchsorted(self.known, shingles[maybe]), len(self.known) - 1)
         return maybe[self.known[at] == shingles[maybe]]
 
-    def weights(self, np, shingles):
-        if not len(self.known):
-            return np.ones(len(shingles))
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        return np.where(self.known[at] == shingles, self.weight[at], 1.0)
-
-    def similarity(self, np, item, shingles) -> float:
+    def compare(self, np, item, shingles) -> tuple:
+        """(weight shared, weight of the union without the others, the others) of an item and a window;
+        others are the window's shingles that no item of the part has."""
         own, other = self.sets[item], np.unique(shingles)
         both = np.intersect1d(own, other, assume_unique=True)
-        shared = self.weights(np, both).sum()
-        return float(shared / (self.weights(np, own).sum() + self.weights(np, other).sum() - shared))
+        at = np.minimum(np.searchsorted(self.known, other), len(self.known) - 1)
+        met = self.known[at] == other
+        shared, mine = (self.weight[np.searchsorted(self.known, x)].sum() for x in (both, own))
+        return int(shared), int(mine + self.weight[at[met]].sum() - shared), other[~met]
 
     def lookup(self, np, size: int, prints):
         """(window, item place) pairs within the radius."""
@@ -197,7 +219,8 @@ def _windows_near(np, sizes, shingles, hits):
 
 def _best(np, index: Index, size: int, waiting: list, best: dict) -> None:
     """Looks up collected windows (document, its shingles, starts, words, fingerprints) and keeps
-    the best of each document and item in `best`."""
+    what may be the best of each document and item in `best`: [the best similarity that is certain,
+    candidates]. Shingles that the part does not know weigh 1 at most and index.least at least."""
     prints = np.concatenate([w[4] for w in waiting])
     owner = np.repeat(np.arange(len(waiting)), [len(w[2]) for w in waiting])
     starts = np.concatenate([w[2] for w in waiting])
@@ -205,14 +228,47 @@ def _best(np, index: Index, size: int, waiting: list, best: dict) -> None:
     for window, item, distance in zip(*(x.tolist() for x in index.lookup(np, size, prints)), strict=True):
         doc, shingles, _, own, _ = waiting[owner[window]]
         start = int(starts[window])
-        value = index.similarity(np, places[item], shingles[start : start + own - SHINGLE + 1])
-        held = best.get((doc, places[item]), (0.0,))
-        if value >= THRESHOLD and value > held[0]:
-            best[doc, places[item]] = (value, start, own, distance)
+        shared, known, others = index.compare(np, places[item], shingles[start : start + own - SHINGLE + 1])
+        if index.whole:  # no other part has them
+            known, others = known + len(others) * UNIT, others[:0]
+        certain = float(shared) / float(known + len(others) * UNIT)
+        possible = float(shared) / float(known + len(others) * index.least)
+        held = best.setdefault((doc, places[item]), [0.0, []])
+        if possible < THRESHOLD or possible <= held[0]:  # of equals the first counts, and starts rise
+            continue
+        if certain > held[0]:
+            held[0], held[1] = certain, [c for c in held[1] if c[0] >= certain]
+        held[1].append((possible, start, own, distance, shared, known, others))
+
+
+def _counted(items: DataFrame) -> tuple:
+    """((part, shingle, n) of the shingles that n > 1 items of the whole benchmark hold, for every part
+    that has them; the same without parts), for items (text, part)."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        hasher, table = Hasher(), word_table()
+        for batch in slices(batches, "text", SLICE_BYTES):
+            words, first, *_ = hasher.words(batch.column("text"), table=table)
+            parts = batch.column("part").to_pylist()
+            for n, part in enumerate(parts):
+                own = np.unique(windows(np, words[first[n] : first[n + 1]], SHINGLE)).view("i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), part, "i8")), pa.array(own)], ["part", "shingle"]
+                )
+
+    held = items.select("text", "part").mapInArrow(run, "part long, shingle long")
+    held = materialize(held.groupBy("part", "shingle").agg(F.count("*").alias("n")), "item-shingles")
+    several = held.groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    several = materialize(several, "shingle-counts")
+    return materialize(held.select("part", "shingle").join(several, "shingle"), "part-shingle-counts"), several
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """RESULT for documents (doc_id, text) and a benchmark (item_id, text)."""
+    """(doc_id, item_id, first_word, n_words, distance, similarity) for documents (doc_id, text) and a
+    benchmark (item_id, text)."""
     spark = docs.sparkSession
     bound_batches(spark)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -220,22 +276,61 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYT
     items = items.where("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-2 * total // part_bytes))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    if parts == 1:
+        found = plain.mapInArrow(_finder(_send(items), None, 1), CANDIDATE)
+        union = F.col("known")
+    else:
+        found = _by_part(plain, items, parts)
+        union = F.col("known") + F.col("others")
+    found = found.withColumn("similarity", F.col("shared").cast("double") / union.cast("double"))
+    found = found.where(F.col("similarity") >= THRESHOLD)
+    best = F.max_by(F.struct("first_word", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("first_word")))
+    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def _send(items: DataFrame):
+    """Broadcast of the rows of one part."""
+    rows = items.sort("item_id", "text").collect()
+    return items.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in rows])
+
+
+def _by_part(plain: DataFrame, items: DataFrame, parts: int) -> DataFrame:
+    """Candidates with `others` as the weight of those shingles. Parts run and are written one after
+    the other, so that one broadcast is held at a time."""
+    import numpy as np
+
+    of_part, several = _counted(items)
+    most = several.agg(F.max("n")).first()[0] or 1
     found = None
     for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        held = spark.sparkContext.broadcast([(r.item_id, r.text) for r in rows.sort("item_id", "text").collect()])
-        some = plain.mapInArrow(_finder(held), RESULT)
+        held = _send(items.where(F.col("part") == part))
+        counts = of_part.where(F.col("part") == part).select("shingle", "n").toPandas()
+        own = counts["shingle"].to_numpy("i8").view(np.uint64)
+        order = np.argsort(own)
+        shared = plain.sparkSession.sparkContext.broadcast((own[order], counts["n"].to_numpy("i8")[order]))
+        some = plain.mapInArrow(_finder(held, shared, most), CANDIDATE)
+        some = some.select("*", F.lit(part).alias("part"), F.monotonically_increasing_id().alias("row"))
+        some = materialize(some, "candidates")
+        held.unpersist()
+        shared.unpersist()
         found = some if found is None else found.unionByName(some)
-    best = F.max_by(F.struct("first_word", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("first_word")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    weight = F.udf(weigh, "long")
+    levels = several.select("n").distinct().select("n", weight("n").alias("weight"))
+    weights = several.join(levels, "n").select("shingle", "weight")
+    open_ = found.select("part", "row", F.explode("others").alias("shingle")).join(weights, "shingle", "left")
+    sums = open_.groupBy("part", "row").agg(F.sum(F.coalesce("weight", F.lit(UNIT))).alias("others"))
+    closed = found.drop("others").join(sums, ["part", "row"], "left")
+    return closed.withColumn("others", F.coalesce("others", F.lit(0)))
 
 
-def _finder(held):
+def _finder(held, counts, most: int):
     def find(batches):
         import numpy as np
         import pyarrow as pa
 
-        index, hasher, table = Index(held.value), Hasher(), word_table()
+        index = Index(held.value, None if counts is None else counts.value, most)
+        hasher, table = Hasher(), word_table()
         for batch in slices(batches, "text", SLICE_BYTES):
             ids = batch.column("doc_id").to_pylist()
             words, first, *_ = hasher.words(batch.column("text"), table=table)
@@ -245,7 +340,7 @@ def _finder(held):
                 for at in np.flatnonzero(np.isin(every, np.array(list(wanted), np.uint64))).tolist():
                     doc = int(np.searchsorted(first, at, "right")) - 1
                     if at + size <= first[doc + 1]:
-                        rows += [(ids[doc], index.ids[i], int(at - first[doc]), size, 0, 1.0) for i in wanted[int(every[at])]]
+                        rows += [(ids[doc], index.ids[i], int(at - first[doc]), size, 0, UNIT, UNIT, []) for i in wanted[int(every[at])]]
             shingles = windows(np, words, SHINGLE)
             hits = index.holds(np, shingles)
             of = np.searchsorted(first, hits, "right") - 1
@@ -263,12 +358,13 @@ def _finder(held):
                         _best(np, index, size, waiting.pop(size), best)
             for size, queue in waiting.items():
                 _best(np, index, size, queue, best)
-            rows += [(ids[doc], index.ids[i], s, n, d, v) for (doc, i), (v, s, n, d) in best.items()]
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.float64()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            for (doc, i), (_, some) in best.items():
+                rows += [(ids[doc], index.ids[i], *c[1:6], c[6].view("i8")) for c in some]
+            kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.list_(pa.int64())]
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"],
+                ["doc_id", "item_id", "first_word", "n_words", "distance", "shared", "known", "others"],
             )
 
     return find
