@@ -7,7 +7,7 @@ without words is linked with nothing.
 
 1. Equal sets collapse to a class, led by the smallest id: copies cost nothing further.
 2. One hash per shingle fills BINS bins with their minima; an empty bin borrows from a bin chosen by
-   hashes of its own number until one is full (optimal densification). Bands of ROWS bins are the
+   hashes of its own number until one is full (optimal densification). Bands of `rows` bins are the
    keys of buckets.
 3. Star edges: each member of a bucket is compared with the bucket's smallest member only, so edges
    stay linear in bucket entries. Candidates are confirmed on full sets, links contracted to
@@ -19,7 +19,8 @@ without words is linked with nothing.
    its own falls out here without being compared with its family.
 
 No pair that shares a bucket is lost and none is capped; that two documents at the threshold share
-no bucket has a chance of about 4e-5 with 256 bins in bands of 8 (0.85), and less above it.
+no bucket has a chance of about 4e-5 with 256 bins in bands of 8 (0.85), about 3e-6 in
+bands of 6 (0.80), and less above it.
 
 Rows without doc_id are linked with nothing (component null, kept). Rows of one id count as one
 document. Shingles are compared as 64-bit hashes.
@@ -69,16 +70,16 @@ def densified(np, sets: list):
     return table
 
 
-def band_keys(np, table):
-    """Matrix of bucket keys: each band's bins and its number, hashed."""
-    bands = BINS // ROWS
+def band_keys(np, table, size: int = ROWS):
+    """Matrix of bucket keys: each band's `size` bins and its number, hashed."""
+    bands = BINS // size
     keys = np.zeros((len(table), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
-    for i in range(ROWS):
-        keys = mix(np, keys * np.uint64(0xC2B2AE3D27D4EB4F) + table[:, i::ROWS][:, :bands])
+    for i in range(size):
+        keys = mix(np, keys * np.uint64(0xC2B2AE3D27D4EB4F) + table[:, i::size][:, :bands])
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """SIGNED for documents (doc_id, text): set size, digest of the set, bucket keys."""
 
     def sign(batches):
@@ -92,7 +93,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             hashes, first, *_ = hasher.words(batch.column("text"), lower=True)
             sets = shingle_sets(np, hashes, first, SHINGLE)
             some = [i for i, s in enumerate(sets) if len(s)]
-            keys = band_keys(np, densified(np, [sets[i] for i in some]))
+            keys = band_keys(np, densified(np, [sets[i] for i in some]), rows)
             bands: list = [[]] * len(sets)
             for i, own in zip(some, keys.tolist(), strict=True):
                 bands[i] = own
@@ -250,11 +251,12 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
+def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text). Bands of fewer `rows`
+    find pairs of a lower `percent`."""
     bound_batches(docs.sparkSession)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = materialize(signatures(plain), "signatures")
+    signed = materialize(signatures(plain, rows), "signatures")
     some = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = materialize(
         some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")),
