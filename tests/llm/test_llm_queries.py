@@ -10,7 +10,7 @@ import corpus_pipeline
 from wardline.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -42,7 +42,7 @@ def test_a_row_for_each_document(spark, db, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 14))
 
 
 def test_stages_take_effect(spark, tmp_path):

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.layers import materialize
+
 BROADCAST_KEYS = 2_000_000  # some 32 MB
 BATCH_ROWS = 1000
 
@@ -49,3 +53,30 @@ def bound_batches(spark: SparkSession) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
+
+
+@contextmanager
+def byte_batches(spark: SparkSession, size: int = 16 << 20):
+    """Inside the block Arrow batches hold about `size` bytes: for rows that are packed blocks."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def lookup(rows: DataFrame, unique: DataFrame, keys: list, how: str = "left") -> DataFrame:
+    """`rows` joined with the one row that `unique` has for their keys, both cheap to read again.
+    Keys that hold over a thousandth of the rows, fewer than a thousand, are joined by broadcast, so
+    none of them fills a task."""
+    total = rows.count()
+    often = rows.groupBy(*keys).count().where(F.col("count") * 1000 > max(total, 1_000_000)).select(*keys)
+    often = materialize(often, "hot-keys")
+    if often.isEmpty():
+        return rows.join(unique, keys, how)
+    few = F.broadcast(materialize(unique.join(F.broadcast(often), keys, "left_semi"), "hot-rows"))
+    hot = rows.join(F.broadcast(often), keys, "left_semi").join(few, keys, how)
+    rest = rows.join(F.broadcast(often), keys, "left_anti").join(unique, keys, how)
+    return hot.unionByName(rest)

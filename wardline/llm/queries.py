@@ -6,7 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.layers import materialize
-from . import decontam, licenses, neardup, packing, pii, quality, secretscan, substring, topk, urlfilter
+from . import (
+    convtrie,
+    decontam,
+    licenses,
+    neardup,
+    packing,
+    pii,
+    quality,
+    secretscan,
+    substring,
+    topk,
+    urlfilter,
+    veclinks,
+)
 from .common import pick
 
 PII_KEY = b"wardline example key"
@@ -223,6 +236,82 @@ SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
 """
 
 
+# --- 12 --------------------------------------------------------------------------------------
+
+
+def op12_convtrie(spark, sf_dir):
+    return convtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 is computed byte by byte from its polynomial; ids are decimal digits, so bytes are code points.
+OP12_SQL = """
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+turns AS (
+  SELECT conv_id AS c, coalesce("role", '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce("role", ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - ((c % 100) + 100) % 100 AS base, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda z: CAST(ascii(z) AS BIGINT))),
+      lambda a, b: xor(a // 256, t[CAST(xor(a % 256, b) AS INTEGER) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc),
+rebuilt AS (
+  SELECT c, list({'r': r, 'x': x} ORDER BY own, i) AS s
+  FROM (
+    SELECT v.c, 0 AS own, b.i, b.r, b.x FROM convs v JOIN turns b ON b.c = v.base AND b.i <= v.h
+    UNION ALL SELECT v.c, 1, o.i, o.r, o.x FROM convs v JOIN turns o ON o.c = v.c AND o.i > v.h)
+  GROUP BY c),
+seqs AS (SELECT c, coalesce(s, []) AS s, coalesce(len(s), 0) AS n FROM convs LEFT JOIN rebuilt USING (c)),
+member AS (
+  SELECT c, n, d, CASE WHEN d > 0 THEN md5(CAST(s[1:d] AS VARCHAR)) ELSE '' END AS k,
+    CASE WHEN d > 1 THEN md5(CAST(s[1:d - 1] AS VARCHAR)) WHEN d = 1 THEN '' END AS pk, length(s[d].x) AS size
+  FROM seqs, unnest(range(n + 1)) AS u(d)),
+node AS (
+  SELECT d, k, any_value(pk) AS pk, min(c) AS c, count(*) AS n, (count(*) - 1) * coalesce(any_value(size), 0) AS own,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends
+  FROM member GROUP BY d, k),
+child AS (SELECT d - 1 AS d, pk AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+total AS (
+  SELECT u.d, u.k, sum(v.own) AS saved, count(*) FILTER (w.n IS NULL) AS leaves
+  FROM node v LEFT JOIN child w USING (d, k) JOIN member u ON u.c = v.c AND u.d <= v.d GROUP BY u.d, u.k)
+SELECT a.c AS conv_id, a.d AS "depth", p.c AS parent_conv_id, a.n AS n_convs,
+  CAST(coalesce(w.n, 0) AS BIGINT) AS n_children, CAST(t.leaves AS BIGINT) AS n_leaves,
+  CAST(t.saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+FROM node a JOIN total t USING (d, k) LEFT JOIN child w USING (d, k)
+  LEFT JOIN node p ON p.d = a.d - 1 AND p.k = a.pk
+"""
+
+
+# --- 13 --------------------------------------------------------------------------------------
+
+
+def op13_veclinks(spark, sf_dir):
+    return veclinks.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9)
+
+
+OP13_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+    CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS e
+  FROM embeddings),
+links AS (
+  SELECT a.rid AS x, b.rid AS y FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.rid <> b.rid
+  WHERE list_dot_product(a.e, b.e)
+    / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9),
+reach AS (SELECT rid, rid AS other FROM v UNION SELECT r.rid, l.y FROM reach r JOIN links l ON r.other = l.x),
+least AS (SELECT r.rid, min(o.vec_id) AS component_id FROM reach r JOIN v o ON o.rid = r.other GROUP BY r.rid),
+degree AS (SELECT x AS rid, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+  component_id IS NULL OR coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN least USING (rid) LEFT JOIN degree USING (rid)
+"""
+
+
 def queries() -> dict:
     return {
         "op1_pii": op1_pii,
@@ -235,8 +324,10 @@ def queries() -> dict:
         "op8_quality": op8_quality,
         "op9_substring": op9_substring,
         "op10_topk": op10_topk,
+        "op12_convtrie": op12_convtrie,
+        "op13_veclinks": op13_veclinks,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_urls": OP4_SQL, "op9_substring": OP9_SQL, "op10_topk": OP10_SQL}
+    return {"op4_urls": OP4_SQL, "op9_substring": OP9_SQL, "op10_topk": OP10_SQL, "op12_convtrie": OP12_SQL, "op13_veclinks": OP13_SQL}
