@@ -10,6 +10,7 @@ from . import (
     convtrie,
     decontam,
     licenses,
+    maxscore,
     neardup,
     packing,
     pii,
@@ -236,6 +237,43 @@ SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
 """
 
 
+# --- 11 --------------------------------------------------------------------------------------
+
+
+def op11_maxscore(spark, sf_dir):
+    return maxscore.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w)) AS l FROM d),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+tf AS (
+  SELECT rid, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM wanted) GROUP BY rid, t),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY t),
+factor AS (SELECT rid, doc_id, CAST(10 + (90 * len(w) * n) // l AS BIGINT) AS m FROM d, total WHERE len(w) > 0),
+scored AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (t) JOIN tf USING (t) JOIN factor USING (rid)
+  WHERE doc_id IS NOT NULL GROUP BY item_id, rid, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS "rank"
+  FROM scored WHERE score > 0)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 10
+"""
+
+
 # --- 12 --------------------------------------------------------------------------------------
 
 
@@ -324,10 +362,18 @@ def queries() -> dict:
         "op8_quality": op8_quality,
         "op9_substring": op9_substring,
         "op10_topk": op10_topk,
+        "op11_maxscore": op11_maxscore,
         "op12_convtrie": op12_convtrie,
         "op13_veclinks": op13_veclinks,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_urls": OP4_SQL, "op9_substring": OP9_SQL, "op10_topk": OP10_SQL, "op12_convtrie": OP12_SQL, "op13_veclinks": OP13_SQL}
+    return {
+        "op4_urls": OP4_SQL,
+        "op9_substring": OP9_SQL,
+        "op10_topk": OP10_SQL,
+        "op11_maxscore": OP11_SQL,
+        "op12_convtrie": OP12_SQL,
+        "op13_veclinks": OP13_SQL,
+    }
