@@ -111,8 +111,9 @@ def test_rules_with_several_codes():
     spec = StudySpec.from_concepts()
     assert (spec.target_code, spec.window_exclusion_code) == ("44054006", "77386006")
     sets = {**CONCEPT_SETS, "pregnancy": ("v", "u", (("1", "a"), ("2", "b")))}
-    assert StudySpec.from_concepts(sets).window_exclusion_code == "1|2"
-    assert StudySpec(target_code=("7", 8)).target_code == "7|8"
+    assert StudySpec.from_concepts(sets).window_exclusion_code == ("1", "2")
+    assert StudySpec(target_code=("7", 8, "7")).target_code == ("7", "8")
+    assert StudySpec(target_code=["7"]).target_code == "7"
     assert concept_version(sets) != concept_version(CONCEPT_SETS)
     with pytest.raises(ValueError):
         StudySpec.from_concepts(sets, target="a1c")
@@ -128,3 +129,15 @@ def test_any_code_of_a_rule_counts(clinic):
         StudySpec(target_code=("7", "8")),
     ).collect()
     assert [(r.patient_id, str(r.index_date), r.target_t2dm_code) for r in rows] == [("p1", "2019-01-01", "7|8")]
+    assert rows[0].index_condition_code == "8"  # the row's own code
+
+
+def test_a_code_may_hold_a_bar(clinic):
+    from wardline.operators.cohort import first_event_per_patient, index_cohort
+
+    events = clinic.conditions(("p1", "e", "2020-01-01", "7|8"), ("p1", "e", "2019-01-01", "7"))
+    people = clinic.patients(("p1", "1970-01-01"))
+    row = index_cohort(people, events, clinic.encounters(), StudySpec(target_code="7|8")).first()
+    assert (str(row.index_date), row.index_condition_code) == ("2020-01-01", "7|8")
+    found = first_event_per_patient(events, ("7|8", "7")).first()
+    assert (str(found.index_date), found.index_condition_code) == ("2019-01-01", "7")

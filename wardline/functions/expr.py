@@ -51,8 +51,8 @@ def clean_level(value: Column) -> Column:
 
 
 def code_list(codes) -> tuple[str, ...]:
-    """A rule's codes: one code, or several written one after the other between bars."""
-    return tuple(dict.fromkeys(str(codes).split("|")))
+    """A rule's codes: one code, or several in a tuple."""
+    return tuple(dict.fromkeys(map(str, codes))) if isinstance(codes, (tuple, list)) else (str(codes),)
 
 
 def has_code(codes, column: str = "code") -> Column:

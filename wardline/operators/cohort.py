@@ -20,7 +20,7 @@ from ..functions.expr import (
     is_true,
     require_columns,
 )
-from ..spec import StudySpec
+from ..spec import StudySpec, codes_text
 
 PATIENT_COLUMNS = ("patient_id", "birth_date", "death_date", "sex", "race", "ethnicity")
 CONDITION_COLUMNS = ("patient_id", "encounter_id", "condition_start_date", "code", "description")
@@ -48,9 +48,9 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_BYTES = 96
 
 
-def first_event_per_patient(conditions: DataFrame, code: str) -> DataFrame:
-    """Earliest dated event with `code` per patient, and how many such rows there are. Ties on
-    the day go to the smallest (encounter_id, description)."""
+def first_event_per_patient(conditions: DataFrame, code) -> DataFrame:
+    """Earliest dated event with `code` (one, or any of a tuple) per patient, and how many such rows
+    there are. Ties on the day go to the smallest (encounter_id, description, code)."""
     day = _coded_days(conditions, has_code(code))
     return day.groupBy("patient_id").agg(
         F.min("condition_start_date").alias("index_date"),
@@ -60,7 +60,7 @@ def first_event_per_patient(conditions: DataFrame, code: str) -> DataFrame:
         "patient_id",
         "index_date",
         F.col("first_row.encounter_id").alias("index_encounter_id"),
-        F.lit(code).alias("index_condition_code"),
+        F.col("first_row.code").cast("string").alias("index_condition_code"),
         F.col("first_row.description").alias("index_condition_description"),
         "t2dm_condition_row_count",
     )
@@ -157,14 +157,17 @@ def index_cohort(
     require_columns(conditions, CONDITION_COLUMNS, "conditions table")
     require_columns(encounters, ENCOUNTER_COLUMNS, "encounters table")
 
-    events = _index_and_exclusions(conditions, spec)
+    events = index_from_days(coded_days(conditions, spec))
     if stage is not None:
         events = stage(events)
         patients, encounters = of_patients(events, patients, encounters, limit=limit)
-    joined = events.join(_patient_blocks(patients), "patient_id", "left").join(
-        first_observed(encounters), "patient_id", "left"
-    )
-    return _multiply_copies(_with_rules(joined, spec))
+    return multiply_copies(cohort_blocks(events, patient_copies(patients), first_observed(encounters), spec))
+
+
+def cohort_blocks(events: DataFrame, copies: DataFrame, seen: DataFrame, spec: StudySpec) -> DataFrame:
+    """Cohort rows with all rules, a row per block of equal ones."""
+    joined = events.join(_patient_blocks(copies), "patient_id", "left").join(seen, "patient_id", "left")
+    return _with_rules(joined, spec)
 
 
 def final_cohort(cohort: DataFrame) -> DataFrame:
@@ -192,29 +195,39 @@ def _coded_days(conditions: DataFrame, wanted: Column) -> DataFrame:
         .groupBy("patient_id", "condition_start_date")
         .agg(
             F.count(F.lit(1)).alias("row_count"),
-            F.min(F.struct("encounter_id", "description")).alias("first_row"),
+            F.min(F.struct("encounter_id", "description", "code")).alias("first_row"),
         )
     )
 
 
-def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
-    """Index event and both exclusion flags from one pass over the three codes."""
+def coded_days(conditions: DataFrame, spec: StudySpec) -> DataFrame:
+    """Dated events with a code of the three rules, merged per (patient, day): rows of each rule, and
+    the smallest target row. Days of several parts of the table merge by `merged_days`."""
     rules = (spec.target_code, spec.prior_exclusion_code, spec.window_exclusion_code)
     target, prior, window = (has_code(rule) for rule in rules)
     codes = dict.fromkeys(code for rule in rules for code in code_list(rule))
     day = F.col("condition_start_date")
-
-    days = (
+    return (
         conditions.where(F.col("code").cast("string").isin(*codes) & day.isNotNull())
         .groupBy("patient_id", "condition_start_date")
         .agg(
             F.count_if(target).alias("target_rows"),
             F.count_if(prior).alias("prior_rows"),
             F.count_if(window).alias("window_rows"),
-            F.min(F.when(target, F.struct("encounter_id", "description"))).alias("first_row"),
+            F.min(F.when(target, F.struct("encounter_id", "description", "code"))).alias("first_row"),
         )
     )
 
+
+def merged_days(days: DataFrame) -> DataFrame:
+    """Days of parts of the table as the days of the whole."""
+    rows = [F.sum(f"{rule}_rows").alias(f"{rule}_rows") for rule in ("target", "prior", "window")]
+    return days.groupBy("patient_id", "condition_start_date").agg(*rows, F.min("first_row").alias("first_row"))
+
+
+def index_from_days(days: DataFrame) -> DataFrame:
+    """Index event and both exclusion flags of each patient with a target day."""
+    day = F.col("condition_start_date")
     by_patient = Window.partitionBy("patient_id")
     index_date = F.col("index_date")
     known = F.col("patient_id").isNotNull()
@@ -238,6 +251,7 @@ def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
         .select(
             "*",
             F.col("first_row.encounter_id").alias("index_encounter_id"),
+            F.col("first_row.code").cast("string").alias("index_condition_code"),
             F.col("first_row.description").alias("index_condition_description"),
             F.col("first_prior_t1dm_date").isNotNull().alias("has_prior_t1dm_before_index"),
             F.col("first_pregnancy_window_date")
@@ -248,16 +262,20 @@ def _index_and_exclusions(conditions: DataFrame, spec: StudySpec) -> DataFrame:
     )
 
 
-def _patient_blocks(patients: DataFrame) -> DataFrame:
-    """Patient attributes with equal rows collapsed to a count, cut into bounded blocks, so that
-    a patient copied very often adds a handful of rows to the join instead of all copies. That is
-    why patients are exchanged twice, by the whole row and then by id: equal rows must merge before
-    they move, which an exchange by id alone would undo for a patient with very many copies."""
-    copies = (
+def patient_copies(patients: DataFrame) -> DataFrame:
+    """Patient attributes with equal rows collapsed to a count. Patients are exchanged twice for it, by
+    the whole row and then by id: equal rows must merge before they move, which an exchange by id
+    alone would undo for a patient with very many copies."""
+    return (
         patients.where(F.col("patient_id").isNotNull())
         .groupBy(*PATIENT_COLUMNS)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
+
+
+def _patient_blocks(copies: DataFrame) -> DataFrame:
+    """Copies cut into bounded blocks, so that a patient copied very often adds a handful of rows to
+    the join instead of all copies."""
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPY_BLOCK))
     return copies.select("*", F.explode(blocks).alias("block")).select(
         *PATIENT_COLUMNS,
@@ -267,7 +285,7 @@ def _patient_blocks(patients: DataFrame) -> DataFrame:
     )
 
 
-def _multiply_copies(rows: DataFrame) -> DataFrame:
+def multiply_copies(rows: DataFrame) -> DataFrame:
     """Give every copy its own row again; rows are produced one block at a time."""
     copy = F.explode(F.expr("array_repeat(1, coalesce(copies_in_block, 1))"))
     return rows.select("*", copy.alias("copy")).select(*COHORT_COLUMNS)
@@ -280,7 +298,6 @@ def _with_rules(joined: DataFrame, spec: StudySpec) -> DataFrame:
         joined.withColumns({"age_at_index": age, "observable_history_days_before_index": history})
         .withColumns(
             {
-                "index_condition_code": F.lit(spec.target_code),
                 "meets_adult_age_rule": is_true(
                     F.col("age_at_index") >= F.lit(spec.minimum_age_years)
                 ),
@@ -289,9 +306,9 @@ def _with_rules(joined: DataFrame, spec: StudySpec) -> DataFrame:
                 ),
                 "meets_prior_t1dm_exclusion_rule": ~F.col("has_prior_t1dm_before_index"),
                 "meets_pregnancy_exclusion_rule": ~F.col("has_pregnancy_window_before_or_at_index"),
-                "target_t2dm_code": F.lit(spec.target_code),
-                "prior_t1dm_exclusion_code": F.lit(spec.prior_exclusion_code),
-                "pregnancy_exclusion_code": F.lit(spec.window_exclusion_code),
+                "target_t2dm_code": F.lit(codes_text(spec.target_code)),
+                "prior_t1dm_exclusion_code": F.lit(codes_text(spec.prior_exclusion_code)),
+                "pregnancy_exclusion_code": F.lit(codes_text(spec.window_exclusion_code)),
                 "baseline_days_required": F.lit(spec.baseline_days),
                 "cohort_name": F.lit(spec.cohort_name),
             }

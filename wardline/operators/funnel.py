@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import has_code, is_false, is_true, require_columns
-from ..spec import StudySpec
+from ..spec import StudySpec, codes_text
 
 FUNNEL_COLUMNS = (
     "patient_id", "index_date", "age_at_index", "meets_adult_age_rule",
@@ -27,7 +27,7 @@ def funnel_steps(spec: StudySpec) -> list[tuple[str, str, str]]:
         (
             "has_t2dm_diagnosis",
             "At least one qualifying Type 2 Diabetes Mellitus diagnosis",
-            f"Uses SNOMED code {spec.target_code} from silver conditions table.",
+            f"Uses SNOMED code {codes_text(spec.target_code)} from silver conditions table.",
         ),
         (
             "adult_at_index",
@@ -42,12 +42,12 @@ def funnel_steps(spec: StudySpec) -> list[tuple[str, str, str]]:
         (
             "exclude_prior_type_1_diabetes",
             "No prior Type 1 Diabetes Mellitus diagnosis before index date",
-            f"Uses SNOMED code {spec.prior_exclusion_code} before the T2DM index date.",
+            f"Uses SNOMED code {codes_text(spec.prior_exclusion_code)} before the T2DM index date.",
         ),
         (
             "exclude_pregnancy_window",
             "No pregnancy or gestational-window diagnosis before or at index date",
-            f"Uses SNOMED code {spec.window_exclusion_code} before or at the T2DM index date.",
+            f"Uses SNOMED code {codes_text(spec.window_exclusion_code)} before or at the T2DM index date.",
         ),
         (
             "final_analytical_cohort",

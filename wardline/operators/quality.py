@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType
 
 from ..functions.expr import distinct_with_null, has_code
-from ..spec import BRONZE_CONTRACT, EVENT_TABLES, SILVER_CONTRACT, SILVER_DATES, TARGET_CODE
+from ..spec import (
+    BRONZE_CONTRACT,
+    EVENT_TABLES,
+    SILVER_CONTRACT,
+    SILVER_DATES,
+    TARGET_CODE,
+    codes_text,
+)
 
 Layer = dict[str, DataFrame | None]
 
@@ -62,22 +69,35 @@ _DATE_CHECKS = "array<struct<column:string,dtype:string,is_date:boolean,null_cou
 _NULL_COUNTS = "array<struct<column:string,null_count:bigint>>"
 
 
+def measures(table: str, frame: DataFrame, rules: LayerRules) -> dict[str, Column]:
+    """What the checks count in a table: its rows, and the nulls of its date columns."""
+    dates = [c for c in rules.dates.get(table, ()) if c in frame.columns]
+    nulls = {f"nulls_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in dates}
+    return {"row_count": F.count(F.lit(1)), **nulls}
+
+
 def table_checks(
-    spark: SparkSession, layer: Layer, required, optional, rules: LayerRules
+    spark: SparkSession,
+    layer: Layer,
+    required,
+    optional,
+    rules: LayerRules,
+    measured: dict[str, dict] | None = None,
 ) -> DataFrame:
     """One row per required table and per optional table that is present. Each table is read
-    once, for its row count and all its null counts."""
+    once, for its row count and all its null counts; a table whose `measures` were taken as it was
+    written (`measured`, by table) is not read."""
     wanted = [(t, True) for t in required] + [
         (t, False) for t in optional if layer.get(t) is not None
     ]
     checks = [
-        _table_check(spark, layer.get(table), table, is_required, position, rules)
+        _table_check(spark, layer.get(table), table, is_required, position, rules, (measured or {}).get(table))
         for position, (table, is_required) in enumerate(wanted)
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
-def _table_check(spark, frame, table, required, position, rules) -> DataFrame:
+def _table_check(spark, frame, table, required, position, rules, measured) -> DataFrame:
     columns = frame.columns if frame is not None else []
     absent = [c for c in rules.contract.get(table, ()) if c not in columns]
     dates = [c for c in rules.dates.get(table, ()) if c in columns]
@@ -88,11 +108,10 @@ def _table_check(spark, frame, table, required, position, rules) -> DataFrame:
 
     if frame is None:
         counts = spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))
+    elif measured is not None:
+        counts = spark.range(1).select(*[F.lit(measured[n]).cast("bigint").alias(n) for n in measures(table, frame, rules)])
     else:
-        counts = frame.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in dates],
-        )
+        counts = frame.agg(*[c.alias(n) for n, c in measures(table, frame, rules).items()])
     if invalid:
         status = F.lit("invalid_date_dtypes")
     elif absent:
@@ -230,7 +249,7 @@ def target_signal(
         none = F.lit(None)
         return spark.range(1).select(
             F.lit(False).alias("checked"),
-            F.lit(code).alias("target_code"),
+            F.lit(codes_text(code)).alias("target_code"),
             none.cast("bigint").alias("condition_row_count"),
             none.cast("bigint").alias("patient_count"),
             *([none.cast("date").alias("earliest_date"), none.cast("date").alias("latest_date")]
@@ -247,7 +266,7 @@ def target_signal(
     )
     return hits.agg(
         F.lit(True).alias("checked"),
-        F.lit(code).alias("target_code"),
+        F.lit(codes_text(code)).alias("target_code"),
         n.alias("condition_row_count"),
         distinct_with_null(F.col(rules.reference_key)).alias("patient_count"),
         *dates,
@@ -296,11 +315,11 @@ def verdict(tables: DataFrame, references: DataFrame, rules: LayerRules) -> Data
 
 
 def bronze_quality(
-    spark: SparkSession, layer: Layer, required, optional=(), code: str = TARGET_CODE
+    spark: SparkSession, layer: Layer, required, optional=(), code: str = TARGET_CODE, measured: dict | None = None
 ) -> dict[str, DataFrame]:
     """Check frames of the raw-text layer. References are checked for every event table that is
     required or present; the signal does not influence the verdict."""
-    tables = table_checks(spark, layer, required, optional, BRONZE)
+    tables = table_checks(spark, layer, required, optional, BRONZE, measured)
     to_check = [t for t in EVENT_TABLES if t in required or layer.get(t) is not None]
     references = reference_checks(spark, layer, to_check, BRONZE)
     signal = target_signal(spark, layer.get("conditions"), BRONZE, code)
@@ -313,10 +332,10 @@ def bronze_quality(
 
 
 def silver_quality(
-    spark: SparkSession, layer: Layer, required, code: str = TARGET_CODE
+    spark: SparkSession, layer: Layer, required, code: str = TARGET_CODE, measured: dict | None = None
 ) -> dict[str, DataFrame]:
     """Check frames of the typed layer: required tables only."""
-    tables = table_checks(spark, layer, required, (), SILVER)
+    tables = table_checks(spark, layer, required, (), SILVER, measured)
     references = reference_checks(
         spark, layer, [t for t in EVENT_TABLES if t in required], SILVER
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spec import CORE_TABLES, StudySpec
+from ..spec import CORE_TABLES, Rule, StudySpec
 
 # The study the bound tables are checked with.
 BOUND_STUDY = StudySpec(
@@ -24,6 +24,26 @@ OTHER_STUDY = StudySpec(
     minimum_age_years=40,
     baseline_days=180,
 )
+# A study whose rules hold several codes each, with ten more rules: open, one-sided and two-sided
+# bounds, other anchors, least counts, overlapping and unused codes.
+MANY_CODES_STUDY = StudySpec(
+    target_code=("Brand#1", "Brand#2", "Brand#25"),
+    prior_exclusion_code=("Brand#10", "Brand#12"),
+    window_exclusion_code=("Brand#11", "Brand#13"),
+    rules=(
+        Rule("before", ("Brand#10", "Brand#12"), to_days=0, strict=True),
+        Rule("until", ("Brand#10", "Brand#12", "Brand#14"), to_days=0),
+        Rule("year", ("Brand#3", "Brand#4", "Brand#5"), from_days=-365, to_days=0, kind="require"),
+        Rule("after", ("Brand#3", "Brand#16"), from_days=0, to_days=90, from_strict=True),
+        Rule("twice", ("Brand#6", "Brand#7"), from_days=-730, to_days=-1, least=2),
+        Rule("ever", ("Brand#8", "Brand#9", "Brand#3"), to_days=None, least=3, kind="require"),
+        Rule("early", ("Brand#15", "Brand#16"), anchor="first_observed_date", from_days=0, to_days=30),
+        Rule("between", ("Brand#17", "Brand#18"), anchor="first_observed_date", from_days=0, from_strict=True,
+             to_anchor="index_date", to_days=0, strict=True),
+        Rule("until_death", ("Brand#19", "Brand#20"), from_days=1, to_anchor="death_date", to_days=0),
+        Rule("unused", ("no code", "Brand#A|B")),
+    ),
+)
 # Concept sets in terms of the bound codes.
 FOLLOWUP_CONCEPTS = {
     "class_a": ("bound", "treatment", (("Brand#2", "a one"), ("Brand#3", "a two"))),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from ..spec import StudySpec
 from .bindings import (
     BOUND_STUDY,
     FOLLOWUP_CONCEPTS,
     LAB_CONCEPTS,
+    MANY_CODES_STUDY,
     OTHER_STUDY,
     REFERENCE_DATE,
 )
@@ -242,9 +244,20 @@ def _age(index: str, birth: str) -> str:
     return _AGE.replace("{i}", index).replace("{b}", birth)
 
 
+def _in(codes) -> str:
+    several = codes if isinstance(codes, tuple) else (codes,)
+    return "IN (" + ", ".join(f"'{c}'" for c in several) + ")"
+
+
+def _shown(codes) -> str:
+    return codes if isinstance(codes, str) else "|".join(codes)
+
+
 def cohort_ctes(study=BOUND_STUDY) -> dict[str, str]:
     """Index cohort on top of the CTEs patients, conditions and encounters."""
-    t, p, w = study.target_code, study.prior_exclusion_code, study.window_exclusion_code
+    rules = (study.target_code, study.prior_exclusion_code, study.window_exclusion_code)
+    in_t, in_p, in_w = map(_in, rules)
+    t, p, w = map(_shown, rules)
     return {
         "first_event": f"""
             SELECT * EXCLUDE (rn) FROM (
@@ -254,8 +267,8 @@ def cohort_ctes(study=BOUND_STUDY) -> dict[str, str]:
                        count(*) OVER (PARTITION BY patient_id) AS t2dm_condition_row_count,
                        row_number() OVER (PARTITION BY patient_id
                            ORDER BY condition_start_date, encounter_id NULLS FIRST,
-                                    description NULLS FIRST) AS rn
-                FROM conditions WHERE code = '{t}' AND condition_start_date IS NOT NULL)
+                                    description NULLS FIRST, code) AS rn
+                FROM conditions WHERE code {in_t} AND condition_start_date IS NOT NULL)
             WHERE rn = 1""",
         "first_seen": """
             SELECT patient_id, min(encounter_start_date) AS first_observed_date
@@ -265,13 +278,13 @@ def cohort_ctes(study=BOUND_STUDY) -> dict[str, str]:
                    min(condition_start_date) AS first_prior_t1dm_date,
                    count(*) AS prior_t1dm_row_count
             FROM conditions c JOIN first_event f ON c.patient_id = f.patient_id
-            WHERE c.code = '{p}' AND condition_start_date < index_date GROUP BY c.patient_id""",
+            WHERE c.code {in_p} AND condition_start_date < index_date GROUP BY c.patient_id""",
         "pregnancy": f"""
             SELECT c.patient_id, TRUE AS has_pregnancy_window_before_or_at_index,
                    min(condition_start_date) AS first_pregnancy_window_date,
                    count(*) AS pregnancy_window_row_count
             FROM conditions c JOIN first_event f ON c.patient_id = f.patient_id
-            WHERE c.code = '{w}' AND condition_start_date <= index_date GROUP BY c.patient_id""",
+            WHERE c.code {in_w} AND condition_start_date <= index_date GROUP BY c.patient_id""",
         "joined": f"""
             SELECT f.patient_id, f.index_date, f.index_encounter_id, f.index_condition_code,
                    f.index_condition_description, f.t2dm_condition_row_count, birth_date,
@@ -311,6 +324,36 @@ def cohort_ctes(study=BOUND_STUDY) -> dict[str, str]:
     }
 
 
+def _rule_ctes(study: StudySpec) -> dict[str, str]:
+    """`people`, a row per patient of the cohort, and `flags`, each rule by a condition of its own."""
+    parts = []
+    for r in study.rules:
+        low = f"{r.anchor} + ({r.from_days})" if r.from_days is not None else None
+        high = f"{r.last_anchor} + ({r.to_days})" if r.to_days is not None else None
+        bounds = [f"day {'>' if r.from_strict else '>='} {low}"] if low else []
+        bounds += [f"day {'<' if r.strict else '<='} {high}"] if high else []
+        parts.append(f"""SELECT patient_id, '{r.rule_id}' AS rule_id, min(day) AS first_date, max(day) AS last_date,
+            count(*) AS row_count FROM people JOIN dated USING (patient_id)
+            WHERE {" AND ".join([f"code {_in(r.codes)}", *bounds])}
+            GROUP BY patient_id HAVING count(*) >= {r.least}""")
+    return {
+        "people": "SELECT DISTINCT * FROM cohort",
+        "dated": "SELECT patient_id, code, condition_start_date AS day FROM conditions WHERE condition_start_date IS NOT NULL",
+        "flags": " UNION ALL ".join(parts),
+    }
+
+
+def _ruled_cohort(study: StudySpec) -> str:
+    columns, meets = [], []
+    for r in study.rules:
+        found = f"(SELECT max(row_count) FROM flags f WHERE f.patient_id = p.patient_id AND f.rule_id = '{r.rule_id}')"
+        columns.append(f"{found} IS NOT NULL AS has_{r.rule_id}, CAST(coalesce({found}, 0) AS BIGINT) AS {r.rule_id}_row_count")
+        meets.append(("" if r.kind == "require" else "NOT ") + f"has_{r.rule_id}")
+    return f"""SELECT *, {" AND ".join(meets)} AS meets_all_rules FROM (
+        SELECT patient_id, index_date, index_condition_code, meets_final_phase1_rules, {", ".join(columns)}
+        FROM people p)"""
+
+
 def _silver_ctes(*tables: str) -> dict[str, str]:
     return {t: SILVER_CTE[t] for t in tables}
 
@@ -825,16 +868,53 @@ def oracle_sql() -> dict[str, str]:
            'r_regionkey,r_name', 'present'"""
     )
     sql["raw_inventory"] = " UNION ALL ".join(inventory)
+    ruled = _rule_ctes(MANY_CODES_STUDY)
+    sql["index_cohort_codes"] = on_cohort("SELECT * FROM cohort", MANY_CODES_STUDY)
+    sql["live_cohort"] = on_cohort("SELECT * FROM cohort")
+    sql["rule_flags"] = on_cohort("SELECT * FROM flags", MANY_CODES_STUDY, **ruled)
+    sql["ruled_cohort"] = on_cohort(_ruled_cohort(MANY_CODES_STUDY), MANY_CODES_STUDY, **ruled)
     sql["raw_file_hash"] = """
         SELECT bucket, CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS sha256
         FROM (SELECT c_custkey // 500 AS bucket,
                      string_agg(c_custkey || ',' || c_name || ',' || c_mktsegment || chr(10), ''
                                 ORDER BY c_custkey) AS body
               FROM customer GROUP BY 1)"""
+    sql["partitioned_rewrite"] = """
+        SELECT month_code, count(*) AS orders,
+            CAST(sum(CASE month_code WHEN '0003' THEN -o_orderkey ELSE o_orderkey END) AS BIGINT) AS key_sum,
+            round(sum(o_totalprice), 2) AS total
+        FROM (SELECT *, lpad(CAST(month(o_orderdate) AS VARCHAR), 4, '0') AS month_code FROM orders)
+        WHERE month_code <> '0007' OR o_orderkey % 2 = 0 GROUP BY month_code"""
+    bounds = {
+        "code": "code = 'Brand#3'",
+        "patients": "patient_id BETWEEN '20' AND '21'",
+        "days": "condition_start_date BETWEEN DATE '1998-01-01' AND DATE '1998-02-28'",
+        "all": "code = 'Brand#5' AND patient_id BETWEEN '1' AND '3' AND condition_start_date >= DATE '1997-01-01'",
+    }
+    sql["clustered_reads"] = with_tables(
+        _silver_ctes("conditions"),
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS bounds, count(*) AS row_count, count(DISTINCT encounter_id) AS encounters,
+                TRUE AS skips_half FROM conditions WHERE {held}"""
+            for name, held in bounds.items()
+        ),
+    )
     sql["bronze_contract_check"] = _bronze_contract()
     sql["bronze_verdict"] = _bronze_verdict()
     sql["silver_contract_check"] = _silver_contract()
+    sql["silver_contract_measured"] = _silver_contract()
     sql["silver_verdict"] = _silver_verdict()
+    resumed = with_tables(silver_from_text, "SELECT count(*) AS n, count(*) FILTER (has_prior_t1dm_before_index) AS p FROM cohort")
+    sql["study_resume"] = f"""
+        WITH stages(stage, table_name) AS (VALUES ('bronze_patients', 'patients'), ('bronze_encounters', 'encounters'),
+            ('bronze_conditions', 'conditions'), ('silver_patients', 'patients'), ('silver_encounters', 'encounters'),
+            ('silver_conditions', 'conditions'), ('index_cohort', 'conditions')),
+        runs(run) AS (VALUES (1), (2), (3)),
+        found AS ({resumed})
+        SELECT run, stage,
+            CASE WHEN run = 1 OR (run = 3 AND table_name = 'conditions') THEN 'ran' ELSE 'reused' END AS status,
+            n AS cohort_rows, CASE WHEN run = 3 THEN 0 ELSE p END AS with_prior
+        FROM stages, runs, found"""
     sql["patient_reference_check"] = _reference_check()
     sql["target_signal"] = with_tables(
         _silver_ctes("conditions"),

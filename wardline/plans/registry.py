@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,18 @@ from pyspark.sql import functions as F
 from ..functions.expr import completed_years, days_between, lenient_double
 from ..functions.quantiles import exact_quantiles
 from ..operators import cohort as cohorts
-from ..operators import followup, funnel, quality, summary
+from ..operators import followup, funnel, quality, rules, summary
 from ..operators.normalize import normalize
-from ..sources import files, layers, raw_csv
+from ..sources import files, layers, layout, raw_csv
 from ..spec import CORE_TABLES, LAB_USES, MEDICATION_USES, SILVER_DATES, Scenario
+from ..streaming.live_cohort import LiveCohort
 from . import bindings, study
+from .ledger import Ledger
 from .bindings import (
     BOUND_STUDY,
     FOLLOWUP_CONCEPTS,
     LAB_CONCEPTS,
+    MANY_CODES_STUDY,
     OTHER_STUDY,
     REFERENCE_DATE,
 )
@@ -27,6 +31,15 @@ from .bindings import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 HASH_BUCKET = 500
+BLANK_LINE_PARTS = 16
+CLUSTER_FILES = 128
+# Bounds that a clustered table is read with.
+CLUSTER_BOUNDS = {
+    "code": {"code": {"Brand#3"}},
+    "patients": {"patient_id": ("20", "21")},
+    "days": {"condition_start_date": (date(1998, 1, 1), date(1998, 2, 28))},
+    "all": {"code": {"Brand#5"}, "patient_id": ("1", "3"), "condition_start_date": (date(1997, 1, 1), None)},
+}
 # Tables with difficult texts, and their columns.
 CELL_TABLES = {
     "documents": ("doc_id", "text", "lang", "source", "n_chars"),
@@ -81,6 +94,31 @@ def index_cohort_staged(spark, sf_dir, limit=None):
     )
 
 
+def live_cohort(spark, sf_dir):
+    """The index cohort from parts of the three tables, later events before earlier ones, so that index
+    dates move back with every part."""
+    patients, conditions, encounters = _three(spark, sf_dir)
+    live = LiveCohort(spark, layers.scratch_dir(spark, "live"), BOUND_STUDY)
+    late, middle = "DATE'2000-01-01'", "DATE'1997-06-01'"
+
+    def cut(frame, day):
+        yield frame.where(f"{day} >= {late}")
+        yield frame.where(f"{day} IS NULL OR ({day} >= {middle} AND {day} < {late})")
+        yield frame.where(f"{day} < {middle}")
+
+    number = F.coalesce(F.col("patient_id").try_cast("bigint"), F.lit(0)) % 3
+    parts = zip(
+        cut(conditions, "condition_start_date"),
+        (patients.where(number == n) for n in range(3)),
+        cut(encounters, "encounter_start_date"),
+    )
+    for batch, (events, people, visits) in enumerate(parts):
+        live.add("conditions", events, batch)
+        live.add("patients", people, batch)
+        live.add("encounters", visits, batch)
+    return live.current()
+
+
 def _final(spark, sf_dir):
     return cohorts.final_cohort(index_cohort(spark, sf_dir))
 
@@ -129,6 +167,47 @@ def raw_inventory(spark, sf_dir):
     )
 
 
+def partitioned_rewrite(spark, sf_dir):
+    """Orders in a folder per month, named by a text like 0003: one folder is rewritten, one is thinned,
+    the others stay; then the table is read back."""
+    root = layers.scratch_dir(spark, "partitioned")
+    orders = bindings.source(spark, sf_dir, "orders").selectExpr(
+        "lpad(CAST(month(o_orderdate) AS STRING), 4, '0') AS month_code", "o_orderkey", "o_totalprice"
+    )
+    layers.write_table(orders, root, "orders", ["month_code"])
+    some = orders.where("month_code = '0003' OR (month_code = '0007' AND o_orderkey % 2 = 0)")
+    changed = some.withColumn("o_orderkey", F.expr("IF(month_code = '0003', -o_orderkey, o_orderkey)"))
+    layers.write_table(changed, root, "orders", ["month_code"], replace="folders")
+    found = layers.read_table(spark, root, "orders")
+    return found.groupBy("month_code").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("o_orderkey").alias("key_sum"),
+        F.round(F.sum("o_totalprice"), 2).alias("total"),
+    )
+
+
+def clustered_reads(spark, sf_dir):
+    """Conditions laid out by code, patient and day at once: rows within bounds on each and on all, and
+    whether at most half of the files were opened."""
+    root = layers.scratch_dir(spark, "clustered")
+    columns = ["code", "patient_id", "condition_start_date"]
+    layout.write_clustered(bindings.silver(spark, sf_dir, "conditions"), root, "conditions", columns, CLUSTER_FILES)
+    whole = layout.files_to_read(spark, root, "conditions").count()
+    parts = []
+    for name, bounds in CLUSTER_BOUNDS.items():
+        opened = layout.files_to_read(spark, root, "conditions", **bounds).count()
+        rows = layout.read_within(spark, root, "conditions", **bounds)
+        parts.append(
+            rows.agg(
+                F.lit(name).alias("bounds"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_distinct("encounter_id").alias("encounters"),
+                F.lit(2 * opened <= whole).alias("skips_half"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def raw_file_hash(spark, sf_dir):
     """Customers written as text files of HASH_BUCKET numbers each, then hashed per file."""
     root = layers.scratch_dir(spark, "hash")
@@ -232,6 +311,57 @@ def silver_contract_check(spark, sf_dir):
     )
 
 
+def silver_contract_measured(spark, sf_dir):
+    """The contract checks of the typed layer, counted while its tables are written, not by scans."""
+    layer = bindings.silver_tables(spark, sf_dir)
+    layer["patients"] = layer["patients"].withColumn("birth_date", F.col("birth_date").cast("string"))
+    root, measured, written = layers.scratch_dir(spark, "measured"), {}, {}
+    for table, frame in layer.items():
+        _, measured[table] = layers.write_measured(frame, root, table, quality.measures(table, frame, quality.SILVER))
+        written[table] = layers.read_table(spark, root, table)
+    checks = quality.table_checks(spark, written, CORE_TABLES, (), quality.SILVER, measured)
+    return checks.select("table_name", "row_count", "status", F.inline("date_column_checks")).select(
+        "table_name", F.col("column").alias("column_name"), "is_date", "row_count", "null_count", "status"
+    )
+
+
+def study_resume(spark, sf_dir):
+    """Raw files to index cohort three times, the third time with other conditions: what each run did
+    with each stage, and the rows of the cohort after it."""
+    root = layers.scratch_dir(spark, "resume")
+    tables = ("patients", "encounters", "conditions")
+    frames = {t: bindings.bronze(spark, sf_dir, t) for t in tables}
+    scenario = Scenario(
+        "resume", "Resume", f"{root}/raw", f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/reports",
+        required_files=tuple(f"{t}.csv" for t in tables), optional_files=(),
+    )
+    parts = []
+    for run in (1, 2, 3):
+        if run == 3:
+            frames = {"conditions": frames["conditions"].where("CODE <> 'Brand#10'")}
+        for table, frame in frames.items() if run != 2 else ():
+            layers.write_csv(frame, f"{scenario.raw_dir}/{table}.csv")
+        ledger = Ledger(spark, f"{scenario.report_dir}/stages", reuse=True)
+        inventory = raw_csv.raw_inventory(spark, scenario.raw_dir, scenario.required_files)
+        study.convert_changed(spark, scenario, inventory, ledger)
+        study.normalize_changed(spark, scenario, ledger)
+        found = ledger.stage(
+            "index_cohort", [f"silver_{t}" for t in tables], None,
+            lambda: {"cohort": study.build_index_cohort(spark, scenario.silver_dir, scenario.gold_dir, BOUND_STUDY)[0]},
+            {"cohort": layers.table_path(scenario.gold_dir, study.INDEX_TABLE)},
+        )
+        rows, excluded = found["cohort"].agg(
+            F.count(F.lit(1)), F.count_if("has_prior_t1dm_before_index")
+        ).first()
+        parts.append(
+            ledger.report().select(
+                F.lit(run).alias("run"), "stage", "status", F.lit(rows).cast("bigint").alias("cohort_rows"),
+                F.lit(excluded).cast("bigint").alias("with_prior"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_verdict(spark, sf_dir):
     found = quality.silver_quality(spark, bindings.silver_tables(spark, sf_dir), CORE_TABLES)
     return found["verdict"].select(
@@ -322,6 +452,25 @@ def history_days(spark, sf_dir):
     )
 
 
+def _ruled(spark, sf_dir):
+    """The index cohort of the study with many rules, one row per patient, and the rules it meets."""
+    patients, conditions, encounters = _three(spark, sf_dir)
+    cohort = cohorts.index_cohort(patients, conditions, encounters, MANY_CODES_STUDY).distinct()
+    cohort = layers.materialize(cohort, "index_cohort")
+    return cohort, rules.rule_flags(conditions, cohort, MANY_CODES_STUDY.rules)
+
+
+def rule_flags(spark, sf_dir):
+    return _ruled(spark, sf_dir)[1]
+
+
+def ruled_cohort(spark, sf_dir):
+    cohort, flags = _ruled(spark, sf_dir)
+    found = rules.with_rules(cohort, flags, MANY_CODES_STUDY.rules)
+    kept = ["patient_id", "index_date", "index_condition_code", "meets_final_phase1_rules", "meets_all_rules"]
+    return found.select(*kept, *[c for r in MANY_CODES_STUDY.rules for c in (f"has_{r.rule_id}", f"{r.rule_id}_row_count")])
+
+
 def index_summary(spark, sf_dir, spec=BOUND_STUDY):
     patients, conditions, encounters = _three(spark, sf_dir)
     cohort = cohorts.index_cohort(patients, conditions, encounters, spec)
@@ -404,11 +553,12 @@ def raw_inventory_blank_lines(spark, sf_dir):
     orders = bindings.source(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
     raw_dir = layers.scratch_dir(spark, "raw")
     for name, note in (("plain", "'n'"), ("spanning", "'\"two' || chr(10) || chr(10) || 'lines\"'")):
-        lines = orders.selectExpr(
-            "k", f"CAST(k AS STRING) || ',' || {note} || IF(k % 3 = 0, chr(10), '') AS value"
-        ).union(spark.sql("SELECT CAST(-1 AS BIGINT), 'key,note'"))
-        ordered = lines.coalesce(1).sortWithinPartitions("k")
-        ordered.select("value").write.text(f"{raw_dir}/{name}.csv")
+        line = f"CAST(k AS STRING) || ',' || {note} || IF(k % 3 = 0, chr(10), '')"
+        # Part files by ranges of the key, a header before the first record of each.
+        dealt = orders.repartitionByRange(BLANK_LINE_PARTS, "k").sortWithinPartitions("k")
+        first = "(monotonically_increasing_id() & 8589934591) = 0"
+        lines = dealt.selectExpr(f"IF({first}, 'key,note' || chr(10), '') || {line} AS value")
+        lines.write.text(f"{raw_dir}/{name}.csv")
     found = raw_csv.raw_inventory(spark, raw_dir, ["plain.csv", "spanning.csv"])
     return found.select("filename", "row_count", F.array_join("header", ",").alias("header"), "status")
 
@@ -638,6 +788,8 @@ def queries() -> dict[str, Query]:
         "bronze_csv_roundtrip": bronze_csv_roundtrip,
         "raw_inventory": raw_inventory,
         "raw_file_hash": raw_file_hash,
+        "partitioned_rewrite": partitioned_rewrite,
+        "clustered_reads": clustered_reads,
     }
     for table in CORE_TABLES:
         registered[f"silver_{table}"] = _silver_query(table)
@@ -647,6 +799,8 @@ def queries() -> dict[str, Query]:
             "bronze_contract_check": bronze_contract_check,
             "bronze_verdict": bronze_verdict,
             "silver_contract_check": silver_contract_check,
+            "silver_contract_measured": silver_contract_measured,
+            "study_resume": study_resume,
             "silver_verdict": silver_verdict,
             "patient_reference_check": patient_reference_check,
             "target_signal": target_signal,
@@ -670,6 +824,10 @@ def queries() -> dict[str, Query]:
             "age_at_event": age_at_event,
             "history_days": history_days,
             "index_cohort": index_cohort,
+            "index_cohort_codes": lambda spark, sf_dir: index_cohort(spark, sf_dir, MANY_CODES_STUDY),
+            "live_cohort": live_cohort,
+            "rule_flags": rule_flags,
+            "ruled_cohort": ruled_cohort,
             "index_summary": index_summary,
             "attrition": attrition,
             "final_cohort": _final,

@@ -6,13 +6,14 @@ more than one stage, and no plan grows across stages.
 
 from __future__ import annotations
 
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cohort as cohorts
-from ..operators import followup, funnel, quality, summary
+from ..operators import followup, funnel, quality, rules, summary
 from ..operators.normalize import normalize
 from ..sources import layers, raw_csv
 from ..spec import (
@@ -27,11 +28,12 @@ from ..spec import (
     sets_for,
     table_names,
 )
+from .ledger import Ledger
 
 NORMALIZATION_SCHEMA = (
     "table_name string, bronze_path string, silver_path string, input_row_count bigint, "
     "output_row_count bigint, input_column_count int, output_column_count int, "
-    "output_columns array<string>, status string, error string"
+    "output_columns array<string>, status string, error string, measures map<string,bigint>"
 )
 
 INDEX_TABLE = "t2dm_index_cohort"
@@ -49,17 +51,18 @@ def bronze_to_silver(
     spark: SparkSession, bronze_dir: str, silver_dir: str, tables=()
 ) -> DataFrame:
     """Normalise the given tables (default: all seven). One row per table: normalized, missing,
-    or failed; a failure does not stop the others."""
+    or failed; a failure does not stop the others. `measures` are what the checks count in a table,
+    taken while it was written."""
     rows = []
     for table in tables or CORE_TABLES:
         source = layers.table_path(bronze_dir, table)
         if not layers.table_exists(bronze_dir, table):
-            rows.append((table, source, None, None, None, None, None, None, "missing", None))
+            rows.append((table, source, None, None, None, None, None, None, "missing", None, None))
             continue
         try:
             rows.append(_normalize_table(spark, bronze_dir, silver_dir, table))
         except Exception as error:  # isolated on purpose: reported as this table's status
-            rows.append((table, source, None, None, None, None, None, None, "failed", str(error)))
+            rows.append((table, source, None, None, None, None, None, None, "failed", str(error), None))
     return spark.createDataFrame(rows, NORMALIZATION_SCHEMA)
 
 
@@ -69,14 +72,22 @@ def _normalize_table(spark, bronze_dir, silver_dir, table) -> tuple:
     if "code" in typed.columns:
         # Sorted inside each file (no shuffle), a filter on a few codes skips most Parquet pages.
         typed = typed.sortWithinPartitions("code", "patient_id")
-    path = layers.write_table(typed, silver_dir, table)
-    written = layers.read_table(spark, silver_dir, table)
+    wanted = quality.measures(table, typed, quality.SILVER)
+    path, seen = layers.write_measured(typed, silver_dir, table, wanted)
+    # A projection: the rows that were read are those that were written.
     return (
-        table, layers.table_path(bronze_dir, table), path, raw.count(), written.count(),
-        len(raw.columns), len(written.columns), written.columns, "normalized", None,
+        table, layers.table_path(bronze_dir, table), path, seen["row_count"], seen["row_count"],
+        len(raw.columns), len(typed.columns), typed.columns, "normalized", None, seen,
     )
 
 
+def measured_tables(records: DataFrame) -> dict[str, dict]:
+    """Table -> what was measured as it was written, from normalisation or conversion records."""
+    if "measures" in records.columns:
+        return {r.table_name: r.measures for r in records.where("status = 'normalized'").collect()}
+    return {r.table_name: {"row_count": r.row_count} for r in records.where("status = 'converted'").collect()}
+
+
 def normalization_summary(records: DataFrame) -> DataFrame:
     status = F.col("status")
     return records.agg(
@@ -206,6 +217,21 @@ def build_common_model(
     return {name: layers.read_table(spark, model_dir, name) for name in tables}
 
 
+def build_rules(
+    spark: SparkSession, silver_dir: str, gold_dir: str, spec: StudySpec
+) -> dict[str, DataFrame]:
+    """Write the further rules' flags of the index cohort's patients, and the cohort with them."""
+    index = layers.need_table(spark, gold_dir, INDEX_TABLE, "Run build_index_cohort first.")
+    conditions = layers.need_table(spark, silver_dir, "conditions", "Run bronze_to_silver first.")
+    # Copied patient rows have equal anchors: one row per patient is enough for the flags.
+    anchors = index.drop(*[c for c in index.columns if not c.endswith("_date") and c != "patient_id"])
+    known = layers.materialize(anchors.distinct(), "rule-anchors")
+    layers.write_table(rules.rule_flags(conditions, known, spec.rules, limit=cohorts.BROADCAST_BYTES), gold_dir, "rule_flags")
+    flags = layers.read_table(spark, gold_dir, "rule_flags")
+    layers.write_table(cohorts.report_order(rules.with_rules(index, flags, spec.rules)), gold_dir, "ruled_cohort")
+    return {"rule_flags": flags, "ruled_cohort": layers.read_table(spark, gold_dir, "ruled_cohort")}
+
+
 def _write_report(spark, frame, gold_dir, table, csv_path) -> DataFrame:
     layers.write_table(frame, gold_dir, table)
     written = layers.read_table(spark, gold_dir, table)
@@ -250,19 +276,26 @@ def run_study(
     scenario: Scenario,
     spec: StudySpec = StudySpec(),
     concept_sets: dict = CONCEPT_SETS,
+    reuse: bool = False,
 ) -> dict[str, DataFrame]:
     """All stages in order, each with its manifest under the report folder: inventory, conversion,
-    checks, normalisation, cohorts, funnel, baseline report, follow-up summaries, window flags,
-    common data model. Every manifest names the run, and the digest of the concept sets it used.
-    What the stages write for their own use is deleted at the end."""
+    checks, normalisation, cohorts, funnel, baseline report, follow-up summaries, window flags, further
+    rules, common data model. Every manifest names the run, and the digest of the concept sets it used.
+    What the stages write for their own use is deleted at the end.
+
+    Every stage is recorded with its fingerprint (see `ledger`). With `reuse` a stage whose inputs,
+    parameters, code and files are those of its record is not run again: after a cut the run goes on
+    where it stopped, after a change of a raw file what depends on it is rerun. `stages` in the result
+    and in the manifests says which. Raw files are read for their digests in any case."""
     with layers.scratch(spark):
-        return _all_stages(spark, scenario, spec, concept_sets)
+        return _all_stages(spark, scenario, spec, concept_sets, reuse)
 
 
-def _all_stages(spark, scenario, spec, concept_sets) -> dict[str, DataFrame]:
+def _all_stages(spark, scenario, spec, concept_sets, reuse) -> dict[str, DataFrame]:
     required = table_names(scenario.required_files)
     optional = table_names(scenario.optional_files)
     reports = scenario.report_dir.rstrip("/")
+    bronze_dir, silver_dir, gold_dir = scenario.bronze_dir, scenario.silver_dir, scenario.gold_dir
     origin = {
         "scenario_id": scenario.scenario_id,
         "scenario_name": scenario.name,
@@ -270,94 +303,198 @@ def _all_stages(spark, scenario, spec, concept_sets) -> dict[str, DataFrame]:
         "concept_sets_version": concept_version(concept_sets),
         **{f"generator_{k}": v for k, v in scenario.generator.items()},
     }
+    ledger = Ledger(spark, f"{reports}/stages", reuse)
+    rules_of = asdict(spec)
 
     def manifest(frame: DataFrame, kind: str) -> None:
         layers.write_manifest(frame, f"{reports}/manifests/{kind}", kind, origin)
 
+    def gold(table: str) -> str:
+        return layers.table_path(gold_dir, table)
+
     out: dict[str, DataFrame] = {}
     manifest(followup.concept_frame(spark, concept_sets), "concept_sets")
-    inventory = raw_csv.raw_inventory(
-        spark, scenario.raw_dir, scenario.required_files, scenario.optional_files
+    inventory = layers.materialize(
+        raw_csv.raw_inventory(spark, scenario.raw_dir, scenario.required_files, scenario.optional_files), "inventory"
     )
     manifest(inventory, "raw_inventory")
     manifest(raw_csv.inventory_summary(inventory, scenario.raw_dir), "raw_inventory_summary")
-    out["raw_inventory"] = inventory
-
-    conversion = raw_csv.raw_to_bronze(
-        spark,
-        scenario.raw_dir,
-        scenario.bronze_dir,
-        scenario.expected_files,
-        inventory=inventory,
-    )
+    out["raw_inventory"] = spark.createDataFrame(inventory.collect(), inventory.schema)
+
+    conversion = convert_changed(spark, scenario, inventory, ledger)
     manifest(conversion, "bronze_conversion")
     manifest(raw_csv.conversion_summary(conversion), "bronze_conversion_summary")
     out["bronze_conversion"] = conversion
 
-    bronze = layers.read_present(layers.exact_names(spark), scenario.bronze_dir, required + optional)
-    for name, frame in quality.bronze_quality(
-        spark, bronze, required, optional, spec.target_code
-    ).items():
+    of_bronze = [f"bronze_{t}" for t in required + optional if f"bronze_{t}" in ledger.prints]
+    bronze = layers.read_present(layers.exact_names(spark), bronze_dir, required + optional)
+    checks = ledger.stage(
+        "bronze_checks", of_bronze, [required, optional, spec.target_code],
+        lambda: quality.bronze_quality(spark, bronze, required, optional, spec.target_code, measured_tables(conversion)),
+    )
+    for name, frame in checks.items():
         manifest(frame, f"bronze_qa_{name}")
         out[f"bronze_{name}"] = frame
 
     readable = {t: f for t, f in bronze.items() if f is not None and t in CORE_TABLES}
     if readable:
-        out["date_parse_check"] = followup.date_parse_check(readable)
+        found = ledger.stage("bronze_dates", of_bronze, None, lambda: {"dates": followup.date_parse_check(readable)})
+        out["date_parse_check"] = found["dates"]
         manifest(out["date_parse_check"], "bronze_qa_dates")
 
-    normalized = bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir)
+    normalized = normalize_changed(spark, scenario, ledger)
     manifest(normalized, "silver_normalization")
     manifest(normalization_summary(normalized), "silver_normalization_summary")
     out["silver_normalization"] = normalized
 
-    silver = layers.read_present(spark, scenario.silver_dir, required)
-    for name, frame in quality.silver_quality(spark, silver, required, spec.target_code).items():
+    of_silver = [f"silver_{t}" for t in CORE_TABLES if f"silver_{t}" in ledger.prints]
+    silver = layers.read_present(spark, silver_dir, required)
+    checks = ledger.stage(
+        "silver_checks", of_silver, [required, spec.target_code],
+        lambda: quality.silver_quality(spark, silver, required, spec.target_code, measured_tables(normalized)),
+    )
+    for name, frame in checks.items():
         manifest(frame, f"silver_qa_{name}")
         out[f"silver_{name}"] = frame
 
     if scenario.reference_date:
         typed = {t: f for t, f in silver.items() if f is not None}
-        out["future_date_check"] = followup.future_date_check(
-            typed, SILVER_DATES, scenario.reference_date
-        )
+        found = ledger.stage(
+            "silver_future_dates", of_silver, scenario.reference_date,
+            lambda: {"dates": followup.future_date_check(typed, SILVER_DATES, scenario.reference_date)},
+        )
+        out["future_date_check"] = found["dates"]
         manifest(out["future_date_check"], "silver_qa_future_dates")
 
+    def after(*tables):
+        return [f"silver_{t}" for t in tables if f"silver_{t}" in ledger.prints]
+
     prefix = f"{reports}/tables/{scenario.scenario_id}"
-    out["index_cohort"], index_counts = build_index_cohort(
-        spark, scenario.silver_dir, scenario.gold_dir, spec
-    )
-    manifest(index_counts, "t2dm_index_cohort")
-    out["attrition"] = build_attrition(
-        spark, scenario.silver_dir, scenario.gold_dir, spec, f"{prefix}_t2dm_attrition.csv"
+
+    def index_stage():
+        cohort, counts = build_index_cohort(spark, silver_dir, gold_dir, spec)
+        return {"cohort": cohort, "counts": counts}
+
+    found = ledger.stage(
+        "index_cohort", after("patients", "conditions", "encounters"), rules_of, index_stage, {"cohort": gold(INDEX_TABLE)}
     )
+    out["index_cohort"] = found["cohort"]
+    manifest(found["counts"], "t2dm_index_cohort")
+
+    csv = f"{prefix}_t2dm_attrition.csv"
+    found = ledger.stage(
+        "attrition", [*after("patients"), "index_cohort"], csv,
+        lambda: {"steps": build_attrition(spark, silver_dir, gold_dir, spec, csv)}, {"steps": gold(ATTRITION_TABLE)}, [csv],
+    )
+    out["attrition"] = found["steps"]
     manifest(out["attrition"], "t2dm_attrition_table")
-    out["final_cohort"], final_counts = build_final_cohort(
-        spark, scenario.gold_dir, f"{prefix}_t2dm_final_cohort.csv"
-    )
-    manifest(final_counts, "t2dm_final_cohort")
-    out["baseline"] = build_baseline(
-        spark, scenario.gold_dir, f"{prefix}_baseline_characteristics.csv"
-    )
+
+    final_csv = f"{prefix}_t2dm_final_cohort.csv"
+
+    def final_stage():
+        cohort, counts = build_final_cohort(spark, gold_dir, final_csv)
+        return {"cohort": cohort, "counts": counts}
+
+    found = ledger.stage("final_cohort", ["index_cohort"], final_csv, final_stage, {"cohort": gold(FINAL_TABLE)}, [final_csv])
+    out["final_cohort"] = found["cohort"]
+    manifest(found["counts"], "t2dm_final_cohort")
+
+    baseline_csv = f"{prefix}_baseline_characteristics.csv"
+    found = ledger.stage(
+        "baseline", ["final_cohort"], baseline_csv,
+        lambda: {"report": build_baseline(spark, gold_dir, baseline_csv)}, {"report": gold(BASELINE_TABLE)}, [baseline_csv],
+    )
+    out["baseline"] = found["report"]
     rows = out["baseline"].agg(F.count(F.lit(1)).alias("n")).scalar()
     manifest(
         summary.baseline_summary(out["final_cohort"]).withColumn("baseline_table_rows", rows),
         "baseline_characteristics",
     )
 
-    beyond = build_followup(
-        spark, scenario.silver_dir, scenario.gold_dir, spec,
-        sets_for(concept_sets, MEDICATION_USES), sets_for(concept_sets, LAB_USES),
-    )
-    beyond |= build_windows(spark, scenario.silver_dir, scenario.gold_dir, spec)
-    model = build_common_model(
-        spark, scenario.silver_dir, scenario.model_dir or f"{scenario.gold_dir.rstrip('/')}/model"
-    )
+    medication_sets, lab_sets = sets_for(concept_sets, MEDICATION_USES), sets_for(concept_sets, LAB_USES)
+    reported = {name: f"{prefix}_{name}.csv" for name in REPORTED}
+
+    def followup_stage():
+        built = build_followup(spark, silver_dir, gold_dir, spec, medication_sets, lab_sets)
+        for name, place in reported.items():
+            layers.write_csv(built[name], place)
+        return built
+
+    beyond = ledger.stage(
+        "followup", ["final_cohort", *after("encounters", "medications", "observations", "procedures")],
+        [rules_of, medication_sets, lab_sets, prefix], followup_stage,
+        {name: gold(name) for name in ("followup_window", *REPORTED)}, list(reported.values()),
+    )
+    beyond |= ledger.stage(
+        "windows", ["followup", *after("encounters", "conditions")], rules_of,
+        lambda: build_windows(spark, silver_dir, gold_dir, spec),
+        {name: gold(name) for name in ("baseline_window", "exclusion_in_followup")},
+    )
+    if spec.rules:
+        manifest(rules.rule_frame(spark, spec.rules), "rules")
+        beyond |= ledger.stage(
+            "rules", ["index_cohort", *after("conditions")], rules_of, lambda: build_rules(spark, silver_dir, gold_dir, spec),
+            {name: gold(name) for name in ("rule_flags", "ruled_cohort")},
+        )
+    model_dir = scenario.model_dir or f"{gold_dir.rstrip('/')}/model"
+    model = ledger.stage(
+        "common_model", of_silver, model_dir, lambda: build_common_model(spark, silver_dir, model_dir),
+        {name: layers.table_path(model_dir, name) for name in followup.COMMON_MODEL},
+    )
     sizes = [
         frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for name, frame in {**beyond, **model}.items()
     ]
     manifest(reduce(DataFrame.unionByName, sizes), "study_outputs")
-    for name in REPORTED:
-        layers.write_csv(beyond[name], f"{prefix}_{name}.csv")
+    out["stages"] = ledger.report()
+    manifest(out["stages"], "stages")
     return {**out, **beyond, **{f"model_{name}": frame for name, frame in model.items()}}
+
+
+def convert_changed(spark, scenario, inventory, ledger) -> DataFrame:
+    """The conversion's records: of files that are as they were when converted the kept ones, others
+    are converted now."""
+    present = {r.filename: r for r in inventory.where("status = 'present'").collect()}
+    wanted = [n for n in scenario.expected_files if n in present]
+    changed, records = [], []
+    for name in wanted:
+        (table,) = table_names([name])
+        stage, path = f"bronze_{table}", layers.table_path(scenario.bronze_dir, table)
+        ledger.describe(stage, {"raw": present[name].sha256}, present[name].path)
+        reused = ledger.stands(stage, [path])
+        ledger.note(stage, reused)
+        if reused:
+            records += ledger.frames(stage)["record"].collect()
+        else:
+            changed.append(name)
+    if changed:
+        fresh = raw_csv.raw_to_bronze(spark, scenario.raw_dir, scenario.bronze_dir, changed, inventory=inventory)
+        for row in fresh.collect():
+            records.append(row)
+            if row.status == "converted":
+                stage = f"bronze_{row.table_name}"
+                ledger.keep(stage, {"record": spark.createDataFrame([row], fresh.schema)}, [row.bronze_parquet])
+    order = {n: i for i, n in enumerate(sorted(wanted))}
+    records.sort(key=lambda r: order[r.source_csv.rstrip("/").rsplit("/", 1)[-1]])
+    return spark.createDataFrame(records, raw_csv.CONVERSION_SCHEMA)
+
+
+def normalize_changed(spark, scenario, ledger) -> DataFrame:
+    """The normalisation's records, like those of the conversion."""
+    records = []
+    for table in CORE_TABLES:
+        stage, path = f"silver_{table}", layers.table_path(scenario.silver_dir, table)
+        if f"bronze_{table}" not in ledger.prints:
+            records += bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir, [table]).collect()
+            continue
+        ledger.describe(stage, [f"bronze_{table}"], None)
+        reused = ledger.stands(stage, [path])
+        ledger.note(stage, reused)
+        if reused:
+            records += ledger.frames(stage)["record"].collect()
+            continue
+        found = bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir, [table])
+        records += found.collect()
+        if records[-1].status == "normalized":
+            ledger.keep(stage, {"record": found}, [path])
+    return spark.createDataFrame(records, NORMALIZATION_SCHEMA)

@@ -61,6 +61,27 @@ def delete_folder(path: str) -> None:
         system.delete_dir(inner)
 
 
+def delete_file(path: str) -> None:
+    system, inner = _filesystem(path)
+    if system.get_file_info(inner).type == fs.FileType.File:
+        system.delete_file(inner)
+
+
+def read_text(path: str) -> str:
+    system, inner = _filesystem(path)
+    with system.open_input_stream(inner) as stream:
+        return stream.read().decode()
+
+
+def write_text(path: str, text: str) -> None:
+    """Write a small file whole: under another name first, so that no reader sees half of it."""
+    system, inner = _filesystem(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(f"{inner}.part") as stream:
+        stream.write(text.encode())
+    system.move(f"{inner}.part", inner)
+
+
 def entry(path: str) -> FileEntry | None:
     """The table at `path`: a file, or a directory holding at least one part file at any depth (as
     in tables partitioned by folder); files and folders that Spark's readers skip are no parts."""

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .files import delete_folder, entry
+from .files import delete_folder, entry, path_exists
 
 
 def table_path(layer_dir: str, table: str) -> str:
@@ -22,7 +24,15 @@ def table_exists(layer_dir: str, table: str) -> bool:
 
 
 def read_table(spark: SparkSession, layer_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(layer_dir, table))
+    """The table as it was written: one with a folder for each value of some columns gets these columns
+    back with the types that they had, where Spark by itself would guess them from the folders' names."""
+    path = table_path(layer_dir, table)
+    declared = f"{path}/{SCHEMA_FOLDER}"
+    if not path_exists(declared):
+        return spark.read.parquet(path)
+    schema = StructType.fromJson(json.loads("".join(r.value for r in spark.read.text(declared).collect())))
+    names = [F.col(f"`{n.replace('`', '``')}`") for n in schema.names]
+    return spark.read.schema(schema).parquet(path).select(*names)
 
 
 def read_present(spark: SparkSession, layer_dir: str, tables) -> dict[str, DataFrame | None]:
@@ -48,13 +58,48 @@ def exact_names(spark: SparkSession) -> SparkSession:
     return exact
 
 
-def write_table(frame: DataFrame, layer_dir: str, table: str, partition_by=()) -> str:
-    """Write a layer table; with `partition_by` in a folder for each value of those columns."""
+SCHEMA_FOLDER = "_schema"  # beside the data, where Spark's readers do not look
+
+
+def write_table(
+    frame: DataFrame, layer_dir: str, table: str, partition_by=(), replace: str = "table"
+) -> str:
+    """Write a layer table; with `partition_by` in a folder for each value of those columns, and the
+    schema beside them. `replace="folders"` leaves the folders without a row in `frame` as they are; the
+    columns must then be those of the table that is there. Null and the empty text share a folder and
+    come back as null."""
     path = table_path(layer_dir, table)
-    frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if replace not in ("table", "folders"):
+        raise ValueError(f"Replace the table or its folders, not {replace!r}")
+    if replace == "folders":
+        if not partition_by:
+            raise ValueError("Only a table in folders can have some of them replaced")
+        if path_exists(path):
+            there = read_table(frame.sparkSession, layer_dir, table).schema
+            if _plain(there) != _plain(frame.schema):
+                raise ValueError(f"The table at {path} has other columns: {there.simpleString()}")
+    mode = "dynamic" if replace == "folders" else "static"
+    frame.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
+    if partition_by:
+        declared = frame.sparkSession.createDataFrame([(frame.schema.json(),)], "value string")
+        declared.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
     return path
 
 
+def write_measured(
+    frame: DataFrame, layer_dir: str, table: str, measures: dict[str, Column]
+) -> tuple[str, dict]:
+    """Write a layer table; what is measured (aggregates over its rows) is counted as rows are written,
+    so that checks need no scan of their own."""
+    seen = Observation()
+    path = write_table(frame.observe(seen, *[c.alias(n) for n, c in measures.items()]), layer_dir, table)
+    return path, seen.get
+
+
+def _plain(schema: StructType) -> list:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
 def write_csv(frame: DataFrame, path: str) -> str:
     """CSV part files with a header each; as many as the frame has partitions. Quotes are doubled,
     as CSV readers expect them, and spaces at the edges of a text stay."""

@@ -245,30 +245,77 @@ def table_names(filenames) -> list[str]:
     return [name.rsplit("/", 1)[-1].rsplit(".", 1)[0] for name in filenames]
 
 
+def plain_codes(codes) -> str | tuple[str, ...]:
+    """One code as text, several as a tuple without repeats."""
+    if isinstance(codes, (tuple, list)):
+        several = tuple(dict.fromkeys(str(c) for c in codes))
+        return several[0] if len(several) == 1 else several
+    return str(codes)
+
+
+def codes_text(codes) -> str:
+    """How outputs show a rule's codes; nothing reads it back."""
+    return "|".join(codes) if isinstance(codes, (tuple, list)) else str(codes)
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Dated events with one of `codes` that lie within bounds count; `least` of them meet the rule.
+
+    Bounds are days relative to a date of the patient: from `anchor` + `from_days` to `to_anchor`
+    (`anchor` if not given) + `to_days`, both included unless `from_strict` or `strict`; a bound
+    without days is open. An `exclude` rule must not be met, a `require` rule must."""
+
+    rule_id: str
+    codes: tuple[str, ...]
+    anchor: str = "index_date"
+    from_days: int | None = None
+    to_days: int | None = 0
+    to_anchor: str | None = None
+    from_strict: bool = False
+    strict: bool = False
+    least: int = 1
+    kind: str = "exclude"
+
+    def __post_init__(self):
+        codes = self.codes if isinstance(self.codes, (tuple, list)) else (self.codes,)
+        object.__setattr__(self, "codes", tuple(dict.fromkeys(str(c) for c in codes)))
+        if not self.rule_id.isidentifier():
+            raise ValueError(f"A rule is named like a column: {self.rule_id!r}")
+        if self.kind not in ("exclude", "require"):
+            raise ValueError(f"A rule excludes or requires, got {self.kind!r}")
+        if self.least < 1:
+            raise ValueError(f"A rule needs one event at least, got {self.least}")
+
+    @property
+    def last_anchor(self) -> str:
+        return self.to_anchor or self.anchor
+
+
 @dataclass(frozen=True)
 class StudySpec:
     """What qualifies, what excludes, and the thresholds. A rule holds one code, or several as a
-    tuple or joined by `|`, which is how outputs show them; `from_concepts` takes them from concept
-    sets."""
+    tuple; `from_concepts` takes them from concept sets. `rules` are further ones, see `Rule`."""
 
-    target_code: str = TARGET_CODE
-    prior_exclusion_code: str = PRIOR_EXCLUSION_CODE
-    window_exclusion_code: str = WINDOW_EXCLUSION_CODE
+    target_code: str | tuple[str, ...] = TARGET_CODE
+    prior_exclusion_code: str | tuple[str, ...] = PRIOR_EXCLUSION_CODE
+    window_exclusion_code: str | tuple[str, ...] = WINDOW_EXCLUSION_CODE
     minimum_age_years: int = MINIMUM_AGE_YEARS
     baseline_days: int = BASELINE_DAYS
     follow_up_months: int = FOLLOW_UP_MONTHS
     cohort_name: str = COHORT_NAME
+    rules: tuple[Rule, ...] = ()
 
     def __post_init__(self):
+        object.__setattr__(self, "rules", tuple(self.rules))
+        if len({r.rule_id for r in self.rules}) < len(self.rules):
+            raise ValueError("Two rules have one name")
         for name in ("minimum_age_years", "baseline_days", "follow_up_months"):
             value = getattr(self, name)
             if isinstance(value, bool) or not isinstance(value, int) or value < 0:
                 raise ValueError(f"{name} must be a non-negative integer, got {value!r}")
         for name in ("target_code", "prior_exclusion_code", "window_exclusion_code"):
-            codes = getattr(self, name)
-            if isinstance(codes, (tuple, list)):
-                codes = "|".join(map(str, codes))
-            object.__setattr__(self, name, str(codes))
+            object.__setattr__(self, name, plain_codes(getattr(self, name)))
 
     @classmethod
     def from_concepts(
