@@ -826,6 +826,25 @@ def _study_outputs() -> str:
     return with_tables(ctes, body)
 
 
+def _eras(table, start, stop, grace, name, count, code) -> str:
+    """Islands of intervals by a flag and a running sum, and the days that none of them covers."""
+    keys = "patient_id, code" if code else "patient_id"
+    by = f"PARTITION BY {keys} ORDER BY s, e, r"
+    return with_tables(
+        _silver_ctes(table),
+        f"""SELECT patient_id AS person_source_value, {f"code AS {code}," if code else ""}
+            min(s) AS {name}_start_date, max(e) AS {name}_end_date, count(*) AS {count},
+            CAST(max(e) - min(s) + 1 - sum(covered) AS BIGINT) AS gap_days
+        FROM (SELECT *, sum(CASE WHEN reached IS NULL OR s > reached + {grace} THEN 1 ELSE 0 END)
+                    OVER ({by} ROWS UNBOUNDED PRECEDING) AS island,
+                greatest(0, e - greatest(s - 1, coalesce(reached, s - 1))) AS covered
+              FROM (SELECT *, max(e) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+                    FROM (SELECT {keys}, {start} AS s, greatest({start}, coalesce({stop}, {start})) AS e, row_number() OVER () AS r
+                          FROM {table} WHERE {start} IS NOT NULL)))
+        GROUP BY {keys}, island""",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     silver_from_text = {f"raw_{t}": BRONZE_CTE[t] for t in ("patients", "conditions", "encounters")}
     for t in ("patients", "conditions", "encounters"):
@@ -1076,6 +1095,97 @@ def oracle_sql() -> dict[str, str]:
                               count(*) FILTER (WHERE end_reason = 'death') AS deaths
                        FROM windows GROUP BY 1))"""
     )
+    sql["events_in_windows"] = with_tables(
+        _silver_ctes("conditions", "encounters"),
+        f"""SELECT w.patient_id, kind, window_start, window_end, count(encounter_start_date) AS events,
+                min(encounter_start_date) AS first_event, max(encounter_start_date) AS last_event,
+                round(sum(total_claim_cost), 2) AS cost
+            FROM (SELECT DISTINCT patient_id, kind, condition_start_date + a AS window_start,
+                         condition_start_date + b AS window_end
+                  FROM conditions, (VALUES ('before', -30, -1), ('after', 0, 90), ('around', -365, 365)) AS k(kind, a, b)
+                  WHERE code = '{BOUND_STUDY.target_code}' AND condition_start_date IS NOT NULL) w
+            LEFT JOIN encounters e ON e.patient_id = w.patient_id
+                AND encounter_start_date BETWEEN window_start AND window_end
+            GROUP BY ALL""",
+    )
+    sql["recurrent_index"] = with_tables(
+        _silver_ctes("conditions"),
+        f"""SELECT patient_id, day AS index_date,
+                CAST(row_number() OVER (PARTITION BY patient_id ORDER BY day) AS INTEGER) AS index_number
+            FROM (SELECT patient_id, day, lag(day) OVER (PARTITION BY patient_id ORDER BY day) AS earlier
+                  FROM (SELECT DISTINCT patient_id, condition_start_date AS day FROM conditions
+                        WHERE code = '{BOUND_STUDY.target_code}' AND patient_id IS NOT NULL
+                            AND condition_start_date IS NOT NULL))
+            WHERE earlier IS NULL OR day > earlier + 180""",
+    )
+    sql["drug_era"] = _eras("medications", "medication_start_date", "medication_stop_date", 30, "drug_era", "drug_exposure_count", "drug_source_value")
+    sql["condition_era"] = _eras("conditions", "condition_start_date", "condition_stop_date", 30, "condition_era", "condition_occurrence_count", "condition_source_value")
+    sql["observation_period"] = _eras("encounters", "encounter_start_date", "encounter_stop_date", 365, "observation_period", "visit_count", None)
+    lab_values = {
+        **labs,
+        "lab_values": """SELECT DISTINCT concept_set, patient_id, observation_date AS day, value_numeric AS v
+            FROM labs JOIN concepts USING (code)
+            WHERE observation_date IS NOT NULL AND value_numeric IS NOT NULL AND patient_id IS NOT NULL""",
+        "lab_sets": "SELECT * FROM (VALUES " + ", ".join(f"('{n}')" for n in LAB_CONCEPTS) + ") AS s(concept_set)",
+    }
+    sql["lab_nearest_index"] = on_followup(
+        """SELECT patient_id, index_date, concept_set, v AS value, day AS value_day FROM (
+            SELECT w.patient_id, w.index_date, s.concept_set, v, day, row_number() OVER (
+                PARTITION BY w.patient_id, s.concept_set ORDER BY abs(day - index_date) NULLS LAST, day, v DESC) AS rn
+            FROM windows w CROSS JOIN lab_sets s
+            LEFT JOIN lab_values l ON l.patient_id = w.patient_id AND l.concept_set = s.concept_set)
+           WHERE rn = 1""",
+        "labs",
+        **lab_values,
+    )
+    sql["lab_carried_forward"] = on_followup(
+        """SELECT concept_set, step, count(*) AS patients, count(v) AS with_value, round(avg(v), 6) AS mean,
+            round(avg(point_day - day), 6) AS mean_age_days
+           FROM (
+            SELECT p.*, s.concept_set, v, day, row_number() OVER (
+                PARTITION BY p.patient_id, step, s.concept_set ORDER BY day DESC NULLS LAST, v DESC) AS rn
+            FROM (SELECT patient_id, CAST(unnest(range(follow_up_days // 90 + 1)) AS INTEGER) AS step,
+                         index_date + 90 * step AS point_day FROM windows) p
+            CROSS JOIN lab_sets s
+            LEFT JOIN lab_values l ON l.patient_id = p.patient_id AND l.concept_set = s.concept_set AND day <= point_day)
+           WHERE rn = 1 GROUP BY concept_set, step""",
+        "labs",
+        **lab_values,
+    )
+    strata = {
+        "strata": f"""SELECT w.*, coalesce(nullif(trim(x.sex), ''), 'Missing') AS stratum
+            FROM windows w JOIN (SELECT patient_id, min(sex) AS sex FROM final GROUP BY patient_id) x
+            ON w.patient_id = x.patient_id""",
+        "risk": """SELECT stratum, day, endings, deaths, sum(endings) OVER (PARTITION BY stratum ORDER BY day DESC) AS n
+            FROM (SELECT stratum, follow_up_days AS day, count(*) AS endings,
+                         count(*) FILTER (WHERE end_reason = 'death') AS deaths FROM strata GROUP BY ALL)""",
+    }
+    sql["survival_by_stratum"] = on_followup(
+        """SELECT stratum, day, CAST(n AS BIGINT) AS at_risk, deaths, endings - deaths AS censored, round(s, 9) AS survival,
+            round(s * sqrt(g), 9) AS standard_error
+           FROM (SELECT *, product(1 - deaths / n) OVER (PARTITION BY stratum ORDER BY day) AS s,
+                    sum(CASE WHEN deaths < n THEN deaths / (n * (n - deaths)) ELSE 0 END)
+                        OVER (PARTITION BY stratum ORDER BY day) AS g
+                 FROM (SELECT * REPLACE (CAST(n AS DOUBLE) AS n) FROM risk))""",
+        **strata,
+    )
+    sql["log_rank"] = on_followup(
+        """SELECT stratum, patients, observed, round(coalesce(e, 0), 6) AS expected, round(coalesce(v, 0), 6) AS variance,
+            CASE WHEN v > 1e-12 THEN round((observed - e) * (observed - e) / v, 6) END AS chi_square
+           FROM (SELECT stratum, count(*) AS patients, count(*) FILTER (WHERE end_reason = 'death') AS observed
+                 FROM strata GROUP BY stratum)
+           LEFT JOIN (
+            SELECT stratum, sum(d * own / n) AS e,
+                sum(CASE WHEN n > 1 THEN d * (n - d) / (n - 1) * (own / n) * (1 - own / n) ELSE 0 END) AS v
+            FROM (SELECT s.stratum, t.day, t.d,
+                    (SELECT CAST(count(*) AS DOUBLE) FROM strata w WHERE w.follow_up_days >= t.day) AS n,
+                    (SELECT CAST(count(*) AS DOUBLE) FROM strata w WHERE w.follow_up_days >= t.day
+                        AND w.stratum = s.stratum) AS own
+                  FROM (SELECT DISTINCT stratum FROM strata) s,
+                    (SELECT follow_up_days AS day, count(*) AS d FROM strata WHERE end_reason = 'death' GROUP BY 1) t)
+            GROUP BY stratum) USING (stratum)""",
+        **strata,
+    )
     model = {
         "person": ("patients", "birth_date"),
         "visit_occurrence": ("encounters", "encounter_start_date"),

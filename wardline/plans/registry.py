@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import completed_years, days_between, lenient_double
+from ..functions.expr import clean_level, completed_years, days_between, lenient_double
 from ..functions.quantiles import exact_quantiles
 from ..operators import cohort as cohorts
-from ..operators import followup, funnel, quality, rules, summary
+from ..operators import followup, funnel, intervals, quality, rules, summary, survival
 from ..operators.normalize import normalize
 from ..sources import files, layers, layout, raw_csv
 from ..spec import CORE_TABLES, LAB_USES, MEDICATION_USES, SILVER_DATES, Scenario
@@ -32,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 HASH_BUCKET = 500
 BLANK_LINE_PARTS = 16
+RECURRENCE_DAYS = 180
 CLUSTER_FILES = 128
 # Bounds that a clustered table is read with.
 CLUSTER_BOUNDS = {
@@ -762,6 +763,91 @@ def survival_table(spark, sf_dir):
     return table.withColumn("survival", F.round("survival", 9))
 
 
+def events_in_windows(spark, sf_dir):
+    """Encounters and their costs around every day with a target event of a patient: windows that
+    overlap, of three lengths."""
+    conditions = bindings.silver(spark, sf_dir, "conditions")
+    day = F.col("condition_start_date")
+    targets = conditions.where((F.col("code") == BOUND_STUDY.target_code) & day.isNotNull())
+    around = [("before", -30, -1), ("after", 0, 90), ("around", -365, 365)]
+    kinds = F.array(*[
+        F.struct(F.lit(n).alias("kind"), F.date_add(day, a).alias("window_start"), F.date_add(day, b).alias("window_end"))
+        for n, a, b in around
+    ])
+    windows = targets.select("patient_id", day).distinct().select("patient_id", F.inline(kinds))
+    encounters = bindings.silver(spark, sf_dir, "encounters")
+    found = intervals.events_in_windows(
+        encounters, "encounter_start_date", layers.materialize(windows, "windows"), cost=F.col("total_claim_cost")
+    )
+    return found.withColumn("cost", F.round("cost", 2))
+
+
+def recurrent_index(spark, sf_dir):
+    conditions = bindings.silver(spark, sf_dir, "conditions")
+    return intervals.recurrent_index(
+        conditions, F.col("code") == BOUND_STUDY.target_code, "condition_start_date", RECURRENCE_DAYS
+    )
+
+
+def _era_query(name: str) -> Query:
+    return lambda spark, sf_dir: intervals.era_table(name, bindings.silver(spark, sf_dir, intervals.ERAS[name][0]))
+
+
+def _lab_values(spark, sf_dir) -> DataFrame:
+    labs = bindings.silver(spark, sf_dir, "labs").where("value_numeric IS NOT NULL")
+    return followup.coded_events(labs, LAB_CONCEPTS).select(
+        "concept_set", "patient_id", "observation_date", "value_numeric"
+    )
+
+
+def _per_lab(points: DataFrame) -> DataFrame:
+    """The points once for each laboratory concept set."""
+    names = F.array(*[F.lit(n) for n in LAB_CONCEPTS])
+    return points.select("*", F.explode(names).alias("concept_set"))
+
+
+def lab_nearest_index(spark, sf_dir):
+    """The result nearest to the index date of each patient of the final cohort."""
+    points = _per_lab(_kept_windows(spark, sf_dir).select("patient_id", "index_date"))
+    return intervals.values_at(
+        _lab_values(spark, sf_dir), points, ["patient_id", "concept_set"], "observation_date", "value_numeric",
+        "index_date", nearest=True,
+    )
+
+
+def lab_carried_forward(spark, sf_dir):
+    """Results carried forward to the index date and every 90 days of follow-up: per step the patients
+    with a value, their mean, and how old the values are."""
+    points = _per_lab(intervals.step_points(_kept_windows(spark, sf_dir)))
+    found = intervals.values_at(
+        _lab_values(spark, sf_dir), points, ["patient_id", "concept_set"], "observation_date", "value_numeric", "point_day"
+    )
+    return found.groupBy("concept_set", "step").agg(
+        F.count(F.lit(1)).alias("patients"),
+        F.count("value").alias("with_value"),
+        F.round(F.avg("value"), 6).alias("mean"),
+        F.round(F.avg(F.datediff("point_day", "value_day")), 6).alias("mean_age_days"),
+    )
+
+
+def _stratified(spark, sf_dir) -> DataFrame:
+    """Follow-up windows with the patient's sex as a clean level."""
+    final, seen = _kept_final(spark, sf_dir)
+    sex = final.groupBy("patient_id").agg(F.min("sex").alias("sex"))
+    windows = followup.followup_window(final, seen, BOUND_STUDY).join(sex, "patient_id")
+    return layers.materialize(windows.withColumn("sex", clean_level(F.col("sex"))), "strata")
+
+
+def survival_by_stratum(spark, sf_dir):
+    found = survival.survival_by_stratum(_stratified(spark, sf_dir), "sex")
+    return found.withColumns({c: F.round(c, 9) for c in ("survival", "standard_error")})
+
+
+def log_rank(spark, sf_dir):
+    found = survival.log_rank(_stratified(spark, sf_dir), "sex")
+    return found.withColumns({c: F.round(c, 6) for c in ("expected", "variance", "chi_square")})
+
+
 def common_model(spark, sf_dir):
     """Row counts, persons and date range of every common-model table."""
     tables = followup.common_model(bindings.silver_tables(spark, sf_dir))
@@ -849,6 +935,12 @@ def queries() -> dict[str, Query]:
             "lab_summary": lab_summary,
             "lab_trajectory": lab_trajectory,
             "survival_table": survival_table,
+            "events_in_windows": events_in_windows,
+            "recurrent_index": recurrent_index,
+            "lab_nearest_index": lab_nearest_index,
+            "lab_carried_forward": lab_carried_forward,
+            "survival_by_stratum": survival_by_stratum,
+            "log_rank": log_rank,
             "common_model": common_model,
             "index_cohort_staged": index_cohort_staged,
             "index_cohort_staged_large": lambda spark, sf_dir: index_cohort_staged(spark, sf_dir, 0),
@@ -865,6 +957,8 @@ def queries() -> dict[str, Query]:
             "quantiles_many_groups": quantiles_many_groups,
         }
     )
+    for name in intervals.ERAS:
+        registered[name] = _era_query(name)
     for target in followup.COMMON_MODEL:
         registered[f"common_model_{MODEL_KEYS[target]}"] = _model_query(target)
     return registered

@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expr import clean_level
 from ..operators import cohort as cohorts
-from ..operators import followup, funnel, quality, rules, summary
+from ..operators import followup, funnel, intervals, quality, rules, summary, survival
 from ..operators.normalize import normalize
 from ..sources import layers, raw_csv
 from ..spec import (
@@ -43,7 +44,7 @@ BASELINE_TABLE = "baseline_characteristics"
 # Follow-up summaries that are reports too: a few rows each.
 REPORTED = (
     "medication_exposure", "lab_summary", "lab_trajectory", "utilization", "cost_summary",
-    "survival_table",
+    "survival_table", "survival_by_sex", "log_rank_by_sex",
 )
 
 
@@ -196,6 +197,7 @@ def build_followup(
         "utilization": followup.utilization(encounters, windows),
         "cost_summary": followup.cost_summary(costs),
         "survival_table": followup.survival_table(windows),
+        **_compared(final, windows),
     }
     return {
         "followup_window": windows,
@@ -203,15 +205,26 @@ def build_followup(
     }
 
 
+def _compared(final: DataFrame, windows: DataFrame) -> dict[str, DataFrame]:
+    """Survival by the patients' sex, where the cohort tells it."""
+    sex = final.groupBy("patient_id").agg(F.min("sex").alias("sex"))
+    strata = windows.join(sex, "patient_id").withColumn("sex", clean_level(F.col("sex")))
+    return {
+        "survival_by_sex": survival.survival_by_stratum(strata, "sex"),
+        "log_rank_by_sex": survival.log_rank(strata, "sex"),
+    }
+
+
 def build_common_model(
     spark: SparkSession, silver_dir: str, model_dir: str
 ) -> dict[str, DataFrame]:
-    """Write the common-data-model tables."""
+    """Write the common-data-model tables, the eras and periods derived from events among them."""
     silver = {
         t: layers.need_table(spark, silver_dir, t, "Run bronze_to_silver first.")
         for t, _ in followup.COMMON_MODEL.values()
     }
     tables = followup.common_model(silver)
+    tables |= {name: intervals.era_table(name, silver[entry[0]]) for name, entry in intervals.ERAS.items()}
     for name, frame in tables.items():
         layers.write_table(frame, model_dir, name)
     return {name: layers.read_table(spark, model_dir, name) for name in tables}
@@ -439,7 +452,7 @@ def _all_stages(spark, scenario, spec, concept_sets, reuse) -> dict[str, DataFra
     model_dir = scenario.model_dir or f"{gold_dir.rstrip('/')}/model"
     model = ledger.stage(
         "common_model", of_silver, model_dir, lambda: build_common_model(spark, silver_dir, model_dir),
-        {name: layers.table_path(model_dir, name) for name in followup.COMMON_MODEL},
+        {name: layers.table_path(model_dir, name) for name in (*followup.COMMON_MODEL, *intervals.ERAS)},
     )
     sizes = [
         frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
