@@ -57,6 +57,38 @@ def test_equal_values_stay_linked_however_written():
     assert datetime.date.fromisoformat(day).strftime("%d.%m.%Y") == again
 
 
+def test_a_date_has_one_image_in_every_order():
+    given = datetime.date(1999, 1, 1)
+    for n in range(0, 9000, 37):
+        day = given + datetime.timedelta(days=n)
+        image = datetime.date.fromisoformat(pii.pseudonymise_text(day.isoformat(), names())[0])
+        forms = ["%d.%m.%Y", "%Y/%m/%d"] + (["%m/%d/%Y"] if day.day > 12 else [])
+        for form in forms:
+            assert pii.pseudonymise_text(day.strftime(form), names())[0] == image.strftime(form)
+        assert (image.day > 12) == (day.day > 12)
+    assert pii.pseudonymise_text("1899-12-31 2100-01-01", names())[1] == []
+
+
+def test_cards_of_the_second_range():
+    for start in ("2221", "2500", "2720"):
+        body = start + "00000000000"
+        card = body + pii.luhn_digit(body)
+        new, found = pii.pseudonymise_text(card, names())
+        assert [f[0] for f in found] == ["card"] and new != card and "2221" <= new[:4] <= "2720"
+        assert pii.luhn_digit(new[:-1]) == new[-1]
+        assert pii.pseudonymise_text(new, names(inverse=True))[0] == card
+    other = "2721" + "00000000000"
+    assert pii.pseudonymise_text(other + pii.luhn_digit(other), names())[1] == []
+
+
+def test_long_local_parts_are_mixed_whole():
+    local = "".join(chr(97 + i % 26) for i in range(2000))
+    new, _ = pii.pseudonymise_text(local + "@mail.example.com", names())
+    same = [a == b for a, b in zip(new, local)]
+    assert sum(same) < 200 and not all(same[:10])
+    assert pii.pseudonymise_text(new, names(inverse=True))[0] == local + "@mail.example.com"
+
+
 def test_documents(make_docs, odd_rows, clash):
     rows = [*odd_rows, (11, f"card {CARD}"), (12, f"again {CARD}, and {BAD_CARD}")]
     found = pii.pseudonymise(clash(make_docs(rows)), KEY).collect()

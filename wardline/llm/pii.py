@@ -2,10 +2,12 @@
 
 Numbers and dates that prove valid (card numbers by their check digit, account numbers (IBAN) by
 their remainder, IPv4 addresses by their octets, telephone and social security numbers by their
-numbering rules, dates by the calendar) and the local parts of e-mail addresses are replaced by the
+numbering rules, dates of 1900 to 2099 by the calendar) and the local parts of e-mail addresses are replaced by the
 image of their value under a permutation of all values of the same format. Separators, lengths and
 validity stay, check digits are made anew, and equal values get equal pseudonyms in every document,
-however they are written. Without the key the permutation cannot be turned round; with it, it can
+however they are written: a date is permuted among those with a day above twelve or among the others,
+so it has one image whether the year, the day or (where only that is a date) the month comes first.
+Card numbers start with 3 to 6 or with 2221 to 2720 and keep that start's kind. Without the key the permutation cannot be turned round; with it, it can
 (`inverse=True`). Candidates that fail their check stay as they are.
 
 One pass over whole texts, no shuffle. Null text stays null and has no findings.
@@ -55,7 +57,10 @@ def feistel(value: int, size: int, key: bytes, tweak: str, inverse: bool = False
 
     def mixed(part: int, turn: int, width: int) -> int:
         data = f"{tweak}:{size}:{turn}:{part}".encode()
-        return int.from_bytes(hashlib.blake2b(data, key=key).digest(), "big") & ((1 << width) - 1)
+        raw = hashlib.blake2b(data, key=key).digest()
+        for more in range(1, -(-width // 512)):  # halves wider than a digest
+            raw += hashlib.blake2b(data + b":%d" % more, key=key).digest()
+        return int.from_bytes(raw, "big") & ((1 << width) - 1)
 
     def once(x: int) -> int:
         left, right = x >> low, x & ((1 << low) - 1)
@@ -93,6 +98,17 @@ class Pseudonyms:
         self.key = hashlib.blake2b(key).digest()
         self.inverse = inverse
         self.known: dict = {}
+        # The days of the range by whether their number in the month is above twelve, and each one's place.
+        self.halves: tuple[list, list] = ([], [])
+        self.place: list = []
+
+    def _half(self, day: datetime.date) -> list:
+        if not self.place:
+            for n in range(DAYS):
+                half = self.halves[datetime.date.fromordinal(FIRST_DAY + n).day > 12]
+                self.place.append(len(half))
+                half.append(n)
+        return self.halves[day.day > 12]
 
     def _move(self, value: int, size: int, tweak: str) -> int:
         return feistel(value, size, self.key, tweak, self.inverse)
@@ -153,27 +169,17 @@ class Pseudonyms:
         for order in ["ymd"] if year_first else ["dmy", "mdy"]:
             field = dict(zip(order, parts, strict=True))
             try:
-                day = datetime.date(field["y"], field["m"], field["d"]).toordinal() - FIRST_DAY
+                date = datetime.date(field["y"], field["m"], field["d"])
             except ValueError:
                 continue
+            day = date.toordinal() - FIRST_DAY
             if not 0 <= day < DAYS:
                 continue
-            if order == "mdy":
-                # Only dates with a day above 12 are written like this: permute among those.
-                return self._month_first(field, sign)
-            moved = datetime.date.fromordinal(FIRST_DAY + self._move(day, DAYS, "date"))
-            return self._written(moved, order, sign)
+            half = self._half(date)
+            moved = half[self._move(self.place[day], len(half), f"date{date.day > 12}")]
+            return self._written(datetime.date.fromordinal(FIRST_DAY + moved), order, sign)
         return None
 
-    def _month_first(self, field, sign):
-        day = datetime.date(field["y"], field["m"], field["d"])
-        while True:
-            day = datetime.date.fromordinal(
-                FIRST_DAY + self._move(day.toordinal() - FIRST_DAY, DAYS, "date")
-            )
-            if day.day > 12:
-                return self._written(day, "mdy", sign)
-
     @staticmethod
     def _written(day, order, sign):
         field = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
@@ -206,7 +212,15 @@ class Pseudonyms:
 
     def _card(self, text):
         digits = "".join(s for s in text if s.isdigit())
-        if len(digits) < 13 or digits[0] not in "3456" or luhn_digit(digits[:-1]) != digits[-1]:
+        if len(digits) < 13 or luhn_digit(digits[:-1]) != digits[-1]:
+            return None
+        if "2221" <= digits[:4] <= "2720":
+            tail = 10 ** (len(digits) - 5)
+            number = (int(digits[:4]) - 2221) * tail + int(digits[4:-1])
+            start, rest = divmod(self._move(number, 500 * tail, "card2"), tail)
+            moved = f"{start + 2221}{rest:0{len(digits) - 5}d}"
+            return _refill(text, moved + luhn_digit(moved), str.isdigit)
+        if digits[0] not in "3456":
             return None
         moved = digits[0] + self._mixed(digits[1:-1], "card" + digits[0])
         return _refill(text, moved + luhn_digit(moved), str.isdigit)
