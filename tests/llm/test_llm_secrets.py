@@ -21,16 +21,22 @@ def base(text):
 
 
 def markov(text, ratios, threshold, taken):
-    """Spans of the method, from its table."""
+    """Spans of the method, from its table: parts of runs that no base span covers."""
     width, out = len(secretscan.ALPHABET) + 1, []
+    covered = set()
+    for _, s, e in taken:
+        covered.update(range(s, e))
     for m in re.finditer(secretscan.RUN, text or ""):
-        before, total = 0, 0.0
-        for c in m[0]:
-            now = secretscan.ALPHABET.index(c) + 1
-            total += float(f"{ratios[before * width + now]:.6f}")
-            before = now
-        if total > threshold and not any(s < m.end() and m.start() < e for _, s, e in taken):
-            out.append(("markov", m.start(), m.end()))
+        free = "".join("." if i in covered else "x" for i in range(*m.span()))
+        for part in re.finditer("x{16,}", free):
+            start, end = m.start() + part.start(), m.start() + part.end()
+            before, total = 0, 0.0
+            for c in text[start:end]:
+                now = secretscan.ALPHABET.index(c) + 1
+                total += float(f"{ratios[before * width + now]:.6f}")
+                before = now
+            if total > threshold:
+                out.append(("markov", start, end))
     return out
 
 
@@ -66,6 +72,8 @@ def test_spans_match_brute_force(make_docs, model, odd_rows, clash):
         text[rng.randrange(30)] = random_text(rng, rng.randrange(10, 40))
         if i % 3 == 0:
             text.append("token=" + random_text(rng, 20))
+        if i % 5 == 0:  # runs that a base span covers in part
+            text.append(f"{random_text(rng, 30)}/AKIA{'Q' * 16}/{random_text(rng, 40)}-{'0123456789abcdef' * 2}-{random_text(rng, 20)}")
         rows.append((200 + i, " ".join(text)))
     got = secretscan.scan(clash(make_docs(rows)), model).select(
         "doc_id", "text", secretscan.span_text(F.col("base")).alias("b"), secretscan.span_text(F.col("spans")).alias("s")
@@ -112,6 +120,39 @@ def test_redaction(make_docs, model, odd_rows, clash):
     assert got[20][4] == len(got[20][1]) and got[1][1] is None and got[1][4] is None
 
 
+def test_many_spans_cost_no_more_than_a_long_text(make_docs, model):
+    """Thousands of matches and runs in one text, more than one step of an array holds."""
+    import time
+
+    one = "token=abcdef99 0123456789abcdef01234567, é " + "Zx9" * 8 + "/AKIA" + "Q" * 16 + "\n"
+    text = one * 6000
+    start = time.time()
+    row = secretscan.scan(make_docs([(1, text)]), model).select(
+        F.size("base").alias("n"), F.size("spans").alias("m"), F.element_at("spans", -1)["end"].alias("end")
+    ).first()
+    out = secretscan.redact(make_docs([(1, text)]), model).first()
+    assert (row.n, row.end) == (3 * 6000, len(text) - 1) and row.m >= row.n
+    assert out.text.count("[secret]") >= 2 * 6000 and "AKIA" not in out.text and out.text.endswith("\n")
+    assert time.time() - start < 60
+
+
+def test_redaction_by_positions(make_docs, model):
+    rng = random.Random(4)
+    rows = []
+    for i in range(30):
+        parts = [random_text(rng, rng.choice([0, 5, 700, 3000])) + " é😀 " for _ in range(rng.randrange(1, 6))]
+        rows.append((i, f"token={'q' * 9} ".join(parts)))
+    docs = make_docs(rows)
+    spans = {r.doc_id: r.s for r in secretscan.scan(docs, model).select("doc_id", F.col("spans").alias("s")).collect()}
+    for r in secretscan.redact(docs, model).collect():
+        text, at, out = dict(rows)[r.doc_id], 0, ""
+        for s in spans[r.doc_id]:
+            if s.start >= at:
+                out += text[at : s.start] + "[secret]"
+            at = max(at, s.end)
+        assert r.text == out + text[at:]
+
+
 def test_main_path_runs_no_python(make_docs, model):
     plan = secretscan.scan(make_docs([(1, "a")]), model)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -4,7 +4,8 @@ Patterns (base kinds) are matched leftmost and without overlap per kind over the
 of them every long run of identifier characters is scored by two first-order character models, one
 of random strings and one of ordinary identifiers: the log-likelihood ratio of the run, summed over
 its characters, must exceed the ratio that all but a share `false_rate` of the ordinary labelled
-samples stay under (and zero). Such runs that touch no base span are spans of kind `markov`.
+samples stay under (and zero). Such runs are spans of kind `markov`; of a run that base spans cover in
+part, each uncovered part that is long enough is scored by itself.
 
 The models are trained from labelled samples (value, label 1 random / 0 ordinary). In a corpus
 without labels `labelled_samples` takes the values of base matches as random strings and the runs
@@ -14,7 +15,8 @@ transitions, whose size the alphabet bounds, comes to the driver. The random mod
 and half uniform, so that alphabets the samples lack still count as random.
 
 Everything here is built-in functions: no Python runs on executors. Null text counts as empty. A
-text without spans gets empty lists. Spans are code points, end exclusive.
+text without spans gets empty lists. Spans are code points, end exclusive. Arrays are built STEP entries
+at a time and texts cut by blocks, so a text's cost is near its length, however many spans it has.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ ORDINARY_RUN = r"[A-Za-z0-9+/_=-]{6,}"
 SPAN = "struct<kind:int,start:int,end:int,value:string>"
 MAX_ROWS = 5000
 MAX_RUNS = 64
+STEP = 256  # entries that an aggregate appends to one array
+TEXT_BLOCK = 1024
+LEAST_RUN = 16
 FALSE_RATE = 1e-3
 
 
@@ -62,14 +67,60 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+    def shifted(state, part):
+        """A step's spans, which count from its own start, behind those before it."""
+        moved = F.transform(
+            part["spans"],
+            lambda s: F.struct(
+                s["kind"].alias("kind"), (s["start"] + state["at"]).alias("start"),
+                (s["end"] + state["at"]).alias("end"), s["value"].alias("value"),
+            ),
+        )
+        return F.struct((state["at"] + part["at"]).alias("at"), F.concat(state["blocks"], F.array(moved)).alias("blocks"))
+
     pairs = F.zip_with(
         F.slice(between, 1, F.size(found)), found,
         lambda b, m: F.struct(b.alias("before"), m.alias("value")),
     )
-    spans = F.aggregate(pairs, empty, step)["spans"]
+    parts = F.transform(_steps(pairs), lambda part: F.aggregate(part, empty, step))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("blocks"))
+    spans = F.flatten(F.aggregate(parts, none, shifted)["blocks"])
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def _steps(items: Column) -> Column:
+    """An array cut into arrays of STEP entries."""
+
+    def cut(array):
+        last = F.floor((F.size(array) - 1) / STEP).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(array, k * STEP + 1, STEP))
+        return F.when(F.size(array) > 0, parts).otherwise(F.slice(parts, 1, 0))
+
+    # By way of an array of one, so that `items` is computed once and not for each of its steps.
+    return F.flatten(F.transform(F.array(items), cut))
+
+
+def _scan(items: Column, carry: Column, step, kind: str) -> Column:
+    """What `step` (of carry and item: the next carry, an array of what it gives out) gives out, in order,
+    behind it the last carry."""
+    nothing = F.array().cast(f"array<{kind}>")
+
+    def one(state, item):
+        after, out = step(state["carry"], item)
+        return F.struct(after.alias("carry"), F.concat(state["out"], out).alias("out"))
+
+    def part(state, some):
+        start = F.struct(state["carry"].alias("carry"), nothing.alias("out"))
+        done = F.array(F.aggregate(some, start, one))
+        return F.struct(
+            F.element_at(F.transform(done, lambda d: d["carry"]), 1).alias("carry"),
+            F.concat(state["blocks"], F.transform(done, lambda d: d["out"])).alias("blocks"),
+        )
+
+    start = F.struct(carry.alias("carry"), F.array().cast(f"array<array<{kind}>>").alias("blocks"))
+    return F.aggregate(_steps(items), start, part)
+
+
 def base_spans(text: Column) -> Column:
     """Spans of the three base kinds by start, then kind."""
     assigned = F.filter(
@@ -189,14 +240,50 @@ def scan(docs: DataFrame, model: MarkovModel) -> DataFrame:
 def with_spans(frame: DataFrame, model: MarkovModel) -> DataFrame:
     """The frame, which has a text without nulls, with the columns base and spans."""
     based = frame.withColumn("base", base_spans(F.col("text")))
-    runs = F.filter(
-        matches(F.col("text"), RUN, 3),
-        lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
-    added = F.filter(runs, lambda r: model.score(r["value"]) > F.lit(model.threshold))
+    runs = matches(F.col("text"), RUN, 3)
+    open_runs = F.when(F.size("base") > 0, _uncovered(runs, F.col("base"))).otherwise(runs)
+    added = F.filter(open_runs, lambda r: model.score(r["value"]) > F.lit(model.threshold))
     return based.withColumn("spans", _ordered(F.concat("base", added)))
 
 
+def _uncovered(runs: Column, base: Column) -> Column:
+    """The parts of runs that no base span covers, if long enough. Both by start; runs do not overlap."""
+    place = "struct<start:int,sort:int,end:int,value:string>"
+
+    def event(sort):
+        return lambda s: F.struct(
+            s["start"].alias("start"), F.lit(sort).alias("sort"), s["end"].alias("end"), s["value"].alias("value")
+        )
+
+    events = F.array_sort(F.concat(F.transform(base, event(0)), F.transform(runs, event(1)))).cast(f"array<{place}>")
+    # What is left of the run that is open: from start to end, the run itself beginning at `at`.
+    state = F.struct(
+        F.lit(0).alias("covered"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("at"), F.lit("").alias("value")
+    )
+
+    def part(run, end):
+        span = F.struct(
+            F.lit(3).alias("kind"), run["start"].alias("start"), end.alias("end"),
+            F.substring(run["value"], run["start"] - run["at"] + 1, end - run["start"]).alias("value"),
+        )
+        return F.when(end - run["start"] >= LEAST_RUN, F.array(span)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    def step(run, e):
+        is_run = e["sort"] == 1
+        after = F.struct(
+            F.when(is_run, run["covered"]).otherwise(F.greatest(run["covered"], e["end"])).alias("covered"),
+            F.when(is_run, F.greatest(e["start"], run["covered"])).otherwise(F.greatest(run["start"], e["end"])).alias("start"),
+            F.when(is_run, e["end"]).otherwise(run["end"]).alias("end"),
+            F.when(is_run, e["start"]).otherwise(run["at"]).alias("at"),
+            F.when(is_run, e["value"]).otherwise(run["value"]).alias("value"),
+        )
+        return after, part(run, F.when(is_run, run["end"]).otherwise(F.least(run["end"], e["start"])))
+
+    done = F.array(_scan(events, state, step, SPAN))
+    whole = F.transform(done, lambda d: F.concat(F.flatten(d["blocks"]), part(d["carry"], d["carry"]["end"])))
+    return F.flatten(whole)
+
+
 def redact(docs: DataFrame, model: MarkovModel, mark: str = "[secret]") -> DataFrame:
     """Documents with their secrets replaced by a mark, and n_chars (if there is one) counted anew;
     all other columns, and documents without secrets, as they were."""
@@ -229,19 +316,23 @@ def span_text(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span replaced by a mark; spans that overlap share one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), blocks.alias("blocks"))
 
-    def step(state, span):
-        fresh = F.concat(
-            state["out"],
-            F.substring(text, state["at"] + 1, span["start"] - state["at"]),
-            F.lit(mark),
-        )
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"),
-        )
+    def cut(of, a, b):
+        """The text from a to b: from the blocks that hold it."""
+        first = F.floor(a / TEXT_BLOCK).cast("int")
+        held = F.slice(of["blocks"], first + 1, F.floor((b - 1) / TEXT_BLOCK).cast("int") - first + 1)
+        return F.when(b > a, F.substring(F.array_join(held, ""), a - first * TEXT_BLOCK + 1, b - a)).otherwise(F.lit(""))
 
-    done = F.aggregate(spans, start, step)
-    rest = F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    def step(state, span):
+        fresh = F.array(F.concat(cut(state, state["at"], span["start"]), F.lit(mark)))
+        after = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["blocks"].alias("blocks"))
+        return after, F.when(span["start"] >= state["at"], fresh).otherwise(F.array().cast("array<string>"))
+
+    done = F.array(_scan(spans, start, step, "string"))
+    length = F.length(text)
+    whole = F.transform(
+        done, lambda d: F.concat(F.array_join(F.flatten(d["blocks"]), ""), cut(d["carry"], d["carry"]["at"], length))
+    )
+    return F.when(F.size(spans) > 0, F.element_at(whole, 1)).otherwise(text)
