@@ -64,3 +64,12 @@ def test_documents_match_brute_force(make_docs, odd_rows, clash):
 )
 def test_expressions(expression, labels, value):
     assert licenses.evaluate(expression) == (labels, pytest.approx(value))
+
+
+def test_many_phrases_cost_no_more_than_a_long_text():
+    import time
+
+    text = "mit license, " * 300_000
+    start = time.time()
+    found = licenses.judge_text(text, licenses._automaton(), licenses.word_table())
+    assert found[:4] == (600_000, 300_000, 0, 599_998) and time.time() - start < 20

@@ -146,13 +146,13 @@ def judge_text(text, automaton, table):
     """(n_words, n_base, first word, last word, base labels, labels, score) of one text."""
     words = text.encode("utf-8", "replace").translate(table).split()
     flat = f" {b' '.join(words).decode('utf-8')} "
-    base, labels, places, worth, tagged = set(), set(), [], [], False
+    base, labels, starts, worth, tagged = set(), set(), [], [], False
     for end, phrase in automaton.iter(flat):
         if phrase == TAG:
             tagged = True
         elif phrase in BASE_PHRASES:
             base.add(BASE_PHRASES[phrase])
-            places.append(flat.count(" ", 0, end - len(phrase) - 1))  # spaces before the phrase's own
+            starts.append(end - len(phrase))
         else:
             labels.add(NOTICES[phrase])
     # A more exact label says how free the text is, not the family it belongs to.
@@ -164,8 +164,10 @@ def judge_text(text, automaton, table):
             labels.update(names)
             worth.append(value)
     every = sorted(labels | base)
+    # Words before a place: the spaces before it, less the one at the front.
+    first, last = (flat.count(" ", 0, f(starts)) - 1 if starts else None for f in (min, max))
     return (
-        len(words), len(places), min(places, default=None), max(places, default=None),
+        len(words), len(starts), first, last,
         ",".join(sorted(base)), ",".join(every), min(worth, default=0.0),
     )
 
