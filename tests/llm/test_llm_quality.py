@@ -45,6 +45,25 @@ def test_odd_rows_and_columns(spark, make_docs, odd_rows, clash):
     assert empty[0] == empty[1] and 0 <= empty[0] <= 1
 
 
+def test_excerpts_come_from_the_whole_text():
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(2000)]
+    text = "\n".join(lines)
+    some = quality.excerpt(text, 8192)
+    picked = some.split("\n")
+    assert 7000 < len(some) <= 8192 + 60 and [x for x in lines if x in set(picked)] == picked
+    assert sum(lines.index(x) > 1000 for x in picked) > 50  # also from the end
+    assert quality.excerpt("\n".join(reversed(lines)), 8192).split("\n") == picked[::-1]
+    assert quality.excerpt("short\n\ntext", 8192) == "short\n\ntext"
+    assert 6000 < len(quality.excerpt("y" * 100_000, 8192)) <= 8192 + 60
+    assert len(quality.excerpt("\n" * 100_000, 8192)) <= 8192
+
+
+def test_rows_of_one_id_count_once(spark):
+    rows = labelled(spark)
+    many = rows.unionByName(rows.where("id = 8").crossJoin(spark.range(3000).select()))
+    assert quality.fit(many) == quality.fit(rows)
+
+
 def test_nothing_to_learn_from(spark):
     none = labelled(spark).where("false")
     assert list(quality.fit(none).scorer()(["a", None])) == [0.5, 0.5]

@@ -10,8 +10,9 @@ neither dictionary was trained on (though copies of them may have been).
 A dictionary takes a line from one text, however many of its class have it, and leaves out lines that
 both classes have. What is too little to train on becomes a dictionary as it stands.
 
-Fitting takes a bounded sample (`max_rows` labelled rows a class, the smallest by hash of the id);
-the dictionaries see `row_bytes` of each text, calibration and scoring whole texts. Null text counts
+Fitting takes a bounded sample (`max_rows` labelled rows a class, the smallest by hash of the id; of
+rows that share an id, one); the dictionaries see about `row_bytes` of each text, those lines of the
+whole text that are lowest by hash (see `excerpt`), calibration and scoring whole texts. Null text counts
 as empty. Empty texts get the score that the calibration gives to size zero. There is nothing to
 learn without lines of each class's own, or without three labelled rows of each: then every score is
 the share of good labels (0.5 without any), and `keep_good` keeps all documents.
@@ -116,19 +117,44 @@ def sample_ids(marks: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return F.broadcast(parts[0].unionByName(parts[1]))  # 2 * max_rows short rows at most
 
 
+def excerpt(text: str, row_bytes: int) -> str:
+    """About `row_bytes` characters of a text: its lines lowest by hash, in their order; lines longer than
+    CHUNK are taken piece by piece. Texts that are no longer are taken whole. A line has one hash
+    wherever it stands, so texts that share a line give it alike."""
+    import zlib
+
+    if len(text) <= row_bytes:
+        return text
+    pieces = [line[i : i + CHUNK] for line in text.split("\n") for i in range(0, max(1, len(line)), CHUNK)]
+    order = sorted(range(len(pieces)), key=lambda i: (zlib.crc32(pieces[i].encode("utf-8", "replace")), i))
+    chosen, size = [], 0
+    for i in order:
+        if size + len(pieces[i]) > row_bytes and chosen:
+            break
+        chosen.append(i)
+        size += len(pieces[i]) + 1
+    return "\n".join(pieces[i] for i in sorted(chosen))
+
+
 def fit(sample: DataFrame, row_bytes: int = ROW_BYTES) -> CompressionModel:
     """Model from a bounded sample (id, text, label, h), as joined to `sample_ids`, which is written
-    first. Two thirds of it train the dictionaries, the rest the calibration, measured in tasks. Of a
-    text only the first `row_bytes` characters come to the driver."""
+    first, one row per id and label. Two thirds of it train the dictionaries, the rest the calibration,
+    measured in tasks. Of a text only its `excerpt` comes to the driver."""
     import numpy as np
     import zstandard
 
     bound_batches(sample.sparkSession)
     text = F.coalesce("text", F.lit("")).alias("text")
-    sample = sample.select("id", text, "label", "h").withColumn("row", F.monotonically_increasing_id())
-    sample = materialize(sample, "labelled")
-    start = F.substring("text", 1, row_bytes).alias("text")
-    rows = sample.select("id", start, "label", "h", "row", F.xxhash64("text").alias("whole")).toPandas()
+    # An id that very many rows share gives one of them, chosen before rows meet.
+    least = F.min(F.struct(F.xxhash64(text).alias("whole"), text)).alias("one")
+    sample = sample.groupBy("id", "label", "h").agg(least).select("id", "one.text", "label", "h")
+    sample = materialize(sample.withColumn("row", F.monotonically_increasing_id()), "labelled")
+
+    @F.pandas_udf("string")
+    def shortened(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: excerpt(t, row_bytes))
+
+    rows = sample.select("id", shortened("text").alias("text"), "label", "h", "row", F.xxhash64("text").alias("whole")).toPandas()
     rows = rows.sort_values(["h", "id", "label", "text", "whole"]).reset_index(drop=True)
     share = float(rows["label"].mean()) if len(rows) else 0.5
     calibrate = rows.groupby("label").cumcount() % 3 == 2
