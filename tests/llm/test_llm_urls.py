@@ -55,17 +55,23 @@ def test_cascade_is_exact_for_its_universe(spark, listed, others):
     universe = spark.createDataFrame(rows, "key string, listed boolean")
     cascade = urlfilter.build_cascade(universe)
     assert (len(cascade.levels) == 0) == (listed == 0)
-    marked = urlfilter.with_listed(universe.withColumnRenamed("listed", "is"), "key", cascade, None)
+    marked = urlfilter.with_listed(universe.withColumnRenamed("listed", "is"), "key", cascade)
     assert marked.where("is <> listed").count() == 0
     if listed >= 40 and others > 1000:
         assert len(cascade.levels) > 1
 
 
-def test_beyond_the_size_limit_a_join_takes_over(spark):
-    rows = [(f"k{n}", n % 3 == 0) for n in range(900)]
-    universe = spark.createDataFrame(rows, "key string, listed boolean")
-    cascade = urlfilter.build_cascade(universe, max_filter_bytes=16)
-    assert cascade.levels is None
-    keys = universe.where("listed").select("key")
-    marked = urlfilter.with_listed(universe.withColumnRenamed("listed", "is"), "key", cascade, keys)
-    assert marked.where("is <> listed").count() == 0 and marked.count() == 900
+def test_large_lists_are_dealt_into_parts(spark):
+    """Every part has a cascade of its own; the verdicts are those of one."""
+    rows = [(n, f"http://host{n % 700}.net/{n}") for n in range(1500)] + [(-1, None), (-2, "http://host3.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+
+    def listed(host):
+        return host.rlike("[05]\\.net$")
+
+    whole = sorted(map(tuple, urlfilter.judge(pages, URL_RULES, listed, materialize).collect()), key=repr)
+    universe = pages.selectExpr("url AS key", "true AS listed").where("key IS NOT NULL")
+    assert urlfilter.cascade_parts(universe, 1000) == 4 and urlfilter.cascade_parts(universe) == 1
+    parted = urlfilter.judge(pages, URL_RULES, listed, materialize, max_filter_bytes=100)
+    assert sorted(map(tuple, parted.collect()), key=repr) == whole
+    assert sum(r[4] == "block" for r in whole) > 200

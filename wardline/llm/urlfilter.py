@@ -7,9 +7,10 @@ up walks the levels until one says no (or the levels end): at an even level that
 an odd one listed. So membership is exact for the whole universe, and needs no join.
 
 Each level is built by Spark: keys hash to bit positions, positions fold into 64-bit words with
-`bit_or`, and only the words come to the driver. Their size follows the listed keys, and is checked:
-beyond `max_filter_bytes` no cascade is made and `listed_column` falls back to a join with the
-listed keys. Without listed keys the cascade is empty and lists nothing.
+`bit_or`, and only the words come to the driver. Their size follows the listed keys. Keys are dealt by
+hash into as many parts as keep a part's cascade within `max_filter_bytes`; every part has a cascade
+of its own, one is sent at a time, and pages are judged by that of their host's part. Without listed
+keys the cascade is empty and lists nothing.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def rule_match(host: Column, path: Column, rules) -> tuple[Column, Column]:
 
 
 class Cascade:
-    """Levels of (bits, words as 64-bit integers); None for levels means: too large, use a join."""
+    """Levels of (bits, words as 64-bit integers)."""
 
     def __init__(self, levels):
         self.levels = levels
@@ -115,14 +116,14 @@ def key_hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key), F.xxhash64(key, F.lit("second"))
 
 
-def build_cascade(universe: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, materialize=None):
+def build_cascade(universe: DataFrame, materialize=None) -> Cascade:
     """Cascade over (key, listed boolean), one row per key. `materialize` writes a frame that
     several passes read (a function of frame and name)."""
     a, b = key_hashes(F.col("key"))
     keys = universe.where(F.col("key").isNotNull()).select("listed", a.alias("a"), b.alias("b"))
     if materialize:
         keys = materialize(keys, "cascade-keys")
-    levels, inside, spent = [], None, 0
+    levels, inside = [], None
     while True:
         depth = len(levels)
         wanted = keys if inside is None else keys.where(inside)
@@ -131,9 +132,6 @@ def build_cascade(universe: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES,
         if n == 0:
             return Cascade(levels)
         bits = 64 * max(1, math.ceil(n * BITS_PER_KEY / 64))
-        spent += bits // 8
-        if spent > max_filter_bytes:
-            return Cascade(None)
         levels.append((bits, _words(encoded, depth, bits)))
         passes = _passes(levels[-1], depth)
         inside = passes if inside is None else inside & passes
@@ -171,13 +169,15 @@ def _passes(level, depth: int) -> Column:
     return accepted("a", "b")
 
 
-def with_listed(frame: DataFrame, key: str, cascade: Cascade, listed_keys: DataFrame) -> DataFrame:
-    """The frame with a boolean column `listed`: by the cascade, or beyond its size limit by a join
-    with `listed_keys` (one column, distinct)."""
-    if cascade.levels is None:
-        marks = listed_keys.toDF(key).distinct().withColumn("listed", F.lit(True))
-        return frame.join(marks, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    held = frame.sparkSession.sparkContext.broadcast(cascade)  # size checked while building
+def cascade_parts(universe: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> int:
+    """Parts to deal the keys into: a cascade takes some twice its first level."""
+    listed = universe.where("listed").count()
+    return max(1, -(-2 * listed * BITS_PER_KEY // (8 * max_filter_bytes)))
+
+
+def with_listed(frame: DataFrame, key: str, cascade: Cascade) -> DataFrame:
+    """The frame with a boolean column `listed`, by the cascade."""
+    held = frame.sparkSession.sparkContext.broadcast(cascade)  # bounded by `cascade_parts`
 
     @F.pandas_udf("boolean")
     def member(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -187,7 +187,7 @@ def with_listed(frame: DataFrame, key: str, cascade: Cascade, listed_keys: DataF
     return frame.withColumn("listed", F.coalesce(F.when(F.col(key).isNotNull(), member(a, b)), F.lit(False)))
 
 
-def judge(pages: DataFrame, rules, listed_hosts, materialize) -> DataFrame:
+def judge(pages: DataFrame, rules, listed_hosts, materialize, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for pages (page_id, url).
 
     `listed_hosts` is a function from a DataFrame (host), one row per host of the pages, to a
@@ -199,8 +199,16 @@ def judge(pages: DataFrame, rules, listed_hosts, materialize) -> DataFrame:
     hosts = parsed.select("host").distinct()
     universe = hosts.select(F.col("host").alias("key"), listed_hosts(F.col("host")).alias("listed"))
     universe = materialize(universe, "url-universe")
-    cascade = build_cascade(universe, materialize=materialize)
-    marked = with_listed(parsed, "host", cascade, universe.where("listed").select("key"))
+    parts = cascade_parts(universe, max_filter_bytes)
+    if parts == 1:
+        marked = with_listed(parsed, "host", build_cascade(universe, materialize))
+    else:
+        marked = None
+        for part in range(parts):
+            own = [f.where(F.pmod(F.xxhash64(c, F.lit("part")), F.lit(parts)) == part) for f, c in ((universe, "key"), (parsed, "host"))]
+            # Written at once, so that one cascade is sent at a time.
+            some = materialize(with_listed(own[1], "host", build_cascade(own[0], materialize)), "url-part")
+            marked = some if marked is None else marked.unionByName(some)
     rule, verdict = rule_match(F.col("host"), F.col("path"), rules)
     by_list = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return marked.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict"))
