@@ -156,3 +156,18 @@ def test_weights_do_not_depend_on_the_parts(spark, make_docs):
         found = decontam.find_leaks(make_docs(rows), bench(spark, items), part_bytes).collect()
         got = {(r.doc_id, r.item_id): (r.first_word, round(r.similarity, 9)) for r in found}
         assert len(got) == len(found) and got == want
+
+
+def test_parts_by_items_repeated_rows_and_thinning(spark, make_docs):
+    """Many short items, one row of the benchmark very often: bounded parts, same result; documents that
+    hold no word run of the benchmark are not read again."""
+    rng = random.Random(17)
+    items = [(i, " ".join(words(rng, rng.choice([2, 4, 16])))) for i in range(60)] + [(5, "only these five words here")] * 3000
+    rows = [(n, " ".join(words(rng, 20) + items[n % 61][1].split() + words(rng, 20))) for n in range(90)]
+    rows += [(1000 + n, " ".join(f"clean{rng.random()}" for _ in range(60))) for n in range(200)]
+    whole = sorted(map(tuple, decontam.find_leaks(make_docs(rows), bench(spark, items)).collect()), key=repr)
+    parted = decontam.find_leaks(make_docs(rows), bench(spark, items), part_items=15).collect()
+    assert sorted(map(tuple, parted), key=repr) == whole and len({r[0] for r in whole}) == 90
+    docs = make_docs(rows)
+    kept = {r.doc_id for r in docs.where(decontam._may_hold(bench(spark, items))).collect()}
+    assert set(range(90)) <= kept and len(kept) < 120

@@ -9,7 +9,7 @@ within RADIUS // BLOCKS bits of its own: by the pigeonhole principle any fingerp
 shares a listed value in some block, so none within the radius is missed. What the index finds is
 checked for its Hamming distance and then exactly: the weighted Jaccard similarity of the two
 shingle sets must reach `threshold`. A shingle weighs 1 / (1 + log2(items that hold it)), counted over
-the rows of the whole benchmark, in whole units of 1 / UNIT: sums are exact, in any order.
+the distinct rows of the whole benchmark, in whole units of 1 / UNIT: sums are exact, in any order.
 
 At similarity 0.8 the expected distance is 39 of 256 bits (deviation 5.7); a radius of 60 leaves out
 about one window in ten thousand there, and practically none above.
@@ -18,9 +18,11 @@ Only windows that hold some benchmark shingle are fingerprinted: any other has s
 every item. A document shorter than an item is compared as one window. Items of fewer than SHINGLE
 words are one shingle and match where their words stand; items without words match nothing.
 
-The benchmark is sent to the tasks in parts of `part_bytes` of text at most, one pass over the
-documents for each part, so what is broadcast has a bound whatever the benchmark's size. With several
-parts, shingles are counted over all of them first, and a part gets the counts of its own shingles.
+The benchmark is sent to the tasks in parts of `part_bytes` of text and `part_items` items at most, one
+pass for each part, so what is broadcast, and the index that a task makes of it (some 70 kB an item),
+have a bound whatever the benchmark's size. With several parts the documents are first thinned to those
+that may hold a shingle (or short item) of the benchmark, by one filter of 2**GATE_BITS bits, and the
+passes read these only. Also with several parts, shingles are counted over all of them first, and a part gets the counts of its own shingles.
 A window's other shingles may be held by items of other parts: their weights are joined to the
 windows that could reach the threshold, and the similarity is made from the sums. One row per
 document and item id: the best window (the first among equals). Rows of the benchmark that share an
@@ -30,6 +32,7 @@ any other, together under a null id. Null text has no words.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,8 @@ SHINGLE = 5
 BITS, BLOCKS, RADIUS = 256, 16, 60
 THRESHOLD = 0.8
 PART_BYTES = 4 << 20
+PART_ITEMS = 2000
+GATE_BITS = 24
 SLICE_BYTES = 1 << 20
 STEP = 4096  # windows fingerprinted at once
 UNIT = 1 << 40
@@ -266,16 +271,18 @@ def _counted(items: DataFrame) -> tuple:
     return materialize(held.select("part", "shingle").join(several, "shingle"), "part-shingle-counts"), several
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES, part_items: int = PART_ITEMS
+) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, distance, similarity) for documents (doc_id, text) and a
-    benchmark (item_id, text)."""
+    benchmark (item_id, text). Rows of the benchmark that are equal count once."""
     spark = docs.sparkSession
     bound_batches(spark)
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     items = pick(benchmark, "item_id", "text").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    items = items.where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-2 * total // part_bytes))
+    items = materialize(items.where("text IS NOT NULL").distinct(), "benchmark-items")
+    total, n = items.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    parts = max(1, -(-2 * (total or 0) // part_bytes), -(-2 * n // part_items) if n > part_items else 1)
     items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
     if parts == 1:
         found = plain.mapInArrow(_finder(_send(items), None, 1), CANDIDATE)
@@ -300,6 +307,7 @@ def _by_part(plain: DataFrame, items: DataFrame, parts: int) -> DataFrame:
     the other, so that one broadcast is held at a time."""
     import numpy as np
 
+    plain = materialize(plain.where(_may_hold(items)), "may-hold-items")
     of_part, several = _counted(items)
     most = several.agg(F.max("n")).first()[0] or 1
     found = None
@@ -324,6 +332,63 @@ def _by_part(plain: DataFrame, items: DataFrame, parts: int) -> DataFrame:
     return closed.withColumn("others", F.coalesce("others", F.lit(0)))
 
 
+def _hashes(np, words, first, sizes) -> list:
+    """For each size, hashes of all runs of so many words inside the texts, and the text of each."""
+    out = []
+    for size in sizes:
+        every = windows(np, words, size)
+        of = np.searchsorted(first, np.arange(len(every)), "right") - 1
+        inside = np.arange(len(every)) + size <= first[of + 1]
+        out.append((every[inside], of[inside]))
+    return out
+
+
+def _may_hold(items: DataFrame):
+    """Column: whether a text may hold a shingle of the benchmark, or one of its items of fewer words. The
+    filter has 2**GATE_BITS bits, whatever the benchmark's size: a large one lets more texts pass."""
+    import numpy as np
+
+    def marks(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        hasher, table = Hasher(), word_table()
+        for batch in slices(batches, "text", SLICE_BYTES):
+            words, first, *_ = hasher.words(batch.column("text"), table=table)
+            length = np.diff(first)
+            spots = []
+            for size, (hashes, of) in zip(range(1, SHINGLE + 1), _hashes(np, words, first, range(1, SHINGLE + 1)), strict=True):
+                spots.append(hashes if size == SHINGLE else hashes[length[of] == size])
+            spots = np.unique(np.concatenate(spots) >> np.uint64(64 - GATE_BITS)).astype("i8")
+            yield pa.RecordBatch.from_arrays([pa.array(spots)], ["spot"])
+
+    rows = (
+        items.select("text").mapInArrow(marks, "spot long")
+        .groupBy(F.shiftright("spot", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 AS int))")).alias("value"))
+        .toPandas()
+    )
+    bits = np.zeros(2**GATE_BITS // 64, "<i8")
+    bits[rows["word"].to_numpy("i8")] = rows["value"].to_numpy("i8")
+    gate = items.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool))
+
+    @F.pandas_udf("boolean")
+    def may_hold(texts: pd.Series) -> pd.Series:
+        import numpy as np
+        import pyarrow as pa
+
+        hasher, table, out = Hasher(), word_table(), []
+        for batch in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text", SLICE_BYTES):
+            words, first, *_ = hasher.words(batch.column("text"), table=table)
+            held = np.zeros(batch.num_rows, bool)
+            for hashes, of in _hashes(np, words, first, range(1, SHINGLE + 1)):
+                held[of[gate.value[(hashes >> np.uint64(64 - GATE_BITS)).astype("i8")]]] = True
+            out.append(held)
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool), index=texts.index)
+
+    return may_hold("text")
+
+
 def _finder(held, counts, most: int):
     def find(batches):
         import numpy as np
