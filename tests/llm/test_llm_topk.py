@@ -41,6 +41,24 @@ def test_matches_brute_force(spark, monkeypatch, blocks):
     assert run(spark, rows) == brute(rows, lambda i: i % 50 == 0, 5)
 
 
+def test_pairs_fall_to_their_bounds(monkeypatch):
+    """Most pairs are given up before their last dimensions are added."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    q, c = (np.floor(256 * rng.normal(size=(64, n)) * 0.1) for n in (50, 4000))
+    late = []
+    plain = topk._by_pairs
+    monkeypatch.setattr(topk, "_by_pairs", lambda np, *a: late.append((len(a[4]), a[7])) or plain(np, *a))
+    found = topk._bounded(np, np.arange(50), q, np.arange(1000, 5000), c, 5)
+    want = []
+    for i, row in enumerate((q.T @ c).tolist()):
+        best = sorted((-s, 1000 + j) for j, s in enumerate(row))[:5]
+        want += [(i, j, int(-s)) for s, j in best]
+    assert sorted(found) == sorted(want)
+    assert late and late[0][0] < 0.5 * 50 * 4000 and late[0][1] < 64
+
+
 def test_few_candidates_empty_table_and_large_components(spark):
     rows = [(0, [1.0, -2.0]), (1, [0.5, 0.5])]
     assert run(spark, rows) == brute(rows, lambda i: i % 50 == 0, 5)

@@ -3,10 +3,11 @@
 Vectors become integers, floor(scale * x), and are packed into blocks held dimension by dimension
 (vertical layout). A task takes one block of queries and one block of candidates and adds up scores
 one slice of dimensions at a time. After each slice, Cauchy-Schwarz over the mass that remains,
-|q rest| * |c rest|, bounds what a candidate can still reach; candidates that can no longer reach
-any query's k-th best are compacted away before the next slice. The k-th best starts from the
-candidates with the largest norms, which are scored in full. Each task returns at most k rows per
-query of its block; a window per query takes the best k of those.
+|q rest| * |c rest|, bounds what a candidate can still reach, and pairs of query and candidate that can
+no longer reach the query's k-th best are compacted away before the next slice: first whole candidates
+that no query wants, then, once few pairs are left, the pairs one by one. The k-th best is known early:
+after the first slices the candidates of each query that lead so far are scored in full. Each task
+returns at most k rows per query of its block; a window per query takes the best k of those.
 
 Queries and candidates meet block by block through an equi-join on a block number (every candidate
 block is sent once to each query block), so neither side is collected or broadcast, and no task
@@ -30,6 +31,8 @@ QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 SLICE = 16
 CELLS = 1 << 22  # scores held at once
+LEAD_SLICES = 2  # after so many slices the leading candidates are scored in full
+PAIRS = 1 << 18  # pairs whose components are gathered at once
 
 
 def integer_vectors(vectors: DataFrame, id_column: str, vector_column: str, scale: int = 256) -> DataFrame:
@@ -124,43 +127,70 @@ def _bounded(np, q_ids, q, c_ids, c, k):
     q, c = q[order], c[order]
     q_rest = np.sqrt(np.cumsum(np.square(q[::-1]), axis=0)[::-1])
     c_rest = np.sqrt(np.cumsum(np.square(c[::-1]), axis=0)[::-1])
-    floor = _first_floor(np, q_ids, q, c_ids, c, k)
     alive = np.arange(len(c_ids))
-    scores = np.zeros((len(q_ids), len(c_ids)))
+    own = q_ids[:, None] == c_ids[None, :]
+    scores = np.where(own, -np.inf, 0.0)
+    floor = np.full(len(q_ids), -np.inf)
     for start in range(0, dims, SLICE):
-        scores += q[start : start + SLICE].T @ c[start : start + SLICE][:, alive]
-        end = start + SLICE
+        end = min(start + SLICE, dims)
+        scores += q[start:end].T @ c[start:end][:, alive]
+        if end == dims:
+            break
+        if floor[0] == -np.inf and end >= min(LEAD_SLICES * SLICE, dims - 1):
+            floor = _floor(np, q, c, alive, scores, end, k)
+        keep = _reach(np, scores, q_rest[end][:, None], c_rest[end][alive][None, :]) >= floor[:, None]
+        if 2 * keep.sum() < keep.size:
+            at, column = np.nonzero(keep)
+            return _by_pairs(np, q_ids, q, c_ids, c, at, alive[column], scores[at, column], end, floor, q_rest, c_rest, k)
+        wanted = keep.any(axis=0)
+        if not wanted.all():
+            alive, scores = alive[wanted], scores[:, wanted]
+    at, column = np.nonzero(np.isfinite(scores))
+    return _best(np, q_ids, c_ids, at, alive[column], scores[at, column], k)
+
+
+def _reach(np, scores, q_rest, c_rest):
+    """What a score can still become, rounding allowed for."""
+    return scores + q_rest * c_rest * (1 + 1e-9) + 1e-6
+
+
+def _floor(np, q, c, alive, scores, end, k):
+    """A score that each query's k-th best of this block reaches at least: that of the k-th best among the
+    candidates that lead after the first `end` dimensions (-inf where there are fewer than k)."""
+    n = scores.shape[1]
+    if n < k:
+        return np.full(len(scores), -np.inf)
+    some = min(n, 4 * k)
+    lead = np.argpartition(scores, n - some, axis=1)[:, n - some :]
+    rest = np.einsum("iq,iqj->qj", q[end:], c[end:][:, alive[lead]])
+    whole = np.take_along_axis(scores, lead, axis=1) + rest
+    return np.partition(whole, some - k, axis=1)[:, some - k]
+
+
+def _by_pairs(np, q_ids, q, c_ids, c, at, column, scores, end, floor, q_rest, c_rest, k):
+    """The remaining dimensions for the pairs (query place, candidate place) that are left."""
+    dims = len(c)
+    while end < dims:
+        step = min(end + SLICE, dims)
+        for a in range(0, len(at), PAIRS):
+            some = slice(a, a + PAIRS)
+            scores[some] += np.einsum("ip,ip->p", q[end:step][:, at[some]], c[end:step][:, column[some]])
+        end = step
         if end < dims:
-            reach = scores + np.outer(q_rest[end], c_rest[end][alive]) * (1 + 1e-9) + 1e-6
-            keep = (reach >= floor[:, None]).any(axis=0)
-            if not keep.all():
-                alive, scores = alive[keep], scores[:, keep]
-    ids = c_ids[alive]
-    scores[q_ids[:, None] == ids[None, :]] = -np.inf
-    found = []
-    for i, query in enumerate(q_ids):
-        row = scores[i]
-        if len(row) > k:
-            edge = np.partition(row, len(row) - k)[len(row) - k]
-            near = np.flatnonzero(row >= edge)
-        else:
-            near = np.arange(len(row))
-        near = near[np.isfinite(row[near])]
-        for j in near[np.lexsort((ids[near], -row[near]))][:k]:
-            found.append((int(query), int(ids[j]), int(row[j])))
-    return found
-
-
-def _first_floor(np, q_ids, q, c_ids, c, k):
-    """A score that each query's k-th best of this block reaches at least: the k-th best among the
-    candidates with the largest norms (-inf where there are fewer than k)."""
-    norms = np.square(c).sum(axis=0)
-    some = np.argsort(-norms, kind="stable")[: max(256, 4 * k)]
-    scores = q.T @ c[:, some]
-    scores[q_ids[:, None] == c_ids[some][None, :]] = -np.inf
-    if len(some) < k:
-        return np.full(len(q_ids), -np.inf)
-    return np.partition(scores, len(some) - k, axis=1)[:, len(some) - k]
+            keep = _reach(np, scores, q_rest[end][at], c_rest[end][column]) >= floor[at]
+            at, column, scores = at[keep], column[keep], scores[keep]
+    return _best(np, q_ids, c_ids, at, column, scores, k)
+
+
+def _best(np, q_ids, c_ids, at, column, scores, k):
+    """The best k of each query among scored pairs, ties to the smaller id."""
+    good = np.isfinite(scores)
+    at, column, scores = at[good], column[good], scores[good]
+    order = np.lexsort((c_ids[column], -scores, at))
+    at, column, scores = at[order], column[order], scores[order]
+    first = np.searchsorted(at, at)
+    top = np.arange(len(at)) - first < k
+    return list(zip(q_ids[at[top]].tolist(), c_ids[column[top]].tolist(), scores[top].astype("i8").tolist(), strict=True))
 
 
 def _with_integers(q_ids, q, c_ids, c, k):
