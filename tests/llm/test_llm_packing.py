@@ -79,11 +79,53 @@ def test_very_long_text(make_docs, odd_rows):
     checked(make_docs(rows), rows)
 
 
-def test_many_sources_share_queues(make_docs, monkeypatch):
-    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
-    rows = [(i, f"text {i}", f"src{i}") for i in range(30)]
-    pieces = checked(make_docs(rows), rows)
-    assert len({p.source for p in pieces}) <= 4
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_any_number_of_sources_keeps_names_and_shares(make_docs, monkeypatch, sent):
+    """A tree of several levels, sent whole or by path; each source keeps its share in every window."""
+    monkeypatch.setattr(packing, "FAN", 4)
+    monkeypatch.setattr(packing, "SENT_SOURCES", sent)
+    rows = [(i, "text " * (1 + i % 7), None if i % 50 == 0 else f"src{i % 50}") for i in range(300)]
+    pieces = checked(make_docs(rows).repartition(3), rows)
+    total = defaultdict(int)
+    for p in pieces:
+        total[p.source] += p.length
+    assert len(total) == 50
+    n, given = sum(total.values()), defaultdict(int)
+    for number in range(n // WINDOW):
+        for p in pieces:
+            given[p.source] += p.length if p.sequence_id == number else 0
+        for source, own in total.items():
+            assert abs(given[source] - (number + 1) * WINDOW * own / n) < 4
+    weighted = packing.pack(make_docs(rows), load_tokenizer, END_ID, WINDOW, weights={"src7": 9}, width="<u2").collect()
+    first = [p for p in weighted if p.sequence_id < 2]
+    # 49 others have the weight 1.
+    assert abs(sum(p.length for p in first if p.source == "src7") - min(2 * WINDOW * 9 / 58, total["src7"])) < 4
+
+
+def test_both_ways_of_sending_the_tree_give_the_same_pieces(make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "FAN", 3)
+    rows = [(i, f"text {i} " * (i % 5), f"src{i % 20}") for i in range(100)]
+    found = []
+    for sent in (100_000, 0):
+        monkeypatch.setattr(packing, "SENT_SOURCES", sent)
+        frame = make_docs(rows).repartition(2, "doc_id")
+        found.append(sorted(map(tuple, packing.pack(frame, load_tokenizer, END_ID, WINDOW, width="<u2").collect())))
+    assert found[0] == found[1]
+
+
+def test_a_rare_source_costs_its_own_length():
+    """One document, alone in its source, among a thousand sources and ten million windows."""
+    import time
+
+    totals = [40_000_000] * 1000 + [20_000]
+    tree, sequences = packing.whole_tree(totals, totals), packing.Sequences(sum(totals), 4096)
+    start, seen = time.time(), 0
+    for held in packing._windows_of(np, tree, sequences, 1000, 0, 20_000):
+        taken, _ = tree.taken(1000, sequences.first_token(held))
+        after, _ = tree.taken(1000, sequences.first_token(held + 1))
+        assert (after > taken).all()
+        seen += int((after - taken).sum())
+    assert seen == 20_000 and time.time() - start < 30
 
 
 def test_ids_of_odd_texts():
@@ -105,12 +147,19 @@ def test_schedule_is_the_order_of_due_tokens(seed):
     rng = np.random.default_rng(seed)
     totals = [int(x) for x in rng.integers(1, 300, rng.integers(1, 12))]
     weights = totals if seed % 3 == 0 else rng.uniform(0.1, 5, len(totals)).tolist()
-    schedule = packing.Schedule(totals, weights, WINDOW)
-    order = sorted(((t + 0.5) / weights[q], q) for q in range(len(totals)) for t in range(totals[q]))
-    taken, counts = [np.zeros(len(totals), int)], np.zeros(len(totals), int)
-    for _, q in order:
+    node = packing.Node(totals, weights)
+    order = sorted(((t + 0.5) / weights[q], q, t) for q in range(len(totals)) for t in range(totals[q]))
+    taken, counts, ranks = [np.zeros(len(totals), int)], np.zeros(len(totals), int), {}
+    for rank, (_, q, t) in enumerate(order):
         counts[q] += 1
+        ranks[q, t] = rank
         taken.append(counts.copy())
-    sequences = np.arange(schedule.sequences + 1)
-    for row, token in zip(schedule.taken(sequences), schedule.first_token(sequences)):
-        assert (row == taken[token]).all()
+    wanted = np.arange(0, sum(totals) + 1, 7)
+    assert (node.taken_at(wanted) == np.array(taken)[wanted]).all()
+    for q, n in enumerate(totals):
+        assert node.rank(q, np.arange(n)).tolist() == [ranks[q, t] for t in range(n)]
+    sequences = packing.Sequences(sum(totals), WINDOW)
+    starts = sequences.first_token(np.arange(sequences.count + 1))
+    assert starts[-1] == sum(totals)
+    assert (sequences.sequence_of(starts[:-1]) == np.arange(sequences.count)).all()
+    assert (sequences.sequence_of(starts[1:] - 1) == np.arange(sequences.count)).all()

@@ -10,14 +10,21 @@ the state of the schedule at any window without the windows before it, so defici
 across windows and partitions while every partition is packed on its own. A queue that runs dry
 leaves the others to share by their weights. Within a window the queues stand one after the other.
 
+Any number of sources: they are the leaves of a tree whose nodes have FAN children at most. The schedule
+above is that of the root over its children; a child that is a node itself hands the tokens it gets to
+its own children by the same rule, with the sum of their weights as its own. So the state at a window
+costs FAN steps a level, each source keeps its name and its share, deficits stay below a token a level,
+and what a source that ran dry leaves goes to its node first. Up to FAN sources are one level.
+
 By default the weights are the queues' own token counts, so that all last to the end. All windows
 are full but the last; what remains is cut into sequences of falling powers of two, which need no
-padding.
+padding. A document is cut at the windows that its tokens are in, which are found token by token where
+the document is spread thinly, so its cost follows its own length and not the number of windows.
 
 Steps: tokenise once and write (document, tokens), where each task also counts its queues' tokens;
-sum those counts over tasks to place every document in its queue; cut. Ids never cross a shuffle.
-Null text counts as empty, a null source is a queue of its own. More than MAX_QUEUES sources share
-MAX_QUEUES queues by hash.
+sum those counts over tasks to place every document in its queue; cut. Ids cross a shuffle only where
+the counts of (task, queue), BROADCAST_ROWS, are too many to be sent to all tasks. Null text counts as
+empty, a null source is a queue of its own.
 """
 
 from __future__ import annotations
@@ -29,12 +36,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import row_numbers
 from ..sources.layers import materialize
 from .common import bound_batches, pick
 from .wordhash import Hasher, mix, slices, text_bytes, word_spans
 
 WINDOW = 4096
-MAX_QUEUES = 1024
+FAN = 32
+SENT_SOURCES = 100_000  # so many sources' tree is sent to the tasks, some 3 MB; larger ones travel by path
 MAX_KNOWN_PIECES, MAX_KNOWN_IDS = 700_000, 6_000_000  # some 30 MB
 MAX_NEWEST = 50_000
 ENCODE_WORDS = 5_000
@@ -278,63 +287,34 @@ def tokenise(docs: DataFrame, load: Callable, end_id: int, width: str = "<u4") -
     return docs.select("doc_id", "text", "queue").mapInArrow(run, TOKENS)
 
 
-class Schedule:
-    """How many tokens of each queue lie before each sequence."""
+class Node:
+    """The order in which a node's tokens come from its children. Token t of a child with weight w is due at
+    (t + 1/2) / w; equal ones come by child."""
 
-    def __init__(self, totals: list[int], weights: list[float], window: int):
+    def __init__(self, totals, weights):
         import numpy as np
 
-        self.window = window
         self.totals = np.array(totals, dtype="f8")
         self.weights = np.array(weights, dtype="f8")
-        self.n = int(sum(totals))
-        full, rest = divmod(self.n, window)
-        tail = [1 << b for b in reversed(range(window.bit_length())) if rest >> b & 1]
-        self.full = full
-        self.tail = np.concatenate([[0], np.cumsum(tail)]).astype("i8") + full * window
-        self.sequences = full + len(tail)
         dry = np.sort(self.totals / self.weights)
         self.dry = np.concatenate([[0.0], dry])
         self.spent = np.array([np.minimum(self.totals, self.weights * t).sum() for t in self.dry])
 
-    def first_token(self, sequence):
-        """Tokens before each sequence, in all."""
-        import numpy as np
-
-        late = np.clip(sequence - self.full, 0, len(self.tail) - 1)
-        return np.where(sequence <= self.full, sequence * self.window, self.tail[late])
-
-    def sequence_of(self, token):
-        """Sequence that holds the token of each rank."""
-        import numpy as np
-
-        late = self.full + np.searchsorted(self.tail, token, side="right") - 1
-        return np.clip(np.where(token < self.full * self.window, token // self.window, late), 0, self.sequences - 1)
-
-    def near_rank(self, queue, position):
-        """Rank of a queue's token in the whole order, but for one token of each queue."""
-        import numpy as np
-
-        due = (position + 0.5) / self.weights[queue]
-        taken = np.floor(due[:, None] * self.weights[None, :] + 0.5)
-        return np.minimum(taken, self.totals[None, :]).sum(axis=1).astype("i8")
-
-    def taken(self, sequences):
-        """Matrix: tokens of each queue before each of the sequences, exactly."""
+    def taken_at(self, wanted):
+        """Matrix: tokens of each child among the node's first so many tokens, exactly."""
         import numpy as np
 
-        wanted = self.first_token(sequences)
         due = np.interp(wanted, self.spent, self.dry)
         got = np.minimum(np.floor(due[:, None] * self.weights[None, :] + 0.5), self.totals[None, :])
         open_rows = np.arange(len(wanted))
-        queues = len(self.totals)
+        children = len(self.totals)
         while len(open_rows):
             part = got[open_rows]
             short = wanted[open_rows] - part.sum(axis=1)
             following = np.where(part < self.totals, (part + 0.5) / self.weights, np.inf)
             latest = np.where(part > 0, (part - 0.5) / self.weights, -np.inf)
             put = following.argmin(axis=1)
-            drop = queues - 1 - latest[:, ::-1].argmax(axis=1)
+            drop = children - 1 - latest[:, ::-1].argmax(axis=1)
             rows = np.arange(len(open_rows))
             soon, late = following[rows, put], latest[rows, drop]
             swap = (short == 0) & ((late > soon) | ((late == soon) & (drop > put)))
@@ -344,10 +324,119 @@ class Schedule:
             open_rows = open_rows[more | less]
         return got.astype("i8")
 
+    def rank(self, child: int, positions):
+        """Place in the node's order of a child's tokens, exactly."""
+        import numpy as np
+
+        due = ((positions + 0.5) / self.weights[child])[:, None]
+        earlier = np.arange(len(self.totals)) < child
+        got = np.floor(due * self.weights + 0.5)
+        # A token of another child comes first if it is due before, or at once and that child is earlier.
+        for _ in range(2):
+            last = (got - 0.5) / self.weights
+            got -= (got > 0) & ~((last < due) | ((last == due) & earlier))
+            following = (got + 0.5) / self.weights
+            got += (following < due) | ((following == due) & earlier)
+        got = np.minimum(got, self.totals)
+        got[:, child] = positions
+        return got.sum(axis=1).astype("i8")
+
+
+class Sequences:
+    """Sequences of all the tokens: full windows, then falling powers of two."""
+
+    def __init__(self, n: int, window: int):
+        import numpy as np
+
+        self.window, self.n = window, n
+        full, rest = divmod(n, window)
+        tail = [1 << b for b in reversed(range(window.bit_length())) if rest >> b & 1]
+        self.full = full
+        self.tail = np.concatenate([[0], np.cumsum(tail)]).astype("i8") + full * window
+        self.count = full + len(tail)
+
+    def first_token(self, sequence):
+        """Tokens before each sequence, in all."""
+        import numpy as np
+
+        late = np.clip(sequence - self.full, 0, len(self.tail) - 1)
+        return np.where(sequence <= self.full, sequence * self.window, self.tail[late])
+
+    def sequence_of(self, token):
+        """Sequence that holds the token of each rank."""
+        import numpy as np
+
+        late = self.full + np.searchsorted(self.tail, token, side="right") - 1
+        return np.clip(np.where(token < self.full * self.window, token // self.window, late), 0, self.count - 1)
+
+
+class Tree:
+    """The nodes on the ways from the root to some sources: node (level, i) has the children FAN * i and
+    on, of the level below; level 0 are the sources themselves."""
 
-def cut(tokens: DataFrame, schedule: Schedule, names: list, width: str = "<u4") -> DataFrame:
-    """PIECES of (doc_id, number, position, n, ids): `number` is the queue's place in `names`,
-    `position` the tokens of the queue before the document."""
+    def __init__(self, levels: int):
+        self.levels, self.nodes = levels, {}
+
+    def add(self, level: int, place: int, totals, weights) -> None:
+        if (level, place) not in self.nodes:
+            self.nodes[level, place] = Node(totals, weights)
+
+    def way(self, source: int) -> list:
+        """(node, child) from the root down to the source."""
+        steps = [(level, source // FAN**level, source // FAN ** (level - 1) % FAN) for level in range(self.levels, 0, -1)]
+        return [(self.nodes[level, place], child) for level, place, child in steps]
+
+    def rank(self, source: int, positions):
+        """Place among all tokens of a source's tokens."""
+        for node, child in reversed(self.way(source)):
+            positions = node.rank(child, positions)
+        return positions
+
+    def taken(self, source: int, wanted):
+        """(tokens of the source, tokens of what stands before it) for each number of first tokens."""
+        import numpy as np
+
+        ahead = np.zeros(len(wanted), "i8")
+        for node, child in self.way(source):
+            got = node.taken_at(wanted)
+            ahead = ahead + got[:, :child].sum(axis=1)
+            wanted = got[:, child]
+        return wanted, ahead
+
+
+def whole_tree(totals: list, weights: list) -> Tree:
+    levels = 1
+    while FAN**levels < len(totals):
+        levels += 1
+    tree = Tree(levels)
+    for level in range(1, levels + 1):
+        for place in range(-(-len(totals) // FAN)):
+            some = slice(place * FAN, (place + 1) * FAN)
+            tree.add(level, place, totals[some], weights[some])
+        groups = range(0, len(totals), FAN)
+        totals, weights = ([sum(x[i : i + FAN]) for i in groups] for x in (totals, weights))
+    return tree
+
+
+STRETCH = 1 << 16  # windows that a document is followed through at once
+
+
+def _windows_of(np, tree: Tree, sequences: Sequences, source: int, first: int, count: int):
+    """Sequences that hold tokens first ... first + count - 1 of a source, a stretch at a time."""
+    ends = sequences.sequence_of(tree.rank(source, np.array([first, first + count - 1])))
+    if ends[1] - ends[0] < 2 * count:
+        for a in range(int(ends[0]), int(ends[1]) + 1, STRETCH):
+            yield np.arange(a, min(a + STRETCH, int(ends[1]) + 1))
+    else:
+        for a in range(first, first + count, STRETCH):
+            positions = np.arange(a, min(a + STRETCH, first + count))
+            yield np.unique(sequences.sequence_of(tree.rank(source, positions)))
+
+
+def cut(tokens: DataFrame, sequences: Sequences, tree: Tree, names: list | None, width: str = "<u4") -> DataFrame:
+    """PIECES of (doc_id, queue, number, position, n, ids, path): `number` is the queue's place among the
+    sources, `position` the tokens of the queue before the document. `tree` is whole, or (without `names`)
+    gets its nodes from the rows' `path`: totals and weights of the nodes up to the root."""
 
     def run(batches):
         import zlib
@@ -356,39 +445,54 @@ def cut(tokens: DataFrame, schedule: Schedule, names: list, width: str = "<u4")
         import pyarrow as pa
 
         size = np.dtype(width).itemsize
-        queues = len(names)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                doc = batch.column("doc_id").to_pylist()
-                queue = batch.column("number").to_numpy().astype("i8")
-                first = batch.column("position").to_numpy().astype("i8")
-                count = batch.column("n").to_numpy().astype("i8")
+                doc, queue = batch.column("doc_id").to_pylist(), batch.column("number").to_pylist()
+                first, count = batch.column("position").to_pylist(), batch.column("n").to_pylist()
+                if names is None:
+                    paths = batch.column("path").to_pylist()
+                    own_tree = Tree(tree.levels)
+                    for source, path in zip(queue, paths, strict=True):
+                        for level, node in enumerate(path, 1):
+                            own_tree.add(level, source // FAN**level, node["totals"], node["weights"])
+                    called = dict(zip(queue, batch.column("queue").to_pylist(), strict=True))
+                else:
+                    own_tree, called = tree, names
                 ids = batch.column("ids")
-                low = schedule.sequence_of(np.maximum(schedule.near_rank(queue, first) - queues - 1, 0))
-                high = schedule.sequence_of(
-                    np.minimum(schedule.near_rank(queue, first + count - 1) + queues + 1, schedule.n - 1)
-                )
-                wanted = np.unique(np.concatenate([np.arange(a, b + 2) for a, b in zip(low, high, strict=True)]))
-                edges = schedule.taken(wanted)
                 rows = []
-                for i in range(len(doc)):
-                    own, raw = queue[i], ids[i].as_py()
-                    a, b = first[i], first[i] + count[i]
-                    where = np.searchsorted(wanted, low[i])
-                    column = edges[where : where + high[i] - low[i] + 2, own]
-                    begin, end = np.maximum(column[:-1], a), np.minimum(column[1:], b)
-                    for j in np.flatnonzero(begin < end):
-                        start, length = int(begin[j] - a), int(end[j] - begin[j])
-                        piece = raw[start * size : (start + length) * size]
-                        if size != 4:
-                            piece = np.frombuffer(piece, width).astype("<u4").tobytes()
-                        at_row = where + j
-                        ahead = int((edges[at_row + 1, :own] - edges[at_row, :own]).sum())
-                        rows.append(
-                            (doc[i], start, length, zlib.crc32(piece), int(count[i]), int(low[i] + j),
-                             ahead + int(begin[j] - column[j]), names[own])
-                        )
+                # Documents of one source that follow each other share windows.
+                for source in dict.fromkeys(queue):
+                    docs = [i for i, q in enumerate(queue) if q == source]
+                    ends = np.array([[first[i], first[i] + count[i] - 1] for i in docs], "i8")
+                    found = sequences.sequence_of(own_tree.rank(source, ends.ravel())).reshape(-1, 2)
+                    thin = [i for i, (a, b) in zip(docs, found.tolist(), strict=True) if b - a >= min(2 * count[i], STRETCH)]
+                    near = [(i, a, b) for i, (a, b) in zip(docs, found.tolist(), strict=True) if i not in set(thin)]
+                    work = [(i, w) for i in thin for w in _windows_of(np, own_tree, sequences, source, first[i], count[i])]
+                    if near:
+                        every = np.unique(np.concatenate([np.arange(a, b + 1) for _, a, b in near]))
+                        work.append(([i for i, *_ in near], every))
+                    for which, held in work:
+                        edges = np.unique(np.concatenate([held, held + 1]))
+                        taken, ahead = own_tree.taken(source, sequences.first_token(edges))
+                        left, right = np.searchsorted(edges, held), np.searchsorted(edges, held + 1)
+                        low, high = taken[left], taken[right]
+                        before = ahead[right] - ahead[left]
+                        for i in which if isinstance(which, list) else [which]:
+                            a, b = first[i], first[i] + count[i]
+                            raw = ids[i].as_py()
+                            from_, to = np.searchsorted(high, a, "right"), np.searchsorted(low, b, "left")
+                            for j in range(from_, to):
+                                begin, end = max(int(low[j]), a), min(int(high[j]), b)
+                                if begin >= end:
+                                    continue
+                                piece = raw[(begin - a) * size : (end - a) * size]
+                                if size != 4:
+                                    piece = np.frombuffer(piece, width).astype("<u4").tobytes()
+                                rows.append(
+                                    (doc[i], begin - a, end - begin, zlib.crc32(piece), count[i], int(held[j]),
+                                     int(before[j]) + begin - int(low[j]), called[source])
+                                )
                 columns = list(zip(*rows, strict=True)) or [[]] * 8
                 kinds = [pa.int64()] * 7 + [pa.string()]
                 yield pa.RecordBatch.from_arrays(
@@ -396,7 +500,35 @@ def cut(tokens: DataFrame, schedule: Schedule, names: list, width: str = "<u4")
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"],
                 )
 
-    return tokens.select("doc_id", "number", "position", "n", "ids").mapInArrow(run, PIECES)
+    columns = ["doc_id", "number", "position", "n", "ids"] + (["queue", "path"] if names is None else [])
+    return tokens.select(*columns).mapInArrow(run, PIECES)
+
+
+def _paths(sources: DataFrame, levels: int) -> DataFrame:
+    """(queue, number, path) of sources (queue, number, n, w): the nodes from the source's own up to the
+    root, each with its children's totals and weights."""
+    out = sources.select("queue", "number", F.array().cast(f"array<{PATH}>").alias("path"))
+    below = sources.select(F.col("number").alias("place"), "n", "w")
+    for level in range(1, levels + 1):
+        children = F.array_sort(F.collect_list(F.struct("place", "n", "w")))
+        nodes = below.groupBy(F.floor(F.col("place") / FAN).alias("above")).agg(
+            children.alias("c"), F.sum("n").alias("n"), F.sum("w").alias("w")
+        )
+        nodes = materialize(nodes, "queue-nodes")
+        node = F.struct(
+            F.transform("c", lambda x: x["n"]).alias("totals"), F.transform("c", lambda x: x["w"]).alias("weights")
+        )
+        step = nodes.select("above", node.cast(PATH).alias("node"))
+        out = (
+            out.withColumn("above", F.floor(F.col("number") / FAN**level))
+            .join(step, "above")
+            .select("queue", "number", F.concat("path", F.array("node")).alias("path"))
+        )
+        below = nodes.select(F.col("above").alias("place"), "n", "w")
+    return out
+
+
+PATH = "struct<totals:array<bigint>,weights:array<double>>"
 
 
 def pack(
@@ -413,30 +545,44 @@ def pack(
     plain = pick(docs, "doc_id", "text", "source")
     spark = docs.sparkSession
     bound_batches(spark)
-    few = plain.select("source").distinct().limit(MAX_QUEUES + 1).count() <= MAX_QUEUES
-    queue = F.col("source") if few else F.concat(F.lit("group "), F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string"))
     named = plain.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
-        queue.alias("queue"),
+        F.col("source").alias("queue"),
     )
     tokens = materialize(tokenise(named, load, end_id, width), "tokens")
     counts = materialize(tokens.groupBy("block", "queue").agg(F.sum("n").alias("n")), "token-counts")
-    totals = counts.groupBy("queue").agg(F.sum("n").alias("n")).collect()  # at most MAX_QUEUES rows
-    totals.sort(key=lambda r: (r["queue"] is not None, r["queue"]))
-    names = [r["queue"] for r in totals]
-    if not names:
+    totals = materialize(counts.groupBy("queue").agg(F.sum("n").alias("n")), "source-counts")
+    n_sources, n = totals.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not n_sources:
         return spark.createDataFrame([], PIECES)
-    share = [r["n"] for r in totals] if weights is None else [max(weights.get(q, 1), 1e-9) for q in names]
-    schedule = Schedule([r["n"] for r in totals], share, window)
-    numbers = spark.createDataFrame([(q, i) for i, q in enumerate(names)], "q string, number int")
+    sequences = Sequences(n, window)
+    if n_sources <= SENT_SOURCES:
+        rows = sorted(totals.collect(), key=lambda r: (r["queue"] is not None, r["queue"]))
+        names = [r["queue"] for r in rows]
+        own = [r["n"] for r in rows]
+        tree = whole_tree(own, own if weights is None else [max(weights.get(q, 1), 1e-9) for q in names])
+        numbers = spark.createDataFrame([(q, i) for i, q in enumerate(names)], "q string, number long")
+    else:
+        names, levels = None, 1
+        while FAN**levels < n_sources:
+            levels += 1
+        tree = Tree(levels)
+        weight = F.col("n").cast("double")
+        if weights is not None:
+            given = spark.createDataFrame([(q, float(max(w, 1e-9))) for q, w in weights.items()], "q string, given double")
+            totals = totals.join(given, F.col("queue").eqNullSafe(F.col("q")), "left")
+            weight = F.coalesce("given", F.lit(1.0))
+        placed = row_numbers(totals.select("queue", "n", weight.alias("w"), F.lit(0).alias("one")), "one", "number", F.col("queue").asc_nulls_first())
+        placed = materialize(placed.select("queue", (F.col("number") - 1).alias("number"), "n", "w"), "sources")
+        numbers = materialize(_paths(placed, levels).withColumnRenamed("queue", "q"), "source-paths")
     earlier = Window.partitionBy("queue").orderBy("block")
     offsets = (
         counts.withColumn("base", F.sum("n").over(earlier) - F.col("n"))
-        .join(F.broadcast(numbers), F.col("queue").eqNullSafe(F.col("q")))
-        .select(F.col("block").alias("b"), "q", "base", "number")
+        .join(F.broadcast(numbers) if names else numbers, F.col("queue").eqNullSafe(F.col("q")))
+        .select(F.col("block").alias("b"), "q", "base", *numbers.columns[1:])
     )
-    if counts.count() <= BROADCAST_ROWS:
+    if names and counts.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     placed = tokens.join(offsets, (F.col("block") == F.col("b")) & F.col("queue").eqNullSafe(F.col("q")))
-    return cut(placed.withColumn("position", F.col("base") + F.col("before")), schedule, names, width)
+    return cut(placed.withColumn("position", F.col("base") + F.col("before")), sequences, tree, names, width)
