@@ -13,10 +13,13 @@ without words is linked with nothing.
    stay linear in bucket entries. Candidates are confirmed on full sets, links contracted to
    components.
 4. The rest, exactly: members of one bucket that are still in different components may be linked
-   without either being the star's centre. How many of a set's shingles any other such document
-   holds is counted exactly (see `packed`) and bounds every overlap, so a pair is compared only if
-   100 * m >= percent * (n1 + n2 - m) for the smaller m of the two counts. A copy with many edits of
-   its own falls out here without being compared with its family.
+   without either being the star's centre. Such documents are matched by prefixes: in how many of them
+   a shingle stands is counted exactly (see `packed`), and of the n shingles of a set the
+   n - ceil(percent * n / 100) + 1 rarest are its prefix. Linked sets share a shingle of both prefixes,
+   so only documents that share one meet there, those of different components alone; and a pair is
+   compared only if 100 * m >= percent * (n1 + n2 - m) for the smaller m of the two numbers of shingles
+   that any other of these documents holds. Text that many documents share (a template) is frequent and
+   in no prefix, and a copy with many edits of its own falls out without being compared with its family.
 
 No pair that shares a bucket is lost and none is capped; that two documents at the threshold share
 no bucket has a chance of about 4e-5 with 256 bins in bands of 8 (0.85), about 3e-6 in
@@ -45,7 +48,8 @@ BUCKET_HASHES = 1 << 20
 BROADCAST_ROWS = 2_000_000  # of single ids: some 32 MB
 
 SIGNED = "doc_id long, n long, digest binary, bands array<long>"
-REPLY = "bucket long, block int, bits binary"
+REPLY = "bucket long, block int, counts binary"
+MOST = 255  # counts are kept up to this
 
 
 def densified(np, sets: list):
@@ -167,8 +171,9 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
             return labels
 
 
-def shared_counts(texts: DataFrame) -> DataFrame:
-    """(rep, shared): how many shingles of each text (rep, text) any other of these texts holds."""
+def prefixes(texts: DataFrame, percent: int) -> DataFrame:
+    """(rep, shared, prefix): how many shingles of each text (rep, text) any other of these texts holds,
+    and those of its rarest ones, its prefix, that do."""
     n_blocks, total = blocks_for(texts, "text", BLOCK_BYTES)
     n_buckets = max(1, total // 6 // BUCKET_HASHES)
     dealt = texts.select(F.pmod(F.xxhash64("rep"), F.lit(n_blocks)).cast("int").alias("block"), "rep", "text")
@@ -182,7 +187,7 @@ def shared_counts(texts: DataFrame) -> DataFrame:
 
         sets = sets_of(np, table)
         unique, count = np.unique(np.concatenate(sets), return_counts=True)
-        return sent_table(sent(np, key[0].as_py(), unique, n_buckets, (count > 1).astype(np.uint8)))
+        return sent_table(sent(np, key[0].as_py(), unique, n_buckets, np.minimum(count, MOST).astype(np.uint8)))
 
     def find(key, table):
         import numpy as np
@@ -190,30 +195,34 @@ def shared_counts(texts: DataFrame) -> DataFrame:
 
         hashes, lengths = joined(np, table.column("hashes").to_pylist(), "<u8")
         inside, _ = joined(np, table.column("more").to_pylist(), np.uint8)
-        _, where, count = np.unique(hashes, return_inverse=True, return_counts=True)
-        seen = count > 1
-        seen[where[inside > 0]] = True
+        _, where = np.unique(hashes, return_inverse=True)
+        seen = np.minimum(np.bincount(where, weights=inside), MOST).astype(np.uint8)[where]
         ends = np.cumsum(lengths)
-        bits = [np.packbits(seen[where[a:b]]).tobytes() for a, b in zip(ends - lengths, ends, strict=True)]
-        rows = list(zip(table.column("bucket").to_pylist(), table.column("block").to_pylist(), bits, strict=True))
-        return to_table(rows, ["bucket", "block", "bits"], [pa.int64(), pa.int32(), pa.binary()])
+        parts = [seen[a:b].tobytes() for a, b in zip(ends - lengths, ends, strict=True)]
+        rows = list(zip(table.column("bucket").to_pylist(), table.column("block").to_pylist(), parts, strict=True))
+        return to_table(rows, ["bucket", "block", "counts"], [pa.int64(), pa.int32(), pa.binary()])
 
-    def count(key, table, replies):
+    def choose(key, table, replies):
         import numpy as np
         import pyarrow as pa
 
         sets = sets_of(np, table)
         unique = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
         at = edges(np, unique, n_buckets)
-        hit = np.zeros(len(unique), bool)
-        for bucket, raw in zip(replies.column("bucket").to_pylist(), replies.column("bits").to_pylist(), strict=True):
-            a, b = at[bucket], at[bucket + 1]
-            hit[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a).astype(bool)
-        shared = [int(hit[np.searchsorted(unique, s)].sum()) for s in sets]
-        return pa.table({"rep": table.column("rep"), "shared": pa.array(shared, pa.int64())})
+        count = np.zeros(len(unique), np.uint8)
+        for bucket, raw in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist(), strict=True):
+            count[at[bucket] : at[bucket + 1]] = np.frombuffer(raw, np.uint8)
+        shared, rare = [], []
+        for own in sets:
+            held = count[np.searchsorted(unique, own)]
+            first = np.lexsort((own, held))[: len(own) - -(-percent * len(own) // 100) + 1]
+            shared.append(int((held > 1).sum()))
+            rare.append(own[first][held[first] > 1].view(np.int64))
+        return pa.table({"rep": table.column("rep"), "shared": pa.array(shared, pa.int64()), "prefix": pa.array(rare, pa.list_(pa.int64()))})
 
     answers = dealt.groupBy("block").applyInArrow(send, SENT).groupBy("bucket").applyInArrow(find, REPLY)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(count, "rep long, shared long")
+    chosen = dealt.groupBy("block").cogroup(answers.groupBy("block"))
+    return chosen.applyInArrow(choose, "rep long, shared long, prefix array<long>")
 
 
 def _can_link(m: Column, n1: Column, n2: Column, percent: int) -> Column:
@@ -222,32 +231,31 @@ def _can_link(m: Column, n1: Column, n2: Column, percent: int) -> Column:
 
 
 def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket, are in different components, and may still be linked."""
+    """Pairs of documents from buckets that hold several components, which are in different components,
+    share a shingle of both prefixes, and may still be linked."""
     named = entries.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "comp", F.coalesce("comp", "rep")
     )
     mixed = named.groupBy("key").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).where("main < other")
-    open_entries = materialize(named.join(mixed.select("key", "main"), "key"), "open-entries")
-    reps = open_entries.select("rep").distinct()
-    counts = materialize(shared_counts(texts.join(reps, "rep", "left_semi")), "shared-counts")
-    counted = open_entries.join(counts, "rep")
-    # The smallest set a bucket holds bounds what any member's overlap can be worth.
-    least = counted.groupBy("key").agg(F.min("n").alias("n_min"))
-    alive = counted.join(least, "key").where(
-        _can_link(F.col("shared"), F.col("n"), F.greatest("n_min", F.ceil(F.col("n") * percent / 100)), percent)
-    )
-    alive = materialize(alive.select("key", "rep", "n", "shared", "comp", "main"), "alive-entries")
-    # A pair meets in every bucket it shares; only the one with the smallest key makes a row. What
-    # bounds a pair leaves both alive in all of their buckets. A document has one key a band.
-    own = alive.groupBy("rep").agg(F.collect_set("key").alias("keys"))
-    alive = alive.join(own, "rep")
-    columns = ("rep", "n", "shared", "comp", "keys")
-    x = alive.where("comp <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in columns])
-    y = alive.select("key", "main", *[F.col(c).alias(f"{c}_y") for c in columns])
+    reps = materialize(named.join(mixed.select("key"), "key").select("rep", "n", "comp").distinct(), "open-documents")
+    counts = materialize(prefixes(texts.join(reps.select("rep"), "rep", "left_semi"), percent), "prefixes")
+    # A partner holds at least percent / 100 of the shingles.
+    alive = reps.join(counts, "rep").where(F.col("shared") * 100 >= F.col("n") * percent)
+    met = alive.select("rep", "n", "comp", "shared", F.explode("prefix").alias("shingle"))
+    met = materialize(met, "prefix-entries")
+    # Of a shingle's documents those of its commonest component do not meet each other.
+    commonest = (
+        met.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("shingle").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"), F.count(F.lit(1)).alias("comps"))
+        .where("comps > 1")
+    )
+    met = materialize(met.join(commonest.select("shingle", "main"), "shingle"), "mixed-prefixes")
+    columns = ("rep", "n", "comp", "shared")
+    x = met.where("comp <> main").select("shingle", *[F.col(c).alias(f"{c}_x") for c in columns])
+    y = met.select("shingle", "main", *[F.col(c).alias(f"{c}_y") for c in columns])
     bound = _can_link(F.least("shared_x", "shared_y"), F.col("n_x"), F.col("n_y"), percent)
-    first = F.expr("key = array_min(array_intersect(keys_x, keys_y))")
-    met = x.join(y, "key").where(F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)") & bound & first)
-    pairs = met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
+    pairs = x.join(y, "shingle").where(F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)") & bound)
+    pairs = pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
