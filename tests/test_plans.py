@@ -106,6 +106,7 @@ def test_no_cross_joins_and_no_row_at_a_time_python(spark, name):
 
 
 @pytest.mark.parametrize("module, name", [("sources.files", "_hash_batches"),
+                                          ("sources.csv_ranges", "_profile"),
                                           ("functions.text", "_one_decimal_text"),
                                           ("functions.text", "_one_decimal")])
 def test_python_functions_need_no_package_on_executors(tmp_path, module, name):

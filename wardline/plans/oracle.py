@@ -889,6 +889,10 @@ def oracle_sql() -> dict[str, str]:
     sql["raw_inventory"] = " UNION ALL ".join(inventory)
     ruled = _rule_ctes(MANY_CODES_STUDY)
     sql["index_cohort_codes"] = on_cohort("SELECT * FROM cohort", MANY_CODES_STUDY)
+    sql["written_records"] = on_cohort(
+        """SELECT 'index_cohort' AS output, count(*) AS row_count, CAST(0 AS BIGINT) AS wrong FROM cohort
+           UNION ALL SELECT 'attrition manifest', 7, 0"""
+    )
     sql["live_cohort"] = on_cohort("SELECT * FROM cohort")
     sql["rule_flags"] = on_cohort("SELECT * FROM flags", MANY_CODES_STUDY, **ruled)
     sql["ruled_cohort"] = on_cohort(_ruled_cohort(MANY_CODES_STUDY), MANY_CODES_STUDY, **ruled)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clean_level, completed_years, days_between, lenient_double
@@ -484,6 +484,43 @@ def attrition(spark, sf_dir):
     )
 
 
+def written_records(spark, sf_dir):
+    """What readers of written outputs rely on: the index cohort's rows stand in report order within and
+    across its files, and every line of a manifest carries kind, run and a UTC time."""
+    root = layers.scratch_dir(spark, "written")
+    cohort = layers.materialize(index_cohort(spark, sf_dir), "index_cohort")
+    layers.write_table(cohorts.report_order(cohort), root, "cohort")
+    steps = funnel.attrition(bindings.silver(spark, sf_dir, "patients"), cohort, BOUND_STUDY)
+    layers.write_manifest(steps, f"{root}/attrition", "attrition", {"scenario_id": "bound"})
+
+    file, place = F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place")
+    # Null dates and patients come first, as the order has them.
+    key = F.struct(
+        F.col("index_date").isNotNull(), "index_date", F.col("patient_id").isNotNull(), "patient_id"
+    ).alias("key")
+    rows = layers.read_table(spark, root, "cohort").select(file, place, key)
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+    per_file = rows.withColumn("wrong", F.coalesce(before > F.col("key"), F.lit(False))).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("wrong").alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # A row per file: the files follow each other by name.
+    last = F.lag("high").over(Window.orderBy("file"))
+    order = per_file.withColumn("wrong", F.col("wrong") + F.coalesce(last > F.col("low"), F.lit(False)).cast("int")).agg(
+        F.lit("index_cohort").alias("output"), F.sum("n").alias("row_count"), F.sum("wrong").alias("wrong")
+    )
+    line = F.from_json("value", "manifest_type string, generated_at_utc string, provenance struct<scenario_id:string>")
+    told = spark.read.text(f"{root}/attrition").select(line.alias("x"))
+    good = (
+        (F.col("x.manifest_type") == "attrition")
+        & (F.col("x.provenance.scenario_id") == "bound")
+        & F.col("x.generated_at_utc").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$")
+    )
+    lines = told.agg(
+        F.lit("attrition manifest").alias("output"), F.count(F.lit(1)).alias("row_count"), F.count_if(~F.coalesce(good, F.lit(False))).alias("wrong")
+    )
+    return order.unionByName(lines)
+
+
 def final_age_stats(spark, sf_dir):
     return funnel.final_summary(index_cohort(spark, sf_dir))
 
@@ -917,6 +954,7 @@ def queries() -> dict[str, Query]:
             "index_summary": index_summary,
             "attrition": attrition,
             "final_cohort": _final,
+            "written_records": written_records,
             "final_age_stats": final_age_stats,
             "numeric_summary": numeric_summary,
             "categorical_summary": categorical_summary,
