@@ -7,7 +7,7 @@ more than one stage, and no plan grows across stages.
 from __future__ import annotations
 
 from dataclasses import asdict
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,16 +54,16 @@ def bronze_to_silver(
     """Normalise the given tables (default: all seven). One row per table: normalized, missing,
     or failed; a failure does not stop the others. `measures` are what the checks count in a table,
     taken while it was written."""
-    rows = []
-    for table in tables or CORE_TABLES:
+    def one(table):
         source = layers.table_path(bronze_dir, table)
         if not layers.table_exists(bronze_dir, table):
-            rows.append((table, source, None, None, None, None, None, None, "missing", None, None))
-            continue
+            return (table, source, None, None, None, None, None, None, "missing", None, None)
         try:
-            rows.append(_normalize_table(spark, bronze_dir, silver_dir, table))
+            return _normalize_table(spark, bronze_dir, silver_dir, table)
         except Exception as error:  # isolated on purpose: reported as this table's status
-            rows.append((table, source, None, None, None, None, None, None, "failed", str(error), None))
+            return (table, source, None, None, None, None, None, None, "failed", str(error), None)
+
+    rows = layers.side_by_side([partial(one, table) for table in tables or CORE_TABLES])
     return spark.createDataFrame(rows, NORMALIZATION_SCHEMA)
 
 
@@ -494,20 +494,25 @@ def convert_changed(spark, scenario, inventory, ledger) -> DataFrame:
 
 def normalize_changed(spark, scenario, ledger) -> DataFrame:
     """The normalisation's records, like those of the conversion."""
-    records = []
+    kept, changed = {}, []
     for table in CORE_TABLES:
         stage, path = f"silver_{table}", layers.table_path(scenario.silver_dir, table)
         if f"bronze_{table}" not in ledger.prints:
-            records += bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir, [table]).collect()
+            changed.append(table)
             continue
         ledger.describe(stage, [f"bronze_{table}"], None)
         reused = ledger.stands(stage, [path])
         ledger.note(stage, reused)
         if reused:
-            records += ledger.frames(stage)["record"].collect()
-            continue
-        found = bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir, [table])
-        records += found.collect()
-        if records[-1].status == "normalized":
-            ledger.keep(stage, {"record": found}, [path])
+            kept[table] = ledger.frames(stage)["record"].first()
+        else:
+            changed.append(table)
+    if changed:
+        found = bronze_to_silver(spark, scenario.bronze_dir, scenario.silver_dir, changed)
+        for row in found.collect():
+            kept[row.table_name] = row
+            if row.status == "normalized" and f"bronze_{row.table_name}" in ledger.prints:
+                record = spark.createDataFrame([row], found.schema)
+                ledger.keep(f"silver_{row.table_name}", {"record": record}, [row.silver_path])
+    records = [kept[table] for table in CORE_TABLES]
     return spark.createDataFrame(records, NORMALIZATION_SCHEMA)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +179,18 @@ def scratch(spark: SparkSession):
             delete_folder(path)
 
 
+SIDE_BY_SIDE = 4
+
+
+def side_by_side(work: list[Callable]) -> list:
+    """Results of independent jobs, in order, a few at a time: a small table's job does not keep the
+    cluster waiting for its last task."""
+    if len(work) < 2:
+        return [job() for job in work]
+    with ThreadPoolExecutor(min(SIDE_BY_SIDE, len(work))) as pool:
+        return list(pool.map(lambda pair: pair[0].run(pair[1]), [(copy_context(), job) for job in work]))
+
+
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame that several passes will read, and read it back: cuts the lineage, and the
     copy outlives any executor."""

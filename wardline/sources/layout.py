@@ -29,7 +29,8 @@ COVER = "_cover"  # what each file covers, where Spark's readers do not look
 
 
 def write_clustered(frame: DataFrame, layer_dir: str, table: str, columns, n_files: int) -> str:
-    """Write a layer table clustered by `columns` into about `n_files` files, and what they cover."""
+    """Write a layer table clustered by `columns` into about `n_files` files, and what they cover. Reads its
+    input three times (count, sample, rows), so hand it a written table."""
     columns = list(columns)
     place = _curve(columns, _cuts(frame, columns))
     # The row's number breaks ties, so rows equal in all columns need not share a file.
