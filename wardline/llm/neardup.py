@@ -16,8 +16,8 @@ without words is linked with nothing.
    without either being the star's centre. Such documents are matched by prefixes: in how many of them
    a shingle stands is counted exactly (see `packed`), and of the n shingles of a set the
    n - ceil(percent * n / 100) + 1 rarest are its prefix. Linked sets share a shingle of both prefixes,
-   so only documents that share one meet there, those of different components alone; and a pair is
-   compared only if 100 * m >= percent * (n1 + n2 - m) for the smaller m of the two numbers of shingles
+   so only documents that share one (and a bucket) meet there, those of different components alone; and
+   a pair is compared only if 100 * m >= percent * (n1 + n2 - m) for the smaller m of the two numbers of shingles
    that any other of these documents holds. Text that many documents share (a template) is frequent and
    in no prefix, and a copy with many edits of its own falls out without being compared with its family.
 
@@ -237,12 +237,14 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
         "comp", F.coalesce("comp", "rep")
     )
     mixed = named.groupBy("key").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).where("main < other")
-    reps = materialize(named.join(mixed.select("key"), "key").select("rep", "n", "comp").distinct(), "open-documents")
+    own = named.join(mixed.select("key"), "key").groupBy("rep").agg(
+        F.first("n").alias("n"), F.first("comp").alias("comp"), F.collect_set("key").alias("keys")
+    )
+    reps = materialize(own, "open-documents")
     counts = materialize(prefixes(texts.join(reps.select("rep"), "rep", "left_semi"), percent), "prefixes")
     # A partner holds at least percent / 100 of the shingles.
     alive = reps.join(counts, "rep").where(F.col("shared") * 100 >= F.col("n") * percent)
-    met = alive.select("rep", "n", "comp", "shared", F.explode("prefix").alias("shingle"))
-    met = materialize(met, "prefix-entries")
+    met = materialize(alive.select("*", F.explode("prefix").alias("shingle")), "prefix-entries")
     # Of a shingle's documents those of its commonest component do not meet each other.
     commonest = (
         met.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -250,11 +252,14 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
         .where("comps > 1")
     )
     met = materialize(met.join(commonest.select("shingle", "main"), "shingle"), "mixed-prefixes")
-    columns = ("rep", "n", "comp", "shared")
+    columns = ("rep", "n", "comp", "shared", "keys", "prefix")
     x = met.where("comp <> main").select("shingle", *[F.col(c).alias(f"{c}_x") for c in columns])
     y = met.select("shingle", "main", *[F.col(c).alias(f"{c}_y") for c in columns])
     bound = _can_link(F.least("shared_x", "shared_y"), F.col("n_x"), F.col("n_y"), percent)
-    pairs = x.join(y, "shingle").where(F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)") & bound)
+    # A pair meets at every shingle that both prefixes have; only the smallest one makes a row.
+    apart = F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)")
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & apart & bound & F.expr("arrays_overlap(keys_x, keys_y)")
+                   & (x["shingle"] == F.expr("array_min(array_intersect(prefix_x, prefix_y))")))
     pairs = pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
 
