@@ -17,9 +17,11 @@ without words is linked with nothing.
    a shingle stands is counted exactly (see `packed`), and of the n shingles of a set the
    n - ceil(percent * n / 100) + 1 rarest are its prefix. Linked sets share a shingle of both prefixes,
    so only documents that share one (and a bucket) meet there, those of different components alone; and
-   a pair is compared only if 100 * m >= percent * (n1 + n2 - m) for the smaller m of the two numbers of shingles
-   that any other of these documents holds. Text that many documents share (a template) is frequent and
-   in no prefix, and a copy with many edits of its own falls out without being compared with its family.
+   a pair is compared only if 100 * m >= percent * (n1 + n2 - m) for the least m of what bounds the
+   overlap: the shingles of either that any other of these documents holds, and those of either less the
+   bits of its sketch (2**SKETCH_BITS bits, set by hash) that the other's sketch lacks. Text that many
+   documents share (a template) is frequent and in no prefix, and a copy with many edits of its own falls
+   out without being compared with its family.
 
 No pair that shares a bucket is lost and none is capped; that two documents at the threshold share
 no bucket has a chance of about 4e-5 with 256 bins in bands of 8 (0.85), about 3e-6 in
@@ -50,6 +52,7 @@ BROADCAST_ROWS = 2_000_000  # of single ids: some 32 MB
 SIGNED = "doc_id long, n long, digest binary, bands array<long>"
 REPLY = "bucket long, block int, counts binary"
 MOST = 255  # counts are kept up to this
+SKETCH_BITS = 12  # a set's sketch has a bit for each value of so many bits of a shingle's hash
 
 
 def densified(np, sets: list):
@@ -172,8 +175,8 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
 
 
 def prefixes(texts: DataFrame, percent: int) -> DataFrame:
-    """(rep, shared, prefix): how many shingles of each text (rep, text) any other of these texts holds,
-    and those of its rarest ones, its prefix, that do."""
+    """(rep, shared, prefix, sketch): how many shingles of each text (rep, text) any other of these texts
+    holds, those of its rarest ones, its prefix, that do, and the sketch of its set."""
     n_blocks, total = blocks_for(texts, "text", BLOCK_BYTES)
     n_buckets = max(1, total // 6 // BUCKET_HASHES)
     dealt = texts.select(F.pmod(F.xxhash64("rep"), F.lit(n_blocks)).cast("int").alias("block"), "rep", "text")
@@ -212,17 +215,21 @@ def prefixes(texts: DataFrame, percent: int) -> DataFrame:
         count = np.zeros(len(unique), np.uint8)
         for bucket, raw in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist(), strict=True):
             count[at[bucket] : at[bucket + 1]] = np.frombuffer(raw, np.uint8)
-        shared, rare = [], []
+        shared, rare, sketches = [], [], []
         for own in sets:
+            spots = np.zeros(1 << SKETCH_BITS, np.uint8)
+            spots[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] = 1
+            sketches.append(np.packbits(spots, bitorder="little").view("<i8"))
             held = count[np.searchsorted(unique, own)]
             first = np.lexsort((own, held))[: len(own) - -(-percent * len(own) // 100) + 1]
             shared.append(int((held > 1).sum()))
             rare.append(own[first][held[first] > 1].view(np.int64))
-        return pa.table({"rep": table.column("rep"), "shared": pa.array(shared, pa.int64()), "prefix": pa.array(rare, pa.list_(pa.int64()))})
+        return pa.table({"rep": table.column("rep"), "shared": pa.array(shared, pa.int64()), "prefix": pa.array(rare, pa.list_(pa.int64())),
+                         "sketch": pa.array(sketches, pa.list_(pa.int64()))})
 
     answers = dealt.groupBy("block").applyInArrow(send, SENT).groupBy("bucket").applyInArrow(find, REPLY)
     chosen = dealt.groupBy("block").cogroup(answers.groupBy("block"))
-    return chosen.applyInArrow(choose, "rep long, shared long, prefix array<long>")
+    return chosen.applyInArrow(choose, "rep long, shared long, prefix array<long>, sketch array<long>")
 
 
 def _can_link(m: Column, n1: Column, n2: Column, percent: int) -> Column:
@@ -252,14 +259,18 @@ def _residual_pairs(entries: DataFrame, labels: DataFrame, texts: DataFrame, don
         .where("comps > 1")
     )
     met = materialize(met.join(commonest.select("shingle", "main"), "shingle"), "mixed-prefixes")
-    columns = ("rep", "n", "comp", "shared", "keys", "prefix")
+    columns = ("rep", "n", "comp", "shared", "keys", "prefix", "sketch")
     x = met.where("comp <> main").select("shingle", *[F.col(c).alias(f"{c}_x") for c in columns])
     y = met.select("shingle", "main", *[F.col(c).alias(f"{c}_y") for c in columns])
     bound = _can_link(F.least("shared_x", "shared_y"), F.col("n_x"), F.col("n_y"), percent)
+    # Each bit of a sketch that the other's lacks stands for a shingle that the other does not hold.
+    lacks = "aggregate(zip_with(sketch_{0}, sketch_{1}, (a, b) -> bit_count(a & ~b)), 0, (s, c) -> s + c)"
+    most = F.least(*[F.col(f"n_{a}") - F.expr(lacks.format(a, b)) for a, b in ("xy", "yx")])
     # A pair meets at every shingle that both prefixes have; only the smallest one makes a row.
     apart = F.expr("comp_x <> comp_y AND (comp_y = main OR rep_x < rep_y)")
-    pairs = x.join(y, (x["shingle"] == y["shingle"]) & apart & bound & F.expr("arrays_overlap(keys_x, keys_y)")
-                   & (x["shingle"] == F.expr("array_min(array_intersect(prefix_x, prefix_y))")))
+    once = F.expr("arrays_overlap(keys_x, keys_y)") & (x["shingle"] == F.expr("array_min(array_intersect(prefix_x, prefix_y))"))
+    near = _can_link(most, F.col("n_x"), F.col("n_y"), percent)
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & apart & bound & near & once)
     pairs = pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
 
