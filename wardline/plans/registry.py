@@ -192,7 +192,8 @@ def clustered_reads(spark, sf_dir):
     whether at most half of the files were opened."""
     root = layers.scratch_dir(spark, "clustered")
     columns = ["code", "patient_id", "condition_start_date"]
-    layout.write_clustered(bindings.silver(spark, sf_dir, "conditions"), root, "conditions", columns, CLUSTER_FILES)
+    conditions = layers.materialize(bindings.silver(spark, sf_dir, "conditions"), "conditions")
+    layout.write_clustered(conditions, root, "conditions", columns, CLUSTER_FILES)
     whole = layout.files_to_read(spark, root, "conditions").count()
     parts = []
     for name, bounds in CLUSTER_BOUNDS.items():

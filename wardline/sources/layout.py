@@ -32,9 +32,11 @@ def write_clustered(frame: DataFrame, layer_dir: str, table: str, columns, n_fil
     """Write a layer table clustered by `columns` into about `n_files` files, and what they cover. Reads its
     input three times (count, sample, rows), so hand it a written table."""
     columns = list(columns)
-    place = _curve(columns, _cuts(frame, columns))
+    ranges = _range_numbers(columns, _cuts(frame, columns))
     # The row's number breaks ties, so rows equal in all columns need not share a file.
-    numbered = frame.withColumns({"_place": place, "_row": F.monotonically_increasing_id()})
+    numbered = frame.withColumns(ranges).withColumns(
+        {"_place": _curve(list(ranges)), "_row": F.monotonically_increasing_id()}
+    ).drop(*ranges)
     order = ["_place", *[f"`{c}`" for c in columns], "_row"]
     dealt = numbered.repartitionByRange(n_files, *order).sortWithinPartitions(*order).drop("_place", "_row")
     path = write_table(dealt, layer_dir, table)
@@ -110,18 +112,23 @@ def _cuts(frame: DataFrame, columns) -> list[list]:
     return out
 
 
-def _curve(columns, cuts) -> Column:
-    """A row's place on the curve: the bits of its range numbers, interleaved, the first column's first."""
-    place = F.lit(0).cast("bigint")
+def _range_numbers(columns, cuts) -> dict[str, Column]:
+    """Number of the range that each column's value is in: how many cuts are not above it."""
+    out = {}
     for i, (name, at) in enumerate(zip(columns, cuts, strict=True)):
         value = F.col(f"`{name}`")
-        if not at:
-            continue
-        below = F.size(F.filter(F.array(*[F.lit(v) for v in at]), _at_most(value)))
-        number = F.when(value.isNull(), F.lit(0)).otherwise(below)
+        below = F.size(F.filter(F.array(*[F.lit(v) for v in at]), _at_most(value))) if at else F.lit(0)
+        out[f"_range_{i}"] = F.when(value.isNull(), F.lit(0)).otherwise(below)
+    return out
+
+
+def _curve(numbers: list[str]) -> Column:
+    """A row's place on the curve: the bits of its range numbers, interleaved, the first column's first."""
+    place = F.lit(0).cast("bigint")
+    for i, number in enumerate(numbers):
         for bit in range(BITS):
-            own = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            place = place + F.shiftleft(own, bit * len(columns) + len(columns) - 1 - i)
+            own = F.shiftright(F.col(number), bit).bitwiseAND(F.lit(1)).cast("bigint")
+            place = place + F.shiftleft(own, bit * len(numbers) + len(numbers) - 1 - i)
     return place
 
 
