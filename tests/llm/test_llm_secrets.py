@@ -156,3 +156,13 @@ def test_redaction_by_positions(make_docs, model):
 def test_main_path_runs_no_python(make_docs, model):
     plan = secretscan.scan(make_docs([(1, "a")]), model)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_models_learn_from_every_document_and_value(make_docs):
+    """More documents, and more values in one of them, than the samples once held."""
+    rows = [(i, f"plainword{i:05d}") for i in range(5200)]
+    rows += [(10_000, " ".join(f"token=value{i:03d}" for i in range(200))), (10_001, " ".join(f"ordinary{i:03d}" for i in range(200)))]
+    found = secretscan.labelled_samples(make_docs(rows)).collect()
+    wanted = [(f"plainword{i:05d}", 0) for i in range(5200)]
+    wanted += [(f"value{i:03d}", 1) for i in range(200)] + [(f"ordinary{i:03d}", 0) for i in range(200)]
+    assert sorted(map(tuple, found)) == sorted(wanted)

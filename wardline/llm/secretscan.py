@@ -9,9 +9,9 @@ part, each uncovered part that is long enough is scored by itself.
 
 The models are trained from labelled samples (value, label 1 random / 0 ordinary). In a corpus
 without labels `labelled_samples` takes the values of base matches as random strings and the runs
-of documents without any match as ordinary ones, from at most `max_rows` documents of each sort
-(the smallest by hash of the id). Transition counts are a Spark aggregate; only the table of
-transitions, whose size the alphabet bounds, comes to the driver. The random model is half learned
+of documents without any match as ordinary ones, of all documents, each different value once.
+Transition counts and the threshold are Spark aggregates; only the table of transitions, whose size
+the alphabet bounds, comes to the driver. The random model is half learned
 and half uniform, so that alphabets the samples lack still count as random.
 
 Everything here is built-in functions: no Python runs on executors. Null text counts as empty. A
@@ -27,7 +27,6 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.layers import materialize
 from .common import numbered, pick
 
 # Patterns of the base kinds, in listed order, and the least length each must have.
@@ -44,8 +43,6 @@ ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 ORDINARY_RUN = r"[A-Za-z0-9+/_=-]{6,}"
 SPAN = "struct<kind:int,start:int,end:int,value:string>"
-MAX_ROWS = 5000
-MAX_RUNS = 64
 STEP = 256  # entries that an aggregate appends to one array
 TEXT_BLOCK = 1024
 LEAST_RUN = 16
@@ -138,35 +135,19 @@ def _ordered(spans: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: s["span"])
 
 
-def labelled_samples(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(value, label) from documents (doc_id, text): values of base matches, label 1, and runs of
-    documents without a match, label 0. At most `max_rows` documents of each sort, the smallest by
-    hash, and MAX_RUNS values of each document. Every text is searched for matches once; the values
-    found are written, being few."""
+def labelled_samples(docs: DataFrame) -> DataFrame:
+    """(value, label), each once, from documents (doc_id, text): values of base matches, label 1, and runs
+    of documents without a match, label 0. Every document and every value counts; every text is searched
+    once, and a document's equal values merge before they move."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        text.alias("text"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("h")
-    )
-    value = F.transform(
-        F.slice(base_spans(F.col("text")), 1, MAX_RUNS),
+    rows = docs.select(text.alias("text"), text.rlike(ANY_BASE).alias("has"))
+    hits = F.transform(
+        base_spans(F.col("text")),
         lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]),
     )
-    has = F.col("text").rlike(ANY_BASE)
-    hits = materialize(rows.where(has).select("h", value.alias("runs")), "secret-values")
-    runs = F.slice(F.regexp_extract_all("text", F.lit(ORDINARY_RUN), F.lit(0)), 1, MAX_RUNS)
-    plain = _lowest(rows, max_rows).where(~has).select("h", runs.alias("runs"))
-    parts = []
-    for label, frame in ((1, _lowest(hits, max_rows)), (0, plain)):
-        some = frame.orderBy("h", "runs").limit(max_rows)
-        parts.append(some.select(F.explode("runs").alias("value"), F.lit(label).alias("label")))
-    return parts[0].unionByName(parts[1]).distinct()
-
-
-def _lowest(rows: DataFrame, wanted: int) -> DataFrame:
-    """Rows whose hash is low enough that some three times `wanted` are expected, so that what one
-    task orders to pick the lowest does not grow with the data."""
-    share = min(1.0, 3 * wanted / max(1, rows.count()))
-    return rows.where(F.col("h") <= F.lit(round(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1))
+    runs = F.regexp_extract_all("text", F.lit(ORDINARY_RUN), F.lit(0))
+    values = F.array_distinct(F.when(F.col("has"), hits).otherwise(runs))
+    return rows.select(F.explode(values).alias("value"), F.col("has").cast("int").alias("label")).distinct()
 
 
 def _states(value: Column) -> Column:
