@@ -46,12 +46,19 @@ def write_clustered(frame: DataFrame, layer_dir: str, table: str, columns, n_fil
 
 def write_cover(spark: SparkSession, layer_dir: str, table: str, columns) -> None:
     """Record, for each file of a table, its rows and the least and largest value of the columns."""
-    found = read_table(spark, layer_dir, table).select("*", F.col("_metadata.file_path").alias("_file"))
+    named = _covered(read_table(spark, layer_dir, table), columns)
+    named.write.mode("overwrite").parquet(f"{table_path(layer_dir, table)}/{COVER}")
+
+
+def _covered(rows: DataFrame, columns) -> DataFrame:
+    """What each file of a table covers. Whether a column has nulls is a set of one or two values: with
+    such an aggregate Spark keeps a row for each file of the task, where the least and largest texts alone
+    would make it sort all rows by file."""
+    found = rows.select("*", F.col("_metadata.file_path").alias("_file"))
     sides = [f(F.col(f"`{c}`")).alias(f"{side}_{i}") for i, c in enumerate(columns) for side, f in (("low", F.min), ("high", F.max))]
-    nulls = [F.bool_or(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(columns)]
+    nulls = [F.array_contains(F.collect_set(F.col(f"`{c}`").isNull()), True).alias(f"null_{i}") for i, c in enumerate(columns)]
     cover = found.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"), *sides, *nulls)
-    named = cover.withColumn("columns", F.array(*[F.lit(c) for c in columns]))
-    named.write.mode("overwrite").parquet(f"{table_path(layer_dir, table)}/{COVER}")
+    return cover.withColumn("columns", F.array(*[F.lit(c) for c in columns]))
 
 
 def files_to_read(spark: SparkSession, layer_dir: str, table: str, **bounds) -> DataFrame:
